@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from skydrift.plans import staging_queries  # noqa: F401
+from skydrift.plans import (  # noqa: F401
+    metric_queries,
+    sampling_queries,
+    staging_queries,
+)
 from skydrift.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]

@@ -71,3 +71,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder: cuts lineage,
+    fixes a layout that two branches of a plan must agree on, and survives
+    executor loss (never a local checkpoint)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
