@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from skydrift.plans import (  # noqa: F401
+    feature_queries,
     metric_queries,
+    model_queries,
     sampling_queries,
     staging_queries,
 )
