@@ -235,7 +235,7 @@ class FittedPreprocessor:
         # 2. high-cardinality
         for c in s.high_card_cols:
             name = f"{c}__{s.high_card_strategy}"
-            if s.high_card_strategy == "target" and training:
+            if s.high_card_strategy == "target" and training and s.fold_key:
                 fold = s.fold_col
                 out = out.withColumn(fold, md5_bucket(s.fold_key, s.folds))
                 out = out.join(F.broadcast(self.fold_means), fold, "left")

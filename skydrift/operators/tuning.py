@@ -44,7 +44,8 @@ def random_search(spark: SparkSession, train: DataFrame, val: DataFrame, model_t
     if direction not in ("minimize", "maximize"):
         raise ValueError(f"unknown direction {direction}")
     from skydrift.operators.models import default_preprocessor
-    fitted = (prep or default_preprocessor(label)).fit(train)
+    key = "flight_uid" if "flight_uid" in train.columns else None
+    fitted = (prep or default_preprocessor(label, fold_key=key)).fit(train)
     feats = fitted.transform(train, training=True).persist()
     rows = []
     try:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from skydrift.plans import (  # noqa: F401
+    drift_queries,
     feature_queries,
     metric_queries,
     model_queries,
