@@ -5,6 +5,7 @@ from __future__ import annotations
 from skydrift.plans import (  # noqa: F401
     drift_queries,
     feature_queries,
+    log_queries,
     metric_queries,
     model_queries,
     sampling_queries,
