@@ -16,7 +16,11 @@ from skydrift.sources.tables import read_table
 
 def fx_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as raw flights, with NULLs and cancel flags derived from values."""
-    li = read_table(spark, sf_dir, "lineitem")
+    return fx_raw_from(read_table(spark, sf_dir, "lineitem"))
+
+
+def fx_raw_from(li: DataFrame) -> DataFrame:
+    """The raw-flight projection of a lineitem frame (batch or stream)."""
     return li.select(
         F.concat(F.col("l_orderkey").cast("string"), F.lit("_"),
                  F.col("l_linenumber").cast("string")).alias("flight_uid"),
@@ -67,7 +71,10 @@ def fx_stg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fx_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events as the predictions log; ``props.k`` is the regression truth."""
-    ev = read_table(spark, sf_dir, "events")
+    return fx_predictions_from(read_table(spark, sf_dir, "events"))
+
+
+def fx_predictions_from(ev: DataFrame) -> DataFrame:
     k = F.get_json_object(F.col("props"), "$.k").cast("double")
     return ev.select(
         F.col("event_id").alias("id"), "ts",
