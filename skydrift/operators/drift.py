@@ -95,21 +95,35 @@ def boost(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]) -> Da
 
 
 # ------------------------------------------------------------ long frame
+SIDE = "_side"
+
+
+def label_sides(ref: DataFrame, cur: DataFrame) -> DataFrame:
+    """Union of both frames with a side label (for two distinct sources)."""
+    cols = [c for c in ref.columns if c in set(cur.columns)]
+    return ref.select(*cols, F.lit("reference").alias(SIDE)) \
+        .unionByName(cur.select(*cols, F.lit("current").alias(SIDE)))
+
+
+def stack_labeled(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                  by: Sequence[str] = (), side_col: str = SIDE) -> DataFrame:
+    """``(by..., column, is_num, side, num, cat)`` from one side-labelled
+    frame: a single narrow explode, so one scan serves both sides; NULL
+    values are dropped (they are not compared)."""
+    pairs = [F.struct(F.lit(c).alias("column"), F.lit(True).alias("is_num"),
+                      F.col(c).cast("double").alias("num"),
+                      F.lit(None).cast("string").alias("cat")) for c in num_cols]
+    pairs += [F.struct(F.lit(c).alias("column"), F.lit(False).alias("is_num"),
+                       F.lit(None).cast("double").alias("num"),
+                       F.col(c).cast("string").alias("cat")) for c in cat_cols]
+    long = df.select(*by, F.col(side_col).alias("side"), F.explode(F.array(*pairs)).alias("_p")) \
+        .select(*by, "_p.column", "_p.is_num", "side", "_p.num", "_p.cat")
+    return long.filter(F.col("num").isNotNull() | F.col("cat").isNotNull())
+
+
 def stack_sides(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str],
                 cat_cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """``(by..., column, is_num, side, num, cat)``: one narrow explode per
-    side, then a union; NULL values are dropped (they are not compared)."""
-    def side(df, name):
-        pairs = [F.struct(F.lit(c).alias("column"), F.lit(True).alias("is_num"),
-                          F.col(c).cast("double").alias("num"),
-                          F.lit(None).cast("string").alias("cat")) for c in num_cols]
-        pairs += [F.struct(F.lit(c).alias("column"), F.lit(False).alias("is_num"),
-                           F.lit(None).cast("double").alias("num"),
-                           F.col(c).cast("string").alias("cat")) for c in cat_cols]
-        return df.select(*by, F.explode(F.array(*pairs)).alias("_p")) \
-            .select(*by, "_p.column", "_p.is_num", F.lit(name).alias("side"), "_p.num", "_p.cat")
-    long = side(ref, "reference").unionByName(side(cur, "current"))
-    return long.filter(F.col("num").isNotNull() | F.col("cat").isNotNull())
+    return stack_labeled(label_sides(ref, cur), num_cols, cat_cols, by)
 
 
 def value_counts(long: DataFrame, by: Sequence[str] = ()) -> DataFrame:
@@ -301,9 +315,17 @@ def drift_report(ref: DataFrame, cur: DataFrame, num_cols: Sequence[str],
                  override: dict | None = None) -> DataFrame:
     """OP-82: one row per (by..., column): chosen test, its statistic,
     p-value (tests) or distance, threshold and the drift flag."""
+    return drift_report_labeled(label_sides(ref, cur), num_cols, cat_cols, by, override)
+
+
+def drift_report_labeled(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str],
+                         by: Sequence[str] = (), override: dict | None = None,
+                         side_col: str = SIDE) -> DataFrame:
+    """:func:`drift_report` over one frame whose ``side_col`` says
+    ``reference`` / ``current`` (one scan for both sides)."""
     by = list(by)
     # the pre-aggregated counts feed five statistics: materialise them once
-    counts = materialize(value_counts(stack_sides(ref, cur, num_cols, cat_cols, by), by))
+    counts = materialize(value_counts(stack_labeled(df, num_cols, cat_cols, by, side_col), by))
     prof = select_tests(column_profile(counts, by), override)
     shares = cumulative_shares(counts, by)
     ks = ks_stats(shares, by)

@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skydrift.functions.exprs import cyclic_cos, cyclic_sin, md5_bucket
-from skydrift.operators.positions import exact_median, global_row_number
+from skydrift.operators.positions import global_row_number, median_from_counts
+from skydrift.session import materialize
 
 LOW_CARD_STRATEGIES = ("onehot", "ordinal")
 HIGH_CARD_STRATEGIES = ("target", "ordinal", "frequency")
@@ -57,25 +58,38 @@ def stack_long(df: DataFrame, cols: Sequence[str], extra: Sequence[str] = ()) ->
 def category_modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent non-NULL value per column (ties: smallest value, numeric
     order for numeric columns). One grouped pass over the stacked columns."""
-    counts = stack_long(df, cols).filter(F.col("sval").isNotNull()) \
-        .groupBy("column", "sval", "nval").agg(F.count(F.lit(1)).alias("cnt"))
-    best = counts.groupBy("column").agg(F.min(F.struct(
-        (-F.col("cnt")).alias("neg"), F.col("nval"), F.col("sval"))).alias("_b"))
-    return best.select("column", F.col("_b.sval").alias("mode"),
-                       F.col("_b.nval").alias("mode_num"), (-F.col("_b.neg")).alias("count"))
+    return _modes_from_counts(value_counts_long(df, cols))
+
+
+def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column, sval, nval, cnt)`` for every non-NULL value of every listed
+    column: one grouped pass, combined map-side."""
+    return stack_long(df, cols).filter(F.col("sval").isNotNull()) \
+        .groupBy("column", "sval", "nval").agg(F.count(F.lit(1)).cast("double").alias("cnt"))
 
 
 def impute_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: exact median, mean and most frequent value, all
-    from the stacked long frame (one range job, one grouped job)."""
-    long = stack_long(df, cols).filter(F.col("nval").isNotNull())
-    med = exact_median(long, "nval", ["column"], "median")
-    mean = long.groupBy("column").agg(F.avg("nval").alias("mean"))
-    mode = category_modes(df, cols).select("column", F.col("mode_num").alias("most_frequent"))
+    derived from one pass of per-value counts (materialised once, it feeds
+    three small jobs)."""
+    counts = materialize(value_counts_long(df, cols))
+    med = median_from_counts(counts.select("column", "nval", "cnt"), "nval", "cnt",
+                             ["column"], "median")
+    mean = counts.groupBy("column").agg(
+        (F.sum(F.col("nval") * F.col("cnt")) / F.sum("cnt")).alias("mean"))
+    mode = _modes_from_counts(counts).select("column", F.col("mode_num").alias("most_frequent"))
     return med.join(mean, "column").join(mode, "column") \
         .withColumnRenamed("column", "feature")
 
 
+def _modes_from_counts(counts: DataFrame) -> DataFrame:
+    best = counts.groupBy("column").agg(F.min(F.struct(
+        (-F.col("cnt")).alias("neg"), F.col("nval"), F.col("sval"))).alias("_b"))
+    return best.select("column", F.col("_b.sval").alias("mode"),
+                       F.col("_b.nval").alias("mode_num"),
+                       (-F.col("_b.neg")).cast("bigint").alias("count"))
+
+
 def numeric_impute_values(df: DataFrame, cols: Sequence[str], strategy: str) -> dict:
     """Fill value per numeric column from the training frame (scalars)."""
     if not cols:
@@ -87,8 +101,8 @@ def numeric_impute_values(df: DataFrame, cols: Sequence[str], strategy: str) ->
         return {c: row[c] for c in cols}
     if strategy == "most_frequent":
         return {r["column"]: r["mode_num"] for r in category_modes(df, cols).collect()}
-    long = stack_long(df, cols).filter(F.col("nval").isNotNull())
-    med = exact_median(long, "nval", ["column"], "median")
+    counts = value_counts_long(df, cols).select("column", "nval", "cnt")
+    med = median_from_counts(counts, "nval", "cnt", ["column"], "median")
     return {r["column"]: r["median"] for r in med.collect()}
 
 
@@ -128,22 +142,22 @@ class CategoryTable:
         return j.withColumn(out, F.coalesce(F.col(out), d))
 
 
-def frequency_table(train: DataFrame, col: str) -> CategoryTable:
+def frequency_table(train: DataFrame, col: str, rows: int | None = None) -> CategoryTable:
     """value -> share of training rows; unseen -> 0.0 (NULL has its own key)."""
     total = train.agg(F.count(F.lit(1)).alias("_n"))
     freq = train.groupBy(_key(col).alias("_k")).agg(F.count(F.lit(1)).alias("_c")) \
         .crossJoin(F.broadcast(total)).select("_k", (F.col("_c") / F.col("_n")).alias("value"))
-    return CategoryTable(col, freq, freq.count(), 0.0)
+    return CategoryTable(col, freq, rows if rows is not None else freq.count(), 0.0)
 
 
-def ordinal_table(train: DataFrame, col: str) -> CategoryTable:
+def ordinal_table(train: DataFrame, col: str, rows: int | None = None) -> CategoryTable:
     """Sorted distinct categories -> 0..k-1 (numeric order for numeric
     columns); unseen -> -1. Positions from range partitioning, not a
     one-partition window over the distinct set."""
     distinct = train.filter(F.col(col).isNotNull()).select(col).distinct()
     pos = global_row_number(distinct, [col], "_idx")
     t = pos.select(_key(col).alias("_k"), F.col("_idx").cast("double").alias("value"))
-    return CategoryTable(col, t, distinct.count(), -1.0)
+    return CategoryTable(col, t, rows if rows is not None else distinct.count(), -1.0)
 
 
 def _target_stats(df: DataFrame, col: str, y: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -162,18 +176,20 @@ def _shrunk(n, sy, syy, gm, gv) -> Column:
         .otherwise(gm)
 
 
-def target_table(train: DataFrame, col: str, y: str) -> CategoryTable:
+def target_table(train: DataFrame, col: str, y: str, rows: int | None = None,
+                 global_mean: float | None = None) -> CategoryTable:
     """Full-fit target encoding (used for data not seen in training)."""
     g = train.agg(F.avg(F.col(y).cast("double")).alias("gm"),
                   F.var_pop(F.col(y).cast("double")).alias("gv"))
     s = _target_stats(train, col, y).crossJoin(F.broadcast(g))
     t = s.select("_k", _shrunk(F.col("n"), F.col("sy"), F.col("syy"), F.col("gm"),
                                F.col("gv")).alias("value"))
-    gm = g.first()["gm"]
-    return CategoryTable(col, t, t.count(), gm)
+    gm = global_mean if global_mean is not None else g.first()["gm"]
+    return CategoryTable(col, t, rows if rows is not None else t.count(), gm)
 
 
-def target_table_crossfit(train: DataFrame, col: str, y: str, fold: str) -> CategoryTable:
+def target_table_crossfit(train: DataFrame, col: str, y: str, fold: str,
+                          rows: int | None = None) -> CategoryTable:
     """Out-of-fold encodings: per (fold, category) sums subtracted from the
     category totals; the global mean/variance are out-of-fold too."""
     per = _target_stats(train, col, y, [fold])
@@ -195,7 +211,7 @@ def target_table_crossfit(train: DataFrame, col: str, y: str, fold: str) -> Cate
     n = F.col("tn") - F.col("n")
     t = j.select(fold, "_k", _shrunk(n, F.col("tsy") - F.col("sy"), F.col("tsyy") - F.col("syy"),
                                       F.col("gm"), F.col("gv")).alias("value"))
-    return CategoryTable(col, t, t.count(), F.col("_fold_gm"))
+    return CategoryTable(col, t, rows if rows is not None else t.count(), F.col("_fold_gm"))
 
 
 @dataclass
@@ -299,52 +315,75 @@ class Preprocessor:
             raise ValueError(f"unknown target_type: {self.target_type}")
 
     def fit(self, train: DataFrame) -> FittedPreprocessor:
+        """Few passes: modes (one grouped job), numeric fills (one), levels
+        and category counts (one), all scalar statistics (one aggregate)."""
         cat_cols = list(self.low_card_cols) + list(self.high_card_cols)
         num_cols = list(self.cyclic_cols) + list(self.numeric_cols) + \
             list(self.skewed_numeric_cols)
+        types = {f.name: f.dataType for f in train.schema.fields}
+        # every fitting job reads the training rows: compute them once
+        needed = list(dict.fromkeys(cat_cols + num_cols + (
+            [self.target] if self.target else []) + ([self.fold_key] if self.fold_key else [])))
+        train = materialize(train.select(*needed))
         cat_fill = {}
         if cat_cols:
-            modes = {r["column"]: r for r in category_modes(train, cat_cols).collect()}
-            types = {f.name: f.dataType for f in train.schema.fields}
-            for c in cat_cols:
-                r = modes.get(c)
-                if r is None:
-                    continue
+            for r in category_modes(train, cat_cols).collect():  # one row per column
+                c = r["column"]
                 cat_fill[c] = r["mode_num"] if _is_numeric(types[c]) else r["mode"]
         num_fill = numeric_impute_values(train, num_cols, self.impute_num)
         imputed = train.withColumns(_impute_exprs(train, {**num_fill, **cat_fill}, num_cols))
         fitted = FittedPreprocessor(self, num_fill, cat_fill)
-        # low-card levels: distinct values, sorted in native order (bounded)
-        for c in self.low_card_cols:
-            lv = [r[0] for r in imputed.select(c).distinct().orderBy(c)
-                  .limit(MAX_ONEHOT + 1).collect() if r[0] is not None]
-            if len(lv) > MAX_ONEHOT:
-                raise ValueError(f"{c} has more than {MAX_ONEHOT} levels; use high_card")
-            fitted.onehot_levels[c] = lv
+        # one job: distinct levels of the low-card columns (bounded by
+        # MAX_ONEHOT each) and category counts of the high-card columns
+        if cat_cols:
+            long = stack_long(imputed, cat_cols).filter(F.col("sval").isNotNull()) \
+                .select("column", "sval", "nval").distinct()
+            counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
+            low = long.filter(F.col("column").isin(list(self.low_card_cols)) if
+                              self.low_card_cols else F.lit(False))
+            rows = {r["column"]: r["k"] for r in counts.collect()}
+            for c in self.low_card_cols:
+                if rows.get(c, 0) > MAX_ONEHOT:
+                    raise ValueError(f"{c} has more than {MAX_ONEHOT} levels; use high_card")
+            levels: dict = {c: [] for c in self.low_card_cols}
+            if self.low_card_cols:
+                for r in low.orderBy("column", "nval", "sval").collect():
+                    c = r["column"]
+                    levels[c].append(r["nval"] if _is_numeric(types[c]) else r["sval"])
+            for c in self.low_card_cols:
+                lv = levels[c]
+                if _is_numeric(types[c]) and not isinstance(types[c], (T.FloatType,
+                                                                       T.DoubleType)):
+                    lv = [int(v) for v in lv]
+                fitted.onehot_levels[c] = lv
+        else:
+            rows = {}
+        # one aggregate: global target mean and every scaler statistic
+        exprs = []
+        if self.target and self.high_card_strategy == "target" and self.high_card_cols:
+            exprs.append(F.avg(F.col(self.target).cast("double")).alias("__gm"))
+        for c in list(self.numeric_cols) + list(self.skewed_numeric_cols):
+            x = F.log1p(F.col(c)) if c in self.skewed_numeric_cols else F.col(c).cast("double")
+            exprs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
+        row = imputed.agg(*exprs).first() if exprs else None
+        for c in list(self.numeric_cols) + list(self.skewed_numeric_cols):
+            std = row[f"{c}__s"]
+            fitted.scale[c] = (row[f"{c}__m"], std if std else 1.0)
         for c in self.high_card_cols:
+            n = rows.get(c, 0) + 1  # + a possible NULL key
             if self.high_card_strategy == "frequency":
-                fitted.tables[c] = frequency_table(imputed, c)
+                fitted.tables[c] = frequency_table(imputed, c, n)
             elif self.high_card_strategy == "ordinal":
-                fitted.tables[c] = ordinal_table(imputed, c)
+                fitted.tables[c] = ordinal_table(imputed, c, n)
             else:
                 if not self.target:
                     raise ValueError("target encoding needs a target column")
-                fitted.tables[c] = target_table(imputed, c, self.target)
+                fitted.tables[c] = target_table(imputed, c, self.target, n, row["__gm"])
                 if self.fold_key:
                     fr = imputed.withColumn(self.fold_col, md5_bucket(self.fold_key, self.folds))
                     fitted.crossfit_tables[c] = target_table_crossfit(
-                        fr, c, self.target, self.fold_col)
+                        fr, c, self.target, self.fold_col, n * self.folds)
                     fitted.fold_means = _fold_means(fr, self.target, self.fold_col)
-        # scaler statistics after imputation (and log1p), one aggregate
-        exprs = []
-        for c in list(self.numeric_cols) + list(self.skewed_numeric_cols):
-            x = F.log1p(F.col(c)) if c in self.skewed_numeric_cols else F.col(c).cast("double")
-            exprs += [F.avg(x).alias(f"{c}__m"), F.stddev_pop(x).alias(f"{c}__s")]
-        if exprs:
-            row = imputed.agg(*exprs).first()
-            for c in list(self.numeric_cols) + list(self.skewed_numeric_cols):
-                std = row[f"{c}__s"]
-                fitted.scale[c] = (row[f"{c}__m"], std if std else 1.0)
         return fitted
 
 

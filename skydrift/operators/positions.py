@@ -124,21 +124,31 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (),
                  out: str = "median", partitions: int | None = None) -> DataFrame:
     """Exact interpolated median (= ``percentile(x, 0.5)``) per group without
-    holding a group's values in one task: positions in ``(by, value)``
-    order, group start offsets from the small per-group counts, then the one
-    or two middle rows of each group are averaged."""
+    holding a group's values in one task: values are pre-aggregated to
+    ``(group, value, count)`` map-side, cumulative counts come from
+    range-partitioned running totals, and the one or two middle positions
+    ``floor((n-1)/2)``, ``floor(n/2)`` are read off the value that covers them."""
+    counts = df.filter(F.col(value).isNotNull()) \
+        .groupBy(*by, F.col(value).cast("double").alias("_v")) \
+        .agg(F.count(F.lit(1)).cast("double").alias("_c"))
+    return median_from_counts(counts, "_v", "_c", by, out, partitions)
+
+
+def median_from_counts(counts: DataFrame, value: str, count: str, by: Sequence[str] = (),
+                       out: str = "median", partitions: int | None = None) -> DataFrame:
+    """Exact median from a ``(by..., value, count)`` frame (value unique per
+    group)."""
     by = list(by)
-    data = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    pos = global_row_number(data, [*by, "_v"], "_gpos", partitions)
-    counts = data.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    if by:
-        w = Window.orderBy(*by).rowsBetween(Window.unboundedPreceding, -1)
-    else:
-        w = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(*by, "_n", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_start"))
-    j = pos.join(F.broadcast(starts), by) if by else pos.crossJoin(F.broadcast(starts))
-    rel = F.col("_gpos") - F.col("_start")
+    run = running_totals(counts, by, [value], [count], prefix="_cum_", partitions=partitions)
+    n = counts.groupBy(*by).agg(F.sum(count).alias("_n"))
+    j = run.join(F.broadcast(n), by) if by else run.crossJoin(F.broadcast(n))
+    cum = F.col(f"_cum_{count}")
+    start = cum - F.col(count)
     lo = F.floor((F.col("_n") - 1) / 2)
     hi = F.floor(F.col("_n") / 2)
-    mid = j.filter((rel == lo) | (rel == hi))
-    return mid.groupBy(*by).agg(F.avg("_v").alias(out))
+    covers_lo = (start <= lo) & (lo < cum)
+    covers_hi = (start <= hi) & (hi < cum)
+    picked = j.filter(covers_lo | covers_hi)
+    agg = [((F.max(F.when(covers_lo, F.col(value))) + F.max(F.when(covers_hi, F.col(value))))
+            / 2.0).alias(out)]
+    return picked.groupBy(*by).agg(*agg) if by else picked.agg(*agg)

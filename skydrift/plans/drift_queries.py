@@ -30,9 +30,17 @@ def _sides(spark, sf_dir):
     return ref, cur
 
 
+def _labeled(spark, sf_dir):
+    """One staging scan with a side label: before the split date is the
+    reference, from it on the current period."""
+    full = D.drop_present(fx_stg(spark, sf_dir).withColumn(
+        D.SIDE, F.when(F.col("flight_date") < F.lit(SPLIT).cast("date"), "reference")
+        .otherwise("current")))
+    return full
+
+
 def _counts(spark, sf_dir, num, cat, by=()):
-    ref, cur = _sides(spark, sf_dir)
-    return D.value_counts(D.stack_sides(ref, cur, num, cat, list(by)), list(by))
+    return D.value_counts(D.stack_labeled(_labeled(spark, sf_dir), num, cat, list(by)), list(by))
 
 
 def _feature(df):
@@ -177,7 +185,7 @@ def q_profile(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     cols = D.common_columns(ref, cur)
     num, cat = D.split_types(ref, cols)
-    counts = D.value_counts(D.stack_sides(ref, cur, num, cat))
+    counts = D.value_counts(D.stack_labeled(_labeled(spark, sf_dir), num, cat))
     return _feature(D.column_profile(counts).select("column", "is_num", "tot_ref", "tot_cur",
                                                     "n_unique"))
 
@@ -229,8 +237,7 @@ _REPORT_COLS = "feature, test, tot_ref, tot_cur, n_unique, statistic, p_value, t
 @query("drift_report", _sql(f"select {_REPORT_COLS} from report", NUM, CAT))
 def q_report(spark, sf_dir):
     """OP-82: auto-selected test per column with its decision."""
-    ref, cur = _sides(spark, sf_dir)
-    return _feature(D.drift_report(ref, cur, NUM, CAT))
+    return _feature(D.drift_report_labeled(_labeled(spark, sf_dir), NUM, CAT))
 
 
 @query("drift_near_constant_filter", with_fx(["fx_stg"], "select feature, std, std > 0.01 as keep "
@@ -273,9 +280,10 @@ def q_score_by_month(spark, sf_dir):
     """OP-19/44/83..85: every calendar month's reference slice vs the same
     month of the current period, near-constant columns removed per month,
     share of drifted columns, alarm and monthly baseline -- one job."""
-    ref, cur = _sides(spark, sf_dir)
-    rep = D.drift_report(ref, cur, NUM, CAT, by=["month"])
-    spread = D.numeric_spread(cur, NUM, by=["month"])
+    from skydrift.session import materialize
+    lab = materialize(_labeled(spark, sf_dir))  # read by the report and the spread
+    rep = D.drift_report_labeled(lab, NUM, CAT, by=["month"])
+    spread = D.numeric_spread(lab.filter(F.col(D.SIDE) == "current"), NUM, by=["month"])
     kept = rep.join(spread, ["month", "column"], "left") \
         .filter(F.col("std").isNull() | (F.col("std") > 0.01))
     scores = D.drift_score(kept, by=["month"])
@@ -298,8 +306,8 @@ def q_alarm(spark, sf_dir):
 def q_boosted_baseline(spark, sf_dir):
     """OP-25 control: the unboosted whole-period score (the boosted one,
     ``drift_boosted_current``, must not be lower)."""
-    ref, cur = _sides(spark, sf_dir)
-    return D.drift_score(D.drift_report(ref, cur, NUM, CAT)).select("n_columns", "drift_score")
+    return D.drift_score(D.drift_report_labeled(_labeled(spark, sf_dir), NUM, CAT)) \
+        .select("n_columns", "drift_score")
 
 
 @query("drift_boosted_current")

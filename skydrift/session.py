@@ -29,6 +29,7 @@ def build_session(master: str | None = None, app: str = "skydrift",
     conf = {
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
