@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skydrift.operators.positions import global_row_number, running_totals
+from skydrift.operators.positions import running_totals
 from skydrift.schemas import DRIFT_DROP_COLUMNS
 from skydrift.session import materialize
 
@@ -217,51 +217,47 @@ def _chi2_sf(x: Column, dof: Column) -> Column:
 # ------------------------------------------------------------ statistics
 def cumulative_shares(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """Numeric columns: per distinct value the cumulative shares F (ref) and
-    G (cur), inclusive of the value, plus the next distinct value."""
+    G (cur), inclusive of the value, plus the next distinct value -- one
+    range pass (running totals with group totals and successor)."""
     num = counts.filter(F.col("is_num")).select(*by, "column", "num", "n_ref", "n_cur")
-    run = running_totals(num, [*by, "column"], ["num"], ["n_ref", "n_cur"])
-    tot = num.groupBy(*by, "column").agg(F.sum("n_ref").alias("tot_ref"),
-                                         F.sum("n_cur").alias("tot_cur"))
-    shares = run.join(F.broadcast(tot), [*by, "column"]).select(
-        *by, "column", "num", "n_ref", "n_cur", "tot_ref", "tot_cur",
-        (F.col("cum_n_ref") / F.col("tot_ref")).alias("F"),
-        (F.col("cum_n_cur") / F.col("tot_cur")).alias("G"))
-    # next distinct value: positions over (by, column, num), self-join pos+1
-    pos = global_row_number(shares, [*by, "column", "num"], "_pos")
-    nxt = pos.select(*[F.col(c).alias(f"_nx_{c}") for c in [*by, "column"]],
-                     F.col("num").alias("next_num"), (F.col("_pos") - 1).alias("_nx_pos"))
-    cond = [F.col("_pos") == F.col("_nx_pos")] + [
-        F.col(c) == F.col(f"_nx_{c}") for c in [*by, "column"]]
-    return pos.join(nxt, cond, "left") \
-        .drop("_pos", "_nx_pos", *[f"_nx_{c}" for c in [*by, "column"]])
+    run = running_totals(num, [*by, "column"], ["num"], ["n_ref", "n_cur"], with_next=True,
+                         with_totals=True)
+    return run.select(*by, "column", "num", "n_ref", "n_cur", "next_num",
+                      F.col("tot_n_ref").alias("tot_ref"), F.col("tot_n_cur").alias("tot_cur"),
+                      (F.col("cum_n_ref") / F.col("tot_n_ref")).alias("F"),
+                      (F.col("cum_n_cur") / F.col("tot_n_cur")).alias("G"))
 
 
-def ks_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """OP-88: D = max |F - G| and the asymptotic p-value."""
-    d = shares.groupBy(*by, "column").agg(
-        F.max(F.abs(F.col("F") - F.col("G"))).alias("ks_stat"),
-        F.first("tot_ref").alias("_n"), F.first("tot_cur").alias("_m"))
-    en = F.col("_n") * F.col("_m") / (F.col("_n") + F.col("_m"))
-    return d.select(*by, "column", "ks_stat",
-                    _kolmogorov_sf(F.col("ks_stat") * F.sqrt(en)).alias("ks_p_value"))
-
-
-def wasserstein_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """OP-91: integral |F - G| dx over the merged support, divided by
+def ordered_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """OP-88 + OP-91 in one aggregate over the cumulative shares: KS D and
+    its asymptotic p-value; Wasserstein-1 and its normalisation by
     max(population std of the reference, 0.001)."""
     gap = F.coalesce(F.col("next_num") - F.col("num"), F.lit(0.0))
-    w = shares.groupBy(*by, "column").agg(
+    d = shares.groupBy(*by, "column").agg(
+        F.max(F.abs(F.col("F") - F.col("G"))).alias("ks_stat"),
         F.sum(F.abs(F.col("F") - F.col("G")) * gap).alias("w1"),
         F.sum(F.col("n_ref") * F.col("num")).alias("_sx"),
         F.sum(F.col("n_ref") * F.col("num") * F.col("num")).alias("_sxx"),
-        F.first("tot_ref").alias("_n"))
+        F.first("tot_ref").alias("_n"), F.first("tot_cur").alias("_m"))
+    en = F.col("_n") * F.col("_m") / (F.col("_n") + F.col("_m"))
     mean = F.col("_sx") / F.col("_n")
     std = F.sqrt(F.greatest(F.col("_sxx") / F.col("_n") - mean * mean, F.lit(0.0)))
-    return w.select(*by, "column", "w1",
+    return d.select(*by, "column", "ks_stat",
+                    _kolmogorov_sf(F.col("ks_stat") * F.sqrt(en)).alias("ks_p_value"), "w1",
                     (F.col("w1") / F.greatest(std, F.lit(WASSERSTEIN_MIN_NORM)))
                     .alias("wasserstein_norm"))
 
 
+def ks_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """OP-88: D = max |F - G| and the asymptotic p-value."""
+    return ordered_stats(shares, by).select(*by, "column", "ks_stat", "ks_p_value")
+
+
+def wasserstein_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """OP-91: integral |F - G| dx over the merged support, normalised."""
+    return ordered_stats(shares, by).select(*by, "column", "w1", "wasserstein_norm")
+
+
 def _cat_shares(counts: DataFrame, by: Sequence[str]) -> DataFrame:
     tot = counts.groupBy(*by, "column").agg(F.sum("n_ref").alias("tot_ref"),
                                             F.sum("n_cur").alias("tot_cur"),
@@ -327,15 +323,13 @@ def drift_report_labeled(df: DataFrame, num_cols: Sequence[str], cat_cols: Seque
     # the pre-aggregated counts feed five statistics: materialise them once
     counts = materialize(value_counts(stack_labeled(df, num_cols, cat_cols, by, side_col), by))
     prof = select_tests(column_profile(counts, by), override)
-    shares = cumulative_shares(counts, by)
-    ks = ks_stats(shares, by)
-    ws = wasserstein_stats(shares, by)
+    ordered = ordered_stats(cumulative_shares(counts, by), by)
     js = js_stats(counts, by)
     ch = chi2_stats(counts, by)
     zz = z_stats(counts, by)
     keys = [*by, "column"]
     r = prof.select(*keys, "test", "tot_ref", "tot_cur", "n_unique")
-    for part in (ks, ws, js, ch, zz):
+    for part in (ordered, js, ch, zz):
         r = r.join(part, keys, "left")  # each side: one row per column
     t = F.col("test")
     stat = (F.when(t == "ks", F.col("ks_stat")).when(t == "z", F.col("z_stat"))

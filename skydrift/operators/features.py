@@ -24,7 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skydrift.functions.exprs import cyclic_cos, cyclic_sin, md5_bucket
-from skydrift.operators.positions import global_row_number, median_from_counts
+from skydrift.operators.positions import (
+    _median_expr, global_row_number, median_from_counts, running_totals)
 from skydrift.session import materialize
 
 LOW_CARD_STRATEGIES = ("onehot", "ordinal")
@@ -70,16 +71,17 @@ def value_counts_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def impute_statistics(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Per numeric column: exact median, mean and most frequent value, all
-    derived from one pass of per-value counts (materialised once, it feeds
-    three small jobs)."""
-    counts = materialize(value_counts_long(df, cols))
-    med = median_from_counts(counts.select("column", "nval", "cnt"), "nval", "cnt",
-                             ["column"], "median")
-    mean = counts.groupBy("column").agg(
-        (F.sum(F.col("nval") * F.col("cnt")) / F.sum("cnt")).alias("mean"))
-    mode = _modes_from_counts(counts).select("column", F.col("mode_num").alias("most_frequent"))
-    return med.join(mean, "column").join(mode, "column") \
-        .withColumnRenamed("column", "feature")
+    in one aggregate over the running totals of the per-value counts (one
+    grouped pass, one range pass)."""
+    counts = value_counts_long(df, cols).filter(F.col("nval").isNotNull())
+    run = running_totals(counts.select("column", "nval", "sval", "cnt"), ["column"], ["nval"],
+                         ["cnt"], prefix="_cum_", with_totals=True)
+    return run.groupBy("column").agg(
+        _median_expr("nval", "cnt").alias("median"),
+        (F.sum(F.col("nval") * F.col("cnt")) / F.sum("cnt")).alias("mean"),
+        F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("nval"))).alias("_m")) \
+        .select(F.col("column").alias("feature"), "median", "mean",
+                F.col("_m.nval").alias("most_frequent"))
 
 
 def _modes_from_counts(counts: DataFrame) -> DataFrame:

@@ -66,26 +66,37 @@ def with_total(df: DataFrame, out: str = "n_total") -> DataFrame:
 
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    values: Sequence[str], prefix: str = "cum_",
-                   partitions: int | None = None) -> DataFrame:
+                   partitions: int | None = None, with_next: bool = False,
+                   with_totals: bool = False) -> DataFrame:
     """Inclusive cumulative sums of ``values`` within each ``keys`` group,
     in ``order``. ``(keys, order)`` must be unique (pre-aggregate first).
 
     Range partitioning on ``keys + order`` splits even a hot group across
     many tasks; each task computes local cumulative sums over its sorted
     rows (Arrow batches, one pass), then adds the group's total from earlier
-    partitions. The offsets frame has at most ``partitions + groups`` rows."""
+    partitions. Optionally also the next order value within the group
+    (``next_<order>``) and the group totals (``tot_<value>``). The
+    per-partition statistics frame has at most ``partitions + groups`` rows,
+    the bound that makes its broadcast safe."""
     keys, order, values = list(keys), list(order), list(values)
+    if with_next and len(order) != 1:
+        raise ValueError("with_next needs a single order column")
     full = keys + order
     ranged = (df.repartitionByRange(_n_parts(df, partitions), *full)
                 .sortWithinPartitions(*full)
                 .withColumn("_pid", F.spark_partition_id()))
     ranged = materialize(ranged)  # one fixed layout for both branches below
-    out_fields = list(ranged.schema.fields) + [
-        T.StructField(f"_l_{v}", T.DoubleType(), True) for v in values]
+    in_fields = list(ranged.schema.fields)
+    out_fields = in_fields + [T.StructField(f"_l_{v}", T.DoubleType(), True) for v in values]
+    if with_next:
+        out_fields.append(T.StructField("_l_next", in_fields[
+            [f.name for f in in_fields].index(order[0])].dataType, True))
     out_schema = T.StructType(out_fields)
+    out_names = [f.name for f in out_fields]
 
-    def local_cumsum(batches):
-        carry: dict = {}  # (value column, group key) -> running total so far
+    def local_pass(batches):
+        carry: dict = {}          # (value column, group) -> running total so far
+        pending = None            # previous batch, waiting for its successor's first row
         for pdf in batches:
             if pdf.empty:
                 continue
@@ -105,20 +116,48 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                 last = pd.Series(tot).groupby(codes, sort=False).last()
                 for code, val in last.items():
                     carry[(v, ukeys[code])] = float(val)
-            yield pdf
-
-    local = ranged.mapInPandas(local_cumsum, out_schema)
-    part_tot = ranged.groupBy("_pid", *keys).agg(
-        *[F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values])
-    wk = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(
-        Window.unboundedPreceding, -1) if keys else \
-        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = part_tot.select("_pid", *keys, *[
-        F.coalesce(F.sum(f"_t_{v}").over(wk), F.lit(0.0)).alias(f"_o_{v}") for v in values])
+            if with_next:
+                same = pd.Series(codes).shift(-1).to_numpy() == codes
+                nxt = pdf[order[0]].shift(-1)
+                pdf["_l_next"] = nxt.where(same, None)
+                if pending is not None:
+                    # last row of the previous batch: next is this batch's first row
+                    pk = tuple(pending[k].iloc[-1] for k in keys)
+                    ck = tuple(pdf[k].iloc[0] for k in keys)
+                    if pk == ck:
+                        pending.iloc[-1, pending.columns.get_loc("_l_next")] = \
+                            pdf[order[0]].iloc[0]
+                    yield pending[out_names]
+                pending = pdf
+            else:
+                yield pdf[out_names]
+        if pending is not None:
+            yield pending[out_names]
+
+    local = ranged.mapInPandas(local_pass, out_schema)
+    aggs = [F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values]
+    if with_next:
+        aggs.append(F.min(order[0]).alias("_first"))
+    part = ranged.groupBy("_pid", *keys).agg(*aggs)
+    wk = Window.partitionBy(*keys).orderBy("_pid")
+    before = wk.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    stats = [F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0.0)).alias(f"_o_{v}")
+             for v in values]
+    if with_totals:
+        stats += [F.sum(f"_t_{v}").over(whole).alias(f"{'tot_'}{v}") for v in values]
+    if with_next:
+        stats.append(F.lead("_first").over(wk).alias("_nx_first"))
+    offsets = part.select("_pid", *keys, *stats)
     joined = local.join(F.broadcast(offsets), ["_pid", *keys], "left")
     res = joined.withColumns({f"{prefix}{v}": F.col(f"_l_{v}") + F.coalesce(
         F.col(f"_o_{v}"), F.lit(0.0)) for v in values})
-    return res.drop("_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values])
+    drop = ["_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]]
+    if with_next:
+        res = res.withColumn(f"next_{order[0]}", F.coalesce(F.col("_l_next"),
+                                                            F.col("_nx_first")))
+        drop += ["_l_next", "_nx_first"]
+    return res.drop(*drop)
 
 
 def exact_median(df: DataFrame, value: str, by: Sequence[str] = (),
@@ -139,16 +178,20 @@ def median_from_counts(counts: DataFrame, value: str, count: str, by: Sequence[s
     """Exact median from a ``(by..., value, count)`` frame (value unique per
     group)."""
     by = list(by)
-    run = running_totals(counts, by, [value], [count], prefix="_cum_", partitions=partitions)
-    n = counts.groupBy(*by).agg(F.sum(count).alias("_n"))
-    j = run.join(F.broadcast(n), by) if by else run.crossJoin(F.broadcast(n))
+    run = running_totals(counts, by, [value], [count], prefix="_cum_", partitions=partitions,
+                         with_totals=True)
+    return run.groupBy(*by).agg(_median_expr(value, count).alias(out)) if by else \
+        run.agg(_median_expr(value, count).alias(out))
+
+
+def _median_expr(value: str, count: str) -> Column:
+    """Average of the values covering positions floor((n-1)/2) and floor(n/2)
+    of a group, over running-total rows (``_cum_<count>``, ``tot_<count>``)."""
     cum = F.col(f"_cum_{count}")
+    n = F.col(f"tot_{count}")
     start = cum - F.col(count)
-    lo = F.floor((F.col("_n") - 1) / 2)
-    hi = F.floor(F.col("_n") / 2)
+    lo = F.floor((n - 1) / 2)
+    hi = F.floor(n / 2)
     covers_lo = (start <= lo) & (lo < cum)
     covers_hi = (start <= hi) & (hi < cum)
-    picked = j.filter(covers_lo | covers_hi)
-    agg = [((F.max(F.when(covers_lo, F.col(value))) + F.max(F.when(covers_hi, F.col(value))))
-            / 2.0).alias(out)]
-    return picked.groupBy(*by).agg(*agg) if by else picked.agg(*agg)
+    return (F.max(F.when(covers_lo, F.col(value))) + F.max(F.when(covers_hi, F.col(value)))) / 2.0
