@@ -94,7 +94,8 @@ def model_age_hours(runs: DataFrame, now_ts: str, start_col: str = "start_ts") -
 def prediction_counter(df: DataFrame, ts_col: str, unit: str = "hour") -> DataFrame:
     """Predictions per time bucket and the cumulative counter. The running
     sum is over the aggregated buckets (one row per bucket), not over rows."""
-    per = df.groupBy(F.date_trunc(unit, F.col(ts_col)).alias("bucket")) \
+    ts_type = dict((f.name, f.dataType) for f in df.schema.fields)[ts_col]
+    per = df.groupBy(F.date_trunc(unit, F.col(ts_col)).cast(ts_type).alias("bucket")) \
         .agg(F.count(F.lit(1)).alias("n"))
     w = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)
     return per.withColumn("cumulative", F.sum("n").over(w))

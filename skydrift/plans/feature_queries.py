@@ -68,7 +68,7 @@ def _oh_sql():
     for c, levels in _OH_LEVELS.items():
         for v in levels:
             lit = f"'{v}'" if isinstance(v, str) else str(v)
-            cols.append(f"case when {c} = {lit} then 1.0 else 0.0 end as {c}__{v}")
+            cols.append(f"case when {c} = {lit} then 1.0::double else 0.0::double end as {c}__{v}")
     return "select flight_uid, " + ", ".join(cols) + " from fx_stg"
 
 
@@ -104,7 +104,8 @@ def q_ordinal(spark, sf_dir):
 
 @query("ordinal_low_card", with_fx(["fx_stg"], """
 select flight_uid,
-       case dep_time_blk when 'F' then 0.0 when 'O' then 1.0 else -1.0 end as dep_time_blk__ord,
+       cast(case dep_time_blk when 'F' then 0 when 'O' then 1 else -1 end as double)
+         as dep_time_blk__ord,
        cast(day_of_week - 1 as double) as day_of_week__ord
 from fx_stg"""))
 def q_ordinal_low(spark, sf_dir):

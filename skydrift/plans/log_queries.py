@@ -319,7 +319,7 @@ def q_model_age(spark, sf_dir):
 @query("alarm_timeline", with_fx(["fx_predictions"], """
 select model, ts, kind, coalesce(last_value(a ignore nulls) over w, 0) as alarm,
        coalesce(last_value(r ignore nulls) over w, 0) as retrain,
-       sum(case when kind = 'drift' then 1 else 0 end) over w as episode
+       cast(sum(case when kind = 'drift' then 1 else 0 end) over w as bigint) as episode
 from (select *, case kind when 'drift' then 1 when 'promote' then 0 end as a,
                 case kind when 'drift' then 0 when 'promote' then 1 end as r,
                 case kind when 'drift' then 0 when 'promote' then 1 else 2 end as prio
@@ -338,10 +338,10 @@ def q_alarm_timeline(spark, sf_dir):
     """OP-109: alarm / retrain flags over an event stream derived from the
     daily metrics of both models (per-model window over the events)."""
     d = _daily(spark, sf_dir)
-    reg = d.select(F.lit("reg").alias("model"), F.col("day").cast("timestamp").alias("ts"),
+    reg = d.select(F.lit("reg").alias("model"), F.col("day").cast("timestamp_ntz").alias("ts"),
                    F.when(F.col("mae") > 43, "drift").when(F.col("mae") < 42, "promote")
                     .otherwise("batch").alias("kind"))
-    cls = d.select(F.lit("class").alias("model"), F.col("day").cast("timestamp").alias("ts"),
+    cls = d.select(F.lit("class").alias("model"), F.col("day").cast("timestamp_ntz").alias("ts"),
                    F.when(F.col("accuracy") < 0.49, "drift")
                     .when(F.col("accuracy") > 0.51, "promote").otherwise("batch").alias("kind"))
     return MON.alarm_timeline(reg.unionByName(cls)).select(

@@ -213,7 +213,7 @@ def q_rolling_std_window(spark, sf_dir):
 
 @query("top3_groups", with_fx(["fx_predictions"], """
 select marketing_airline_network, rate,
-       row_number() over (order by rate desc, marketing_airline_network) as rank
+       cast(row_number() over (order by rate desc, marketing_airline_network) as integer) as rank
 from (select marketing_airline_network, avg(prediction_class) as rate
       from fx_predictions group by 1 order by rate desc, marketing_airline_network limit 3) t"""))
 def q_top3(spark, sf_dir):
@@ -233,7 +233,7 @@ def q_top_origin(spark, sf_dir):
 
 @query("top_delayed_origin", with_fx(["fx_predictions"], """
 select origin_airport_id, rate,
-       row_number() over (order by rate desc, origin_airport_id) as rank
+       cast(row_number() over (order by rate desc, origin_airport_id) as integer) as rank
 from (select origin_airport_id, avg(true_class) as rate from fx_predictions
       group by 1 order by rate desc, origin_airport_id limit 1) t"""))
 def q_top_delayed_origin(spark, sf_dir):
@@ -243,8 +243,8 @@ def q_top_delayed_origin(spark, sf_dir):
 
 @query("prediction_histogram", with_fx(["fx_predictions"], """
 select marketing_airline_network, bucket, n,
-       sum(n) over (partition by marketing_airline_network order by bucket
-                    rows between unbounded preceding and current row) as le_count
+       cast(sum(n) over (partition by marketing_airline_network order by bucket
+                    rows between unbounded preceding and current row) as bigint) as le_count
 from (select marketing_airline_network,
              case when prediction_reg < 0 then 0
                   when prediction_reg >= 100 then 11
@@ -259,8 +259,8 @@ def q_histogram(spark, sf_dir):
 
 @query("prediction_counter", with_fx(["fx_predictions"], """
 select date_trunc('hour', ts) as bucket, count(*) as n,
-       sum(count(*)) over (order by date_trunc('hour', ts)
-                           rows between unbounded preceding and current row) as cumulative
+       cast(sum(count(*)) over (order by date_trunc('hour', ts)
+                           rows between unbounded preceding and current row) as bigint) as cumulative
 from fx_predictions group by 1"""))
 def q_counter(spark, sf_dir):
     """OP-101: predictions per hour and the cumulative counter."""
