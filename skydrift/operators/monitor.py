@@ -51,10 +51,35 @@ def rolling_std_last(df: DataFrame, value: str, ts_col: str, id_col: str,
 
 def rolling_std_window(df: DataFrame, value: str, partition: Sequence[str],
                        order: Sequence[str], n: int = 100) -> DataFrame:
-    """True rolling std over the trailing ``n`` rows *within a partition key*
-    (never an unpartitioned window over row-level data)."""
-    w = Window.partitionBy(*partition).orderBy(*order).rowsBetween(-(n - 1), 0)
-    return df.withColumn("rolling_std", F.stddev_samp(value).over(w))
+    """Rolling sample std over the trailing ``n`` rows within a key, in
+    ``order`` (a total order within the key).
+
+    Not a window: a key holding a third of all rows would be one task.
+    Instead, range-partitioned running totals give each row its position
+    and cumulative count / sum / sum of squares (values shifted by the key
+    mean for numerical stability); the frame's start is the row ``n``
+    positions earlier, fetched by an equi-join on (key, position)."""
+    from skydrift.operators.positions import running_totals
+    keys = list(partition)
+    mu = df.groupBy(*keys).agg(F.avg(value).alias("_mu"))
+    x = F.col(value) - F.col("_mu")
+    d = df.join(mu, keys).select(
+        *df.columns, F.lit(1.0).alias("_row"),
+        F.when(F.col(value).isNotNull(), 1.0).otherwise(0.0).alias("_one"),
+        F.coalesce(x, F.lit(0.0)).alias("_x"), F.coalesce(x * x, F.lit(0.0)).alias("_x2"))
+    run = running_totals(d, keys, list(order), ["_row", "_one", "_x", "_x2"])
+    run = run.withColumn("_pos", F.col("cum__row").cast("bigint") - 1)
+    prev = run.select(*[F.col(k).alias(f"_p_{k}") for k in keys],
+                      (F.col("_pos") + n).alias("_p_pos"), F.col("cum__one").alias("_p_one"),
+                      F.col("cum__x").alias("_p_x"), F.col("cum__x2").alias("_p_x2"))
+    cond = [F.col("_pos") == F.col("_p_pos")] + [F.col(k) == F.col(f"_p_{k}") for k in keys]
+    j = run.join(prev, cond, "left")
+    cnt = F.col("cum__one") - F.coalesce(F.col("_p_one"), F.lit(0.0))
+    sx = F.col("cum__x") - F.coalesce(F.col("_p_x"), F.lit(0.0))
+    sxx = F.col("cum__x2") - F.coalesce(F.col("_p_x2"), F.lit(0.0))
+    var = (sxx - sx * sx / cnt) / (cnt - 1)
+    std = F.when(cnt > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
+    return j.select(*df.columns, std.alias("rolling_std"))
 
 
 def top_groups(df: DataFrame, group: str, value: str, k: int = 3,

@@ -265,3 +265,26 @@ from fx_predictions group by 1"""))
 def q_counter(spark, sf_dir):
     """OP-101: predictions per hour and the cumulative counter."""
     return MON.prediction_counter(fx_predictions(spark, sf_dir), "ts", "hour")
+
+
+@query("metric_guards", with_fx(["fx_predictions"], """
+select cast(count(*) as bigint) as n,
+       coalesce(avg(abs(true_reg - prediction_reg)), 0.0) as mae,
+       coalesce(sqrt(avg((true_reg - prediction_reg) * (true_reg - prediction_reg))), 0.0) as rmse,
+       coalesce(avg(cast(true_class as double)), 0.0) as actual_rate,
+       coalesce(avg(cast(prediction_class as double)), 0.0) as predicted_rate,
+       coalesce(avg(prediction_class_proba), 0.0) as confidence_mean
+from fx_predictions where ts > (select max(ts) from fx_predictions)"""))
+def q_metric_guards(spark, sf_dir):
+    """OP-27/81: the batch after the newest prediction is empty; every metric
+    reports 0 instead of NULL/NaN."""
+    p = fx_predictions(spark, sf_dir)
+    newest = p.agg(F.max("ts").alias("_mx"))
+    batch = p.crossJoin(F.broadcast(newest)).filter(F.col("ts") > F.col("_mx"))
+    e = F.col("true_reg") - F.col("prediction_reg")
+    raw = batch.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
+                    F.sqrt(F.avg(e * e)).alias("rmse"),
+                    F.avg(F.col("true_class").cast("double")).alias("actual_rate"),
+                    F.avg(F.col("prediction_class").cast("double")).alias("predicted_rate"),
+                    F.avg("prediction_class_proba").alias("confidence_mean"))
+    return M.guarded(raw, ["mae", "rmse", "actual_rate", "predicted_rate", "confidence_mean"])

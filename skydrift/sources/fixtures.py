@@ -93,3 +93,40 @@ def fx_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     lb = read_table(spark, sf_dir, "labels")
     return lb.select("doc_id", F.col("quality").alias("true_class"),
                      F.col("toxic").alias("prediction_class"))
+
+
+def fx_raw_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem in the full 33-column raw flight layout (typed)."""
+    li = read_table(spark, sf_dir, "lineitem")
+    d = F.col("l_shipdate").cast("date")
+    arr = F.round(F.col("l_discount") * 1000) - 30
+    dep = arr - 5
+    return li.select(
+        F.year(d).alias("Year"), F.quarter(d).alias("Quarter"), F.month(d).alias("Month"),
+        F.dayofmonth(d).alias("DayofMonth"), (F.weekday(d) + 1).alias("DayOfWeek"),
+        d.alias("FlightDate"),
+        F.when(F.col("l_suppkey") != 13, F.concat(F.lit("S"), F.col("l_suppkey").cast("string")))
+         .alias("Origin"),
+        F.concat(F.lit("City"), (F.col("l_suppkey") % 10).cast("string")).alias("OriginCityName"),
+        F.lit("ST").alias("OriginState"), F.col("l_suppkey").cast("int").alias("OriginAirportID"),
+        F.concat(F.lit("P"), (F.col("l_partkey") % 50).cast("string")).alias("Dest"),
+        F.lit(None).cast("string").alias("DestCityName"), F.lit("DS").alias("DestState"),
+        (F.col("l_partkey") % 50).cast("int").alias("DestAirportID"),
+        F.floor("l_extendedprice").cast("int").alias("Distance"),
+        F.floor(F.col("l_extendedprice") / 10000).cast("int").alias("DistanceGroup"),
+        F.col("l_returnflag").alias("Marketing_Airline_Network"),
+        F.col("l_linestatus").alias("Operating_Airline"),
+        F.col("l_linenumber").alias("Flight_Number_Marketing_Airline"),
+        (F.col("l_orderkey") % 1000).cast("int").alias("Flight_Number_Operating_Airline"),
+        F.concat(F.lit("N"), F.col("l_partkey").cast("string")).alias("Tail_Number"),
+        ((F.col("l_partkey") % 24) * 100 + F.col("l_suppkey") % 60).cast("int").alias("CRSDepTime"),
+        (((F.col("l_partkey") + 3) % 24) * 100).cast("int").alias("CRSArrTime"),
+        F.floor("l_quantity").cast("int").alias("CRSElapsedTime"),
+        F.col("l_linestatus").alias("DepTimeBlk"),
+        arr.alias("ArrDelay"), F.greatest(arr, F.lit(0.0)).alias("ArrDelayMinutes"),
+        F.when(arr > 15, 1.0).otherwise(0.0).alias("ArrDel15"),
+        F.floor(arr / 15).cast("double").alias("ArrivalDelayGroups"),
+        dep.alias("DepDelay"), F.greatest(dep, F.lit(0.0)).alias("DepDelayMinutes"),
+        F.when(F.col("l_tax") < 0.005, F.lit(True))
+         .when(F.col("l_tax") < 0.075, F.lit(False)).alias("Cancelled"),
+        (F.col("l_quantity") == 50).alias("Diverted"))
