@@ -23,10 +23,10 @@ from skydrift.session import materialize
 _LOCAL_BITS = 33  # monotonically_increasing_id = (partition << 33) + row index
 
 
-def _n_parts(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+def _range(df: DataFrame, cols: list, n: int | None) -> DataFrame:
+    """Range partitioning on ``cols``. Without an explicit count AQE may
+    coalesce *adjacent* small ranges, which keeps the global order intact."""
+    return df.repartitionByRange(n, *cols) if n else df.repartitionByRange(*cols)
 
 
 def _sort_cols(order: Sequence[str | Column]) -> list[Column]:
@@ -42,7 +42,7 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     counts are at most one row per partition, so broadcasting their prefix
     offsets is bounded by the partition count."""
     cols = _sort_cols(order)
-    ranged = (df.repartitionByRange(_n_parts(df, partitions), *cols)
+    ranged = (_range(df, cols, partitions)
                 .sortWithinPartitions(*cols)
                 .withColumn("_rid", F.monotonically_increasing_id()))
     pid = F.shiftright(F.col("_rid"), _LOCAL_BITS)
@@ -82,7 +82,7 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     if with_next and len(order) != 1:
         raise ValueError("with_next needs a single order column")
     full = keys + order
-    ranged = (df.repartitionByRange(_n_parts(df, partitions), *full)
+    ranged = (_range(df, full, partitions)
                 .sortWithinPartitions(*full)
                 .withColumn("_pid", F.spark_partition_id()))
     ranged = materialize(ranged)  # one fixed layout for both branches below
