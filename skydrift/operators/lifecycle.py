@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,16 +24,19 @@ def table_has_rows(spark: SparkSession, path: str) -> bool:
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
                   partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> int:
-    """OP-05/07: one write, the row count observed during it (no second pass)."""
-    obs = Observation("write_count")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+    """OP-05/07: one write; the row count is read from the written parquet
+    footers (row-group metadata only, no pass over the data). A metric
+    ``Observation`` would avoid even that, but in this Spark version it leaves
+    a non-serialisable manager on the session that breaks later checkpoints."""
+    spark = df.sparkSession
+    before = int(spark.read.parquet(path).count()) if mode == "append" and \
+        table_has_rows(spark, path) else 0
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(obs.get.get("rows", 0))
+    return int(spark.read.parquet(path).count()) - before
 
 
 def load_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],

@@ -183,3 +183,44 @@ def test_small_reference_uses_tests(spark):
     assert rep["c"]["test"] == "chisquare"
     assert all(not r["drifted"] for r in rep.values())
     assert rep["a"]["p_value"] == pytest.approx(1.0)
+
+
+# ----------------------------------------------------------------- lifecycle
+def test_write_counted_and_load_once(spark):
+    from skydrift.operators import lifecycle as L
+    from skydrift.session import scratch_path
+    path = scratch_path(spark, "t")
+    df = spark.range(10).toDF("id")
+    assert L.write_counted(df, path) == 10
+    assert L.append(spark.range(3).toDF("id"), path) == 3
+    t, n = L.load_once(spark, path, lambda: spark.range(99).toDF("id"))
+    assert n is None and t.count() == 13
+    fresh = scratch_path(spark, "u")
+    t, n = L.load_once(spark, fresh, lambda: spark.range(4).toDF("id"))
+    assert n == 4
+
+
+def test_promotion_is_strict(spark):
+    from skydrift.operators.lifecycle import promotion_decisions
+    runs = spark.createDataFrame([(1, 5.0), (2, 5.0), (3, 4.0), (4, 4.5)], "t int, rmse double")
+    got = [r["promoted"] for r in promotion_decisions(runs, "rmse", ["t"]).orderBy("t").collect()]
+    assert got == [True, False, True, False]
+
+
+def test_score_selection_and_model_factory():
+    from skydrift.operators.metrics import select_score
+    from skydrift.operators.models import create_model
+    assert select_score({"rmse": 2.0, "mae": 1.0}, {"promotion_metric": "mae"}, "rmse") == \
+        ("mae", 1.0)
+    assert select_score({"rmse": 2.0}, {}, "rmse") == ("rmse", 2.0)
+    with pytest.raises(ValueError):
+        select_score({"rmse": 2.0}, {"tuning_metric": "nope"}, "rmse")
+    with pytest.raises(ValueError):
+        create_model("GradientBoostedTrees", {}, "y")
+
+
+def test_empty_batch_metrics_are_zero(spark):
+    empty = spark.createDataFrame([], "y double, p double")
+    r = M.guarded(M.regression_metrics(empty, "y", "p", with_median=False),
+                  ["mae", "mse", "rmse", "r2", "residual_skewness"]).first()
+    assert r["n"] == 0 and r["mae"] == 0.0 and r["rmse"] == 0.0 and r["r2"] == 0.0
