@@ -32,7 +32,7 @@ LOW_CARD_STRATEGIES = ("onehot", "ordinal")
 HIGH_CARD_STRATEGIES = ("target", "ordinal", "frequency")
 NUM_IMPUTE = ("median", "mean", "most_frequent")
 # category tables up to this many rows are broadcast; larger ones shuffle
-BROADCAST_CATEGORIES = 2_000_000
+BROADCAST_CATEGORIES = 1_000_000  # ~60 MB of (key, value) rows
 # a "low-cardinality" column with more categories than this is rejected
 MAX_ONEHOT = 1_000
 NULL_KEY = "\u0000null"  # sentinel for a NULL category in keyed lookups
@@ -162,12 +162,6 @@ def ordinal_table(train: DataFrame, col: str, rows: int | None = None) -> Catego
     return CategoryTable(col, t, rows if rows is not None else distinct.count(), -1.0)
 
 
-def _target_stats(df: DataFrame, col: str, y: str, extra: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*extra, _key(col).alias("_k")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.col(y).cast("double")).alias("sy"),
-        F.sum(F.col(y).cast("double") * F.col(y).cast("double")).alias("syy"))
-
-
 def _shrunk(n, sy, syy, gm, gv) -> Column:
     """Empirical-Bayes shrinkage to the global mean ``gm`` with global
     population variance ``gv``: lambda = gv*n / (gv*n + var_cat)."""
@@ -178,28 +172,55 @@ def _shrunk(n, sy, syy, gm, gv) -> Column:
         .otherwise(gm)
 
 
-def target_table(train: DataFrame, col: str, y: str, rows: int | None = None,
-                 global_mean: float | None = None) -> CategoryTable:
+def target_sums(train: DataFrame, cols: Sequence[str], y: str,
+                fold: str | None = None) -> DataFrame:
+    """``(column, [fold,] _k, n, sy, syy)`` for every listed column: one
+    grouped pass over the stacked columns (combined map-side). Every
+    target-encoding table -- full or cross-fitted, for every column -- and
+    the per-fold global statistics derive from this small frame."""
+    extra = [fold] if fold else []
+    yv = F.col(y).cast("double")
+    long = stack_long(train.withColumn("_y", yv), cols, extra=[*extra, "_y"])
+    return long.groupBy("column", *extra, F.coalesce(F.col("sval"), F.lit(NULL_KEY))
+                        .alias("_k")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("_y").alias("sy"),
+        F.sum(F.col("_y") * F.col("_y")).alias("syy"))
+
+
+def _global(stats: DataFrame) -> DataFrame:
+    """Mean and population variance from (n, sy, syy) rows."""
+    g = stats.agg(F.sum("n").alias("_gn"), F.sum("sy").alias("_gsy"), F.sum("syy").alias("_gsyy"))
+    mean = F.col("_gsy") / F.col("_gn")
+    return g.select(mean.alias("gm"), (F.col("_gsyy") / F.col("_gn") - mean * mean).alias("gv"))
+
+
+def target_table(sums: DataFrame, col: str, rows: int, global_mean: float,
+                 fold: str | None = None) -> CategoryTable:
     """Full-fit target encoding (used for data not seen in training)."""
-    g = train.agg(F.avg(F.col(y).cast("double")).alias("gm"),
-                  F.var_pop(F.col(y).cast("double")).alias("gv"))
-    s = _target_stats(train, col, y).crossJoin(F.broadcast(g))
-    t = s.select("_k", _shrunk(F.col("n"), F.col("sy"), F.col("syy"), F.col("gm"),
-                               F.col("gv")).alias("value"))
-    gm = global_mean if global_mean is not None else g.first()["gm"]
-    return CategoryTable(col, t, rows if rows is not None else t.count(), gm)
+    s = sums.filter(F.col("column") == col)
+    per_k = s.groupBy("_k").agg(F.sum("n").alias("n"), F.sum("sy").alias("sy"),
+                                F.sum("syy").alias("syy")) if fold else \
+        s.select("_k", "n", "sy", "syy")
+    t = per_k.crossJoin(F.broadcast(_global(per_k))).select(
+        "_k", _shrunk(F.col("n"), F.col("sy"), F.col("syy"), F.col("gm"), F.col("gv"))
+        .alias("value"))
+    return CategoryTable(col, t, rows, global_mean)
 
 
-def target_table_crossfit(train: DataFrame, col: str, y: str, fold: str,
-                          rows: int | None = None) -> CategoryTable:
+def _fold_totals(sums: DataFrame, col: str, fold: str) -> DataFrame:
+    """Per-fold (n, sy, syy): each row appears once per column, so one
+    column's sums give the fold totals."""
+    return sums.filter(F.col("column") == col).groupBy(fold).agg(
+        F.sum("n").alias("fn"), F.sum("sy").alias("fsy"), F.sum("syy").alias("fsyy"))
+
+
+def target_table_crossfit(sums: DataFrame, col: str, fold: str, rows: int) -> CategoryTable:
     """Out-of-fold encodings: per (fold, category) sums subtracted from the
     category totals; the global mean/variance are out-of-fold too."""
-    per = _target_stats(train, col, y, [fold])
+    per = sums.filter(F.col("column") == col).select(fold, "_k", "n", "sy", "syy")
     tot = per.groupBy("_k").agg(F.sum("n").alias("tn"), F.sum("sy").alias("tsy"),
                                 F.sum("syy").alias("tsyy"))
-    folds = train.groupBy(fold).agg(F.count(F.lit(1)).alias("fn"),
-                                    F.sum(F.col(y).cast("double")).alias("fsy"),
-                                    F.sum(F.col(y).cast("double") ** 2).alias("fsyy"))
+    folds = _fold_totals(sums, col, fold)
     allg = folds.agg(F.sum("fn").alias("an"), F.sum("fsy").alias("asy"),
                      F.sum("fsyy").alias("asyy"))
     gfold = folds.crossJoin(F.broadcast(allg)).select(
@@ -213,7 +234,7 @@ def target_table_crossfit(train: DataFrame, col: str, y: str, fold: str,
     n = F.col("tn") - F.col("n")
     t = j.select(fold, "_k", _shrunk(n, F.col("tsy") - F.col("sy"), F.col("tsyy") - F.col("syy"),
                                       F.col("gm"), F.col("gv")).alias("value"))
-    return CategoryTable(col, t, rows if rows is not None else t.count(), F.col("_fold_gm"))
+    return CategoryTable(col, t, rows, F.col("_fold_gm"))
 
 
 @dataclass
@@ -328,38 +349,39 @@ class Preprocessor:
             [self.target] if self.target else []) + ([self.fold_key] if self.fold_key else [])))
         train = materialize(train.select(*needed))
         cat_fill = {}
+        rows: dict = {}
+        vc = None
         if cat_cols:
-            for r in category_modes(train, cat_cols).collect():  # one row per column
+            # one grouped pass: per-value counts of every categorical column
+            # (materialised; it is small) -> modes, category counts, levels
+            vc = materialize(value_counts_long(train, cat_cols))
+            best = vc.groupBy("column").agg(
+                F.min(F.struct((-F.col("cnt")).alias("neg"), F.col("nval"), F.col("sval")))
+                .alias("_b"), F.count(F.lit(1)).alias("k"))
+            for r in best.collect():  # one row per column
                 c = r["column"]
-                cat_fill[c] = r["mode_num"] if _is_numeric(types[c]) else r["mode"]
+                cat_fill[c] = r["_b"]["nval"] if _is_numeric(types[c]) else r["_b"]["sval"]
+                rows[c] = r["k"]
         num_fill = numeric_impute_values(train, num_cols, self.impute_num)
         imputed = train.withColumns(_impute_exprs(train, {**num_fill, **cat_fill}, num_cols))
         fitted = FittedPreprocessor(self, num_fill, cat_fill)
-        # one job: distinct levels of the low-card columns (bounded by
-        # MAX_ONEHOT each) and category counts of the high-card columns
-        if cat_cols:
-            long = stack_long(imputed, cat_cols).filter(F.col("sval").isNotNull()) \
-                .select("column", "sval", "nval").distinct()
-            counts = long.groupBy("column").agg(F.count(F.lit(1)).alias("k"))
-            low = long.filter(F.col("column").isin(list(self.low_card_cols)) if
-                              self.low_card_cols else F.lit(False))
-            rows = {r["column"]: r["k"] for r in counts.collect()}
-            for c in self.low_card_cols:
-                if rows.get(c, 0) > MAX_ONEHOT:
-                    raise ValueError(f"{c} has more than {MAX_ONEHOT} levels; use high_card")
+        # imputation maps NULL to an existing value, so the distinct levels
+        # of the raw counts are the levels after imputation
+        for c in self.low_card_cols:
+            if rows.get(c, 0) > MAX_ONEHOT:
+                raise ValueError(f"{c} has more than {MAX_ONEHOT} levels; use high_card")
+        if self.low_card_cols and vc is not None:
             levels: dict = {c: [] for c in self.low_card_cols}
-            if self.low_card_cols:
-                for r in low.orderBy("column", "nval", "sval").collect():
-                    c = r["column"]
-                    levels[c].append(r["nval"] if _is_numeric(types[c]) else r["sval"])
+            low = vc.filter(F.col("column").isin(list(self.low_card_cols)))
+            for r in low.orderBy("column", "nval", "sval").collect():  # bounded levels
+                c = r["column"]
+                levels[c].append(r["nval"] if _is_numeric(types[c]) else r["sval"])
             for c in self.low_card_cols:
                 lv = levels[c]
                 if _is_numeric(types[c]) and not isinstance(types[c], (T.FloatType,
                                                                        T.DoubleType)):
                     lv = [int(v) for v in lv]
                 fitted.onehot_levels[c] = lv
-        else:
-            rows = {}
         # one aggregate: global target mean and every scaler statistic
         exprs = []
         if self.target and self.high_card_strategy == "target" and self.high_card_cols:
@@ -371,6 +393,15 @@ class Preprocessor:
         for c in list(self.numeric_cols) + list(self.skewed_numeric_cols):
             std = row[f"{c}__s"]
             fitted.scale[c] = (row[f"{c}__m"], std if std else 1.0)
+        sums = None
+        if self.high_card_strategy == "target" and self.high_card_cols:
+            if not self.target:
+                raise ValueError("target encoding needs a target column")
+            fold = self.fold_col if self.fold_key else None
+            fr = imputed.withColumn(self.fold_col, md5_bucket(self.fold_key, self.folds)) \
+                if fold else imputed
+            # all columns, all folds: one grouped pass, materialised (small)
+            sums = materialize(target_sums(fr, self.high_card_cols, self.target, fold))
         for c in self.high_card_cols:
             n = rows.get(c, 0) + 1  # + a possible NULL key
             if self.high_card_strategy == "frequency":
@@ -378,22 +409,20 @@ class Preprocessor:
             elif self.high_card_strategy == "ordinal":
                 fitted.tables[c] = ordinal_table(imputed, c, n)
             else:
-                if not self.target:
-                    raise ValueError("target encoding needs a target column")
-                fitted.tables[c] = target_table(imputed, c, self.target, n, row["__gm"])
+                fitted.tables[c] = target_table(sums, c, n, row["__gm"],
+                                                self.fold_col if self.fold_key else None)
                 if self.fold_key:
-                    fr = imputed.withColumn(self.fold_col, md5_bucket(self.fold_key, self.folds))
                     fitted.crossfit_tables[c] = target_table_crossfit(
-                        fr, c, self.target, self.fold_col, n * self.folds)
-                    fitted.fold_means = _fold_means(fr, self.target, self.fold_col)
+                        sums, c, self.fold_col, n * self.folds)
+                    fitted.fold_means = _fold_means(sums, self.high_card_cols[0],
+                                                    self.fold_col)
         return fitted
 
 
-def _fold_means(fr: DataFrame, y: str, fold: str) -> DataFrame:
+def _fold_means(sums: DataFrame, col: str, fold: str) -> DataFrame:
     """Out-of-fold global mean per fold (the default for a category unseen
     outside the row's own fold)."""
-    f = fr.groupBy(fold).agg(F.count(F.lit(1)).alias("fn"),
-                             F.sum(F.col(y).cast("double")).alias("fsy"))
+    f = _fold_totals(sums, col, fold)
     a = f.agg(F.sum("fn").alias("an"), F.sum("fsy").alias("asy"))
     return f.crossJoin(F.broadcast(a)).select(
         fold, ((F.col("asy") - F.col("fsy")) / (F.col("an") - F.col("fn"))).alias("_fold_gm"))
