@@ -14,7 +14,13 @@ def table_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
+    """Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    The tables hold naive (``TIMESTAMP_NTZ``) times; the session time zone is
+    pinned to UTC so that casts to instants (watermarks, windows, epoch
+    seconds) keep the wall-clock values on any machine."""
+    if spark.conf.get("spark.sql.session.timeZone", "UTC") != "UTC":
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark.read.parquet(table_path(sf_dir, name))
 
 
