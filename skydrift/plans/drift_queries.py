@@ -315,3 +315,10 @@ def q_boosted(spark, sf_dir):
     """OP-25: numerics x10 and strings prefixed on the current side only."""
     ref, cur = _sides(spark, sf_dir)
     return D.drift_score(D.drift_report(ref, D.boost(cur, NUM, CAT), NUM, CAT))
+
+
+@query("drift_target_month", with_fx(["fx_predictions"], """
+select cast(coalesce(month(max(ts)), 1) as integer) as month from fx_predictions"""))
+def q_target_month(spark, sf_dir):
+    """OP-86: month of the newest prediction (1 when the log is empty)."""
+    return D.target_month(fx_predictions(spark, sf_dir), "ts")
