@@ -322,6 +322,27 @@ def drift_report_labeled(df: DataFrame, num_cols: Sequence[str], cat_cols: Seque
     by = list(by)
     # the pre-aggregated counts feed five statistics: materialise them once
     counts = materialize(value_counts(stack_labeled(df, num_cols, cat_cols, by, side_col), by))
+    return report_from_counts(counts, by, override)
+
+
+def side_counts(df: DataFrame, side: str, num_cols: Sequence[str], cat_cols: Sequence[str],
+                by: Sequence[str] = ()) -> DataFrame:
+    """Per-value counts of one side only (e.g. the reference, computed once
+    and reused for every current batch)."""
+    lab = df.withColumn(SIDE, F.lit(side))
+    return value_counts(stack_labeled(lab, num_cols, cat_cols, list(by)), list(by))
+
+
+def merge_counts(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Add two per-value count frames (reference + current)."""
+    return a.unionByName(b).groupBy(*by, "column", "is_num", "num", "cat").agg(
+        F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
+
+
+def report_from_counts(counts: DataFrame, by: Sequence[str] = (),
+                       override: dict | None = None) -> DataFrame:
+    """The drift report from per-value counts of both sides."""
+    by = list(by)
     prof = select_tests(column_profile(counts, by), override)
     ordered = ordered_stats(cumulative_shares(counts, by), by)
     js = js_stats(counts, by)

@@ -224,3 +224,15 @@ def test_empty_batch_metrics_are_zero(spark):
     r = M.guarded(M.regression_metrics(empty, "y", "p", with_median=False),
                   ["mae", "mse", "rmse", "r2", "residual_skewness"]).first()
     assert r["n"] == 0 and r["mae"] == 0.0 and r["rmse"] == 0.0 and r["r2"] == 0.0
+
+
+def test_cached_reference_counts_equal_direct_report(spark):
+    ref = _frame(spark)
+    cur = D.boost(_frame(spark).filter("a < 50"), ["a"], [])
+    direct = {r["column"]: r["statistic"] for r in D.drift_report(ref, cur, ["a"], ["c"]).collect()}
+    counts = D.merge_counts(D.side_counts(ref, "reference", ["a"], ["c"]),
+                            D.side_counts(cur, "current", ["a"], ["c"]))
+    via = {r["column"]: r["statistic"] for r in D.report_from_counts(counts).collect()}
+    assert direct.keys() == via.keys()
+    for k in direct:
+        assert direct[k] == pytest.approx(via[k])
