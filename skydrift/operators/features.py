@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from skydrift.functions.exprs import cyclic_cos, cyclic_sin, md5_bucket
+from skydrift.functions.frames import with_scalars
 from skydrift.operators.positions import (
     _median_expr, global_row_number, median_from_counts, running_totals)
 from skydrift.session import materialize
@@ -146,9 +147,9 @@ class CategoryTable:
 
 def frequency_table(train: DataFrame, col: str, rows: int | None = None) -> CategoryTable:
     """value -> share of training rows; unseen -> 0.0 (NULL has its own key)."""
-    total = train.agg(F.count(F.lit(1)).alias("_n"))
+    total = train.agg(F.count(F.lit(1))).scalar()
     freq = train.groupBy(_key(col).alias("_k")).agg(F.count(F.lit(1)).alias("_c")) \
-        .crossJoin(F.broadcast(total)).select("_k", (F.col("_c") / F.col("_n")).alias("value"))
+        .select("_k", (F.col("_c") / total).alias("value"))
     return CategoryTable(col, freq, rows if rows is not None else freq.count(), 0.0)
 
 
@@ -201,7 +202,7 @@ def target_table(sums: DataFrame, col: str, rows: int, global_mean: float,
     per_k = s.groupBy("_k").agg(F.sum("n").alias("n"), F.sum("sy").alias("sy"),
                                 F.sum("syy").alias("syy")) if fold else \
         s.select("_k", "n", "sy", "syy")
-    t = per_k.crossJoin(F.broadcast(_global(per_k))).select(
+    t = with_scalars(per_k, _global(per_k)).select(
         "_k", _shrunk(F.col("n"), F.col("sy"), F.col("syy"), F.col("gm"), F.col("gv"))
         .alias("value"))
     return CategoryTable(col, t, rows, global_mean)
@@ -223,7 +224,7 @@ def target_table_crossfit(sums: DataFrame, col: str, fold: str, rows: int) -> Ca
     folds = _fold_totals(sums, col, fold)
     allg = folds.agg(F.sum("fn").alias("an"), F.sum("fsy").alias("asy"),
                      F.sum("fsyy").alias("asyy"))
-    gfold = folds.crossJoin(F.broadcast(allg)).select(
+    gfold = with_scalars(folds, allg).select(
         fold, (F.col("an") - F.col("fn")).alias("on"), (F.col("asy") - F.col("fsy")).alias("osy"),
         (F.col("asyy") - F.col("fsyy")).alias("osyy"))
     gfold = gfold.select(fold, (F.col("osy") / F.col("on")).alias("gm"),
@@ -424,7 +425,7 @@ def _fold_means(sums: DataFrame, col: str, fold: str) -> DataFrame:
     outside the row's own fold)."""
     f = _fold_totals(sums, col, fold)
     a = f.agg(F.sum("fn").alias("an"), F.sum("fsy").alias("asy"))
-    return f.crossJoin(F.broadcast(a)).select(
+    return with_scalars(f, a).select(
         fold, ((F.col("asy") - F.col("fsy")) / (F.col("an") - F.col("fn"))).alias("_fold_gm"))
 
 
@@ -432,7 +433,7 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weights ``N / (K * N_class)`` from one grouped count."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
     tot = per.agg(F.sum("n_class").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    return per.crossJoin(F.broadcast(tot)).select(
+    return with_scalars(per, tot).select(
         label, "n_class", (F.col("_n") / (F.col("_k") * F.col("n_class"))).alias("weight"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skydrift.functions.exprs import clean_metric, safe_ratio
+from skydrift.functions.frames import with_scalars
 from skydrift.operators.positions import exact_median, running_totals
 
 
@@ -39,7 +40,7 @@ def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
         "residual_skewness")
     if with_median:
         med = exact_median(df.select(*by, F.abs(e).alias("_ae")), "_ae", by, "medae")
-        res = res.join(med, list(by), "left") if by else res.crossJoin(med)
+        res = res.join(med, list(by), "left") if by else with_scalars(res, med)
     return res
 
 
@@ -127,7 +128,7 @@ def regression_as_classifier(df: DataFrame, y_cls: str, p_reg: str, threshold: f
     d = df.withColumn("_pbin", (F.col(p_reg) > F.lit(threshold)).cast("int"))
     cls = classification_metrics(d, y_cls, "_pbin", by, guard=False)
     auc = roc_auc(d, y_cls, p_reg, by)
-    return cls.join(auc, list(by)) if by else cls.crossJoin(auc)
+    return cls.join(auc, list(by)) if by else with_scalars(cls, auc)
 
 
 # Metric names that are minimised when no mode is given.

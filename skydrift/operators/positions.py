@@ -58,12 +58,6 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
                   .drop("_rid", "_pid", "_local", "_off"))
 
 
-def with_total(df: DataFrame, out: str = "n_total") -> DataFrame:
-    """Attach the row count as a column via a one-row broadcast side."""
-    total = df.agg(F.count(F.lit(1)).alias(out))
-    return df.crossJoin(F.broadcast(total))
-
-
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    values: Sequence[str], prefix: str = "cum_",
                    partitions: int | None = None, with_next: bool = False,

@@ -85,16 +85,14 @@ def semi_join_keys(base: DataFrame, keys: DataFrame, key: str,
 def equalise(reference: DataFrame, current: DataFrame, key: str,
              seeds: tuple[int, int] = (42, 24)) -> tuple[DataFrame, DataFrame]:
     """Downsample both sides to ``min(|ref|, |cur|)`` rows in seeded order.
-    The size is a one-row aggregate (broadcast, bound = 1 row); positions
+    The size is a scalar subquery (one value); positions
     are exact, so no row cap is computed on the driver."""
-    n = (reference.agg(F.count(F.lit(1)).alias("_a"))
-         .crossJoin(current.agg(F.count(F.lit(1)).alias("_b")))
-         .select(F.least("_a", "_b").alias("_keep")))
+    keep = F.least(reference.agg(F.count(F.lit(1))).scalar(),
+                   current.agg(F.count(F.lit(1))).scalar())
 
     def cut(df, seed):
         pos = global_row_number(df, [seeded_order_key(key, seed), F.col(key)], "_pos")
-        return pos.crossJoin(F.broadcast(n)).filter(F.col("_pos") < F.col("_keep")) \
-            .drop("_pos", "_keep")
+        return pos.filter(F.col("_pos") < keep).drop("_pos")
     return cut(reference, seeds[0]), cut(current, seeds[1])
 
 

@@ -65,5 +65,4 @@ def random_search(spark: SparkSession, train: DataFrame, val: DataFrame, model_t
     trials = spark.createDataFrame(rows, schema)  # n_trials rows of metadata
     pick = F.min_by if direction == "minimize" else F.max_by
     best = trials.agg(pick("trial", F.struct(F.col("score"), F.col("trial"))).alias("_best"))
-    return trials.crossJoin(best).withColumn("is_best", F.col("trial") == F.col("_best")) \
-        .drop("_best")
+    return trials.withColumn("is_best", F.col("trial") == best.scalar())

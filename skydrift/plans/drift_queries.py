@@ -7,6 +7,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from skydrift.functions.frames import with_scalars
 from skydrift.operators import drift as D
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import query
@@ -298,7 +299,7 @@ def q_alarm(spark, sf_dir):
     ref, cur = _sides(spark, sf_dir)
     keep_num, keep_cat = D.near_constant_filter(cur, NUM, CAT)
     score = D.with_alarm(D.drift_score(D.drift_report(ref, cur, keep_num, keep_cat)))
-    return score.crossJoin(D.target_month(fx_predictions(spark, sf_dir), "ts"))
+    return with_scalars(score, D.target_month(fx_predictions(spark, sf_dir), "ts"))
 
 
 @query("drift_boosted", _sql("""select count(*) as n_columns,

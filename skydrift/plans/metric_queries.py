@@ -279,8 +279,7 @@ def q_metric_guards(spark, sf_dir):
     """OP-27/81: the batch after the newest prediction is empty; every metric
     reports 0 instead of NULL/NaN."""
     p = fx_predictions(spark, sf_dir)
-    newest = p.agg(F.max("ts").alias("_mx"))
-    batch = p.crossJoin(F.broadcast(newest)).filter(F.col("ts") > F.col("_mx"))
+    batch = p.filter(F.col("ts") > p.agg(F.max("ts")).scalar())
     e = F.col("true_reg") - F.col("prediction_reg")
     raw = batch.agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"),
                     F.sqrt(F.avg(e * e)).alias("rmse"),
