@@ -49,3 +49,28 @@ def test_stream_equals_batch(spark):
     got = sorted((r["event_type"], r["n"]) for r in s.collect())
     want = sorted((r["event_type"], r["count"]) for r in b.collect())
     assert got == want
+
+
+def test_stream_scoring_equals_batch_scoring(spark):
+    from pyspark.sql import functions as F
+    from skydrift.operators.models import REG_PARAMS, fit_model
+    from skydrift.operators.split import chrono_split
+    from skydrift.sources.fixtures import calendar_and_targets, fx_raw_from
+    from skydrift.sources.tables import read_table
+    from skydrift.streaming import jobs as S
+    train, _, _ = chrono_split(fx_stg(spark, SMALL), ["flight_date", "flight_uid"])
+    reg = fit_model(train, "RandomForestRegressor", REG_PARAMS, "arr_delay_minutes")
+
+    def prep(li):
+        raw = fx_raw_from(li)
+        return calendar_and_targets(raw.filter((F.col("cancelled") == F.lit(False))
+                                               & F.col("origin_airport_id").isNotNull()
+                                               & (F.col("distance") > 0)))
+    schema = read_table(spark, SMALL, "lineitem").schema
+    stream = prep(S.file_stream(spark, SMALL, "lineitem", schema))
+    sink = S.run_available(reg.predict(stream).select("flight_uid", "prediction_reg"), "eq")
+    got = sorted((r[0], round(r[1], 9)) for r in spark.read.parquet(sink).collect())
+    batch = reg.predict(prep(read_table(spark, SMALL, "lineitem")))
+    want = sorted((r[0], round(r[1], 9)) for r in batch.select("flight_uid", "prediction_reg")
+                  .collect())
+    assert got == want
