@@ -292,13 +292,34 @@ def q_score_by_month(spark, sf_dir):
         "month", "n_columns", "n_drifted", "drift_score", "alarm", "baseline", "above_baseline")
 
 
-@query("drift_alarm")
+_ALARM_SPREAD = """, spread AS (
+  select feature, std from (""" + " union all ".join(
+    f"select '{c}' as feature, stddev_samp(cast({c} as double)) as std from fx_stg "
+    f"where flight_date >= date '{SPLIT}'" for c in NUM) + """) s),
+kept AS (select r.* from report r left join spread s using (feature)
+         where s.std is null or s.std > 0.01)"""
+
+
+def _alarm_sql():
+    ctes = drift_ctes(NUM, CAT) + _ALARM_SPREAD
+    return with_fx(["fx_stg"], """
+select count(*) as n_columns, cast(sum(case when drifted then 1 else 0 end) as bigint) as n_drifted,
+       avg(case when drifted then 1.0 else 0.0 end) as drift_score,
+       avg(case when drifted then 1.0 else 0.0 end) > 0.5 as alarm,
+       (select cast(coalesce(month(max(ts)), 1) as integer) from events) as month
+from kept""", ctes)
+
+
+@query("drift_alarm", _alarm_sql())
 def q_alarm(spark, sf_dir):
-    """OP-83/84/86: whole-period drift score, alarm flag and the target
-    month taken from the latest prediction timestamp (rows-only)."""
-    ref, cur = _sides(spark, sf_dir)
-    keep_num, keep_cat = D.near_constant_filter(cur, NUM, CAT)
-    score = D.with_alarm(D.drift_score(D.drift_report(ref, cur, keep_num, keep_cat)))
+    """OP-22/83/84/86: near-constant columns removed (current std <= 0.01),
+    whole-period drift score, alarm flag and the target month taken from the
+    latest prediction timestamp. One labelled scan, materialised once."""
+    from skydrift.session import materialize
+    lab = materialize(_labeled(spark, sf_dir))
+    keep_num, keep_cat = D.near_constant_filter(lab.filter(F.col(D.SIDE) == "current"),
+                                                NUM, CAT)
+    score = D.with_alarm(D.drift_score(D.drift_report_labeled(lab, keep_num, keep_cat)))
     return with_scalars(score, D.target_month(fx_predictions(spark, sf_dir), "ts"))
 
 
