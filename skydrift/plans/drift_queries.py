@@ -63,19 +63,22 @@ def _nsf(z: str) -> str:
 
 
 def drift_ctes(num, cat, by_sql: str = "", ref_where: str = f"flight_date < date '{SPLIT}'",
-               cur_where: str = f"flight_date >= date '{SPLIT}'") -> str:
+               cur_where: str = f"flight_date >= date '{SPLIT}'", boost: bool = False) -> str:
     """CTEs ``counts prof sel sh ks_final ws_final js ch_final z_final report``."""
     b = f"{by_sql} as grp, " if by_sql else ""
     g = "grp, " if by_sql else ""
     parts = []
     for side, where in (("reference", ref_where), ("current", cur_where)):
+        boosted = boost and side == "current"
         for c in num:
+            v = f"{c} * 10" if boosted else c
             parts.append(f"select {b}'{c}' as feature, true as is_num, '{side}' as side, "
-                         f"cast({c} as double) as num, cast(null as varchar) as cat "
+                         f"cast({v} as double) as num, cast(null as varchar) as cat "
                          f"from fx_stg where {where}")
         for c in cat:
+            v = f"'DRIFTED_' || cast({c} as varchar)" if boosted else f"cast({c} as varchar)"
             parts.append(f"select {b}'{c}' as feature, false as is_num, '{side}' as side, "
-                         f"cast(null as double) as num, cast({c} as varchar) as cat "
+                         f"cast(null as double) as num, {v} as cat "
                          f"from fx_stg where {where}")
     long = "\nunion all\n".join(parts)
     pi2 = math.sqrt(2 * math.pi)
@@ -332,7 +335,10 @@ def q_boosted_baseline(spark, sf_dir):
         .select("n_columns", "drift_score")
 
 
-@query("drift_boosted_current")
+@query("drift_boosted_current", with_fx(["fx_stg"], """select count(*) as n_columns,
+  cast(sum(case when drifted then 1 else 0 end) as bigint) as n_drifted,
+  avg(case when drifted then 1.0 else 0.0 end) as drift_score from report""",
+    drift_ctes(NUM, CAT, boost=True)))
 def q_boosted(spark, sf_dir):
     """OP-25: numerics x10 and strings prefixed on the current side only."""
     ref, cur = _sides(spark, sf_dir)
