@@ -255,10 +255,17 @@ def q_lookup(spark, sf_dir):
     return out.select("flight_uid", F.col("origin_nation").cast("int").alias("origin_nation"))
 
 
-@query("feature_assembly")
+@query("feature_assembly", with_fx(["fx_stg"], """
+select flight_uid,
+       cast((select count(distinct year) + count(distinct quarter) + count(distinct month)
+                    + count(distinct day_of_month) + count(distinct day_of_week)
+                    + count(distinct dep_time_blk) from train) + 3 + 2 + 1 + 1 as integer)
+         as n_features
+from fx_stg""", TRAIN_SQL))
 def q_feature_assembly(spark, sf_dir):
-    """OP-54: the full default feature set assembled into one vector
-    (rows-only check; every part is oracle-checked above)."""
+    """OP-54: the full default feature set assembled into one vector: one
+    slot per training level of each low-cardinality column, one per
+    high-cardinality encoding, sin+cos, and the two scaled numerics."""
     from pyspark.ml.functions import vector_to_array
 
     from skydrift.operators.models import default_preprocessor
