@@ -63,23 +63,25 @@ def _nsf(z: str) -> str:
 
 
 def drift_ctes(num, cat, by_sql: str = "", ref_where: str = f"flight_date < date '{SPLIT}'",
-               cur_where: str = f"flight_date >= date '{SPLIT}'", boost: bool = False) -> str:
+               cur_where: str = f"flight_date >= date '{SPLIT}'", boost: bool = False,
+               cur_src: str = "fx_stg") -> str:
     """CTEs ``counts prof sel sh ks_final ws_final js ch_final z_final report``."""
     b = f"{by_sql} as grp, " if by_sql else ""
     g = "grp, " if by_sql else ""
     parts = []
     for side, where in (("reference", ref_where), ("current", cur_where)):
         boosted = boost and side == "current"
+        src = cur_src if side == "current" else "fx_stg"
         for c in num:
             v = f"{c} * 10" if boosted else c
             parts.append(f"select {b}'{c}' as feature, true as is_num, '{side}' as side, "
                          f"cast({v} as double) as num, cast(null as varchar) as cat "
-                         f"from fx_stg where {where}")
+                         f"from {src} where {where}")
         for c in cat:
             v = f"'DRIFTED_' || cast({c} as varchar)" if boosted else f"cast({c} as varchar)"
             parts.append(f"select {b}'{c}' as feature, false as is_num, '{side}' as side, "
                          f"cast(null as double) as num, {v} as cat "
-                         f"from fx_stg where {where}")
+                         f"from {src} where {where}")
     long = "\nunion all\n".join(parts)
     pi2 = math.sqrt(2 * math.pi)
     nsf_rx = _nsf("sqrt(x)")
