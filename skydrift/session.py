@@ -34,6 +34,8 @@ def build_session(master: str | None = None, app: str = "skydrift",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # reliable checkpoints are deleted once their frames are unreachable
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         # A broadcast is only ever planned for sides whose size is checked:
         # explicit hints are used solely where a bound is proven (limit n,
         # per-partition counts, per-category statistics); everything else
