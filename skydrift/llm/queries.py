@@ -3,9 +3,11 @@ the SQL for those that SQL can express."""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from skydrift.llm import simhash_dedup
+from skydrift.llm import bpe, kk_packing, simhash_dedup
 from skydrift.sources.tables import read_table
 
 #: Of the near-duplicate contract.
@@ -13,11 +15,24 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN, decoded=True)
+    return coded.select("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+                        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op8_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return kk_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = simhash_dedup.near_duplicates(docs, SHINGLE_WORDS, MAX_BITS)
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op10_simhash_dedup,)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op8_kk_packing, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
