@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skydrift.llm import bpe, kk_packing, simhash_dedup
+from skydrift.llm import bpe, kk_packing, pivot_search, simhash_dedup, style_tree, url_reputation
 from skydrift.sources.tables import read_table
 
 #: Of the near-duplicate contract.
@@ -15,6 +15,16 @@ SHINGLE_WORDS = 3
 MAX_BITS = 2
 
 
+# The rules of the url contract.
+URL_RULES = [url_reputation.Rule("com", "/", "allow"), url_reputation.Rule("example.com", "/en/", "block"),
+             url_reputation.Rule("www.example.com", "/en/", "allow"), url_reputation.Rule("net", "/es/", "block"),
+             url_reputation.Rule("net", "/fr/", "block")]
+
+
+def op1_pivot_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivot_search.search(read_table(spark, sf_dir, "embeddings"))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -23,6 +33,27 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def page_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, url and bad: 1 for a page whose document is labelled toxic or of
+    low quality, 0 if labelled and neither, else null. The number in a url's
+    path is the id of the page's document."""
+    labels = read_table(spark, sf_dir, "labels").groupBy("doc_id").agg(
+        F.max(F.when((F.col("quality") == 0) | (F.col("toxic") == 1), 1).otherwise(0)).alias("bad"))
+    number = F.expr("try_cast(nullif(regexp_extract(url, '://[^/?#]*/(?:[^?#]*/)?([0-9]{1,18})', 1), '') as bigint)")
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", number.alias("doc_id"))
+    return pages.join(labels, "doc_id", "left").select("page_id", "url", "bad")
+
+
+def op3_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_reputation.judge(page_outcomes(spark, sf_dir), URL_RULES)
+
+
+def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages")
+    found = style_tree.extract(pages, url_reputation.host_of(F.col("url")))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op8_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return kk_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -34,5 +65,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op8_kk_packing, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op8_kk_packing, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}
