@@ -7,7 +7,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skydrift.llm import bpe, kk_packing, pivot_search, simhash_dedup, style_tree, url_reputation
+from skydrift.llm import (
+    bloom_lm,
+    bpe,
+    kk_packing,
+    pivot_search,
+    quality_llr,
+    simhash_dedup,
+    style_tree,
+    url_reputation,
+)
 from skydrift.sources.tables import read_table
 
 #: Of the near-duplicate contract.
@@ -54,6 +63,20 @@ def op4_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id of the documents labelled as of good quality."""
+    return read_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+
+
+def op5_quality_llr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_llr.judge(docs, trusted_ids(spark, sf_dir))
+
+
+def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bloom_lm.score(read_table(spark, sf_dir, "documents"))
+
+
 def op8_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return kk_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -65,5 +88,6 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op8_kk_packing, op10_simhash_dedup)}
+QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
+                                  op8_kk_packing, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}

@@ -77,6 +77,16 @@ class Words:
         v *= up[: len(v)]
         return mix(np.add.reduceat(v, self.starts) * down[self.starts])
 
+    def prefix_hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of the words of n bytes at least, and a hash of their
+        first n bytes, A-Z lower-cased."""
+        long = np.flatnonzero(self.ends - self.starts >= n)
+        up, _ = _power_tables(n)
+        h = np.full(len(long), n, np.uint64)
+        for k in range(n):
+            h += _BYTE_CODE[self.data[self.starts[long] + k]] * up[k]
+        return long, mix(h)
+
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
