@@ -11,10 +11,12 @@ from skydrift.llm import (
     bloom_lm,
     bpe,
     kk_packing,
+    line_templates,
     pivot_search,
     quality_llr,
     simhash_dedup,
     style_tree,
+    toxicity_chain,
     url_reputation,
 )
 from skydrift.sources.tables import read_table
@@ -77,6 +79,23 @@ def op6_bloom_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bloom_lm.score(read_table(spark, sf_dir, "documents"))
 
 
+def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs)
+
+
+def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id and the categories in the order of the chain."""
+    return read_table(spark, sf_dir, "labels").select(
+        "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+
+
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    scored = toxicity_chain.score(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
+    return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= toxicity_chain.THRESHOLD).alias("toxic"))
+
+
 def op8_kk_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     return kk_packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
@@ -89,5 +108,5 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
-                                  op8_kk_packing, op10_simhash_dedup)}
+                                  op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup)}
 ORACLES: dict[str, str] = {}

@@ -19,6 +19,7 @@ from itertools import combinations, product
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 import xxhash
@@ -70,20 +71,22 @@ def _fingerprints(w: Words, shingle: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` and ``fp`` (long): a bit is 1 if set in over half the XXH64
-    values of the text's word shingles (repeats included). A null text, and one
-    without words, has fingerprint 0; a text of fewer words than a shingle has
-    its whole word sequence as the one shingle."""
+    """``keep``, ``fp`` (long) and ``row``, a number of the row: a bit is 1 if
+    set in over half the XXH64 values of the text's word shingles (repeats
+    included). A null text, and one without words, has fingerprint 0; a text of
+    fewer words than a shingle has its whole word sequence as the one shingle."""
     source = docs.select(*keep, F.col(text).alias("__text"))
-    schema = source.select(*keep, F.lit(0).cast("long").alias("fp")).schema
+    zero = F.lit(0).cast("long")
+    schema = source.select(*keep, zero.alias("fp"), zero.alias("row")).schema
 
     def run(batches):
+        row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            texts = column(batch, "__text")
-            found = [_fingerprints(w, shingle) for _, _, w in slices(texts)]
+            found = [_fingerprints(w, shingle) for _, _, w in slices(column(batch, "__text"))]
             fp = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(fp.view(np.int64))], [*batch.schema.names[:-1], "fp"])
+                [*batch.columns[:-1], pa.array(fp.view(np.int64)), pa.array(row + np.arange(len(fp)))], schema.names)
+            row += len(fp)
 
     return source.mapInArrow(run, schema)
 
@@ -135,24 +138,39 @@ def links(prints: DataFrame, bits: int = 2, segments: int = SEGMENTS) -> DataFra
     return near.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, segments: int = SEGMENTS,
-                    doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row for each row of ``docs``: doc_id, fp (long), component_id, the
-    smallest doc_id that links of at most ``bits`` differing bits reach.
+def _grouped(docs: DataFrame, shingle: int, bits: int, segments: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The rows with their fingerprints, and for each distinct fingerprint the
+    ``first`` row of its component: that of the smallest doc_id, nulls last."""
+    own = _written(fingerprints(docs, shingle, keep=keep), "fingerprints")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    least = _written(own.groupBy("fp").agg(F.min(place).alias("least")), "prints")
+    roots = components(links(least.select("fp"), bits, segments))
+    rooted = least.join(roots, least.fp == roots.node, "left") \
+        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    whole = rooted.groupBy("root").agg(F.min("least").alias("first"))
+    return own, rooted.join(whole, "root").select("fp", "first")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, fp (long) and
+    component_id, the smallest doc_id that links of at most ``bits`` differing
+    bits reach.
 
     Copies meet in one fingerprint, so links are between distinct fingerprints
     only. Null doc_ids are kept; they are never a component_id unless the whole
     component has no other. Repeated rows each have their row; an empty table
     gives an empty result; further columns play no part."""
-    keyed = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    own = _written(fingerprints(keyed, shingle), "fingerprints")
-    least = _written(own.groupBy("fp").agg(F.min("doc_id").alias("least")), "prints")
-    roots = components(links(least.select("fp"), bits, segments))
-    rooted = least.join(roots, least.fp == roots.node, "left") \
-        .select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    whole = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(whole, "root").select("fp", "component_id")
-    return own.join(named, "fp").select("doc_id", "fp", "component_id")
+    own, named = _grouped(docs, shingle, bits, segments, ("doc_id",))
+    return own.join(named, "fp").select("doc_id", "fp", F.col("first.doc_id").alias("component_id"))
+
+
+def first_of_each(docs: DataFrame, shingle: int = 3, bits: int = 2, segments: int = SEGMENTS) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text and any others but ``fp`` and ``row``)
+    without near-duplicates: of each component the one row of the smallest
+    doc_id, any one of them if rows of that id are several or have no id."""
+    own, named = _grouped(docs, shingle, bits, segments, tuple(docs.columns))
+    firsts = named.select("first.row").distinct()
+    return own.join(firsts, "row", "left_semi").select(*docs.columns)
 
 
 def hex_print(fp: Column) -> Column:
