@@ -18,30 +18,44 @@ from skydrift.sources.tables import read_table
 ORACLE_SQL = None  # hashed n-grams, fitted models and tokenizers are beyond SQL
 
 
+def _plain(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and all other columns in one, ``rest``, so that no name of
+    theirs meets one of an operator's."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(0)]).alias("rest"))
+
+
+def _whole(plain: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return plain.select(*[F.col(c) if c in ("doc_id", "text") else F.col("rest").getField(c).alias(c) for c in docs.columns])
+
+
+ALL = ("doc_id", "text", "rest")
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the likelihood ratio."""
-    judged = quality_llr.judge(docs, queries.trusted_ids(spark, sf_dir), keep=tuple(docs.columns))
-    return judged.filter("kept").select(*docs.columns)
+    judged = quality_llr.judge(_plain(docs), queries.trusted_ids(spark, sf_dir), keep=ALL)
+    return _whole(judged.filter("kept"), docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the chain's last model doesn't call toxic."""
-    scored = toxicity_chain.score(docs, queries.toxicity_labels(spark, sf_dir), ["low_quality", "toxic"],
-                                  keep=tuple(docs.columns))
-    return scored.filter(F.col("p_toxic") < toxicity_chain.THRESHOLD).select(*docs.columns)
+    scored = toxicity_chain.score(_plain(docs), queries.toxicity_labels(spark, sf_dir), queries.CATEGORIES, keep=ALL)
+    return _whole(scored.filter(F.col("p_toxic") < toxicity_chain.THRESHOLD), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that an earlier document holds too."""
-    left = line_templates.drop_recurring(docs)
+    left = _whole(line_templates.drop_recurring(_plain(docs)), docs)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return left.select(*docs.columns)
+    return left
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, that of the smallest id."""
-    return simhash_dedup.first_of_each(docs, queries.SHINGLE_WORDS, queries.MAX_BITS)
+    return _whole(simhash_dedup.first_of_each(_plain(docs), queries.SHINGLE_WORDS, queries.MAX_BITS), docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

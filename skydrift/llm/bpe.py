@@ -12,7 +12,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.words import column
+from skydrift.llm.words import column, read
 
 #: Texts above this many characters are cut at safe places before encoding.
 CHUNK_CHARS = 65_536
@@ -85,8 +85,8 @@ def codec(ranks: bytes, pattern: str) -> Codec:
     return Codec({base64.b64decode(a): int(b) for a, b in lines}, pattern)
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
-           keep: tuple[str, ...] = ("doc_id",), decoded: bool = False) -> DataFrame:
+def encode(docs: DataFrame, ranks_path: str, pattern: str, keep: tuple[str, ...] = ("doc_id",),
+           decoded: bool = False) -> DataFrame:
     """``keep``, ``ids`` (binary: little-endian unsigned 32-bit) and, if asked
     for, ``decoded`` (binary: what the ids decode to).
 
@@ -96,19 +96,18 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text",
     are not read."""
     spark = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
-    source = docs.select(*keep, F.col(text).alias("__text"))
-    schema = source.select(*keep, F.lit(b"").alias("ids"), *([F.lit(b"").alias("decoded")] * decoded)).schema
+    source, text = read(docs, keep)
+    schema = source.select(*source.columns[:len(keep)], F.lit(b"").alias("ids"), *([F.lit(b"").alias("decoded")] * decoded)).schema
 
     def run(batches):
         own = codec(ranks.value, pattern)
         for batch in batches:
-            texts = column(batch, "__text")
-            for a in range(0, len(texts), 256):
+            for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                ids = [own.encode(t or "") for t in column(part, "__text").to_pylist()]
+                ids = [own.encode(t or "") for t in column(part, text).to_pylist()]
                 made = [pa.array([x.tobytes() for x in ids], pa.binary())]
                 if decoded:
                     made.append(pa.array([own.decode(x) for x in ids], pa.binary()))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *made], schema.names)
+                yield pa.RecordBatch.from_arrays([*part.columns[:len(keep)], *made], schema.names)
 
     return source.mapInArrow(run, schema)

@@ -116,7 +116,7 @@ def karmarkar_karp(sizes: list[int], k: int) -> list[list[int]]:
     partitions of the largest spread are merged, large sums with small ones,
     until one is left."""
     if k <= 1 or not sizes:
-        return [list(range(len(sizes)))] + [[] for _ in range(k - 1)]
+        return ([list(range(len(sizes)))] + [[] for _ in range(k - 1)])[:k]
     children: list[tuple[int, int]] = []
 
     def single(item: int) -> tuple[np.ndarray, np.ndarray]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.words import Words, column, mix, slices
+from skydrift.llm.words import Words, column, mix, read, slices
 
 BUCKETS = 1 << 17
 #: Documents that the trusted multinomial is counted from: those of the least
@@ -97,12 +97,12 @@ def base(w: Words, hashes: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str = "text") -> np.ndarray:
+def fit(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
     """The log ratio of each bucket. ``trusted`` (doc_id) names the documents of
     the target; at most ``MOST_TRUSTED`` of them are sent to the tasks. Each
     task adds up its documents before the shuffle."""
     spark = docs.sparkSession
-    ids = trusted.select(F.col(doc_id).cast("long").alias("doc_id")).filter("doc_id is not null").distinct() \
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct() \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TRUSTED).toArrow().column(0).to_numpy()
     shared = spark.sparkContext.broadcast(np.sort(ids))
 
@@ -118,7 +118,7 @@ def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
         some = np.flatnonzero(raw)
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], target[some])], ["bucket", "raw", "target"])
 
-    counted = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")) \
+    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
         .mapInArrow(run, "bucket long, raw long, target long") \
         .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # BUCKETS rows at most
     raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
@@ -131,25 +131,24 @@ def fit(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str =
     return np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype(np.float32)
 
 
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, doc_id: str = "doc_id",
-          text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, ``keep``, the counts n_words, word_chars, n_symbols, n_dup_lines
-    and n_repeat_words, base_failed, score and kept, for each row.
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` (any columns but those that follow), the counts n_words,
+    word_chars, n_symbols, n_dup_lines and n_repeat_words, base_failed, score and
+    kept, for each row of ``docs`` (doc_id, text).
 
     A null text has no words, and so fails the base rules, with score 0; null
     and repeated doc_ids are judged like others; an empty table gives no rows.
     Columns not named are not read."""
     spark = docs.sparkSession
-    weights = spark.sparkContext.broadcast(fit(docs, trusted, doc_id, text))
+    weights = spark.sparkContext.broadcast(fit(docs, trusted))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    source = docs.select(F.col(doc_id).alias("doc_id"), *[c for c in keep if c != "doc_id"], F.col(text).alias("__text"))
-    kept_columns = source.columns[:-1]
-    schema = source.select(*kept_columns, *[F.lit(0).cast("long").alias(c) for c in names],
+    source, text = read(docs, keep)
+    schema = source.select(*source.columns[:len(keep)], *[F.lit(0).cast("long").alias(c) for c in names],
                            F.lit(False).alias("base_failed"), F.lit(0.0).alias("score"), F.lit(False).alias("kept")).schema
 
     def run(batches):
         for batch in batches:
-            for a, b, w in slices(column(batch, "__text")):
+            for a, b, w in slices(column(batch, text)):
                 hashes = w.hashes(lower=False)
                 counts = base(w, hashes)
                 bucket, owner = n_grams(w, hashes)
@@ -160,6 +159,6 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, doc
                 failed = (n < MIN_WORDS) | (100 * repeated > MOST_REPEATED_PERCENT * n)
                 made = [*(counts[c] for c in names), failed, score, ~failed & (score >= threshold)]
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, texts).columns[:-1], *(pa.array(x) for x in made)], schema.names)
+                    [*batch.slice(a, texts).columns[:len(keep)], *(pa.array(x) for x in made)], schema.names)
 
     return source.mapInArrow(run, schema)

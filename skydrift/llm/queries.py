@@ -84,15 +84,19 @@ def op7_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.drop_recurring(docs)
 
 
+#: In the order of the chain.
+CATEGORIES = ["low_quality", "toxic"]
+
+
 def toxicity_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """doc_id and the categories in the order of the chain."""
+    """doc_id and the categories."""
     return read_table(spark, sf_dir, "labels").select(
         "doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
 
 
 def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
-    scored = toxicity_chain.score(docs, toxicity_labels(spark, sf_dir), ["low_quality", "toxic"])
+    scored = toxicity_chain.score(docs, toxicity_labels(spark, sf_dir), CATEGORIES)
     return scored.select("doc_id", "p_low_quality", "p_toxic", (F.col("p_toxic") >= toxicity_chain.THRESHOLD).alias("toxic"))
 
 
@@ -107,6 +111,77 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
-                                  op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup)}
-ORACLES: dict[str, str] = {}
+PIVOT_SEARCH_SQL = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM v AS q JOIN v ON v.vec_id <> q.vec_id AND len(v.x) = len(q.x)
+  WHERE q.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+_TWO_LABELS = ", ".join(f"'{x}'" for x in url_reputation.TWO_LABEL_SUFFIXES)
+
+
+def _rules_sql(value: str) -> str:
+    """The rules as cases, the longest first."""
+    cases = [f"WHEN (host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}') "
+             f"THEN '{getattr(r, value)}'" for r in sorted(URL_RULES, key=lambda r: -len(r.text))]
+    return f"CASE {' '.join(cases)} END"
+
+
+def _level_sql(name: str, keys: str, prior: str, join: str) -> str:
+    """Groups of a level with their prior, its weight, and the posterior."""
+    return f"""
+{name}_groups AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+{name}_prior AS (SELECT g.*, {prior} AS prior FROM {name}_groups g {join}),
+{name}_moments AS (
+  SELECT sum(n * (bad / n - prior) ^ 2 - prior * (1 - prior)) AS over, sum(prior * (1 - prior) * (n - 1)) AS room
+  FROM {name}_prior WHERE n > 0),
+{name}_weight AS (
+  SELECT CASE WHEN room IS NULL OR room = 0 OR over <= 0 THEN {url_reputation.MOST_WEIGHT}
+         ELSE least({url_reputation.MOST_WEIGHT}, greatest({url_reputation.LEAST_WEIGHT}, room / over - 1)) END AS s
+  FROM {name}_moments),
+{name}_level AS (
+  SELECT *, (prior * s + bad) / (s + n) AS mean, s + n AS total FROM {name}_prior, {name}_weight)"""
+
+
+URL_REPUTATION_SQL = f"""
+WITH split AS (
+  SELECT page_id, coalesce(CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END, '') AS rest,
+         TRY_CAST(regexp_extract(url, '://[^/?#]*/(?:[^?#]*/)?([0-9]{{1,18}})', 1) AS BIGINT) AS doc_id
+  FROM pages),
+outcomes AS (
+  SELECT doc_id, max(CASE WHEN quality = 0 OR toxic = 1 THEN 1 ELSE 0 END) AS bad FROM labels GROUP BY doc_id),
+urls AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path, bad
+  FROM split LEFT JOIN outcomes USING (doc_id)),
+counted AS (
+  SELECT host, count(bad) FILTER (host <> '') AS n, coalesce(sum(bad) FILTER (host <> ''), 0) AS bad FROM urls GROUP BY host),
+labelled AS (
+  SELECT *, string_split(host, '.') AS parts, array_to_string(string_split(host, '.')[-2:], '.') AS two FROM counted),
+hosts AS (
+  SELECT host, n::DOUBLE AS n, bad::DOUBLE AS bad,
+         CASE WHEN two IN ({_TWO_LABELS}) THEN array_to_string(parts[-3:], '.') ELSE two END AS domain,
+         CASE WHEN two IN ({_TWO_LABELS}) THEN two ELSE parts[-1] END AS suffix
+  FROM labelled),
+{_level_sql("suffix", "suffix", "(SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1) FROM hosts)", "")},
+{_level_sql("domain", "domain, suffix", "p.mean", "JOIN suffix_level p USING (suffix)")},
+{_level_sql("host", "host, domain, suffix", "p.mean", "JOIN domain_level p USING (domain, suffix)")},
+blocked AS (SELECT host FROM host_level WHERE mean - 1.645::DOUBLE * sqrt(mean * (1 - mean) / (total + 1)) > 0.5)
+SELECT page_id, host, path, {_rules_sql("text")} AS rule,
+       coalesce({_rules_sql("verdict")}, CASE WHEN host IN (SELECT host FROM blocked) THEN 'block' ELSE 'allow' END) AS verdict
+FROM urls
+"""
+
+QUERIES = {f.__name__: f for f in (
+    op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
+    op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup)}
+ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL}

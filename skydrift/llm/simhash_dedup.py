@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 import xxhash
 
 from skydrift.llm.components import _written, components
-from skydrift.llm.words import Words, column, slices
+from skydrift.llm.words import Words, column, read, slices
 
 BITS = 64
 SEGMENTS = 4
@@ -70,22 +70,22 @@ def _fingerprints(w: Words, shingle: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 3, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep``, ``fp`` (long) and ``row``, a number of the row: a bit is 1 if
     set in over half the XXH64 values of the text's word shingles (repeats
     included). A null text, and one without words, has fingerprint 0; a text of
     fewer words than a shingle has its whole word sequence as the one shingle."""
-    source = docs.select(*keep, F.col(text).alias("__text"))
+    source, text = read(docs, keep)
     zero = F.lit(0).cast("long")
-    schema = source.select(*keep, zero.alias("fp"), zero.alias("row")).schema
+    schema = source.select(*source.columns[:len(keep)], zero.alias("fp"), zero.alias("row")).schema
 
     def run(batches):
         row = TaskContext.get().partitionId() << 33
         for batch in batches:
-            found = [_fingerprints(w, shingle) for _, _, w in slices(column(batch, "__text"))]
+            found = [_fingerprints(w, shingle) for _, _, w in slices(column(batch, text))]
             fp = np.concatenate(found) if found else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(fp.view(np.int64)), pa.array(row + np.arange(len(fp)))], schema.names)
+                [*batch.columns[:len(keep)], pa.array(fp.view(np.int64)), pa.array(row + np.arange(len(fp)))], schema.names)
             row += len(fp)
 
     return source.mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skydrift.llm.components import _written
-from skydrift.llm.words import Words, column, slices
+from skydrift.llm.words import Words, column, read, slices
 
 #: Labelled documents that the models are fitted to: those of the least hash.
 MOST_LABELLED = 16_000
@@ -61,7 +61,7 @@ class Selected:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1.0 / (1.0 + np.exp(-np.clip(x, -35, 35)))
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -700, 700)))
 
 
 def fit_linear(rows: np.ndarray, cols: np.ndarray, n: int, width: int, extra: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -70,7 +70,7 @@ def fit_linear(rows: np.ndarray, cols: np.ndarray, n: int, width: int, extra: np
     columns = np.concatenate([extra, np.ones((n, 1))], axis=1)
     w = np.zeros(width + columns.shape[1])
     share = (y.sum() + 0.5) / (n + 1.0)
-    w[-1] = np.log(share / (1 - share)) if n else -35.0
+    w[-1] = np.log(share / (1 - share)) if n else -1000.0
     if not n or y.min() == y.max():
         return w
     per_row = np.bincount(rows, minlength=n) + (columns ** 2).sum(1)
@@ -183,32 +183,31 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str]) -> tuple[np.n
     return hashes, fit_chain(rows, cols, n, len(hashes), y)
 
 
-def score(docs: DataFrame, labels: DataFrame, categories: list[str], doc_id: str = "doc_id", text: str = "text",
-          keep: tuple[str, ...] = ()) -> DataFrame:
-    """doc_id, ``keep`` and a column p_<category> (double) for each category, in
-    the order of the chain, for each row of ``docs``. ``labels`` (doc_id, a
-    column of 0 or 1 for each category; null is 0) names some documents; one
-    with several rows has a category if any of them has.
+def score(docs: DataFrame, labels: DataFrame, categories: list[str], keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """``keep`` (any columns but those that follow) and a column p_<category>
+    (double) for each category, in the order of the chain, for each row of
+    ``docs`` (doc_id, text). ``labels`` (doc_id, a column of 0 or 1 for each
+    category; null is 0) names some documents; one with several rows has a
+    category if any of them has.
 
     A null text holds no features and gets the models' bias; null and repeated
     doc_ids are scored like others; without labels every probability is 0; an
     empty table gives no rows."""
     spark = docs.sparkSession
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
-    shared = spark.sparkContext.broadcast(fit(own, labels, categories))
-    source = docs.select(F.col(doc_id).alias("doc_id"), *[c for c in keep if c != "doc_id"], F.col(text).alias("__text"))
-    schema = source.drop("__text").select("*", *[F.lit(0.0).alias(f"p_{c}") for c in categories]).schema
+    shared = spark.sparkContext.broadcast(fit(docs.select("doc_id", "text"), labels, categories))
+    source, text = read(docs, keep)
+    schema = source.select(*source.columns[:len(keep)], *[F.lit(0.0).alias(f"p_{c}") for c in categories]).schema
 
     def run(batches):
         hashes, models = shared.value
         selected = Selected(hashes)
         for batch in batches:
-            for a, b, w in slices(column(batch, "__text")):
+            for a, b, w in slices(column(batch, text)):
                 rows, cols = selected.of(w)
                 extra = np.zeros((b - a, 0))
                 for model in models:
                     extra = np.column_stack([extra, predict(model, rows, cols, b - a, extra)])
                 yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, b - a).columns[:-1], *(pa.array(x) for x in extra.T)], schema.names)
+                    [*batch.slice(a, b - a).columns[:len(keep)], *(pa.array(x) for x in extra.T)], schema.names)
 
     return source.mapInArrow(run, schema)

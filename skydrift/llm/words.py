@@ -10,6 +10,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 2 << 20
 
@@ -132,3 +134,9 @@ def slices(texts: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int, int,
 
 def column(batch: pa.RecordBatch, name: str) -> pa.Array:
     return batch.column(batch.schema.get_field_index(name))
+
+
+def read(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> tuple[DataFrame, str]:
+    """``keep``, with the text after it if it isn't among them; its name."""
+    kept = [F.col(f"`{c}`") for c in keep]
+    return (docs.select(*kept), text) if text in keep else (docs.select(*kept, F.col(f"`{text}`").alias("__text")), "__text")
