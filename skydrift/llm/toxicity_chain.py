@@ -191,7 +191,7 @@ def score(docs: DataFrame, labels: DataFrame, categories: list[str], keep: tuple
     category if any of them has.
 
     A null text holds no features and gets the models' bias; null and repeated
-    doc_ids are scored like others; without labels every probability is 0; an
+    doc_ids are scored like others; without labels every probability is next to 0; an
     empty table gives no rows."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(fit(docs.select("doc_id", "text"), labels, categories))
