@@ -25,10 +25,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skydrift.functions.frames import join_null_safe
 from skydrift.operators.positions import running_totals
 from skydrift.schemas import DRIFT_DROP_COLUMNS
 from skydrift.session import materialize
 
+#: Chi-square tails up to this many degrees of freedom are summed exactly.
+EXACT_DOF = 200
+
 # Test-selection rule and thresholds of the default drift preset.
 SMALL_REFERENCE_ROWS = 1000
 CATEGORICAL_MAX_UNIQUE = 5
@@ -145,11 +149,15 @@ def column_profile(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         F.sum(F.col("n_ref") * x).alias("_sx"), F.sum(F.col("n_ref") * x * x).alias("_sxx"))
 
 
-def select_tests(profile: DataFrame, override: dict | None = None) -> DataFrame:
-    """Test per column: see the module docstring; ``override`` maps column
-    names to a test name."""
-    small = F.col("tot_ref") <= SMALL_REFERENCE_ROWS
-    as_num = F.col("is_num") & (F.col("n_unique") > CATEGORICAL_MAX_UNIQUE)
+def select_tests(profile: DataFrame, override: dict | None = None,
+                 small_reference_rows: int = SMALL_REFERENCE_ROWS,
+                 categorical_max_unique: int = CATEGORICAL_MAX_UNIQUE) -> DataFrame:
+    """OP-93, test per column: see the module docstring. The rule goes by the
+    size of the reference: up to ``small_reference_rows`` a significance test,
+    above a distance; a numeric column of at most ``categorical_max_unique``
+    values counts as categorical. ``override`` maps column names to a test."""
+    small = F.col("tot_ref") <= small_reference_rows
+    as_num = F.col("is_num") & (F.col("n_unique") > categorical_max_unique)
     test = (F.when(small & as_num, "ks")
              .when(small & (F.col("n_unique") <= 2), "z")
              .when(small, "chisquare")
@@ -188,30 +196,33 @@ def _kolmogorov_sf(lam: Column) -> Column:
 
 
 def _chi2_sf(x: Column, dof: Column) -> Column:
-    """Chi-square upper tail for integer dof in closed form: even dof ->
-    Poisson sum; odd dof -> normal tail plus a finite series."""
+    """Chi-square upper tail for integer dof. Up to ``EXACT_DOF`` in closed form,
+    as sums of terms that are each computed as one exponential of logarithms (no
+    factor under- or overflows by itself): even dof a Poisson sum, odd dof a
+    normal tail plus a finite series. Above, the cube-root normal approximation,
+    which is good to about 1e-5 there; the work is bounded for any dof."""
+    small = F.least(dof.cast("double"), F.lit(float(EXACT_DOF)))
     half = x / 2.0
-    even = F.exp(-half) * F.aggregate(
-        F.sequence(F.lit(0), F.greatest((dof / 2).cast("int") - 1, F.lit(0))),
-        F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("term")),
-        lambda acc, j: F.struct(
-            (acc["s"] + F.when(j == 0, F.lit(1.0)).otherwise(acc["term"] * half / j)).alias("s"),
-            F.when(j == 0, F.lit(1.0)).otherwise(acc["term"] * half / j).alias("term")),
-        lambda acc: acc["s"])
-    rx = F.sqrt(x)
-    phi = F.exp(-half) / F.lit(math.sqrt(2.0 * math.pi))
-    odd_series = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(((dof - 1) / 2).cast("int"), F.lit(1))),
-        F.struct(F.lit(0.0).alias("s"), F.lit(1.0).alias("term")),
-        lambda acc, j: F.struct(
-            (acc["s"] + acc["term"] * rx / (2 * j - 1)).alias("s"),
-            (acc["term"] * rx / (2 * j - 1) * rx).alias("term")),
-        lambda acc: acc["s"])
-    odd = F.lit(2.0) * _norm_sf(rx) + F.when(dof > 1, F.lit(2.0) * phi * odd_series) \
-        .otherwise(F.lit(0.0))
-    res = F.when(dof.cast("int") % 2 == 0, even).otherwise(odd)
+
+    def series(steps: Column, shift: float, first: Column) -> Column:
+        # first: log of the term for j = 0; each next one has a factor half / (j + shift)
+        return F.aggregate(
+            F.sequence(F.lit(0), F.greatest(steps.cast("int") - 1, F.lit(0))),
+            F.struct(F.lit(0.0).alias("s"), first.alias("log")),
+            lambda acc, j: F.struct(
+                (acc["s"] + F.exp(acc["log"])).alias("s"),
+                (acc["log"] + F.log(half / (j + 1 + F.lit(shift)))).alias("log")),
+            lambda acc: acc["s"])
+
+    even = series(small / 2, 0.0, -half)
+    odd_first = F.lit(0.5) * F.log(half) - half - F.lit(math.lgamma(1.5))
+    odd = F.lit(2.0) * _norm_sf(F.sqrt(x)) + F.when(
+        small > 1, series((small - 1) / 2, 0.5, odd_first)).otherwise(F.lit(0.0))
+    c = F.lit(2.0) / (F.lit(9.0) * dof)
+    wide = _norm_sf((F.cbrt(x / dof) - (F.lit(1.0) - c)) / F.sqrt(c))
+    res = F.when(dof > EXACT_DOF, wide).when(dof.cast("long") % 2 == 0, even).otherwise(odd)
     return F.when(x.isNull(), F.lit(None)).when(x == F.lit(float("inf")), F.lit(0.0)) \
-        .when(x <= 0, F.lit(1.0)).otherwise(F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0)))
+        .when((x <= 0) | (dof <= 0), F.lit(1.0)).otherwise(F.least(F.greatest(res, F.lit(0.0)), F.lit(1.0)))
 
 
 # ------------------------------------------------------------ statistics
@@ -258,51 +269,61 @@ def wasserstein_stats(shares: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return ordered_stats(shares, by).select(*by, "column", "w1", "wasserstein_norm")
 
 
-def _cat_shares(counts: DataFrame, by: Sequence[str]) -> DataFrame:
-    tot = counts.groupBy(*by, "column").agg(F.sum("n_ref").alias("tot_ref"),
-                                            F.sum("n_cur").alias("tot_cur"),
-                                            F.count(F.lit(1)).alias("k"))
-    return counts.join(F.broadcast(tot), [*by, "column"]).withColumns({
+def _with_shares(counts: DataFrame, by: Sequence[str], totals: DataFrame | None = None) -> DataFrame:
+    """Per-value counts with both sides' totals (tot_ref, tot_cur), the number
+    of values k, and the shares p, q."""
+    tot = totals if totals is not None else counts.groupBy(*by, "column").agg(
+        F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"), F.count(F.lit(1)).alias("k"))
+    return join_null_safe(counts, tot, [*by, "column"]).withColumns({
         "p": F.col("n_ref") / F.col("tot_ref"), "q": F.col("n_cur") / F.col("tot_cur")})
 
 
-def js_stats(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """OP-92: Jensen-Shannon distance (natural log) of the value shares."""
-    s = _cat_shares(counts, by)
+def _category_stats(shares: DataFrame, by: Sequence[str]) -> DataFrame:
+    """OP-89, 90, 92 in one aggregate over the shares: Jensen-Shannon distance
+    (natural log); chi-square goodness of fit of the current counts against the
+    reference counts scaled to the current size (dof = categories - 1); and the
+    two-proportion z-test on the share of the smallest value (zero pooled
+    variance: undefined, p = 1)."""
     m = (F.col("p") + F.col("q")) / 2.0
-    term = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / m)).otherwise(0.0) + \
+    js = F.when(F.col("p") > 0, F.col("p") * F.log(F.col("p") / m)).otherwise(0.0) + \
         F.when(F.col("q") > 0, F.col("q") * F.log(F.col("q") / m)).otherwise(0.0)
-    return s.groupBy(*by, "column").agg(
-        F.sqrt(F.greatest(F.sum(term) / 2.0, F.lit(0.0))).alias("js_distance"))
+    exp = F.col("n_ref") * (F.col("tot_cur") / F.col("tot_ref"))
+    chi = F.when(exp > 0, (F.col("n_cur") - exp) * (F.col("n_cur") - exp) / exp) \
+        .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
+    g = shares.groupBy(*by, "column").agg(
+        F.sqrt(F.greatest(F.sum(js) / 2.0, F.lit(0.0))).alias("js_distance"),
+        F.sum(chi).alias("chi2_stat"), (F.first("k") - 1).alias("chi2_dof"),
+        F.min(F.struct("num", "cat", "p", "q", "tot_ref", "tot_cur")).alias("_f"))
+    p1, p2, n1, n2 = (F.col(f"_f.{c}") for c in ("p", "q", "tot_ref", "tot_cur"))
+    pool = (n1 * p1 + n2 * p2) / (n1 + n2)
+    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
+    return g.withColumn("z_stat", F.try_divide(p1 - p2, se))
+
+
+def _chi2_p() -> Column:
+    return _chi2_sf(F.col("chi2_stat"), F.col("chi2_dof"))
+
+
+def _z_p() -> Column:
+    return F.when(F.col("z_stat").isNull(), F.lit(1.0)) \
+        .otherwise(F.lit(2.0) * _norm_sf(F.abs(F.col("z_stat"))))
+
+
+def js_stats(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """OP-92: Jensen-Shannon distance of the value shares."""
+    return _category_stats(_with_shares(counts, by), by).select(*by, "column", "js_distance")
 
 
 def chi2_stats(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """OP-89: goodness of fit of current counts against reference counts
-    scaled to the current size; dof = categories - 1."""
-    s = _cat_shares(counts, by)
-    exp = F.col("n_ref") * (F.col("tot_cur") / F.col("tot_ref"))
-    term = F.when(exp > 0, (F.col("n_cur") - exp) * (F.col("n_cur") - exp) / exp) \
-        .when(F.col("n_cur") > 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
-    g = s.groupBy(*by, "column").agg(F.sum(term).alias("chi2_stat"),
-                                     (F.first("k") - 1).alias("chi2_dof"))
-    return g.withColumn("chi2_p_value", _chi2_sf(F.col("chi2_stat"), F.col("chi2_dof")))
+    """OP-89: chi-square statistic, dof and p-value."""
+    return _category_stats(_with_shares(counts, by), by) \
+        .select(*by, "column", "chi2_stat", "chi2_dof", _chi2_p().alias("chi2_p_value"))
 
 
 def z_stats(counts: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """OP-90: two-proportion z-test on the share of the first (smallest)
-    value; undefined (zero pooled variance) -> p = 1."""
-    s = _cat_shares(counts, by)
-    first = s.groupBy(*by, "column").agg(F.min(F.struct(
-        F.col("num"), F.col("cat"), F.col("p"), F.col("q"), F.col("tot_ref"),
-        F.col("tot_cur"))).alias("_f"))
-    p1, p2 = F.col("_f.p"), F.col("_f.q")
-    n1, n2 = F.col("_f.tot_ref"), F.col("_f.tot_cur")
-    pool = (n1 * p1 + n2 * p2) / (n1 + n2)
-    se = F.sqrt(pool * (F.lit(1.0) - pool) * (F.lit(1.0) / n1 + F.lit(1.0) / n2))
-    z = F.try_divide(p1 - p2, se)
-    return first.select(*by, "column", z.alias("z_stat"),
-                        F.when(z.isNull(), F.lit(1.0))
-                         .otherwise(F.lit(2.0) * _norm_sf(F.abs(z))).alias("z_p_value"))
+    """OP-90: two-proportion z-test."""
+    return _category_stats(_with_shares(counts, by), by) \
+        .select(*by, "column", "z_stat", _z_p().alias("z_p_value"))
 
 
 # ------------------------------------------------------------ report
@@ -341,29 +362,39 @@ def merge_counts(a: DataFrame, b: DataFrame, by: Sequence[str] = ()) -> DataFram
 
 def report_from_counts(counts: DataFrame, by: Sequence[str] = (),
                        override: dict | None = None) -> DataFrame:
-    """The drift report from per-value counts of both sides."""
+    """The drift report from per-value counts of both sides. The test of each
+    column is chosen first; each statistic is then computed for the columns
+    that use it only, the ordered ones in one pass, the others in another."""
     by = list(by)
-    prof = select_tests(column_profile(counts, by), override)
-    ordered = ordered_stats(cumulative_shares(counts, by), by)
-    js = js_stats(counts, by)
-    ch = chi2_stats(counts, by)
-    zz = z_stats(counts, by)
     keys = [*by, "column"]
-    r = prof.select(*keys, "test", "tot_ref", "tot_cur", "n_unique")
-    for part in (ordered, js, ch, zz):
-        r = r.join(part, keys, "left")  # each side: one row per column
-    t = F.col("test")
-    stat = (F.when(t == "ks", F.col("ks_stat")).when(t == "z", F.col("z_stat"))
-             .when(t == "chisquare", F.col("chi2_stat"))
-             .when(t == "wasserstein", F.col("wasserstein_norm"))
-             .otherwise(F.col("js_distance")))
-    pval = (F.when(t == "ks", F.col("ks_p_value")).when(t == "z", F.col("z_p_value"))
-             .when(t == "chisquare", F.col("chi2_p_value")))
-    is_test = t.isin("ks", "z", "chisquare")
-    drifted = F.when(is_test, F.coalesce(pval < P_VALUE_THRESHOLD, F.lit(False))) \
-        .otherwise(F.coalesce(stat >= DISTANCE_THRESHOLD, F.lit(False)))
-    return r.select(*keys, "test", "tot_ref", "tot_cur", "n_unique", stat.alias("statistic"),
-                    pval.alias("p_value"),
+    chosen = select_tests(column_profile(counts, by), override).select(
+        *keys, "test", "tot_ref", "tot_cur", "n_unique", F.col("n_unique").alias("k"))
+    shares = _with_shares(counts, by, chosen)
+    ordered = F.col("test").isin("ks", "wasserstein")
+    tests = {
+        "ks": (F.col("ks_stat"), F.col("ks_p_value")),
+        "wasserstein": (F.col("wasserstein_norm"), F.lit(None).cast("double")),
+        "z": (F.col("z_stat"), _z_p()),
+        "chisquare": (F.col("chi2_stat"), _chi2_p()),
+        "jensenshannon": (F.col("js_distance"), F.lit(None).cast("double")),
+    }
+
+    def result(stats: DataFrame, names: Sequence[str]) -> DataFrame:
+        stat, p = F.lit(None).cast("double"), F.lit(None).cast("double")
+        for name in names:
+            hit = F.col("test") == name
+            stat = F.when(hit, tests[name][0]).otherwise(stat)
+            p = F.when(hit, tests[name][1]).otherwise(p)
+        return join_null_safe(chosen, stats, keys).select(
+            *keys, "test", "tot_ref", "tot_cur", "n_unique", stat.alias("statistic"), p.alias("p_value"))
+
+    num = shares.filter(ordered & F.col("is_num")).drop("test", "tot_ref", "tot_cur", "n_unique", "k", "p", "q")
+    r = result(ordered_stats(cumulative_shares(num, by), by), ["ks", "wasserstein"]) \
+        .unionByName(result(_category_stats(shares.filter(~ordered), by), ["z", "chisquare", "jensenshannon"]))
+    is_test = F.col("test").isin("ks", "z", "chisquare")
+    drifted = F.when(is_test, F.coalesce(F.col("p_value") < P_VALUE_THRESHOLD, F.lit(False))) \
+        .otherwise(F.coalesce(F.col("statistic") >= DISTANCE_THRESHOLD, F.lit(False)))
+    return r.select(*keys, "test", "tot_ref", "tot_cur", "n_unique", "statistic", "p_value",
                     F.when(is_test, F.lit(P_VALUE_THRESHOLD))
                      .otherwise(F.lit(DISTANCE_THRESHOLD)).alias("threshold"),
                     drifted.alias("drifted"))

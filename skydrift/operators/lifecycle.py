@@ -9,17 +9,29 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+# Spark's error conditions for a folder that is missing or holds no files
+_MISSING = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def table_has_rows(spark: SparkSession, path: str) -> bool:
-    """Load guard: the folder exists and holds at least one row."""
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """The folder holds a table (maybe without rows). Any error but a missing
+    folder (no permission, a broken file, the network) is raised."""
     try:
-        return bool(spark.read.parquet(path).limit(1).take(1))
-    except Exception:  # noqa: BLE001 - missing folder / no files
-        return False
+        spark.read.parquet(path)
+    except AnalysisException as e:
+        if (e.getCondition() or "").startswith(_MISSING):
+            return False
+        raise
+    return True
+
+
+def table_has_rows(spark: SparkSession, path: str) -> bool:
+    """Load guard: the table exists and holds at least one row."""
+    return table_exists(spark, path) and bool(spark.read.parquet(path).limit(1).take(1))
 
 
 def write_counted(df: DataFrame, path: str, mode: str = "overwrite",

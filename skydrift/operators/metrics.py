@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skydrift.functions.exprs import clean_metric, safe_ratio
-from skydrift.functions.frames import with_scalars
+from skydrift.functions.frames import join_null_safe, with_scalars
 from skydrift.operators.positions import exact_median, running_totals
 
 
@@ -24,14 +24,15 @@ def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
                        with_median: bool = True) -> DataFrame:
     """n, MAE, MSE, RMSE, R^2 and residual skewness (population g1 of
     ``y - p``) in one aggregate; median absolute error from exact positions
-    (no group's values held in one task)."""
+    (no group's values held in one task). Rows without a truth or a prediction
+    count in none of them; a group of such rows only has n = 0."""
     e = F.col(y) - F.col(p)
     moments = _agg(df, by, [
-        F.count(F.lit(1)).alias("n"),
+        F.count(e).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg(e * e).alias("mse"),
         F.sum(e * e).alias("_sse"),
-        F.var_pop(F.col(y)).alias("_vy"),
+        F.var_pop(F.when(e.isNotNull(), F.col(y))).alias("_vy"),
         F.skewness(e).alias("residual_skewness"),
     ])
     res = moments.select(
@@ -40,7 +41,7 @@ def regression_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = (),
         "residual_skewness")
     if with_median:
         med = exact_median(df.select(*by, F.abs(e).alias("_ae")), "_ae", by, "medae")
-        res = res.join(med, list(by), "left") if by else with_scalars(res, med)
+        res = join_null_safe(res, med, list(by), "left") if by else with_scalars(res, med)
     return res
 
 
@@ -57,11 +58,12 @@ def classification_metrics(df: DataFrame, y: str, p: str, by: Sequence[str] = ()
     """Accuracy, precision, recall, F1, specificity (0 on zero denominators),
     hard-label AUC ``(TPR+TNR)/2`` and mean class-1 probability.
 
+    Rows without a truth or a prediction are not counted.
     ``guard``: metrics are 0 unless the truth holds both classes; for a 0/1
     label ``count(distinct y) = 2`` is ``min(y) < max(y)``, which needs no
     distinct aggregation."""
     aggs = confusion_counts(y, p) + [
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.col(y) + F.col(p)).alias("n"),
         (F.min(y) < F.max(y)).alias("_both"),
     ]
     if proba:
@@ -101,8 +103,9 @@ def roc_auc(df: DataFrame, y: str, score: str, by: Sequence[str] = ()) -> DataFr
 
     Pre-aggregated to one row per (group, score) map-side; the running count
     of negatives below each score uses range-partitioned running totals,
-    never a window over all scores in one task."""
-    per = df.groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
+    never a window over all scores in one task. Rows without a truth or a score
+    are left out; a group of such rows only has no row."""
+    per = df.filter(F.col(y).isNotNull() & F.col(score).isNotNull()).groupBy(*by, F.col(score).cast("double").alias("_s")).agg(
         F.sum(F.when(F.col(y) == 1, 1).otherwise(0)).cast("double").alias("_pos"),
         F.sum(F.when(F.col(y) == 1, 0).otherwise(1)).cast("double").alias("_neg"))
     run = running_totals(per, list(by), ["_s"], ["_neg"])
@@ -128,7 +131,9 @@ def regression_as_classifier(df: DataFrame, y_cls: str, p_reg: str, threshold: f
     d = df.withColumn("_pbin", (F.col(p_reg) > F.lit(threshold)).cast("int"))
     cls = classification_metrics(d, y_cls, "_pbin", by, guard=False)
     auc = roc_auc(d, y_cls, p_reg, by)
-    return cls.join(auc, list(by)) if by else with_scalars(cls, auc)
+    if not by:
+        return with_scalars(cls, auc)
+    return join_null_safe(cls, auc, list(by), "left").withColumn("roc_auc", F.coalesce("roc_auc", F.lit(0.0)))
 
 
 # Metric names that are minimised when no mode is given.

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -69,84 +69,88 @@ def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     many tasks; each task computes local cumulative sums over its sorted
     rows (Arrow batches, one pass), then adds the group's total from earlier
     partitions. Optionally also the next order value within the group
-    (``next_<order>``) and the group totals (``tot_<value>``). The
-    per-partition statistics frame has at most ``partitions + groups`` rows,
-    the bound that makes its broadcast safe."""
+    (``next_<order>``) and the group totals (``tot_<value>``). NULL keys form
+    groups like any others."""
     keys, order, values = list(keys), list(order), list(values)
     if with_next and len(order) != 1:
         raise ValueError("with_next needs a single order column")
     full = keys + order
+    # one never-NULL code per group (NULL keys are groups like others)
+    code = F.xxhash64(*[x for k in keys for x in (F.col(k).isNull(), F.col(k))]) if keys else F.lit(0).cast("long")
     ranged = (_range(df, full, partitions)
                 .sortWithinPartitions(*full)
-                .withColumn("_pid", F.spark_partition_id()))
+                .withColumn("_pid", F.spark_partition_id()).withColumn("_g", code))
     ranged = materialize(ranged)  # one fixed layout for both branches below
-    in_fields = list(ranged.schema.fields)
-    out_fields = in_fields + [T.StructField(f"_l_{v}", T.DoubleType(), True) for v in values]
+    out_fields = ranged.schema.fields + [T.StructField(f"_l_{v}", T.DoubleType(), True) for v in values]
     if with_next:
-        out_fields.append(T.StructField("_l_next", in_fields[
-            [f.name for f in in_fields].index(order[0])].dataType, True))
+        out_fields.append(T.StructField("_l_next", ranged.schema[order[0]].dataType, True))
     out_schema = T.StructType(out_fields)
-    out_names = [f.name for f in out_fields]
+
+    def totals(batch, carry):
+        """The batch's running totals; ``carry`` is (group, totals) of its
+        predecessor's last row, and is set to those of its own. Rows arrive
+        sorted, so groups are contiguous and only the last can go on."""
+        g = batch.column(batch.schema.get_field_index("_g")).to_numpy()
+        begins = np.flatnonzero(np.diff(g, prepend=g[0] - 1 if g[0] > np.iinfo(np.int64).min else g[0] + 1))
+        group = np.cumsum(np.isin(np.arange(len(g)), begins)) - 1
+        made = []
+        for k, v in enumerate(values):
+            x = batch.column(batch.schema.get_field_index(v)).cast(pa.float64()).fill_null(0.0).to_numpy()
+            before = np.concatenate([[0.0], np.cumsum(x)])
+            total = before[1:] - before[begins][group]
+            if carry and carry[0] == g[0]:
+                total[group == 0] += carry[1][k]
+            made.append(total)
+        carry[:] = [g[-1], [t[-1] for t in made]]
+        return made
 
     def local_pass(batches):
-        carry: dict = {}          # (value column, group) -> running total so far
-        pending = None            # previous batch, waiting for its successor's first row
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if keys:
-                # rows arrive sorted, so each batch holds few contiguous groups
-                codes = pdf.groupby(keys, sort=False).ngroup().to_numpy()
-                ukeys = list(pdf[keys].drop_duplicates().itertuples(index=False, name=None))
-            else:
-                codes = np.zeros(len(pdf), dtype=np.int64)
-                ukeys = [()]
-            for v in values:
-                col = pdf[v].astype("float64").fillna(0.0)
-                cs = col.groupby(codes, sort=False).cumsum().to_numpy()
-                base = np.array([carry.get((v, g), 0.0) for g in ukeys])[codes]
-                tot = cs + base
-                pdf[f"_l_{v}"] = tot
-                last = pd.Series(tot).groupby(codes, sort=False).last()
-                for code, val in last.items():
-                    carry[(v, ukeys[code])] = float(val)
+        carry: list = []
+        pending = None            # a batch and its totals, until its successor's first row is known
+
+        def done(batch, made, following):
+            columns = [*batch.columns, *(pa.array(t) for t in made)]
             if with_next:
-                same = pd.Series(codes).shift(-1).to_numpy() == codes
-                nxt = pdf[order[0]].shift(-1)
-                pdf["_l_next"] = nxt.where(same, None)
+                at, g = batch.schema.get_field_index(order[0]), batch.column(batch.schema.get_field_index("_g"))
+                values_, groups = batch.column(at), g
+                if following is not None:
+                    values_ = pa.concat_arrays([values_, following.column(at).slice(0, 1)])
+                    groups = pa.concat_arrays([g, following.column(following.schema.get_field_index("_g")).slice(0, 1)])
+                groups = groups.to_numpy()
+                last = np.ones(batch.num_rows, bool)
+                last[: len(groups) - 1] = groups[1:] != groups[:-1]
+                columns.append(values_.take(pa.array(np.where(last, 0, np.arange(1, len(last) + 1)), mask=last)))
+            return pa.RecordBatch.from_arrays(columns, out_schema.names)
+
+        for batch in batches:
+            if batch.num_rows:
                 if pending is not None:
-                    # last row of the previous batch: next is this batch's first row
-                    pk = tuple(pending[k].iloc[-1] for k in keys)
-                    ck = tuple(pdf[k].iloc[0] for k in keys)
-                    if pk == ck:
-                        pending.iloc[-1, pending.columns.get_loc("_l_next")] = \
-                            pdf[order[0]].iloc[0]
-                    yield pending[out_names]
-                pending = pdf
-            else:
-                yield pdf[out_names]
+                    yield done(*pending, batch)
+                pending = (batch, totals(batch, carry))
         if pending is not None:
-            yield pending[out_names]
+            yield done(*pending, None)
 
-    local = ranged.mapInPandas(local_pass, out_schema)
+    local = ranged.mapInArrow(local_pass, out_schema)
     aggs = [F.sum(F.col(v).cast("double")).alias(f"_t_{v}") for v in values]
     if with_next:
         aggs.append(F.min(order[0]).alias("_first"))
-    part = ranged.groupBy("_pid", *keys).agg(*aggs)
-    wk = Window.partitionBy(*keys).orderBy("_pid")
+    part = ranged.groupBy("_pid", "_g").agg(*aggs)
+    wk = Window.partitionBy("_g").orderBy("_pid")
     before = wk.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
+    whole = Window.partitionBy("_g")
     stats = [F.coalesce(F.sum(f"_t_{v}").over(before), F.lit(0.0)).alias(f"_o_{v}")
              for v in values]
     if with_totals:
         stats += [F.sum(f"_t_{v}").over(whole).alias(f"{'tot_'}{v}") for v in values]
     if with_next:
         stats.append(F.lead("_first").over(wk).alias("_nx_first"))
-    offsets = part.select("_pid", *keys, *stats)
-    joined = local.join(F.broadcast(offsets), ["_pid", *keys], "left")
+    offsets = part.select("_pid", "_g", *stats)
+    # one row per partition and group in it: as many as groups at least, so the
+    # join's plan is left to the session's broadcast threshold
+    joined = local.join(offsets, ["_pid", "_g"], "left")
     res = joined.withColumns({f"{prefix}{v}": F.col(f"_l_{v}") + F.coalesce(
         F.col(f"_o_{v}"), F.lit(0.0)) for v in values})
-    drop = ["_pid", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]]
+    drop = ["_pid", "_g", *[f"_l_{v}" for v in values], *[f"_o_{v}" for v in values]]
     if with_next:
         res = res.withColumn(f"next_{order[0]}", F.coalesce(F.col("_l_next"),
                                                             F.col("_nx_first")))

@@ -17,7 +17,7 @@ from skydrift.plans.registry import query
 from skydrift.session import scratch_path
 from skydrift.sources.fixtures import fx_predictions, fx_raw, fx_stg
 from skydrift.sources.ingest import (
-    cast_raw, pruned_columns, read_raw_text, sql_source, write_text_csv)
+    cast_raw, pruned_columns, publish_csv, read_raw_text, sql_source)
 from skydrift.sources.tables import register_views
 
 # Two model signatures (name -> type) used by the scoring jobs.
@@ -87,18 +87,27 @@ select flight_uid, flight_date, cast(origin_airport_id as integer) as origin_air
        cast(crs_dep_time as integer) as crs_dep_time, crs_elapsed_time, distance, cancelled
 from fx_raw"""))
 def q_csv_ingest(spark, sf_dir):
-    """OP-01/02/03/04/05: raw rows written as text CSV under a matching file
-    pattern (plus a decoy file that must be ignored), scanned with a
-    declared text schema, cast in one projection, loaded once with the row
-    count observed during the write."""
-    raw = fx_raw(spark, sf_dir).select(*[c for c, _ in _CSV_COLS])
+    """OP-01/02/03/04/05: raw rows written as text CSV under the raw files' name
+    pattern, one half in files with further columns, the other half in files
+    of another column order, beside a file of another name that must be ignored
+    and one that lacks a column and must be reported. All are scanned by name,
+    cast in one projection and loaded once; a second load finds the table and
+    writes nothing. The written count must be that of the scan."""
+    names = [c for c, _ in _CSV_COLS]
+    raw = fx_raw(spark, sf_dir).select(*names)
     folder = scratch_path(spark, "csv")
-    write_text_csv(raw, f"{folder}/in")
-    # file name pattern of the raw extracts: rename parts by a year-like name
-    text = read_raw_text(spark, f"{folder}/in", file_glob="part-*.csv",
-                         columns=[c for c, _ in _CSV_COLS])
-    typed = cast_raw(text, _CSV_COLS)
-    table, _written = L.load_once(spark, f"{folder}/typed", lambda: typed)
+    half = F.pmod(F.xxhash64("flight_uid"), F.lit(2))
+    wide = raw.filter(half == 0).select(F.lit("x").alias("source_file"), *names, F.lit("7").alias("extra"))
+    publish_csv(wide, f"{folder}/in/wide", "Combined_Flights_2018.csv")
+    publish_csv(raw.filter(half == 1).select(*names[::-1]), f"{folder}/in/turned", "Combined_Flights_2019.csv")
+    publish_csv(raw.limit(1), f"{folder}/in/decoy", "Notes_2018.csv")
+    publish_csv(raw.drop("distance").limit(1), f"{folder}/in/short", "Combined_Flights_2020.csv")
+    skipped: list[str] = []
+    typed = cast_raw(read_raw_text(spark, f"{folder}/in", columns=names, skipped=skipped), _CSV_COLS)
+    L.load_once(spark, f"{folder}/typed", lambda: typed)
+    table, again = L.load_once(spark, f"{folder}/typed", lambda: typed.limit(0))
+    if not skipped or any("2020" not in f for f in skipped) or again is not None:
+        raise RuntimeError(f"skipped {skipped}, loaded again: {again}")
     return table
 
 

@@ -8,6 +8,7 @@ nothing is configured -- local runs and tests -- do we create one ourselves.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -56,7 +57,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint folder, setting one only if unset.
 
     The cluster's ``spark.checkpoint.dir`` wins. A private folder is made
-    only when the session has none (local runs and tests).
+    only when a session in one JVM (local runs and tests) has none; on a
+    cluster that folder would be on each machine's own disk, so it is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -65,6 +67,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or \
         sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not re.match(r"local($|\[)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         conf_dir = tempfile.mkdtemp(prefix="skydrift-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

@@ -1,8 +1,9 @@
 """Ingest of raw flight CSV files (OP-01..06, 12).
 
-The files are read as text with a declared all-string schema (no inference
-pass), selected by a name pattern, pruned to the 33 raw columns, and cast in
-one typed projection. Input splits replace the original fixed-size chunks.
+The files are selected by a name pattern and read as text, one scan for each
+distinct header (no inference pass), pruned by name to the 33 raw columns, and
+cast in one typed projection. Input splits replace the original fixed-size
+chunks.
 """
 
 from __future__ import annotations
@@ -21,27 +22,43 @@ from skydrift.schemas import RAW_FLIGHT_COLUMNS
 RAW_FILE_GLOB = "Combined_Flights_[0-9][0-9][0-9][0-9].csv"
 
 
+def _headers(spark: SparkSession, path: str, file_glob: str) -> dict[tuple[str, ...], list[str]]:
+    """The matching files by their header. The listing reads no content, and
+    each header is one small job on the file's first line."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
+             .option("recursiveFileLookup", True).load(path).select("path"))
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for row in files.sort("path").collect():  # one row per file
+        header = spark.read.option("header", True).csv(row.path).columns
+        groups.setdefault(tuple(header), []).append(row.path)
+    return groups
+
+
 def read_raw_text(spark: SparkSession, path: str, file_glob: str = RAW_FILE_GLOB,
                   columns: Sequence[str] | None = None,
-                  extra_columns: Sequence[str] = ()) -> DataFrame:
+                  skipped: list[str] | None = None) -> DataFrame:
     """OP-01/02: CSV scan by file-name pattern; every column is text, the
-    empty string is NULL; only the listed columns are kept (pruned).
-    Unreadable files are skipped (``ignoreCorruptFiles``); malformed lines
-    are kept with NULLs (PERMISSIVE)."""
+    empty string is NULL; the listed columns are selected by name, whatever
+    else a file's header holds and in whatever order.
+
+    A file without one of the columns raises, unless ``skipped`` is given:
+    then it is left out and named there. Malformed lines are kept with NULLs
+    (PERMISSIVE); an unreadable file fails the read."""
     cols = list(columns) if columns is not None else [c for c, _ in RAW_FLIGHT_COLUMNS]
-    # a header may carry extra columns: declare them so positions line up
-    all_cols = cols + [c for c in extra_columns if c not in cols]
-    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in all_cols])
-    df = (spark.read.schema(schema)
-          .option("header", True)
-          .option("pathGlobFilter", file_glob)
-          .option("recursiveFileLookup", True)
-          .option("mode", "PERMISSIVE")
-          .option("ignoreCorruptFiles", True)
-          .option("enforceSchema", False)
-          .option("nullValue", "")
-          .csv(path))
-    return df.select(*cols)
+    text = T.StructType([T.StructField(c, T.StringType(), True) for c in cols])
+    out = spark.createDataFrame([], text)
+    for header, files in _headers(spark, path, file_glob).items():
+        absent = [c for c in cols if c not in header]
+        if absent:
+            if skipped is None:
+                raise ValueError(f"{files}: no column {', '.join(absent)}")
+            skipped.extend(files)
+            continue
+        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+        part = (spark.read.schema(schema).option("header", True)
+                .option("mode", "PERMISSIVE").option("nullValue", "").csv(files))
+        out = out.unionByName(part.select(*cols))
+    return out
 
 
 def cast_raw(text: DataFrame, types: Sequence[tuple[str, str]] = RAW_FLIGHT_COLUMNS) -> DataFrame:
@@ -75,3 +92,17 @@ def write_text_csv(df: DataFrame, path: str) -> None:
     df.select(*[text(c) for c in df.columns]) \
         .write.mode("overwrite").option("header", True).option("nullValue", "") \
         .option("emptyValue", "").csv(path)
+
+
+def publish_csv(df: DataFrame, path: str, name: str) -> None:
+    """Text CSV files of ``df``, each named ``name`` in a folder of its own
+    below ``path`` (the raw extracts carry the year in their names)."""
+    write_text_csv(df, f"{path}/written")
+    spark = df.sparkSession
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    written = hadoop.Path(f"{path}/written")
+    fs = written.getFileSystem(spark._jsc.hadoopConfiguration())
+    for n, status in enumerate(fs.globStatus(hadoop.Path(written, "part-*.csv"))):
+        folder = hadoop.Path(f"{path}/{n}")
+        fs.mkdirs(folder)
+        fs.rename(status.getPath(), hadoop.Path(folder, name))
