@@ -32,10 +32,6 @@ from skydrift.session import materialize
 LOW_CARD_STRATEGIES = ("onehot", "ordinal")
 HIGH_CARD_STRATEGIES = ("target", "ordinal", "frequency")
 NUM_IMPUTE = ("median", "mean", "most_frequent")
-# category tables up to this many rows are broadcast; larger ones shuffle
-BROADCAST_CATEGORIES = 1_000_000  # ~60 MB of (key, value) rows
-# a "low-cardinality" column with more categories than this is rejected
-MAX_ONEHOT = 1_000
 NULL_KEY = "\u0000null"  # sentinel for a NULL category in keyed lookups
 
 
@@ -132,13 +128,13 @@ class CategoryTable:
     """Per-category values of one high-cardinality column."""
     column: str
     frame: DataFrame          # (key string, value double) [+ fold]
-    rows: int                 # counted size -> broadcast decision
+    rows: int                 # number of categories
     default: float | Column
 
     def lookup(self, df: DataFrame, out: str, on_fold: str | None = None) -> DataFrame:
+        # no hint: the join goes by the table's size in bytes and the session's
+        # threshold; larger ones are shuffled, with a hot category split by AQE
         t = self.frame.withColumnRenamed("value", out)
-        if self.rows <= BROADCAST_CATEGORIES:
-            t = F.broadcast(t)
         keys = ["_k"] + ([on_fold] if on_fold else [])
         j = df.withColumn("_k", _key(self.column)).join(t, keys, "left").drop("_k")
         d = self.default if isinstance(self.default, Column) else F.lit(float(self.default))
@@ -184,8 +180,8 @@ def target_sums(train: DataFrame, cols: Sequence[str], y: str,
     long = stack_long(train.withColumn("_y", yv), cols, extra=[*extra, "_y"])
     return long.groupBy("column", *extra, F.coalesce(F.col("sval"), F.lit(NULL_KEY))
                         .alias("_k")).agg(
-        F.count(F.lit(1)).alias("n"), F.sum("_y").alias("sy"),
-        F.sum(F.col("_y") * F.col("_y")).alias("syy"))
+        F.count("_y").alias("n"), F.coalesce(F.sum("_y"), F.lit(0.0)).alias("sy"),
+        F.coalesce(F.sum(F.col("_y") * F.col("_y")), F.lit(0.0)).alias("syy"))
 
 
 def _global(stats: DataFrame) -> DataFrame:
@@ -262,14 +258,13 @@ class FittedPreprocessor:
         for c in s.low_card_cols:
             levels = self.onehot_levels[c]
             if s.low_card_strategy == "onehot":
-                cols = {f"{c}__{_safe(v)}": (F.col(c) == F.lit(v)).cast("double")
-                        for v in levels}
-                cols = {k: F.coalesce(v, F.lit(0.0)) for k, v in cols.items()}
+                cols = {k: F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
+                        for k, v in zip(_level_names(c, levels), levels)}
             else:
-                e = F.lit(-1.0)
-                for i, v in reversed(list(enumerate(levels))):
-                    e = F.when(F.col(c) == F.lit(v), F.lit(float(i))).otherwise(e)
-                cols = {f"{c}__ord": e}
+                # one look-up in a literal map, whatever the number of levels
+                cols = {f"{c}__ord": F.coalesce(F.element_at(F.create_map(
+                    *[F.lit(x) for i, v in enumerate(levels) for x in (v, float(i))]), F.col(c)),
+                    F.lit(-1.0)) if levels else F.lit(-1.0)}
             out = out.withColumns(cols)
             names += list(cols)
         # 2. high-cardinality
@@ -308,6 +303,16 @@ def _safe(v) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in str(v))
 
 
+def _level_names(col: str, levels: Sequence) -> list[str]:
+    """One name per level; levels whose names would be the same (also but for
+    the letters' case) get the level's number appended."""
+    plain = [f"{col}__{_safe(v)}" for v in levels]
+    times: dict[str, int] = {}
+    for n in plain:
+        times[n.lower()] = times.get(n.lower(), 0) + 1
+    return [n if times[n.lower()] == 1 else f"{n}__{i}" for i, n in enumerate(plain)]
+
+
 @dataclass
 class Preprocessor:
     low_card_cols: Sequence[str] = ()
@@ -368,9 +373,6 @@ class Preprocessor:
         fitted = FittedPreprocessor(self, num_fill, cat_fill)
         # imputation maps NULL to an existing value, so the distinct levels
         # of the raw counts are the levels after imputation
-        for c in self.low_card_cols:
-            if rows.get(c, 0) > MAX_ONEHOT:
-                raise ValueError(f"{c} has more than {MAX_ONEHOT} levels; use high_card")
         if self.low_card_cols and vc is not None:
             levels: dict = {c: [] for c in self.low_card_cols}
             low = vc.filter(F.col("column").isin(list(self.low_card_cols)))
