@@ -34,21 +34,16 @@ def table_has_rows(spark: SparkSession, path: str) -> bool:
     return table_exists(spark, path) and bool(spark.read.parquet(path).limit(1).take(1))
 
 
-def write_counted(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> int:
-    """OP-05/07: one write; the row count is read from the written parquet
-    footers (row-group metadata only, no pass over the data). A metric
-    ``Observation`` would avoid even that, but in this Spark version it leaves
-    a non-serialisable manager on the session that breaks later checkpoints."""
-    spark = df.sparkSession
-    before = int(spark.read.parquet(path).count()) if mode == "append" and \
-        table_has_rows(spark, path) else 0
+def write_counted(df: DataFrame, path: str, partition_by: Sequence[str] = (),
+                  sort_within: Sequence[str] = ()) -> int:
+    """OP-05/07: one write of a whole table; the row count is read from the
+    written parquet footers (row-group metadata only, no pass over the data)."""
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
-    w = out.write.mode(mode)
+    w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return int(spark.read.parquet(path).count()) - before
+    return int(df.sparkSession.read.parquet(path).count())
 
 
 def load_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
@@ -57,35 +52,46 @@ def load_once(spark: SparkSession, path: str, build: Callable[[], DataFrame],
     returns the table and the written row count (None when it existed)."""
     if table_has_rows(spark, path):
         return spark.read.parquet(path), None
-    n = write_counted(build(), path, "overwrite", partition_by)
+    n = write_counted(build(), path, partition_by)
     return spark.read.parquet(path), n
 
 
 def materialise_sorted(df: DataFrame, path: str, partition_by: Sequence[str],
                        sort_by: Sequence[str]) -> int:
-    """OP-07 + OP-32: CTAS laid out by partition columns, sorted within
-    files by the date (min/max statistics then prune date filters)."""
-    laid = df.repartition(*[F.col(c) for c in partition_by]) if partition_by else df
-    return write_counted(laid, path, "overwrite", partition_by, sort_by)
+    """OP-07 + OP-32: CTAS laid out by partition columns and sorted within files
+    (min/max statistics then prune date filters). Rows are ranged by partition
+    and sort columns together, so a large partition is divided among many
+    writers, each with a range of its own, and small ones share a task."""
+    laid = df.repartitionByRange(*partition_by, *sort_by)
+    return write_counted(laid, path, partition_by, [*partition_by, *sort_by])
 
 
-def clone_empty(src: DataFrame, path: str) -> None:
-    """OP-08: ``CREATE TABLE ... (LIKE src)``: same schema, no rows."""
-    src.limit(0).write.mode("overwrite").parquet(path)
+BATCH = "batch_id"
 
 
-def append(df: DataFrame, path: str) -> int:
-    """OP-09/10: columnar append."""
-    return write_counted(df, path, "append")
+def clone_empty(src: DataFrame, path: str) -> bool:
+    """OP-08: ``CREATE TABLE IF NOT EXISTS ... (LIKE src)``: same schema, no
+    rows. Tables that grow by batches keep each batch in its own folder, and the
+    empty clone is batch -1. Returns whether it was made."""
+    if table_exists(src.sparkSession, path):
+        return False
+    src.limit(0).coalesce(1).write.mode("overwrite").parquet(f"{path}/{BATCH}=-1")
+    return True
+
+
+def append_batch(df: DataFrame, path: str, batch_id: int) -> int:
+    """OP-09/10: columnar append of one batch, and its row count. A batch that
+    is appended again (a retry) replaces itself, and no other batch's rows are
+    listed or counted."""
+    return write_counted(df, f"{path}/{BATCH}={int(batch_id)}")
 
 
-def rotate_log(spark: SparkSession, log_path: str, consumed_upto_id: int,
-               out_path: str, id_col: str = "id") -> int:
-    """OP-10/11 without the lost-rows race: consume rows up to a fixed id,
-    keep the rest in a new log version (written to ``out_path``)."""
-    log = spark.read.parquet(log_path)
-    return write_counted(log.filter(F.col(id_col) > F.lit(consumed_upto_id)), out_path,
-                         "overwrite")
+def rotate_log(spark: SparkSession, log_path: str, consumed_upto: int, out_path: str) -> int:
+    """OP-10/11 without the lost-rows race: batches up to a fixed id were
+    consumed; the later ones are kept in a new log version at ``out_path``.
+    Batch ids grow with arrival, so what arrived meanwhile stays."""
+    left = spark.read.parquet(log_path).filter(F.col(BATCH) > F.lit(consumed_upto))
+    return write_counted(left, out_path, [BATCH])
 
 
 def promotion_decisions(runs: DataFrame, score: str, order: Sequence[str],

@@ -58,6 +58,32 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
                   .drop("_rid", "_pid", "_local", "_off"))
 
 
+def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, tuple]:
+    """The order values of the rows at some 0-based positions (those within the
+    table). Only the order columns are ranged and materialised, never whole
+    rows; one small row per position reaches the driver."""
+    wanted = sorted({int(p) for p in positions})
+    if not wanted:
+        return {}
+    placed = global_row_number(df.select(*order), list(order), "_pos")
+    return {r["_pos"]: tuple(r[c] for c in order)
+            for r in placed.filter(F.col("_pos").isin(wanted)).collect()}
+
+
+def before(df: DataFrame, order: Sequence[str], cut: tuple | None) -> Column:
+    """True for the rows that come before ``cut`` in ``order`` (ascending, NULLs
+    first); all rows if there is no cut. A plain filter on the source rows."""
+    if cut is None:
+        return F.lit(True)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = F.lit(False)
+    for name, value in reversed(list(zip(order, cut))):
+        c, v = F.col(name), F.lit(value).cast(types[name])
+        less = F.lit(False) if value is None else c.isNull() | (c < v)
+        out = less | (c.eqNullSafe(v) & out)
+    return F.coalesce(out, F.lit(False))
+
+
 def running_totals(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                    values: Sequence[str], prefix: str = "cum_",
                    partitions: int | None = None, with_next: bool = False,

@@ -11,13 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skydrift.functions.exprs import md5_bucket
-from skydrift.operators.positions import global_row_number
-
-# Above this many rows an ordered limit is computed from exact global
-# positions instead of TakeOrderedAndProject (whose final merge is one task
-# holding partitions x n rows).
-TAKE_ORDERED_MAX = 10_000
-
+from skydrift.operators.positions import before, rows_at
 
 def date_range(df: DataFrame, col: str, start: str, end: str) -> DataFrame:
     """Half-open ``start <= col < end`` (end exclusive); prunes partitions
@@ -26,27 +20,22 @@ def date_range(df: DataFrame, col: str, start: str, end: str) -> DataFrame:
     return df.filter((c >= F.lit(start).cast("date")) & (c < F.lit(end).cast("date")))
 
 
-def calendar_month(df: DataFrame, month: int, col: str = "month") -> DataFrame:
-    return df.filter(F.col(col) == F.lit(month))
-
-
-def ordered_limit(df: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
-    """First ``n`` rows in ``order`` (a total order). Small ``n`` ->
-    TakeOrderedAndProject (per-partition top-n, then merge); large ``n`` ->
-    exact positions from range partitioning, then a filter."""
-    cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    if n <= TAKE_ORDERED_MAX:
-        return df.orderBy(*cols).limit(n)
-    return global_row_number(df, cols, "_pos").filter(F.col("_pos") < n).drop("_pos")
+def ordered_limit(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
+    """First ``n`` rows in ascending ``order`` (a total order), for any ``n``:
+    the row at position ``n`` is found on the order columns alone, and the
+    source is filtered by it. No task merges or holds ``n`` rows."""
+    return df.filter(before(df, order, rows_at(df, order, [n]).get(n)))
 
 
 def earliest_n(df: DataFrame, date_col: str, key_col: str, n: int) -> DataFrame:
-    return ordered_limit(df, [F.col(date_col).asc(), F.col(key_col).asc()], n)
+    return ordered_limit(df, [date_col, key_col], n)
 
 
 def latest_n(df: DataFrame, ts_col: str, id_col: str, n: int) -> DataFrame:
-    """Newest ``n`` rows; ties in the timestamp are broken by id (desc)."""
-    return ordered_limit(df, [F.col(ts_col).desc(), F.col(id_col).desc()], n)
+    """Newest ``n`` rows; ties in the timestamp are broken by id (desc). The
+    monitoring window is small by definition, so each task keeps its own newest
+    ``n`` and only those are merged."""
+    return df.orderBy(F.col(ts_col).desc(), F.col(id_col).desc()).limit(n)
 
 
 def hash_sample(df: DataFrame, key: str, per_mille: int = 10, modulus: int = 1000) -> DataFrame:
@@ -55,9 +44,16 @@ def hash_sample(df: DataFrame, key: str, per_mille: int = 10, modulus: int = 100
     return df.filter(md5_bucket(key, modulus) < per_mille)
 
 
-def bernoulli(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """Independent per-row inclusion with a seeded generator."""
-    return df.sample(withReplacement=False, fraction=fraction, seed=seed)
+def seeded_unit(key: str, seed: int | str) -> Column:
+    """A number in [0, 1) from md5 of ``seed || key``: the same for a key on any
+    engine, run and layout of the rows."""
+    return md5_bucket(F.concat(F.lit(str(seed)), F.col(key).cast("string")), 1 << 30) / F.lit(float(1 << 30))
+
+
+def bernoulli(df: DataFrame, fraction: float, key: str, seed: int) -> DataFrame:
+    """Independent inclusion of each key with probability ``fraction``. Unlike a
+    generator per partition, a lost and recomputed task draws the same rows."""
+    return df.filter(seeded_unit(key, seed) < fraction)
 
 
 def seeded_order_key(key: str, seed: int | str) -> Column:
@@ -67,45 +63,34 @@ def seeded_order_key(key: str, seed: int | str) -> Column:
 
 def seeded_fixed_size(df: DataFrame, key: str, n: int, seed: int | str) -> DataFrame:
     """Uniform sample of exactly ``min(n, count)`` rows, reproducible."""
-    return ordered_limit(df, [seeded_order_key(key, seed), F.col(key)], n)
+    placed = df.withColumn("_o", seeded_order_key(key, seed))
+    return ordered_limit(placed, ["_o", key], n).drop("_o")
 
 
-def semi_join_keys(base: DataFrame, keys: DataFrame, key: str,
-                   bounded_rows: int | None = None) -> DataFrame:
+def semi_join_keys(base: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Late materialisation: pick keys on a narrow projection, then fetch the
-    wide rows with a left-semi join. The key side is broadcast only when its
-    size is proven (``bounded_rows`` from a limit); otherwise AQE decides
-    from runtime statistics."""
-    k = keys.select(key)
-    if bounded_rows is not None and bounded_rows <= 1_000_000:
-        k = F.broadcast(k)
-    return base.join(k, key, "left_semi")
+    wide rows with a left-semi join, planned from the key side's real size."""
+    return base.join(keys.select(key), key, "left_semi")
 
 
 def equalise(reference: DataFrame, current: DataFrame, key: str,
              seeds: tuple[int, int] = (42, 24)) -> tuple[DataFrame, DataFrame]:
-    """Downsample both sides to ``min(|ref|, |cur|)`` rows in seeded order.
-    The size is a scalar subquery (one value); positions
-    are exact, so no row cap is computed on the driver."""
-    keep = F.least(reference.agg(F.count(F.lit(1))).scalar(),
-                   current.agg(F.count(F.lit(1))).scalar())
-
-    def cut(df, seed):
-        pos = global_row_number(df, [seeded_order_key(key, seed), F.col(key)], "_pos")
-        return pos.filter(F.col("_pos") < keep).drop("_pos")
-    return cut(reference, seeds[0]), cut(current, seeds[1])
+    """Downsample both sides to ``min(|ref|, |cur|)`` rows in seeded order."""
+    keep = min(reference.count(), current.count())
+    return (seeded_fixed_size(reference, key, keep, seeds[0]),
+            seeded_fixed_size(current, key, keep, seeds[1]))
 
 
-def staged_downsample(df: DataFrame, fractions: Sequence[float], max_rows: int,
+def staged_downsample(df: DataFrame, fractions: Sequence[float], max_rows: int, key: str,
                       seed: int = 42) -> DataFrame:
-    """Keep ``1 - fraction`` of the rows per stage until under ``max_rows``.
-    Iterative by nature: one count per stage (a scalar), the data never
-    leaves the executors."""
+    """Drop a ``fraction`` of the rows per stage; after each stage, stop if
+    fewer than ``max_rows`` are left. Iterative by nature: one count per stage
+    (a scalar), the data never leaves the executors."""
     out = df
     for i, f in enumerate(fractions):
-        if out.count() <= max_rows:
+        out = bernoulli(out, 1.0 - f, key, seed + i)
+        if out.count() < max_rows:
             break
-        out = out.sample(withReplacement=False, fraction=1.0 - f, seed=seed + i)
     return out
 
 

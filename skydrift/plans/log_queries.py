@@ -27,6 +27,7 @@ SIG_CLS = {"origin_airport_id": "long", "dep_time_blk": "string", "day_of_week":
            "distance": "double", "marketing_airline_network": "string"}
 LOG_FEATURES = ["origin_airport_id", "dest_airport_id", "tail_number", "dep_time_blk",
                 "crs_dep_time", "crs_elapsed_time", "distance"]
+LOG_FEATURES_TEXT = [f"cast({c} as varchar)" for c in LOG_FEATURES]
 
 
 def _log(spark, sf_dir):
@@ -172,8 +173,8 @@ select flight_uid, cast(crs_dep_time as bigint) as crs_dep_time, crs_elapsed_tim
        cast(origin_airport_id as bigint) as origin_airport_id, tail_number
 from fx_stg"""))
 def q_json_expand(spark, sf_dir):
-    """OP-65/67: features serialised to JSON, then expanded back by key
-    (keys discovered with a distributed distinct; types applied)."""
+    """OP-65/67: features serialised to JSON, then expanded back by the keys of
+    the given types."""
     log = _log(spark, sf_dir)
     types = {"crs_dep_time": "bigint", "crs_elapsed_time": "double", "dep_time_blk": "string",
              "dest_airport_id": "bigint", "distance": "double", "origin_airport_id": "bigint",
@@ -182,15 +183,18 @@ def q_json_expand(spark, sf_dir):
 
 
 @query("json_keys_discovered", with_fx(["fx_stg"], """
-select unnest(['crs_dep_time', 'crs_elapsed_time', 'dep_time_blk', 'dest_airport_id',
-               'distance', 'origin_airport_id', 'tail_number']) as json_key"""))
+select json_key, count(*) as documents from (
+  select unnest(json_keys(to_json(struct_pack(""" + ", ".join(f"{c} := {c}" for c in LOG_FEATURES) + """)))) as json_key,
+         unnest(list_transform([""" + ", ".join(LOG_FEATURES_TEXT) + """], lambda v: v is not null)) as held
+  from fx_stg) k where held group by 1"""))
 def q_json_keys(spark, sf_dir):
-    """OP-67 discovery: the distinct keys of every logged feature object
-    (NULL-valued keys are dropped by the serialiser)."""
-    log = _log(spark, sf_dir)
-    return log.select(F.explode(F.map_keys(F.from_json(
-        "input_features", T.MapType(T.StringType(), T.StringType())))).alias("json_key")) \
-        .distinct()
+    """OP-67 discovery: the keys of the logged feature objects, found in the
+    data, and how many documents hold each (NULL-valued keys are dropped by the
+    serialiser)."""
+    keys = expand_json(_log(spark, sf_dir), "input_features", ["flight_uid"])
+    held = [c for c in keys.columns if c != "flight_uid"]
+    counts = keys.agg(*[F.count(c).alias(c) for c in held])
+    return counts.unpivot([], held, "json_key", "documents").filter("documents > 0")
 
 
 _RETRAIN_SCHEMA = T.StructType([
@@ -225,56 +229,77 @@ def q_materialise(spark, sf_dir):
     """OP-07/32: CTAS of the staging table partitioned by (year, month),
     date-sorted within files; read back through partition pruning."""
     path = scratch_path(spark, "stg")
-    L.materialise_sorted(fx_stg(spark, sf_dir), path, ["year", "month"], ["flight_date"])
+    L.materialise_sorted(fx_stg(spark, sf_dir), path, ["year", "month"], ["flight_date", "flight_uid"])
     t = spark.read.parquet(path)
     return t.groupBy("year", "month").agg(F.count(F.lit(1)).alias("rows"),
                                           F.min("flight_date").alias("min_date"),
                                           F.max("flight_date").alias("max_date"))
 
 
-@query("retrain_clone_append", with_fx(["fx_stg"], """
-select source, count(*) as rows, cast(sum(arr_del15) as bigint) as delayed from (
-  select 'reference' as source, arr_del15 from fx_stg
-  where flight_date < date '1999-01-01'
-    and cast(('0x' || substr(md5(flight_uid), 1, 8)) as bigint) % 1000 < 10
-  union all
-  select 'appended', arr_del15 from fx_stg where flight_date >= date '1999-01-01') u
-group by source"""))
-def q_retrain_clone_append(spark, sf_dir):
-    """OP-08/09/10: retrain table = copy of the reference sample (empty clone
-    first), then labelled log rows of the current period appended through
-    the JSON projection."""
+@query("retrain_cycle", with_fx(["fx_stg"], """
+select 'reference' as part, count(*) as rows, cast(sum(arr_del15) as bigint) as delayed,
+       min(flight_date) as first_date from fx_stg
+where flight_date < date '1999-01-01'
+  and cast(('0x' || substr(md5(flight_uid), 1, 8)) as bigint) % 1000 < 10
+union all
+select 'appended', count(*), cast(sum(arr_del15) as bigint), min(flight_date) from fx_stg
+where year in (1999, 2000)
+union all
+select 'left in the log', count(*), cast(sum(arr_del15) as bigint), min(flight_date) from fx_stg
+where year >= 2001"""))
+def q_retrain_cycle(spark, sf_dir):
+    """OP-04/08/09/10/11/66, the retrain operation as one: the retrain table is
+    cloned empty when absent and given the reference sample; the labelled log
+    rows of the batches at hand are projected by the table's own schema and
+    appended to that same table; a later batch arrives meanwhile; then the
+    consumed batches are cleared, and only those. Each append is retried once,
+    which must change nothing."""
     from skydrift.operators.sampling import hash_sample
     stg = fx_stg(spark, sf_dir)
-    split = F.lit("1999-01-01").cast("date")
-    base = hash_sample(stg.filter(F.col("flight_date") < split), "flight_uid", 10) \
+    table, log = scratch_path(spark, "retrain"), scratch_path(spark, "log")
+    base = hash_sample(stg.filter(F.col("flight_date") < F.lit("1999-01-01").cast("date")),
+                       "flight_uid", 10) \
         .select(*[F.col(f.name).cast(f.dataType) for f in _RETRAIN_SCHEMA.fields])
-    path = scratch_path(spark, "retrain")
-    L.clone_empty(base, path)
-    L.append(base.withColumn("source", F.lit("reference")), path + "_data")
-    log = _log(spark, sf_dir).filter(F.col("timestamp") >= split.cast("timestamp"))
-    add = retrain_projection(log, _RETRAIN_SCHEMA).withColumn("source", F.lit("appended"))
-    L.append(add, path + "_data")
-    t = spark.read.parquet(path + "_data")
-    return t.groupBy("source").agg(F.count(F.lit(1)).alias("rows"),
-                                   F.sum("arr_del15").cast("bigint").alias("delayed"))
+    made = L.clone_empty(base, table), L.clone_empty(base, table)
+    if made != (True, False):
+        raise RuntimeError(f"cloned: {made}")
+    L.append_batch(base, table, 0)
+
+    def arrive(year):
+        rows = _log(spark, sf_dir).filter(F.year("timestamp") == year)
+        return L.append_batch(rows, log, year)
+
+    arrive(1999), arrive(2000), arrive(2000)
+    held = spark.read.parquet(log)
+    upto = held.agg(F.max(L.BATCH)).first()[0]
+    target = T.StructType([f for f in spark.read.parquet(table).schema.fields if f.name != L.BATCH])
+    rows = retrain_projection(held.filter(F.col(L.BATCH) <= upto), target)
+    L.append_batch(rows, table, upto), L.append_batch(rows, table, upto)
+    arrive(2001)  # between the append and the clearing
+    L.rotate_log(spark, log, upto, log + "-next")
+
+    def summary(df, part):
+        return df.agg(F.count(F.lit(1)).alias("rows"), F.sum("arr_del15").cast("bigint").alias("delayed"),
+                      F.min("flight_date").alias("first_date")) \
+            .select(F.lit(part).alias("part"), "rows", "delayed", "first_date")
+    t, left = spark.read.parquet(table), spark.read.parquet(log + "-next")
+    return summary(t.filter(F.col(L.BATCH) == 0), "reference") \
+        .unionByName(summary(t.filter(F.col(L.BATCH) > 0), "appended")) \
+        .unionByName(summary(retrain_projection(left, target), "left in the log"))
 
 
 @query("log_rotate", with_fx(["fx_predictions"], """
-select count(*) as remaining, min(id) as first_id from fx_predictions
-where id > (select max(id) from fx_predictions where ts < timestamp '2024-01-15')"""))
+select dayofmonth(ts) as batch_id, count(*) as remaining, min(id) as first_id from fx_predictions
+where dayofmonth(ts) > 15 group by 1"""))
 def q_log_rotate(spark, sf_dir):
-    """OP-10/11 + Q12: consume the log up to a fixed id, keep what arrived
-    after it (no rows lost between append and clear)."""
-    p = fx_predictions(spark, sf_dir)
+    """OP-10/11 + Q12: the log's daily batches are consumed up to a fixed batch;
+    those that arrived after it are kept, with their ids."""
+    p = fx_predictions(spark, sf_dir).withColumn(L.BATCH, F.dayofmonth("ts"))
     path = scratch_path(spark, "log")
-    L.write_counted(p, path)
-    upto = p.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp")) \
-        .agg(F.max("id")).first()[0]
-    out = path + "_rotated"
-    L.rotate_log(spark, path, upto, out)
-    return spark.read.parquet(out).agg(F.count(F.lit(1)).alias("remaining"),
-                                       F.min("id").alias("first_id"))
+    L.write_counted(p, path, [L.BATCH])
+    L.rotate_log(spark, path, 15, path + "-next")
+    return spark.read.parquet(path + "-next").groupBy(F.col(L.BATCH).cast("bigint").alias("batch_id")) \
+        .agg(F.count(F.lit(1)).alias("remaining"), F.min("id").alias("first_id"))
 
 
 _DAILY = """daily AS (

@@ -16,7 +16,7 @@ from skydrift.sources.fixtures import fx_predictions, fx_stg
 # The training window and sample rule of the reference sampler,
 # re-dated onto the fixture calendar (end exclusive).
 SAMPLE_START, SAMPLE_END = "1995-01-01", "1998-12-31"
-SAMPLE_LIMIT = 100_000
+SAMPLE_LIMIT = 100_000  # bound of the training rows
 HASH_SQL = "cast(('0x' || substr(md5(flight_uid), 1, 8)) as bigint) % 1000"
 
 
@@ -37,14 +37,14 @@ select * from fx_stg where flight_uid in (
     and {HASH_SQL} < 10
   order by flight_date, flight_uid limit {SAMPLE_LIMIT})"""))
 def q_hash_sample_semi_join(spark, sf_dir):
-    """OP-28 + OP-33: sample and cap on two columns, then fetch wide rows
-    with a semi-join (key side broadcast: bounded by the limit)."""
+    """OP-28 + OP-33: sample and cap on two columns (``SAMPLE_LIMIT`` bounds the
+    training rows), then fetch wide rows with a semi-join."""
     stg = fx_stg(spark, sf_dir)
     keys = earliest_n(hash_sample(date_range(stg.select("flight_uid", "flight_date"),
                                              "flight_date", SAMPLE_START, SAMPLE_END),
                                   "flight_uid", 10),
                       "flight_date", "flight_uid", SAMPLE_LIMIT)
-    return semi_join_keys(stg, keys, "flight_uid", bounded_rows=SAMPLE_LIMIT)
+    return semi_join_keys(stg, keys, "flight_uid")
 
 
 @query("earliest_n", with_fx(["fx_stg"], """
@@ -56,7 +56,7 @@ def q_earliest_n(spark, sf_dir):
 @query("earliest_n_large", with_fx(["fx_stg"], """
 select flight_uid, flight_date from fx_stg order by flight_date, flight_uid limit 20000"""))
 def q_earliest_n_large(spark, sf_dir):
-    """Large n takes the exact-position path instead of a single merge task."""
+    """Any n: a cut on the order columns, then a filter."""
     return earliest_n(fx_stg(spark, sf_dir).select("flight_uid", "flight_date"),
                       "flight_date", "flight_uid", 20000)
 
@@ -81,19 +81,29 @@ def q_seeded_fixed_size(spark, sf_dir):
                              "flight_uid", 500, 42)
 
 
-@query("bernoulli_sample")
+def _unit(seed: int, key: str = "flight_uid") -> str:
+    return (f"(cast(('0x' || substr(md5(concat('{seed}', {key})), 1, 8)) as bigint) % {1 << 30}) "
+            f"/ {float(1 << 30)}::double")
+
+
+@query("bernoulli_sample", with_fx(["fx_stg"], f"""
+select flight_uid, flight_date from fx_stg where {_unit(42)} < 0.04"""))
 def q_bernoulli(spark, sf_dir):
-    """OP-39: seeded Bernoulli 4 % sample (rows-only check)."""
-    return bernoulli(fx_stg(spark, sf_dir), 0.04, 42).select("flight_uid", "flight_date")
+    """OP-39: seeded Bernoulli 4 % sample."""
+    return bernoulli(fx_stg(spark, sf_dir), 0.04, "flight_uid", 42).select("flight_uid", "flight_date")
 
 
-@query("retrain_sample")
+@query("retrain_sample", with_fx(["fx_stg"], f"""
+select * from fx_stg
+where flight_date >= date '1995-01-01' and flight_date < date '1999-01-01' and {_unit(42)} < 0.04
+order by md5(concat('43', flight_uid)), flight_uid limit {SAMPLE_LIMIT}"""))
 def q_retrain_sample(spark, sf_dir):
-    """OP-39 + OP-40 + OP-32: Bernoulli pre-filter, seeded fixed-size cap,
-    sorted by date (the retrain table recipe)."""
+    """OP-39 + OP-40 + OP-32: Bernoulli pre-filter, seeded fixed-size cap
+    (``SAMPLE_LIMIT`` bounds the training rows), sorted by date (the retrain
+    table recipe)."""
     pre = bernoulli(date_range(fx_stg(spark, sf_dir), "flight_date", "1995-01-01",
-                               "1999-01-01"), 0.04, 42)
-    return seeded_fixed_size(pre, "flight_uid", SAMPLE_LIMIT, 42) \
+                               "1999-01-01"), 0.04, "flight_uid", 42)
+    return seeded_fixed_size(pre, "flight_uid", SAMPLE_LIMIT, 43) \
         .sortWithinPartitions("flight_date")
 
 
@@ -160,11 +170,16 @@ def q_equalised(spark, sf_dir):
     return summ(r, "reference").unionByName(summ(c, "current"))
 
 
-@query("staged_downsample")
+@query("staged_downsample", with_fx(["fx_stg"], f"""
+select flight_uid, flight_date from fx_stg
+where {_unit(42)} < 0.5
+  and ((select count(*) from fx_stg where {_unit(42)} < 0.5) < 10000 or {_unit(43)} < 0.5
+       and ((select count(*) from fx_stg where {_unit(42)} < 0.5 and {_unit(43)} < 0.5) < 10000
+            or {_unit(44)} < 0.5))"""))
 def q_staged_downsample(spark, sf_dir):
-    """OP-43: keep 1-fraction per stage until below the row budget."""
+    """OP-43: drop a fraction per stage until below the row budget."""
     return staged_downsample(fx_stg(spark, sf_dir).select("flight_uid", "flight_date"),
-                             [0.5, 0.5, 0.5], 10_000, 42)
+                             [0.5, 0.5, 0.5], 10_000, "flight_uid", 42)
 
 
 @query("monthly_batches", with_fx(["fx_stg"], """
