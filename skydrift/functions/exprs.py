@@ -64,11 +64,6 @@ def md5_bucket(x: ColLike, modulus: int) -> Column:
     return F.pmod(h, F.lit(modulus))
 
 
-def xxhash_bucket(x: ColLike, modulus: int) -> Column:
-    """Fast variant of :func:`md5_bucket` (engine-specific values)."""
-    return F.pmod(F.xxhash64(_c(x)), F.lit(modulus))
-
-
 # ---------------------------------------------------------------- cyclic time
 def hhmm_to_minutes(x: ColLike) -> Column:
     """HHMM -> minutes since midnight with floor division and a non-negative
@@ -98,8 +93,3 @@ def clean_metric(x: ColLike) -> Column:
     c = _c(x).cast("double")
     bad = c.isNull() | F.isnan(c) | (F.abs(c) == F.lit(float("inf")))
     return F.when(bad, F.lit(0.0)).otherwise(c)
-
-
-def binary_from_threshold(x: ColLike, threshold: float = 15.0) -> Column:
-    """Strict ``x > threshold`` as 0/1 (regression output used as a class)."""
-    return (_c(x) > F.lit(threshold)).cast("int")

@@ -30,6 +30,10 @@ from skydrift.operators.positions import running_totals
 from skydrift.schemas import DRIFT_DROP_COLUMNS
 from skydrift.session import materialize
 
+# Coefficients of the rational erfc approximation.
+ERFC_COEFFICIENTS = (-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
+                     0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277)
+
 #: Chi-square tails up to this many degrees of freedom are summed exactly.
 EXACT_DOF = 200
 
@@ -175,11 +179,8 @@ def _norm_sf(z: Column) -> Column:
     (fractional error < 1.2e-7); Spark SQL has no erf."""
     x = F.abs(z) / F.lit(math.sqrt(2.0))
     t = F.lit(1.0) / (F.lit(1.0) + F.lit(0.5) * x)
-    # Coefficients of the rational erfc approximation.
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
-    poly = F.lit(coeffs[-1])
-    for c in reversed(coeffs[:-1]):
+    poly = F.lit(ERFC_COEFFICIENTS[-1])
+    for c in reversed(ERFC_COEFFICIENTS[:-1]):
         poly = F.lit(c) + t * poly
     erfc = t * F.exp(-x * x + poly)
     upper = F.lit(0.5) * erfc

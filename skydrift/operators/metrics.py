@@ -136,10 +136,6 @@ def regression_as_classifier(df: DataFrame, y_cls: str, p_reg: str, threshold: f
     return join_null_safe(cls, auc, list(by), "left").withColumn("roc_auc", F.coalesce("roc_auc", F.lit(0.0)))
 
 
-# Metric names that are minimised when no mode is given.
-MINIMISE = ("mae", "mse", "rmse", "medae")
-
-
 def select_score(metrics: dict, config: dict, default: str) -> tuple[str, float]:
     """tuning_metric, else promotion_metric, else ``default``. Unknown names
     raise (the original silently took the first metric)."""

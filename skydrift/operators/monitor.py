@@ -11,6 +11,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skydrift.functions.exprs import clean_metric
+from skydrift.functions.frames import with_scalars
+from skydrift.operators import metrics as M
+
 
 def table_summary(tables: Mapping[str, DataFrame], date_col: str) -> DataFrame:
     """One row per table: ``count(*), min(date), max(date)`` (one agg each)."""
@@ -22,13 +26,6 @@ def table_summary(tables: Mapping[str, DataFrame], date_col: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count"))
-               .select(F.lit(name).alias("table_name"), "row_count")
-             for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
-
-
 def newest_first(ts_col: str, id_col: str) -> list:
     """Newest-first total order: timestamp desc, then id desc (ties in a
     batch that shares one timestamp are broken by id)."""
@@ -169,3 +166,28 @@ def metric_series_seed(champion: DataFrame, metric_names: Sequence[str],
                               F.array(*[F.col("metrics").getItem(m) for m in metric_names])),
             F.create_map(F.lit("drift_score"), F.lit(drift_start)))).alias("name", "value"))
     return rows
+
+
+#: The figures of a monitoring batch, in the order of its row.
+BATCH_METRICS = ("mae", "rmse", "actual_rate", "predicted_rate", "f1", "roc_auc_hard", "accuracy", "precision",
+                 "recall", "specificity", "rate_delta", "top_origin", "r2", "residual_skewness", "rolling_std",
+                 "confidence_mean")
+
+
+def batch_metrics(batch: DataFrame, ts_col: str = "ts", id_col: str = "id") -> DataFrame:
+    """All figures of one monitoring batch (labelled log rows) as long rows
+    ``(name, value)``: regression, classification (0 unless the truth holds both
+    classes), rates, the most frequent origin, and the spread of the newest 100
+    predictions. NULL, NaN and infinite figures are 0, so an empty batch is a
+    full set of zeros."""
+    y, p = "true_class", "prediction_class"
+    parts = [
+        M.regression_metrics(batch, "true_reg", "prediction_reg", with_median=False).drop("n"),
+        M.classification_metrics(batch, y, p, proba="prediction_class_proba").drop("n"),
+        M.delay_rates(batch, y, p).drop("n"),
+        rolling_std_last(batch, "prediction_reg", ts_col, id_col),
+        most_frequent(batch, "origin_airport_id").agg(F.first("top_value").cast("double").alias("top_origin")),
+    ]
+    row = reduce(with_scalars, parts)
+    return row.select([clean_metric(F.col(c).cast("double")).alias(c) for c in BATCH_METRICS]) \
+        .unpivot([], list(BATCH_METRICS), "name", "value")

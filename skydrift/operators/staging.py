@@ -54,14 +54,6 @@ def dedup_keep_first(df: DataFrame, key: str | Sequence[str],
         .select(*df.columns)
 
 
-def dedup_keep_first_window(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
-    """Literal window formulation of the same dedup (kept for plan
-    comparison and tests; not skew-safe because one key = one task)."""
-    from pyspark.sql import Window
-    w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 def with_flight_key(df: DataFrame, out: str = "generated_flight_uid",
                     origin="Origin", dest="Dest", date="FlightDate",
                     airline="Operating_Airline", dep="CRSDepTime") -> DataFrame:

@@ -53,8 +53,7 @@ def _nsf(z: str) -> str:
     """Upper normal tail with the same rational erfc fit as the Spark side."""
     x = f"(abs({z}) / sqrt(2.0))"
     t = f"(1.0 / (1.0 + 0.5 * {x}))"
-    coeffs = [-1.26551223, 1.00002368, 0.37409196, 0.09678418, -0.18628806,
-              0.27886807, -1.13520398, 1.48851587, -0.82215223, 0.17087277]
+    coeffs = D.ERFC_COEFFICIENTS
     poly = f"{coeffs[-1]}"
     for c in reversed(coeffs[:-1]):
         poly = f"({c} + {t} * {poly})"
@@ -352,3 +351,53 @@ select cast(coalesce(month(max(ts)), 1) as integer) as month from fx_predictions
 def q_target_month(spark, sf_dir):
     """OP-86: month of the newest prediction (1 when the log is empty)."""
     return D.target_month(fx_predictions(spark, sf_dir), "ts")
+
+
+_FLOW_NUM = ["origin_airport_id", "dest_airport_id", "crs_dep_time", "crs_elapsed_time", "distance"]
+_FLOW_CAT = ["tail_number", "dep_time_blk"]
+
+
+def _flow_sql():
+    current = f"""target AS (select month(max(flight_date)) as month from fx_stg where flight_date >= date '{SPLIT}'),
+cur_rows AS (select * from fx_stg where flight_date >= date '{SPLIT}' order by flight_date desc, flight_uid desc limit 5000),
+"""
+    ctes = current + drift_ctes(_FLOW_NUM, _FLOW_CAT, cur_src="cur_rows", cur_where="true",
+                                ref_where=f"flight_date < date '{SPLIT}' and month = (select month from target)")
+    ctes += """, spread AS (
+  select feature, std from (""" + " union all ".join(
+        f"select '{c}' as feature, stddev_samp(cast({c} as double)) as std from cur_rows" for c in _FLOW_NUM) + """) s),
+kept AS (select r.* from report r left join spread s using (feature) where s.feature is null or s.std > 0.01),
+baselines AS (select * from (values """ + ", ".join(
+        f"({m}, {v})" for m, v in sorted(D.MONTHLY_BASELINES.items())) + """) v(month, baseline))"""
+    return with_fx(["fx_stg"], """
+select cast(t.month as integer) as month, n_columns, n_drifted, drift_score, drift_score > 0.5 as alarm,
+       cast(coalesce(b.baseline, 0.10) as double) as baseline, drift_score > coalesce(b.baseline, 0.10) as above_baseline
+from (select count(*) as n_columns, cast(sum(case when drifted then 1 else 0 end) as bigint) as n_drifted,
+             avg(case when drifted then 1.0 else 0.0 end) as drift_score from kept) s,
+     target t left join baselines b on t.month = b.month""", ctes)
+
+
+@query("drift_flow_month", _flow_sql())
+def q_flow_month(spark, sf_dir):
+    """OP-14/19-22/67/82-87, the monthly flow as one: the month is that of the
+    newest row of the predictions log; the reference is that month's slice of
+    the reference table; the current side is the newest log rows, expanded from
+    their JSON features by the reference's types. The two frames have different
+    columns: targets and ids go, the common ones are compared, near-constant
+    ones are left out; then report, score, alarm and monthly baseline."""
+    from skydrift.operators.sampling import latest_n
+    from skydrift.operators.scoring import expand_json
+    from skydrift.plans.log_queries import LOG_FEATURES, _log
+    split = F.lit(SPLIT).cast("date")
+    table = fx_stg(spark, sf_dir).filter(F.col("flight_date") < split)
+    log = _log(spark, sf_dir).filter(F.col("timestamp") >= split.cast("timestamp"))
+    month = D.target_month(log, "timestamp")
+    ref = D.drop_present(table.filter(F.col("month") == month.scalar()))
+    types = {f.name: f.dataType.simpleString() for f in ref.schema.fields if f.name in LOG_FEATURES}
+    newest = latest_n(log, "timestamp", "flight_uid", 5000)
+    cur = expand_json(newest, "input_features", [], types)
+    num, cat = D.split_types(ref, D.common_columns(ref, cur))
+    keep_num, keep_cat = D.near_constant_filter(cur, num, cat)
+    score = D.drift_score(D.drift_report(ref, cur, keep_num, keep_cat))
+    return D.with_alarm(with_scalars(score, month), "month").select(
+        "month", "n_columns", "n_drifted", "drift_score", "alarm", "baseline", "above_baseline")

@@ -236,6 +236,33 @@ def q_materialise(spark, sf_dir):
                                           F.max("flight_date").alias("max_date"))
 
 
+@query("retrain_clone_append", with_fx(["fx_stg"], """
+select source, count(*) as rows, cast(sum(arr_del15) as bigint) as delayed from (
+  select 'reference' as source, arr_del15 from fx_stg
+  where flight_date < date '1999-01-01'
+    and cast(('0x' || substr(md5(flight_uid), 1, 8)) as bigint) % 1000 < 10
+  union all
+  select 'appended', arr_del15 from fx_stg where flight_date >= date '1999-01-01') u
+group by source"""))
+def q_retrain_clone_append(spark, sf_dir):
+    """OP-08/09/10: retrain table = copy of the reference sample (empty clone
+    first), then labelled log rows of the current period appended through
+    the JSON projection."""
+    from skydrift.operators.sampling import hash_sample
+    stg = fx_stg(spark, sf_dir)
+    split = F.lit("1999-01-01").cast("date")
+    base = hash_sample(stg.filter(F.col("flight_date") < split), "flight_uid", 10) \
+        .select(*[F.col(f.name).cast(f.dataType) for f in _RETRAIN_SCHEMA.fields])
+    path = scratch_path(spark, "retrain")
+    base = base.withColumn("source", F.lit("reference"))
+    L.clone_empty(base, path)
+    L.append_batch(base, path, 0)
+    log = _log(spark, sf_dir).filter(F.col("timestamp") >= split.cast("timestamp"))
+    L.append_batch(retrain_projection(log, _RETRAIN_SCHEMA).withColumn("source", F.lit("appended")), path, 1)
+    return spark.read.parquet(path).groupBy("source").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum("arr_del15").cast("bigint").alias("delayed"))
+
+
 @query("retrain_cycle", with_fx(["fx_stg"], """
 select 'reference' as part, count(*) as rows, cast(sum(arr_del15) as bigint) as delayed,
        min(flight_date) as first_date from fx_stg

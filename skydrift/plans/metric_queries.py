@@ -287,3 +287,40 @@ def q_metric_guards(spark, sf_dir):
                     F.avg(F.col("prediction_class").cast("double")).alias("predicted_rate"),
                     F.avg("prediction_class_proba").alias("confidence_mean"))
     return M.guarded(raw, ["mae", "rmse", "actual_rate", "predicted_rate", "confidence_mean"])
+
+
+_BATCH_SQL = """batch AS (
+  select *, row_number() over (order by ts desc, id desc) as newest from (
+    select * from fx_predictions order by ts desc, id desc limit 5000) t
+  where true_reg is not null and true_class is not null),
+sums AS (
+  select avg(abs(true_reg - prediction_reg)) as mae,
+         sqrt(avg((true_reg - prediction_reg) * (true_reg - prediction_reg))) as rmse,
+         1 - sum((true_reg - prediction_reg) * (true_reg - prediction_reg)) / (count(*) * var_pop(true_reg)) as r2,
+         avg(cast(true_class as double)) as actual_rate, avg(cast(prediction_class as double)) as predicted_rate,
+         avg(prediction_class_proba) as confidence_mean,
+         avg(true_reg - prediction_reg) as em, stddev_pop(true_reg - prediction_reg) as es,
+         sum(case when true_class = 1 and prediction_class = 1 then 1.0 else 0 end) as tp,
+         sum(case when true_class = 0 and prediction_class = 0 then 1.0 else 0 end) as tn,
+         sum(case when true_class = 0 and prediction_class = 1 then 1.0 else 0 end) as fp,
+         sum(case when true_class = 1 and prediction_class = 0 then 1.0 else 0 end) as fn,
+         stddev_samp(prediction_reg) filter (newest <= 100) as rolling_std
+  from batch),
+skew AS (select avg(power((true_reg - prediction_reg - em) / es, 3)) as residual_skewness from batch, sums),
+top AS (select cast(origin_airport_id as double) as top_origin from batch where origin_airport_id is not null
+        group by origin_airport_id order by count(*) desc, origin_airport_id limit 1)"""
+
+
+@query("monitor_batch_metrics", with_fx(["fx_predictions"], """
+select unnest(['mae', 'rmse', 'actual_rate', 'predicted_rate', 'f1', 'roc_auc_hard', 'accuracy', 'precision', 'recall',
+               'specificity', 'rate_delta', 'top_origin', 'r2', 'residual_skewness', 'rolling_std', 'confidence_mean']) as name,
+       unnest([mae, rmse, actual_rate, predicted_rate, 2 * tp / (2 * tp + fp + fn), (tp / (tp + fn) + tn / (tn + fp)) / 2,
+               (tp + tn) / (tp + tn + fp + fn), tp / (tp + fp), tp / (tp + fn), tn / (tn + fp),
+               predicted_rate - actual_rate, top_origin, r2, residual_skewness, rolling_std, confidence_mean]) as value
+from sums, skew, top""", _BATCH_SQL))
+def q_monitor_batch(spark, sf_dir):
+    """OP-14/27/35/36/69-78: all figures of the newest labelled log rows at
+    once, as rows of the metrics table."""
+    from skydrift.operators.sampling import latest_n
+    log = latest_n(fx_predictions(spark, sf_dir), "ts", "id", 5000)
+    return MON.batch_metrics(log.filter("true_reg is not null and true_class is not null"))

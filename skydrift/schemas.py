@@ -89,20 +89,3 @@ PREDICTIONS_SCHEMA = T.StructType([
     T.StructField("ground_truth", T.StringType(), True),
     T.StructField("prediction_class_proba", T.DoubleType(), True),
 ])
-
-RUNS_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("model_name", T.StringType(), True),
-    T.StructField("start_ts", T.TimestampType(), True),
-    T.StructField("params", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("metrics", T.MapType(T.StringType(), T.DoubleType()), True),
-    T.StructField("dataset", T.MapType(T.StringType(), T.StringType()), True),
-])
-
-METRICS_SCHEMA = T.StructType([
-    T.StructField("run_id", T.StringType(), True),
-    T.StructField("ts", T.TimestampType(), True),
-    T.StructField("name", T.StringType(), False),
-    T.StructField("labels", T.MapType(T.StringType(), T.StringType()), True),
-    T.StructField("value", T.DoubleType(), True),
-])
