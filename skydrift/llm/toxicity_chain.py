@@ -20,10 +20,12 @@ MOST_LABELLED = 16_000
 #: Features of each category: those that tell most about it.
 FEATURES = 2048
 LEAST_DOCS = 5
+#: Least log-likelihood ratio of a feature (chance gives it to 1 in 1000).
+LEAST_TOLD = 10.83
 PREFIXES = (4, 5, 6, 7)
 FOLDS = 3
 THRESHOLD = 0.5
-RIDGE = 1.0
+RIDGE = 0.25
 STEPS = 120
 
 
@@ -157,7 +159,8 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str]) -> tuple[np.n
 
         held = F.col("n").cast("double")
         told = part(a, held, p) + part(b, held, n - p) + part(p - a, n - held, p) + part((n - p) - b, n - held, n - p)
-        chosen |= {r.h for r in counted.orderBy(F.desc(told), "h").limit(FEATURES).collect()}
+        best = counted.select("h", told.alias("told")).filter(F.col("told") >= LEAST_TOLD)
+        chosen |= {r.h for r in best.orderBy(F.desc("told"), "h").limit(FEATURES).collect()}
     hashes = np.sort(np.array(sorted(chosen), np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(hashes)
 
