@@ -15,7 +15,8 @@ from skydrift.sources.fixtures import fx_predictions, fx_stg
 
 SPLIT = "1999-01-01"
 NUM = ["year", "quarter", "month", "day_of_month", "day_of_week", "origin_airport_id",
-       "dest_airport_id", "crs_dep_time", "crs_elapsed_time", "distance"]
+       "dest_airport_id", "crs_dep_time", "crs_elapsed_time", "distance", "distance_group",
+       "flight_number_marketing_airline", "flight_number_operating_airline", "crs_arr_time"]
 CAT = ["tail_number", "marketing_airline_network", "dep_time_blk"]
 CHI2_COLS_NUM = ["quarter", "month", "day_of_week"]
 CHI2_COLS_CAT = ["marketing_airline_network", "dep_time_blk"]

@@ -9,6 +9,7 @@ from skydrift.operators.features import (
     CategoryTable, Preprocessor, category_modes, class_weights, impute_statistics)
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import query
+from skydrift.schemas import HIGH_CARD_FEATURES, LOW_CARD_FEATURES
 from skydrift.sources.fixtures import fx_stg
 from skydrift.sources.tables import read_table
 
@@ -255,21 +256,38 @@ def q_lookup(spark, sf_dir):
     return out.select("flight_uid", F.col("origin_nation").cast("int").alias("origin_nation"))
 
 
-@query("feature_assembly", with_fx(["fx_stg"], """
-select flight_uid,
-       cast((select count(distinct year) + count(distinct quarter) + count(distinct month)
-                    + count(distinct day_of_month) + count(distinct day_of_week)
-                    + count(distinct dep_time_blk) from train) + 3 + 2 + 1 + 1 as integer)
-         as n_features
+_LOW_SQL = " + ".join(f"count(distinct {c})" for c in LOW_CARD_FEATURES)
+_KNOWN_SQL = " + ".join(f"case when {c} in (select {c} from train) then 1.0::double else 0 end" for c in LOW_CARD_FEATURES)
+
+
+@query("feature_assembly", with_fx(["fx_stg"], f"""
+select flight_uid, cast((select {_LOW_SQL} from train) + 5 + 4 + 1 + 1 as integer) as n_features,
+       {_KNOWN_SQL} as known_levels,
+       sin(2 * pi() * (crs_dep_time // 100 * 60 + crs_dep_time % 100) / 1440.0) as dep_sin,
+       cos(2 * pi() * (crs_arr_time // 100 * 60 + crs_arr_time % 100) / 1440.0) as arr_cos,
+       (ln(1 + distance) - (select avg(ln(1 + distance)) from train))
+         / (select stddev_pop(ln(1 + distance)) from train) as scaled_distance,
+       (coalesce(crs_elapsed_time, (select median(crs_elapsed_time) from train))
+         - (select avg(coalesce(crs_elapsed_time, m)) from train, (select median(crs_elapsed_time) as m from train)))
+         / (select stddev_pop(coalesce(crs_elapsed_time, m))
+            from train, (select median(crs_elapsed_time) as m from train)) as scaled_elapsed
 from fx_stg""", TRAIN_SQL))
 def q_feature_assembly(spark, sf_dir):
-    """OP-54: the full default feature set assembled into one vector: one
-    slot per training level of each low-cardinality column, one per
-    high-cardinality encoding, sin+cos, and the two scaled numerics."""
+    """OP-54: the 16 default features assembled into one vector, read back from
+    its slots: the one-hot slots that are set (the levels known from training),
+    then past the high-cardinality encodings the sines and cosines, and the two
+    scaled numerics."""
     from pyspark.ml.functions import vector_to_array
 
     from skydrift.operators.models import default_preprocessor
     stg = fx_stg(spark, sf_dir)
     fit = default_preprocessor("arr_delay_minutes").fit(_train(stg))
-    out = fit.transform(stg)
-    return out.select("flight_uid", F.size(vector_to_array("features")).alias("n_features"))
+    v = F.col("v")
+    levels = sum(len(fit.onehot_levels[c]) for c in LOW_CARD_FEATURES)
+    out = fit.transform(stg).select("flight_uid", vector_to_array("features").alias("v"))
+    cyclic = levels + len(HIGH_CARD_FEATURES)
+    return out.select(
+        "flight_uid", F.size(v).alias("n_features"),
+        F.aggregate(F.slice(v, 1, levels), F.lit(0.0), lambda a, x: a + x).alias("known_levels"),
+        v[cyclic].alias("dep_sin"), v[cyclic + 3].alias("arr_cos"),
+        v[cyclic + 5].alias("scaled_distance"), v[cyclic + 4].alias("scaled_elapsed"))

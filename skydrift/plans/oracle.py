@@ -19,6 +19,10 @@ FX_RAW = """fx_raw AS (
          l_extendedprice as distance,
          round(l_discount * 1000) - 30 as arr_delay,
          case when l_tax < 0.005 then true when l_tax < 0.075 then false else null end as cancelled,
+         cast(floor(l_extendedprice / 10000) as integer) as distance_group,
+         l_linenumber as flight_number_marketing_airline,
+         l_orderkey % 1000 as flight_number_operating_airline,
+         ((l_partkey + 3) % 24) * 100 as crs_arr_time,
          l_partkey, l_suppkey
   from lineitem)"""
 
@@ -30,7 +34,8 @@ FX_STG = """fx_stg AS (
          cast(day(flight_date) as integer) as day_of_month,
          cast(isodow(flight_date) as integer) as day_of_week,
          origin_airport_id, dest_airport_id, tail_number, marketing_airline_network,
-         dep_time_blk, crs_dep_time, crs_elapsed_time, distance, arr_delay,
+         dep_time_blk, crs_dep_time, crs_elapsed_time, distance, distance_group,
+         flight_number_marketing_airline, flight_number_operating_airline, crs_arr_time, arr_delay,
          greatest(arr_delay, 0.0) as arr_delay_minutes,
          case when arr_delay > 15 then 1 else 0 end as arr_del15
   from (select *, row_number() over (partition by flight_uid

@@ -36,16 +36,13 @@ def fx_raw_from(li: DataFrame) -> DataFrame:
         (F.round(F.col("l_discount") * 1000) - 30).alias("arr_delay"),
         F.when(F.col("l_tax") < 0.005, F.lit(True))
          .when(F.col("l_tax") < 0.075, F.lit(False)).alias("cancelled"),
+        F.floor(F.col("l_extendedprice") / 10000).cast("int").alias("distance_group"),
+        F.col("l_linenumber").alias("flight_number_marketing_airline"),
+        (F.col("l_orderkey") % 1000).alias("flight_number_operating_airline"),
+        (((F.col("l_partkey") + 3) % 24) * 100).alias("crs_arr_time"),
         "l_partkey", "l_suppkey")
 
 
-STG_COLUMNS = ["flight_uid", "flight_date", "year", "quarter", "month", "day_of_month",
-               "day_of_week", "origin_airport_id", "dest_airport_id", "tail_number",
-               "marketing_airline_network", "dep_time_blk", "crs_dep_time",
-               "crs_elapsed_time", "distance", "arr_delay", "arr_delay_minutes",
-               "arr_del15"]
-
-
 def calendar_and_targets(df: DataFrame) -> DataFrame:
     d = F.col("flight_date")
     return df.select(
@@ -54,7 +51,8 @@ def calendar_and_targets(df: DataFrame) -> DataFrame:
         F.dayofmonth(d).alias("day_of_month"), (F.weekday(d) + 1).alias("day_of_week"),
         "origin_airport_id", "dest_airport_id", "tail_number",
         "marketing_airline_network", "dep_time_blk", "crs_dep_time",
-        "crs_elapsed_time", "distance", "arr_delay",
+        "crs_elapsed_time", "distance", "distance_group", "flight_number_marketing_airline",
+        "flight_number_operating_airline", "crs_arr_time", "arr_delay",
         F.greatest(F.col("arr_delay"), F.lit(0.0)).alias("arr_delay_minutes"),
         F.when(F.col("arr_delay") > 15, 1).otherwise(0).alias("arr_del15"))
 
