@@ -32,5 +32,12 @@ def test_rows_only_query_runs(spark, name):
         assert 0.0 <= r["roc_auc"] <= 1.0 and 0.0 <= r["confidence_mean"] <= 1.0
     if name == "tune_random_search":
         assert sum(r["is_best"] for r in rows) == 1 and len(rows) == 3
+    if name == "promote_trained_runs":
+        runs = sorted(rows, key=lambda r: r["run"])
+        best = None
+        for r in runs:
+            assert r["champion_score"] == best and r["promoted"] == (best is None or r["score"] < best)
+            assert r["metric"] == "rmse" and r["score_tag"] == f"{r['score']:.4f}"
+            best = r["score"] if best is None else min(best, r["score"])
     if name == "batch_score":
         assert all(0.0 <= r["prediction_class_proba"] <= 1.0 for r in rows)
