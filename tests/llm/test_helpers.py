@@ -11,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from skydrift.llm import bloom_lm, bpe, kk_packing, line_templates, quality_llr, toxicity_chain
-from skydrift.llm.pivot_search import PivotTable, _scores
+from skydrift.llm.pivot_search import PivotTable, _scores, as_kind
 from skydrift.llm.style_tree import Page
 from skydrift.llm.words import slices, split, text_bytes
 
@@ -144,8 +144,8 @@ def test_pivot_bounds_and_search():
 
 
 def test_scores_beyond_float64():
-    big = np.array([[2.0 ** 40, 1.0], [2.0 ** 62, 2.0 ** 62]])
-    assert _scores(big, np.array([2.0 ** 20, 1.0])).tolist() == [2 ** 60 + 1, (1 << 63) - 1]
+    big, norm = np.array([[2.0 ** 40, 1.0], [2.0 ** 62, 2.0 ** 62]]), 2.0 ** 63
+    assert _scores(as_kind(big, norm), as_kind(np.array([2.0 ** 20, 1.0]), norm)).tolist() == [2 ** 60 + 1, (1 << 63) - 1]
 
 
 def test_base_counts_by_brute_force():
