@@ -17,14 +17,12 @@ from pyspark.sql import functions as F
 
 from skydrift.llm.components import _written
 
-PIVOTS = 64
+PIVOTS = 32
 #: Queries that are answered together, and rows of one pivot table.
 QUERY_BLOCK = 256
 ROW_BLOCK = 4096
-#: Rows scored between two looks at the stopping rule.
-STEP = 64
-#: Sums of products below this are whole numbers in float64.
-EXACT = float(1 << 53)
+#: Rows scored before the first look at the stopping rule.
+STEP = 128
 INT64 = (1 << 63) - 1
 
 
@@ -40,21 +38,39 @@ def _usable(vector: str) -> F.Column:
         wide, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
 
 
+def exact_kind(norm: float) -> type | None:
+    """The float type whose sums of products of vectors of this norm at most
+    are whole numbers without error, if there is one."""
+    top = norm * norm  # bounds every partial sum (Cauchy-Schwarz)
+    return np.float32 if top < 1 << 23 else np.float64 if top < 1 << 52 else None
+
+
 def _scores(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Whole inner products, as int64 (beyond its range: the nearest end)."""
-    top = float(np.abs(rows).max(initial=0)) * float(np.abs(query).max(initial=0)) * max(1, len(query))
-    if top < EXACT:
+    """Whole inner products, as int64 (beyond its range: the nearest end).
+    Vectors of an exact kind are multiplied as they are, others as integers."""
+    if rows.dtype != object:
         return (rows @ query).astype(np.int64)
-    whole = [sum(int(a) * int(b) for a, b in zip(row, query)) for row in rows]
+    whole = [sum(a * b for a, b in zip(row, query)) for row in rows]
     return np.array([max(-INT64 - 1, min(INT64, s)) for s in whole], np.int64)
 
 
+def as_kind(x: np.ndarray, norm: float) -> np.ndarray:
+    kind = exact_kind(norm)
+    if kind:
+        return x.astype(kind)
+    out = np.empty(x.shape, object)
+    out[:] = [[int(v) for v in row] for row in x.reshape(len(x), -1).tolist()] if x.ndim == 2 else [int(v) for v in x.tolist()]
+    return out
+
+
 class PivotTable:
-    """Distances from the rows of a block to the pivots."""
+    """Distances from the rows of a block to the pivots (single precision, with
+    an allowance for its rounding in every bound)."""
 
     def __init__(self, rows: np.ndarray, pivots: np.ndarray, norm: float):
-        self.rows, self.pivots, self.norm = rows, pivots, norm
-        self.far = self._distances(rows, self._lift(rows))
+        self.pivots, self.norm = pivots, norm
+        self.rows = as_kind(rows, norm)
+        self.far = np.ascontiguousarray(self._distances(rows, self._lift(rows)).T.astype(np.float32))
 
     def _lift(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0.0, self.norm ** 2 - (x ** 2).sum(1)))
@@ -67,30 +83,47 @@ class PivotTable:
 
     def bounds(self, query: np.ndarray) -> np.ndarray:
         """At least the inner product of the query with each row."""
-        near = self._distances(query[None], np.zeros(1))[0]
-        gap = np.abs(self.far - near[None]).max(1, initial=0.0)
+        near = self._distances(query[None], np.zeros(1))[0].astype(np.float32)
+        gap = np.zeros(len(self.rows), np.float32)
+        one = np.empty_like(gap)
+        for far, d in zip(self.far, near):
+            np.subtract(far, d, out=one)
+            np.abs(one, out=one)
+            np.maximum(gap, one, out=gap)
         size = float(query @ query) + self.norm ** 2
-        slack = 1e-9 * (size + 1.0)  # far above the rounding of the distances
-        return (size - np.maximum(0.0, gap - 1e-6 * np.sqrt(size + 1.0)) ** 2) / 2 + slack
+        sure = np.maximum(0.0, gap.astype(float) - 1e-5 * np.sqrt(size) - 1e-6)
+        # half of |q|^2 + M^2 - d^2, rounded up to single precision
+        return ((size - sure ** 2) / 2 + 1e-6 * (size + 1.0)).astype(np.float32)
 
     def best(self, query: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int, floor: float) -> tuple[np.ndarray, np.ndarray]:
         """Row numbers and scores of the k best rows (ties: smaller id) that
-        reach ``floor``, a score that k rows of the whole table reach."""
+        reach ``floor``, a score that k rows of the whole table reach. Steps
+        double, so few of them come after the one that stops the search; from
+        the first that takes much of the block on, products of all its rows,
+        in place, are cheaper than copies of those of the step."""
         most = self.bounds(query)
-        most[own] = -np.inf
-        order = np.argsort(-most, kind="stable")
+        exact = as_kind(query, self.norm)
+        alive = np.flatnonzero((most >= floor) & ~own)
+        order = alive[np.argsort(-most[alive])]
+        falling = -most[order]
+        whole = None
         found, scores = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        for a in range(0, len(order), STEP):
-            part = order[a: a + STEP]
-            part = part[(most[part] >= floor) & (most[part] > -np.inf)]
-            if not len(part):
-                break
-            found = np.concatenate([found, part])
-            scores = np.concatenate([scores, _scores(self.rows[part], query)])
+        a, step = 0, STEP
+        while a < len(order) and -falling[a] >= floor:
+            b = min(a + step, int(np.searchsorted(falling, -floor, "right")))
+            if whole is None and 8 * (b - a) > len(self.rows):
+                whole = _scores(self.rows, exact)
+            score = _scores(self.rows[order[a:b]], exact) if whole is None else whole[order[a:b]]
+            reach = np.flatnonzero(score >= floor)
+            if len(reach) > k:
+                reach = reach[score[reach] >= np.partition(score[reach], -k)[-k]]
+            found = np.concatenate([found, order[a:b][reach]])
+            scores = np.concatenate([scores, score[reach]])
             best = np.lexsort((ids[found], -scores))[:k]
             found, scores = found[best], scores[best]
             if len(found) == k:
                 floor = max(floor, float(scores[-1]) - 0.5)
+            a, step = b, 2 * step
         return found, scores
 
 
@@ -157,8 +190,9 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
                 seed_ids, seed_x = seeds[dim]
                 table = PivotTable(x, seed_x, norms[dim])
                 out: list[tuple] = []
+                seeds_exact = as_kind(seed_x, norms[dim])
                 for q, query in zip(asked_ids.tolist(), asked_x):
-                    known = np.sort(_scores(seed_x[seed_ids != q], query))[::-1]
+                    known = np.sort(_scores(seeds_exact[seed_ids != q], as_kind(query, norms[dim])))[::-1]
                     floor = float(known[k - 1]) - 0.5 if len(known) >= k else -np.inf
                     found, scores = table.best(query, ids == q, ids, k, floor)
                     out += [(q, i, s) for i, s in zip(ids[found].tolist(), scores.tolist())]

@@ -173,13 +173,13 @@ def test_bloom_filter_reads_levels_back():
         low[:, :6] = six
         held = np.frombuffer(c, np.uint8 if len(c) == len(six) else "<u8").astype(np.int64)
         segments[s] = bloom_lm.Filter.segment(low.view("<u8").ravel(), held, 8.0)
-    made = bloom_lm.Filter(segments)
+    made = bloom_lm.Filter(np.array([8 * len(x) for x in segments]), b"".join(segments))
     true = np.floor(np.log2(counts)).astype(int) + 1
     got = made.levels(grams)
     assert (got >= true).all() and (got == true).mean() > 0.95
     absent = rng.integers(0, 1 << 64, 20_000, dtype=np.uint64)
     assert (made.levels(absent) > 0).mean() < 0.05
-    assert bloom_lm.Filter([]).levels(absent).sum() == 0
+    assert bloom_lm.Filter(np.zeros(16), b"").levels(absent).sum() == 0
 
 
 def test_lines():
