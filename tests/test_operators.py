@@ -1,11 +1,8 @@
 """Hand-computed micro cases, the reference's own two fixtures, and
 properties of the operators."""
 
-import math
-
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skydrift.functions.exprs import text_to_bool, text_to_int_rounded
 from skydrift.operators import drift as D
