@@ -47,11 +47,13 @@ def dedup_keep_first(df: DataFrame, key: str | Sequence[str],
         if nulls_last:
             sort_fields.append(F.col(c).isNull().alias(f"_n{i}"))
         sort_fields.append(F.col(c).alias(f"_o{i}"))
-    packed = F.struct(*sort_fields, F.struct(*[F.col(c) for c in payload]).alias("_row"))
+    # the row comes back from its sort key, followed by the columns not in it
+    at = {c: f"_best._o{i}" for i, c in reversed(list(enumerate(order)))}
+    rest = [c for c in payload if c not in at]
+    packed = F.struct(*sort_fields, *[F.col(c).alias(f"_r{i}") for i, c in enumerate(rest)])
+    at |= {c: f"_best._r{i}" for i, c in enumerate(rest)} | {k: k for k in keys}
     best = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-    return best.select(*[F.col(k) for k in keys],
-                       *[F.col(f"_best._row.{c}").alias(c) for c in payload]) \
-        .select(*df.columns)
+    return best.select(*[F.col(at[c]).alias(c) for c in df.columns])
 
 
 def with_flight_key(df: DataFrame, out: str = "generated_flight_uid",

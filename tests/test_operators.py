@@ -1,5 +1,4 @@
-"""Hand-computed micro cases, the reference's own two fixtures, and
-properties of the operators."""
+"""Hand-computed micro cases and properties of the operators."""
 
 import pytest
 from pyspark.sql import functions as F
