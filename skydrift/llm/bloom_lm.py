@@ -19,17 +19,18 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.components import _written
+from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, mix, slices
 
 BITS_PER_ENTRY = 8.0
 PROBES = 4
 #: Bound of the filter that is broadcast.
 MOST_BYTES = 512 << 20
-#: Exact counts of so many words, the most frequent, are broadcast.
+#: Exact counts of so many words at most, the most frequent, are broadcast.
 FREQUENT = 1_000_000
 SEGMENT_TOKENS = 500_000
-FLUSH_TOKENS = 6_000_000
+#: A task adds up so many tokens before it hands their counts on.
+FLUSH_TOKENS = 3_000_000
 ALPHA = 0.1
 BIGRAM_SHARE = 0.2
 
@@ -88,10 +89,10 @@ def _levels(counts: np.ndarray) -> np.ndarray:
 class Filter:
     """Segments of bits; segment s holds ``sizes[s]`` bits from byte ``at[s]``."""
 
-    def __init__(self, segments: list[bytes]):
-        self.sizes = np.array([8 * len(x) for x in segments], np.uint64)
-        self.at = np.concatenate([[0], np.cumsum([len(x) for x in segments])[:-1]]).astype(np.uint64)
-        self.bits = np.frombuffer(b"".join(segments), np.uint8)
+    def __init__(self, sizes: np.ndarray, bits: bytes):
+        self.sizes = sizes.astype(np.uint64)
+        self.at = (np.cumsum(sizes) - sizes).astype(np.uint64) >> np.uint64(3)
+        self.bits = np.frombuffer(bits, np.uint8)  # not copied
 
     @staticmethod
     def positions(low: np.ndarray, level: int, size) -> list[np.ndarray]:
@@ -116,7 +117,7 @@ class Filter:
     def levels(self, hashes: np.ndarray) -> np.ndarray:
         """The level of each n-gram by repeated probes; 0 if it is absent."""
         out = np.zeros(len(hashes), np.int64)
-        if not len(self.sizes):
+        if not len(self.bits):
             return out
         segment = (((hashes >> np.uint64(48)) * np.uint64(len(self.sizes))) >> np.uint64(16)).astype(np.int64)
         low, size, base = hashes & _LOW48, self.sizes[segment], self.at[segment]
@@ -166,8 +167,8 @@ def _unigrams(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def build(training: DataFrame, unigrams: DataFrame, total: int, most_bytes: int = MOST_BYTES) -> list[bytes]:
-    """The filter's segments, for the unigram counts (h, c) and the bigrams of
+def build(training: DataFrame, unigrams: DataFrame, total: int, most_bytes: int = MOST_BYTES) -> tuple[np.ndarray, bytes]:
+    """The sizes (in bits) and bits of the filter's segments, for the unigram counts (h, c) and the bigrams of
     the training texts. Only the finished segments, at most about ``most_bytes``
     in all, reach the driver."""
     segments = max(16, -(-total // SEGMENT_TOKENS))
@@ -207,10 +208,11 @@ def build(training: DataFrame, unigrams: DataFrame, total: int, most_bytes: int
 
     grams = training.select("text").mapInArrow(of_texts, schema).union(unigrams.select("h", "c").mapInArrow(of_counts, schema))
     made = grams.groupBy("segment").applyInArrow(finish, "segment int, bits binary").toArrow()
-    out = [b""] * segments
-    for s, bits in zip(made.column("segment").to_pylist(), made.column("bits").to_pylist()):
-        out[s] = bits
-    return out
+    made = made.sort_by("segment")
+    bits = made.column("bits").to_pylist()
+    sizes = np.zeros(segments, np.int64)
+    sizes[made.column("segment").to_numpy()] = [8 * len(x) for x in bits]
+    return sizes, b"".join(bits)
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
@@ -227,20 +229,27 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     spark = docs.sparkSession
     source = docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), F.col(text).alias("text"))
     training = source.filter(~F.col("held_out"))
-    unigrams = _written(_unigrams(training), "unigrams")
+    unigrams = written(_unigrams(training), "unigrams")
     sizes = unigrams.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = sizes.n or 0, sizes.v
-    top = unigrams.orderBy(F.desc("c"), "h").limit(frequent).toArrow()
+    # whole classes of like counts, from the highest on, as long as they fit
+    like = F.floor(F.log2("c") * 8)
+    taken, least = 0, None
+    for r in sorted(unigrams.groupBy(like.alias("class")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True):
+        if taken + r.n > frequent:
+            break
+        taken, least = taken + r.n, r["class"]
+    top = unigrams.filter(F.lit(False) if least is None else like >= least).toArrow()  # ``frequent`` rows at most
     hashes = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
     shared = spark.sparkContext.broadcast(
         (hashes[order], top.column("c").to_numpy()[order], build(training, unigrams, n, most_bytes)))
-    rare_left = v > frequent
+    rare_left = v > taken
     spread = n + ALPHA * (v + 1)
 
     def run(batches):
-        known, known_counts, segments = shared.value
-        lm = Filter(segments)
+        known, known_counts, built = shared.value
+        lm = Filter(*built)
         key = TaskContext.get().partitionId() << 33
         begins = lm.counts(np.array([BEGIN]))[0] or lm.counts(np.array([END]))[0]
         for batch in batches:
@@ -273,10 +282,10 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     kind = source.schema["doc_id"].dataType.simpleString()
     scored = source.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
                                     "base_score double, score double, rare array<long>")
-    total = F.lit(int(n)).alias("train_tokens")
+    total = F.lit(int(n)).cast("long").alias("train_tokens")
     if not rare_left:
         return scored.select("doc_id", "held_out", "n_tokens", "n_known", total, "base_score", "score")
-    scored = _written(scored, "scored")
+    scored = written(scored, "scored")
     rest = scored.select("key", F.explode("rare").alias("h")).join(unigrams, "h", "left").groupBy("key").agg(
         F.count("c").alias("more"), F.sum(F.log10((F.coalesce("c", F.lit(0)) + ALPHA) / spread)).alias("part"))
     return scored.drop("rare").join(rest, "key", "left").select(
