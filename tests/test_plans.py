@@ -10,7 +10,9 @@ from tests.conftest import SMALL
 
 FAST = ["stg_monthly_delay", "hash_sample", "regression_metrics", "classification_metrics",
         "roc_auc", "delay_rates", "drift_js", "onehot_wide", "frequency_encode",
-        "json_expand", "latest_n", "top3_groups"]
+        "json_expand", "latest_n", "top3_groups", "drift_report", "drift_score_by_month",
+        "drift_flow_month", "earliest_n_large", "equalised_samples", "retrain_sample",
+        "rolling_std_window", "monitor_batch_metrics"]
 
 
 def _plan(df):
@@ -22,6 +24,14 @@ def test_no_row_python_udf(spark, name):
     plan = _plan(E.queries()[name](spark, SMALL))
     assert "BatchEvalPython" not in plan
     assert "ArrowEvalPython" not in plan
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize("name", ["earliest_n", "earliest_n_large", "equalised_samples", "retrain_sample"])
+def test_no_row_checkpoint(spark, name):
+    """The result is a filter on the source, not a read of checkpointed rows."""
+    plan = _plan(E.queries()[name](spark, SMALL))
+    assert "ExistingRDD" not in plan and "FileScan parquet" in plan
 
 
 def test_dedup_is_partial_aggregate_not_window(spark):
