@@ -5,14 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.session import scratch_path
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage with a table in the shared folder."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+from skydrift.llm.tables import written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -40,10 +33,10 @@ def components(links: DataFrame) -> DataFrame:
 
     Each round is a few map-side combined groupings and equi-joins; the links
     never reach the driver, only their number and a checksum do."""
-    links = _written(links.select("u", "v").filter("u <> v").distinct(), "links")
+    links = written(links.select("u", "v").filter("u <> v").distinct(), "links")
     mark = None
     while True:
-        links = _written(_star(_star(links, True), False), "links")
+        links = written(_star(_star(links, True), False), "links")
         now = links.agg(F.count(F.lit(1)), F.sum(F.hash("u", "v").cast("long"))).first()
         if tuple(now) == mark:
             break

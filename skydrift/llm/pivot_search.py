@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skydrift.llm.components import _written
+from skydrift.llm.tables import written
 
 PIVOTS = 32
 #: Queries that are answered together, and rows of one pivot table.
@@ -145,7 +145,7 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
     spark = vectors.sparkSession
     rows = vectors.filter(F.col(vec_id).isNotNull() & _usable(embedding)).select(
         F.col(vec_id).cast("long").alias("vec_id"), scaled(embedding, scale).alias("x"))
-    rows = _written(rows.withColumn("dim", F.size("x")), "vectors")
+    rows = written(rows.withColumn("dim", F.size("x")), "vectors")
 
     bounds = rows.groupBy("dim").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("vec_id") % every == 0, 1)).alias("q"),

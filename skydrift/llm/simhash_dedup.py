@@ -24,7 +24,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 import xxhash
 
-from skydrift.llm.components import _written, components
+from skydrift.llm.components import components
+from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, read, slices
 
 BITS = 64
@@ -141,9 +142,9 @@ def links(prints: DataFrame, bits: int = 2, segments: int = SEGMENTS) -> DataFra
 def _grouped(docs: DataFrame, shingle: int, bits: int, segments: int, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     """The rows with their fingerprints, and for each distinct fingerprint the
     ``first`` row of its component: that of the smallest doc_id, nulls last."""
-    own = _written(fingerprints(docs, shingle, keep=keep), "fingerprints")
+    own = written(fingerprints(docs, shingle, keep=keep), "fingerprints")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    least = _written(own.groupBy("fp").agg(F.min(place).alias("least")), "prints")
+    least = written(own.groupBy("fp").agg(F.min(place).alias("least")), "prints")
     roots = components(links(least.select("fp"), bits, segments))
     rooted = least.join(roots, least.fp == roots.node, "left") \
         .select("fp", "least", F.coalesce("root", "fp").alias("root"))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.components import _written
+from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, read, slices
 
 #: Labelled documents that the models are fitted to: those of the least hash.
@@ -126,7 +126,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str]) -> tuple[np.n
         *[F.max(F.coalesce(F.col(c).cast("int"), F.lit(0))).alias(f"__y{k}") for k, c in enumerate(categories)]) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
     ys = [f"__y{k}" for k in range(len(categories))]
-    texts = _written(docs.join(F.broadcast(sample), "doc_id").select("doc_id", *ys, "text"), "labelled")
+    texts = written(docs.join(F.broadcast(sample), "doc_id").select("doc_id", *ys, "text"), "labelled")
 
     def count(batches):
         for batch in batches:
@@ -146,7 +146,7 @@ def fit(docs: DataFrame, labels: DataFrame, categories: list[str]) -> tuple[np.n
 
     counted = texts.mapInArrow(count, "h long, n long, " + ", ".join(f"{c} long" for c in ys)) \
         .groupBy("h").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in ys]).filter(F.col("n") >= LEAST_DOCS)
-    counted = _written(counted, "features")
+    counted = written(counted, "features")
     whole = texts.agg(F.count(F.lit(1)).alias("n"), *[F.sum(c).alias(c) for c in ys]).first()
     chosen: set[int] = set()
     for c in ys:
