@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.components import _written
+from skydrift.llm.tables import written
 from skydrift.llm.words import column
 
 #: Share of content, against layout, in a node's importance.
@@ -217,7 +217,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
                     [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, kinds)],
                     ["host", "page", "path", "content", "layout", "sure"])
 
-    seen = _written(source.mapInArrow(run, schema).distinct(), "nodes")
+    seen = written(source.mapInArrow(run, schema).distinct(), "nodes")
 
     def entropy(what: str) -> DataFrame:
         counts = seen.groupBy("host", "path", what).agg(F.count(F.lit(1)).alias("n"), F.every("sure").alias("sure"))
@@ -242,8 +242,11 @@ def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id"
     clashing names play no part."""
     source = pages.select(*keep, F.coalesce(host, F.lit("")).alias("__host"), F.col(html).alias("__html"))
     tree = style_tree(source.select(F.col("__host").alias("host"), F.col("__html").alias("html")))
+    # written, so that the join below has a shuffle of its own on either side, of
+    # which Spark splits the one that a large host makes
     low = tree.filter(~F.col("sure") & (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)) \
         .groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low"))
+    low = written(low, "low")
     joined = source.join(low, "__host", "left").select(*keep, "__low", "__html")
     schema = joined.select(*keep, F.lit("").alias("text")).schema
 
