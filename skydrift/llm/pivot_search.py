@@ -28,14 +28,18 @@ INT64 = (1 << 63) - 1
 
 def scaled(vector: str, scale: float) -> F.Column:
     """floor(scale * x) of every component, as an array of doubles that hold
-    whole numbers."""
-    return F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(x * F.lit(scale), F.lit(0)).cast("double"))
+    whole numbers (from 2^53 on, all doubles do)."""
+    def whole(x):
+        v = x * F.lit(scale)
+        return F.when(F.abs(v) < F.lit(2.0 ** 53), F.floor(v).cast("double")).otherwise(v)
 
+    return F.transform(F.col(vector).cast("array<double>"), whole)
 
-def _usable(vector: str) -> F.Column:
+
+def _usable(vector: str, scale: float) -> F.Column:
     wide = F.col(vector).cast("array<double>")
     return F.col(vector).isNotNull() & F.forall(
-        wide, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))), F.lit(False)))
+        wide, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x * F.lit(scale)) < F.lit(float("inf"))), F.lit(False)))
 
 
 def exact_kind(norm: float) -> type | None:
@@ -70,7 +74,8 @@ class PivotTable:
     def __init__(self, rows: np.ndarray, pivots: np.ndarray, norm: float):
         self.pivots, self.norm = pivots, norm
         self.rows = as_kind(rows, norm)
-        self.far = np.ascontiguousarray(self._distances(rows, self._lift(rows)).T.astype(np.float32))
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.far = np.ascontiguousarray(self._distances(rows, self._lift(rows)).T.astype(np.float32))
 
     def _lift(self, x: np.ndarray) -> np.ndarray:
         return np.sqrt(np.maximum(0.0, self.norm ** 2 - (x ** 2).sum(1)))
@@ -82,7 +87,10 @@ class PivotTable:
         return np.sqrt(np.maximum(0.0, square))
 
     def bounds(self, query: np.ndarray) -> np.ndarray:
-        """At least the inner product of the query with each row."""
+        """At least the inner product of the query with each row. Norms beyond
+        single precision's range exclude nothing."""
+        if not self.norm < 1e15:
+            return np.full(len(self.rows), np.inf, np.float32)
         near = self._distances(query[None], np.zeros(1))[0].astype(np.float32)
         gap = np.zeros(len(self.rows), np.float32)
         one = np.empty_like(gap)
@@ -132,8 +140,8 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
     """query_id, rank (from 1), vec_id, score: for each row whose id is divisible
     by ``every``, the k rows of the highest inner product of floor(scale * x).
 
-    Rows with a null id, a null vector or a null or non-finite component take
-    no part. A row is no candidate for a query of its own id (so none of several
+    Rows with a null id, a null vector or a null or non-finite component (also
+    one that scaling makes so) take no part. A row is no candidate for a query of its own id (so none of several
     rows of one id is); only vectors of equal length are compared. Ties go to
     the smaller id, equal rows (same id and score) count once each. Scores
     beyond 64 bits are the nearest end of that range. An empty table gives no
@@ -143,7 +151,7 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
     block meets each row block once, by an equi-join on the block numbers.
     Pivots are ``pivots`` rows (a documented, bounded sample) of each length."""
     spark = vectors.sparkSession
-    rows = vectors.filter(F.col(vec_id).isNotNull() & _usable(embedding)).select(
+    rows = vectors.filter(F.col(vec_id).isNotNull() & _usable(embedding, scale)).select(
         F.col(vec_id).cast("long").alias("vec_id"), scaled(embedding, scale).alias("x"))
     rows = written(rows.withColumn("dim", F.size("x")), "vectors")
 

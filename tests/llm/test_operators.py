@@ -152,13 +152,14 @@ def test_pivot_search(spark):
     rows = [(i, [float(x) for x in rng.normal(0, 0.2, 6)]) for i in range(130)]
     rows += [(130, rows[3][1]), (131, rows[3][1]), (131, rows[3][1]), (200, [1e9] * 6), (None, rows[4][1]), (140, None), (141, [0.1, None] * 3),
              (142, [float("nan")] * 6), (143, [float("inf")] * 6), (150, [0.5, -0.25]), (151, [1.0, 1.0]), (152, []), (250, [])]
+    rows += [(300, [-1e-20, 3e30, 1e200]), (301, [1e-20, 2.0 ** 60, -1e200]), (302, [-5e-324, -1.0, 3.0]), (303, [1e308, 0.0, 0.0])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("score", F.lit(1)).withColumn("x", F.lit(2))
     ok = [(i, [math.floor(256 * x) for x in v]) for i, v in rows
-          if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+          if i is not None and v is not None and all(x is not None and math.isfinite(256 * x) for x in v)]
     want = []
     for q, x in ok:
         if q % 50 == 0:
-            scores = sorted((-min(sum(a * b for a, b in zip(x, y)), (1 << 63) - 1), i) for i, y in ok if i != q and len(y) == len(x))
+            scores = sorted((-max(-1 << 63, min(sum(a * b for a, b in zip(x, y)), (1 << 63) - 1)), i) for i, y in ok if i != q and len(y) == len(x))
             want += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:5])]
     same(pivot_search.search(df, pivots=8).collect(), want)
     assert pivot_search.search(df.filter("1 = 0")).count() == 0
