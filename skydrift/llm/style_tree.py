@@ -50,6 +50,7 @@ NOISE_WORDS = frozenset("""nav navbar navigation menu menubar breadcrumb breadcr
 _TOKEN = re.compile(
     r"<!--(?:.*?-->|.*\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?>[^\"'>]+|\"[^\"]*\"|'[^']*')*+)>"
     r"|<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_BEGUN = re.compile(r"<[a-zA-Z/!?]")
 _NAMED = re.compile(r"""\b(class|id|role)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORD = re.compile(r"[a-z]+")
@@ -87,11 +88,12 @@ class Page:
         self._stack = [Node("", 0, False, False, True, 0)]
         self._block: list[str] | None = None
         at = 0
-        n = len(html)
+        n = html.rfind(">") + 1  # no tag ends beyond
+        rest = html[n:]
         while at < n:
-            m = _TOKEN.search(html, at)
+            m = _TOKEN.search(html, at, n)
             if m is None:
-                self._text(html[at:])
+                self._text(html[at:n])
                 break
             if m.start() > at:
                 self._text(html[at: m.start()])
@@ -99,13 +101,20 @@ class Page:
             closing, tag, attributes, odd, odd_attributes = m.groups()
             if closing:
                 self._close(closing.lower())
+            elif m.group().startswith("<!--") and not m.group().endswith("-->"):
+                rest = ""  # a comment that never ends
             elif tag or odd:
                 name = (tag or odd).lower()
                 if name in RAW and not (attributes or odd_attributes or "").endswith("/"):
                     end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                    at = end.end() if end else n
+                    at, rest = (end.end(), rest) if end else (n, "")
                 else:
                     self._open(name, attributes if tag else odd_attributes)
+        if rest:  # up to a tag or comment that never ends
+            unfinished = _BEGUN.search(rest)
+            rest = rest[: unfinished.start()] if unfinished else rest
+            if rest:
+                self._text(rest)
         while len(self._stack) > 1:
             self._pop()
 

@@ -219,6 +219,11 @@ PAGE = """<!DOCTYPE html><html><head><title>t</title><style>p{}</style></head><b
     ("<p class='x>y</p>", "y"),
     ("", ""),
     ("<script>", ""),
+    ("<p>x</p><!-- a > b", "x"),
+    ("<p>x</p>tail < end <a href='", "x\n\ntail < end"),
+    ("no tags", "no tags"),
+    ("<a " * 50_000 + "x", ""),
+    ("<p>x" + "<a " * 50_000, "x"),
     ("<p>" * 3000 + "deep", "deep"),
 ])
 def test_page_text(html, text):
