@@ -14,7 +14,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skydrift.llm.components import _written
+from skydrift.llm.tables import written
 
 # Suffixes of two labels under which names are registered.
 TWO_LABEL_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "gov.uk", "com.au", "net.au", "org.au", "co.nz",
@@ -90,7 +90,7 @@ def reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
 
     Counts are combined before each shuffle. Only the three prior weights and
     the overall share reach the driver. An empty table gives no rows."""
-    hosts = _written(outcomes.filter(F.col("host").isNotNull()).groupBy("host").agg(
+    hosts = written(outcomes.filter(F.col("host").isNotNull()).groupBy("host").agg(
         F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
         .withColumn("domain", domain_of(F.col("host"))).withColumn("suffix", suffix_of(F.col("host"))), "hosts")
     whole = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
@@ -125,7 +125,9 @@ def judge(pages: DataFrame, rules: list[Rule], threshold: float = 0.5, z: float
     url = F.col("url")
     own = pages.select("page_id", host_of(url).alias("host"), path_of(url).alias("path"), F.col("bad").cast("long").alias("bad"))
     rated = reputation(own.select("host", F.when(F.col("host") != "", F.col("bad")).alias("bad")), z)
-    blocked = rated.filter(F.col("lower") > threshold).select("host", F.lit("block").alias("rated"))
+    # written, so that the join's shuffle of the pages is one that Spark can split
+    # where a host is large
+    blocked = written(rated.filter(F.col("lower") > threshold).select("host", F.lit("block").alias("rated")), "blocked")
     host, path = F.col("host"), F.col("path")
     return own.join(blocked, "host", "left").select(
         "page_id", "host", "path", matched(rules, host, path, lambda r: r.text).alias("rule"),
