@@ -4,8 +4,10 @@ The counts of the corpus's unigrams and bigrams are quantised to levels, level
 q for counts of 2^(q-1) and more. The filter holds each n-gram once for every
 level up to its own; a count is read back by probing level after level until
 one is absent. The filter is built in segments, each by one task from the
-n-grams of one hash range, and broadcast; its size follows the corpus up to a
-stated bound, beyond which it gets denser, and less exact, but drops nothing.
+n-grams of one hash range; its size follows the counted levels, so that false
+positives are alike at every size. Up to a stated bound the filter is
+broadcast; beyond, the n-grams to be scored go to the segments' bits and their
+levels come back.
 
 The base score is that of a smoothed unigram model with exact counts. The
 counts of the most frequent words are broadcast (a fixed number of them); those
@@ -19,18 +21,21 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skydrift.llm.lookup import looked_up
 from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, mix, slices
 
 BITS_PER_ENTRY = 8.0
 PROBES = 4
-#: Bound of the filter that is broadcast.
+#: A filter of more bytes is not broadcast.
 MOST_BYTES = 512 << 20
 #: Exact counts of so many words at most, the most frequent, are broadcast.
 FREQUENT = 1_000_000
 SEGMENT_TOKENS = 500_000
 #: A task adds up so many tokens before it hands their counts on.
 FLUSH_TOKENS = 3_000_000
+#: Of a count below 2^63.
+MOST_LEVEL = 63
 ALPHA = 0.1
 BIGRAM_SHARE = 0.2
 
@@ -69,7 +74,7 @@ def _added(hashes: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.nda
 
 def _segmented(hashes: np.ndarray, counts: np.ndarray, segments: int) -> pa.RecordBatch:
     """One row for each segment: its n-grams (6 bytes each) and their counts."""
-    segment = ((hashes >> np.uint64(48)) * np.uint64(segments)) >> np.uint64(16)
+    segment = _segment(hashes, segments)
     order = np.argsort(segment, kind="stable")
     hashes, counts, segment = hashes[order], counts[order], segment[order]
     names, at = np.unique(segment, return_index=True)
@@ -82,14 +87,25 @@ def _segmented(hashes: np.ndarray, counts: np.ndarray, segments: int) -> pa.Reco
         [pa.array(names.astype(np.int32)), pa.array(parts, pa.binary()), pa.array(wide, pa.binary())], ["segment", "grams", "counts"])
 
 
+def _segment(hashes: np.ndarray, segments: int) -> np.ndarray:
+    return ((hashes >> np.uint64(48)) * np.uint64(segments)) >> np.uint64(16)
+
+
+def _middle(level: np.ndarray) -> np.ndarray:
+    """The middle of each level, as a count."""
+    return np.where(level > 1, 1.5 * 2.0 ** (level.astype(float) - 1), level.astype(float))
+
+
 def _levels(counts: np.ndarray) -> np.ndarray:
     return np.floor(np.log2(counts)).astype(np.int64) + 1
 
 
 class Filter:
-    """Segments of bits; segment s holds ``sizes[s]`` bits from byte ``at[s]``."""
+    """Segments of bits; segment s holds ``sizes[s]`` bits from byte ``at[s]``,
+    and no level above ``tops[s]``."""
 
-    def __init__(self, sizes: np.ndarray, bits: bytes):
+    def __init__(self, sizes: np.ndarray, bits: bytes, tops: np.ndarray | None = None):
+        self.tops = np.full(len(sizes), MOST_LEVEL) if tops is None else tops
         self.sizes = sizes.astype(np.uint64)
         self.at = (np.cumsum(sizes) - sizes).astype(np.uint64) >> np.uint64(3)
         self.bits = np.frombuffer(bits, np.uint8)  # not copied
@@ -119,8 +135,8 @@ class Filter:
         out = np.zeros(len(hashes), np.int64)
         if not len(self.bits):
             return out
-        segment = (((hashes >> np.uint64(48)) * np.uint64(len(self.sizes))) >> np.uint64(16)).astype(np.int64)
-        low, size, base = hashes & _LOW48, self.sizes[segment], self.at[segment]
+        segment = _segment(hashes, len(self.sizes)).astype(np.int64)
+        low, size, base, top = hashes & _LOW48, self.sizes[segment], self.at[segment], self.tops[segment]
         alive = np.flatnonzero(size)
         q = 1
         while len(alive):
@@ -130,13 +146,12 @@ class Filter:
                 held &= (byte >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
             alive = alive[held]
             out[alive] = q
+            alive = alive[top[alive] > q]
             q += 1
         return out
 
     def counts(self, hashes: np.ndarray) -> np.ndarray:
-        """The middle of each n-gram's level, as a count."""
-        level = self.levels(hashes)
-        return np.where(level > 1, 1.5 * 2.0 ** (level - 1), level.astype(float))
+        return _middle(self.levels(hashes))
 
 
 def held_out(doc_id: F.Column) -> F.Column:
@@ -167,12 +182,9 @@ def _unigrams(training: DataFrame) -> DataFrame:
     return training.select("text").mapInArrow(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def build(training: DataFrame, unigrams: DataFrame, total: int, most_bytes: int = MOST_BYTES) -> tuple[np.ndarray, bytes]:
-    """The sizes (in bits) and bits of the filter's segments, for the unigram counts (h, c) and the bigrams of
-    the training texts. Only the finished segments, at most about ``most_bytes``
-    in all, reach the driver."""
-    segments = max(16, -(-total // SEGMENT_TOKENS))
-    per_entry = min(BITS_PER_ENTRY, 8.0 * most_bytes / max(1, 2 * total))
+def build(training: DataFrame, unigrams: DataFrame, segments: int) -> DataFrame:
+    """segment, bits and top (its highest level) of the filter's segments, for
+    the unigram counts (h, c) and the bigrams of the training texts."""
     schema = "segment int, grams binary, counts binary"
 
     def of_texts(batches):
@@ -204,15 +216,21 @@ def build(training: DataFrame, unigrams: DataFrame, total: int, most_bytes: int
             counts.append(np.frombuffer(c, np.uint8 if len(c) == len(six) else "<u8").astype(np.int64))
         distinct, added = _added(np.concatenate(low), np.concatenate(counts))
         return pa.table({"segment": table.column("segment")[:1],
-                         "bits": pa.array([Filter.segment(distinct, added, per_entry)], pa.binary())})
+                         "bits": pa.array([Filter.segment(distinct, added, BITS_PER_ENTRY)], pa.binary()),
+                         "top": pa.array([int(_levels(added).max())], pa.int32())})
 
     grams = training.select("text").mapInArrow(of_texts, schema).union(unigrams.select("h", "c").mapInArrow(of_counts, schema))
-    made = grams.groupBy("segment").applyInArrow(finish, "segment int, bits binary").toArrow()
-    made = made.sort_by("segment")
-    bits = made.column("bits").to_pylist()
-    sizes = np.zeros(segments, np.int64)
-    sizes[made.column("segment").to_numpy()] = [8 * len(x) for x in bits]
-    return sizes, b"".join(bits)
+    return written(grams.groupBy("segment").applyInArrow(finish, "segment int, bits binary, top int"), "segments")
+
+
+def collected(made: DataFrame, segments: int) -> tuple[np.ndarray, bytes, np.ndarray]:
+    """The sizes (in bits), bits and highest levels of all segments."""
+    table = made.toArrow().sort_by("segment")
+    bits = table.column("bits").to_pylist()
+    sizes, tops = np.zeros(segments, np.int64), np.zeros(segments, np.int64)
+    some = table.column("segment").to_numpy()
+    sizes[some], tops[some] = [8 * len(x) for x in bits], table.column("top").to_numpy()
+    return sizes, b"".join(bits), tops
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
@@ -242,46 +260,67 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
     top = unigrams.filter(F.lit(False) if least is None else like >= least).toArrow()  # ``frequent`` rows at most
     hashes = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
+    segments = max(16, -(-n // SEGMENT_TOKENS))
+    made = build(training, unigrams, segments)
+    within = (made.agg(F.sum(F.octet_length("bits")).alias("n")).first().n or 0) <= most_bytes
     shared = spark.sparkContext.broadcast(
-        (hashes[order], top.column("c").to_numpy()[order], build(training, unigrams, n, most_bytes)))
+        (hashes[order], top.column("c").to_numpy()[order], collected(made, segments) if within else None))
     rare_left = v > taken
     spread = n + ALPHA * (v + 1)
+    names = ["key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"]
+
+    def scored_rows(batch: pa.RecordBatch, w: Words, key: np.ndarray, counts) -> pa.RecordBatch:
+        known, known_counts, _ = shared.value
+        begins = counts(np.array([BEGIN]))[0] or counts(np.array([END]))[0]
+        texts = batch.num_rows
+        token, begin = tokens(w)
+        owner = np.repeat(np.arange(texts), np.diff(begin))
+        word, place = np.unique(token, return_inverse=True)
+        at = np.minimum(np.searchsorted(known, word), max(0, len(known) - 1))
+        exact = np.where(known[at] == word, known_counts[at], 0) if len(known) else np.zeros(len(word), np.int64)
+        unigram = counts(word)
+        gram, _ = bigrams(token, begin)
+        before = np.empty(len(token))
+        before[1:] = unigram[place[:-1]]
+        before[begin[:-1]] = begins
+        share = np.minimum(1.0, counts(gram) / np.maximum(1.0, before))
+        p = BIGRAM_SHARE * share + (1 - BIGRAM_SHARE) * ((unigram + ALPHA) / spread)[place]
+        c = exact[place]
+        rare = np.flatnonzero(c == 0) if rare_left else np.zeros(0, np.int64)
+        plain = np.log10((c + ALPHA) / spread)
+        plain[rare] = 0.0
+        ends = np.searchsorted(rare, begin)
+        return pa.RecordBatch.from_arrays([
+            pa.array(key), *batch.columns[:2], pa.array(np.diff(begin)),
+            pa.array(np.bincount(owner, c > 0, texts).astype(np.int64)), pa.array(np.bincount(owner, plain, texts)),
+            pa.array(np.bincount(owner, np.log10(p), texts)),
+            pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token[rare].view(np.int64)))], names)
 
     def run(batches):
-        known, known_counts, built = shared.value
-        lm = Filter(*built)
+        lm = Filter(*shared.value[2])
         key = TaskContext.get().partitionId() << 33
-        begins = lm.counts(np.array([BEGIN]))[0] or lm.counts(np.array([END]))[0]
         for batch in batches:
             for a, b, w in slices(column(batch, "text")):
-                token, begin = tokens(w)
-                owner = np.repeat(np.arange(b - a), np.diff(begin))
-                word, place = np.unique(token, return_inverse=True)
-                at = np.minimum(np.searchsorted(known, word), max(0, len(known) - 1))
-                exact = np.where(known[at] == word, known_counts[at], 0) if len(known) else np.zeros(len(word), np.int64)
-                unigram = lm.counts(word)
-                gram, _ = bigrams(token, begin)
-                before = np.empty(len(token))
-                before[1:] = unigram[place[:-1]]
-                before[begin[:-1]] = begins
-                share = np.minimum(1.0, lm.counts(gram) / np.maximum(1.0, before))
-                p = BIGRAM_SHARE * share + (1 - BIGRAM_SHARE) * ((unigram + ALPHA) / spread)[place]
-                c = exact[place]
-                rare = np.flatnonzero(c == 0) if rare_left else np.zeros(0, np.int64)
-                plain = np.log10((c + ALPHA) / spread)
-                plain[rare] = 0.0
-                ends = np.searchsorted(rare, begin)
-                yield pa.RecordBatch.from_arrays([
-                    pa.array(key + np.arange(b - a)), *batch.slice(a, b - a).columns[:2], pa.array(np.diff(begin)),
-                    pa.array(np.bincount(owner, c > 0, b - a).astype(np.int64)), pa.array(np.bincount(owner, plain, b - a)),
-                    pa.array(np.bincount(owner, np.log10(p), b - a)),
-                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(token[rare].view(np.int64)))],
-                    ["key", "doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare"])
+                yield scored_rows(batch.slice(a, b - a), w, key + np.arange(b - a), lm.counts)
                 key += b - a
 
+    def asked(w: Words) -> np.ndarray:
+        token, begin = tokens(w)
+        return np.concatenate([token, bigrams(token, begin)[0], [BEGIN, END]])
+
+    def probed(hashes: np.ndarray, one: dict) -> np.ndarray:
+        if not one:
+            return np.zeros(len(hashes), np.uint8)
+        lm = Filter(np.array([8 * len(one["bits"])]), one["bits"], np.array([one["top"]]))
+        return lm.levels(hashes).astype(np.uint8)
+
+    def joined(batch: pa.RecordBatch, w: Words, key: np.ndarray, levels) -> pa.RecordBatch:
+        return scored_rows(batch, w, key, lambda hashes: _middle(levels(hashes)))
+
     kind = source.schema["doc_id"].dataType.simpleString()
-    scored = source.mapInArrow(run, f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, "
-                                    "base_score double, score double, rare array<long>")
+    schema = f"key long, doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>"
+    scored = source.mapInArrow(run, schema) if within else looked_up(
+        source, "text", asked, lambda hashes: _segment(hashes, segments), made, probed, joined, schema)
     total = F.lit(int(n)).cast("long").alias("train_tokens")
     if not rare_left:
         return scored.select("doc_id", "held_out", "n_tokens", "n_known", total, "base_score", "score")

@@ -182,6 +182,12 @@ def test_bloom_filter_reads_levels_back():
     assert bloom_lm.Filter(np.zeros(16), b"").levels(absent).sum() == 0
 
 
+def test_full_filter_ends_at_its_highest_level():
+    made = bloom_lm.Filter(np.full(16, 64), b"\xff" * 128, np.full(16, 5))
+    got = made.counts(np.arange(1 << 10, dtype=np.uint64) << np.uint64(54))
+    assert (got == 24).all()
+
+
 def test_lines():
     texts = ["a b c d e\n\nA b 12 d", None, "a b c d e", "x\n a  b 345 d e"]
     w = split(*text_bytes(pa.array(texts)))

@@ -20,6 +20,7 @@ from skydrift.llm import (
     components,
     kk_packing,
     line_templates,
+    lookup,
     pivot_search,
     quality_llr,
     simhash_dedup,
@@ -258,6 +259,17 @@ def test_language_model(docs, none, frequent):
     assert len(alone) == 3 and all(math.isfinite(r.base_score) for r in alone)
 
 
+def test_language_model_beyond_the_broadcast(docs, monkeypatch):
+    def scores(most_bytes):
+        return [tuple(r) for r in bloom_lm.score(docs, most_bytes=most_bytes).collect()]
+
+    monkeypatch.setattr(lookup, "CHUNK_KEYS", 40)
+    got = scores(16)  # 0.0005 bits per level, were the filter to fit in it
+    assert all(math.isfinite(r[-1]) for r in got)
+    same([(*r[:-2], round(r[-2], 4), round(r[-1], 4)) for r in got],
+         [(*r[:-2], round(r[-2], 4), round(r[-1], 4)) for r in scores(bloom_lm.MOST_BYTES)])
+
+
 def test_line_templates(spark, docs, none):
     got = {(r.doc_id, r.text): r.n_dropped for r in line_templates.drop_recurring(docs.select("doc_id", "text", "lang")).collect()}
     assert (1, PROSE) in got and (12, "") in got and (2, None) in got and (None, None) in got
