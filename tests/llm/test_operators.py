@@ -285,6 +285,14 @@ def test_line_templates(spark, docs, none):
     assert "committee" in out[50] and "committee" not in out[51] and "committee" not in out[52]  # another variable word
 
 
+def test_lines_of_figures_stay(spark):
+    rows = [(1, "12 34 56 78 90\n7 May 12:30 2 1\nthe river rose by 3 feet in spring"), (2, "1 2 3 4 5\n9 May 14:00 0 0"),
+            (3, "12 34 56 78 91\nthe river rose by 4 feet in spring"), (4, "12 34 56 78 90")]
+    out = {r.doc_id: r.text for r in line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert out[1] == rows[0][1] and out[2] == rows[1][1]
+    assert out[3] == "12 34 56 78 91" and out[4] == ""  # a field that varies; an equal row
+
+
 def test_toxicity(spark, docs, none, labels):
     categories = ["good", "toxic"]
     got = toxicity_chain.score(docs, labels, categories).collect()
