@@ -293,6 +293,20 @@ def test_lines_of_figures_stay(spark):
     assert out[3] == "12 34 56 78 91" and out[4] == ""  # a field that varies; an equal row
 
 
+@pytest.mark.parametrize("block", [line_templates.BLOCK, 3])
+def test_lines_alike_by_share_of_words(spark, monkeypatch, block):
+    monkeypatch.setattr(line_templates._templates, "__defaults__", (block,))
+    base = "the council of the old town has agreed to build a new bridge over the river near mill".split()
+    names, days = ["Ada", "Bob", "Cyd", "Dov"], ["monday", "tuesday", "friday"]
+    rows = [(k, " ".join(x if j != 4 + k else f"edit{'abcdefghijkl'[k]}" for j, x in enumerate(base))) for k in range(12)]
+    rows += [(100 + 10 * i + j, f"all members agree that {a} will lead the long meeting on {b} in the hall")
+             for i, a in enumerate(names) for j, b in enumerate(days)]
+    rows += [(200, "all members agree that nobody else may ever come there with some dog or big cat")]
+    out = {r.doc_id: r.text for r in line_templates.drop_recurring(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [k for k, t in out.items() if t and k < 100] == [0] and [k for k, t in out.items() if t and 100 <= k < 200] == [100]
+    assert out[200] == rows[-1][1]
+
+
 def test_toxicity(spark, docs, none, labels):
     categories = ["good", "toxic"]
     got = toxicity_chain.score(docs, labels, categories).collect()
