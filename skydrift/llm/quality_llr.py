@@ -1,6 +1,7 @@
 """Quality rules by a hashed n-gram log-likelihood ratio.
 
-Word unigrams and bigrams are hashed into buckets. Two multinomials over the
+Word unigrams and bigrams are hashed into buckets, whose number follows that of
+the corpus's distinct n-grams, so that collisions are alike at every size. Two multinomials over the
 buckets are counted: that of documents labelled as good, and that of the whole
 raw corpus. A document's score is the mean log ratio of the two over its
 n-grams; every document is judged by the same fixed threshold."""
@@ -12,9 +13,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skydrift.llm.lookup import looked_up
+from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, mix, read, slices
 
+#: So many buckets at least.
 BUCKETS = 1 << 17
+#: So many distinct n-grams a bucket at most, on average.
+LOAD = 4
+#: One of so many n-grams, by their hashes, is counted for that.
+COUNTED = 256
+#: More buckets than this are not broadcast.
+MOST_SHARED = 1 << 24
+#: A row of the table of buckets.
+SEGMENT = 1 << 13
+#: A task adds up so many n-grams before it hands their counts on.
+FLUSH_GRAMS = 2_000_000
 #: Documents that the trusted multinomial is counted from: those of the least
 #: hash of their ids. The raw one is counted from all documents.
 MOST_TRUSTED = 50_000
@@ -44,12 +58,11 @@ def _spanned(w: Words, n: int) -> np.ndarray:
 
 
 def n_grams(w: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the slice's unigrams and bigrams, and the text of each."""
+    """Hashes of the slice's unigrams and bigrams, and the text of each."""
     text = np.repeat(np.arange(len(w.first) - 1), w.counts())
     pair = _spanned(w, 2)
     both = mix(hashes[pair] * np.uint64(3) + hashes[pair + 1]) if len(pair) else np.zeros(0, np.uint64)
-    bucket = np.concatenate([hashes, both]) & np.uint64(BUCKETS - 1)
-    return bucket.astype(np.int64), np.concatenate([text, text[pair]])
+    return np.concatenate([hashes, both]), np.concatenate([text, text[pair]])
 
 
 def repeated_words(w: Words, hashes: np.ndarray, window: int = WINDOW) -> np.ndarray:
@@ -97,41 +110,89 @@ def base(w: Words, hashes: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
-def fit(docs: DataFrame, trusted: DataFrame) -> np.ndarray:
-    """The log ratio of each bucket. ``trusted`` (doc_id) names the documents of
-    the target; at most ``MOST_TRUSTED`` of them are sent to the tasks. Each
-    task adds up its documents before the shuffle."""
+def buckets_for(docs: DataFrame, least: int = BUCKETS) -> int:
+    """A power of two that the distinct n-grams of ``docs`` (text) load at most
+    ``LOAD`` times."""
+    def run(batches):
+        seen = np.zeros(0, np.uint64)
+        for batch in batches:
+            for *_, w in slices(column(batch, "text")):
+                gram = mix(n_grams(w, w.hashes(lower=False))[0])
+                seen = np.union1d(seen, gram[gram % np.uint64(COUNTED) == 0])
+                if len(seen) > FLUSH_GRAMS:
+                    yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64))], ["gram"])
+                    seen = seen[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64))], ["gram"])
+
+    distinct = docs.select("text").mapInArrow(run, "gram long").distinct().count() * COUNTED
+    return max(least, 1 << max(0, -(-distinct // LOAD) - 1).bit_length())
+
+
+def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
+    """segment and ratios: the log ratios of ``SEGMENT`` buckets each (float32; 0
+    for segments without a row); None if nothing is trusted. ``trusted``
+    (doc_id) names the documents of the target; at most ``MOST_TRUSTED`` of them
+    are sent to the tasks. Each task adds up its n-grams before the shuffle."""
     spark = docs.sparkSession
     ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct() \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TRUSTED).toArrow().column(0).to_numpy()
     shared = spark.sparkContext.broadcast(np.sort(ids))
 
+    def added(waiting):
+        both, target = (np.concatenate(x) for x in zip(*waiting))
+        some, place = np.unique(both, return_inverse=True)
+        counts = np.column_stack([np.bincount(place, minlength=len(some)), np.bincount(place, target, len(some))]).astype("<i8")
+        names, at = np.unique(some // SEGMENT, return_index=True)
+        edges = [*at.tolist(), len(some)]
+        low = (some % SEGMENT).astype("<u2")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(names.astype(np.int32)), *[pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for x in (low, counts)]],
+            ["segment", "low", "counts"])
+
     def run(batches):
-        raw, target = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        waiting, held = [], 0
         for batch in batches:
             chosen = np.isin(column(batch, "doc_id").fill_null(-1).to_numpy(), shared.value) \
                 & column(batch, "doc_id").is_valid().to_numpy(zero_copy_only=False)
             for a, b, w in slices(column(batch, "text")):
-                bucket, owner = n_grams(w, w.hashes(lower=False))
-                raw += np.bincount(bucket, minlength=BUCKETS)
-                target += np.bincount(bucket[chosen[a:b][owner]], minlength=BUCKETS)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], target[some])], ["bucket", "raw", "target"])
-
-    counted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text") \
-        .mapInArrow(run, "bucket long, raw long, target long") \
-        .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).toArrow()  # BUCKETS rows at most
-    raw, target = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    bucket = counted.column("bucket").to_numpy()
-    raw[bucket] = counted.column("raw").to_numpy()
-    target[bucket] = counted.column("target").to_numpy()
-    if not target.sum():
-        return np.zeros(BUCKETS, np.float32)  # nothing is trusted: no ratio
-    share = target.sum() / raw.sum()
-    return np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype(np.float32)
-
-
-def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+                gram, owner = n_grams(w, w.hashes(lower=False))
+                waiting.append(((gram & np.uint64(buckets - 1)).astype(np.int64), chosen[a:b][owner]))
+                held += len(gram)
+                if held >= FLUSH_GRAMS:
+                    yield added(waiting)
+                    waiting, held = [], 0
+        if held:
+            yield added(waiting)
+
+    def finish(table: pa.Table) -> pa.Table:
+        total = np.zeros((SEGMENT, 2), np.int64)
+        for low, counts in zip(table.column("low").to_pylist(), table.column("counts").to_pylist()):
+            total[np.frombuffer(low, "<u2")] += np.frombuffer(counts, "<i8").reshape(-1, 2)
+        raw, target = total.sum(0)
+        return pa.table({"segment": table.column("segment")[:1], "counts": pa.array([total.tobytes()], pa.binary()),
+                         "raw": pa.array([raw]), "target": pa.array([target])})
+
+    counted = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+                      .mapInArrow(run, "segment int, low binary, counts binary").groupBy("segment")
+                      .applyInArrow(finish, "segment int, counts binary, raw long, target long"), "buckets")
+    n = counted.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+    if not n.target:
+        return None
+    share = n.target / n.raw
+
+    def ratios(batches):
+        for batch in batches:
+            made = []
+            for x in column(batch, "counts").to_pylist():
+                raw, target = np.frombuffer(x, "<i8").reshape(-1, 2).T
+                made.append(np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype("<f4").tobytes())
+            yield pa.RecordBatch.from_arrays([column(batch, "segment"), pa.array(made, pa.binary())], ["segment", "ratios"])
+
+    return counted.mapInArrow(ratios, "segment int, ratios binary")
+
+
+def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",),
+          most_shared: int = MOST_SHARED) -> DataFrame:
     """``keep`` (any columns but those that follow), the counts n_words,
     word_chars, n_symbols, n_dup_lines and n_repeat_words, base_failed, score and
     kept, for each row of ``docs`` (doc_id, text).
@@ -140,25 +201,43 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, kee
     and repeated doc_ids are judged like others; an empty table gives no rows.
     Columns not named are not read."""
     spark = docs.sparkSession
-    weights = spark.sparkContext.broadcast(fit(docs, trusted))
+    buckets = buckets_for(docs)
+    table = fit(docs, trusted, buckets)
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     source, text = read(docs, keep)
     schema = source.select(*source.columns[:len(keep)], *[F.lit(0).cast("long").alias(c) for c in names],
                            F.lit(False).alias("base_failed"), F.lit(0.0).alias("score"), F.lit(False).alias("kept")).schema
 
+    def judged(batch: pa.RecordBatch, w: Words, ratio) -> pa.RecordBatch:
+        hashes = w.hashes(lower=False)
+        counts = base(w, hashes)
+        gram, owner = n_grams(w, hashes)
+        texts = batch.num_rows
+        total = np.bincount(owner, ratio(gram & np.uint64(buckets - 1)), texts)
+        score = total / np.maximum(1, np.bincount(owner, minlength=texts))
+        n, repeated = counts["n_words"], counts["n_repeat_words"]
+        failed = (n < MIN_WORDS) | (100 * repeated > MOST_REPEATED_PERCENT * n)
+        made = [*(counts[c] for c in names), failed, score, ~failed & (score >= threshold)]
+        return pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], *(pa.array(x) for x in made)], schema.names)
+
+    if table is not None and buckets > most_shared:
+        def asked(w: Words) -> np.ndarray:
+            return n_grams(w, w.hashes(lower=False))[0] & np.uint64(buckets - 1)
+
+        def answer(bucket: np.ndarray, one: dict) -> np.ndarray:
+            return np.frombuffer(one["ratios"], "<f4")[(bucket % np.uint64(SEGMENT)).astype(np.int64)] if one else np.zeros(len(bucket), "<f4")
+
+        return looked_up(source, text, asked, lambda bucket: bucket // np.uint64(SEGMENT), table, answer,
+                         lambda batch, w, _, ratio: judged(batch, w, ratio), schema)
+
+    held = np.zeros(buckets, np.float32)
+    for segment, x in zip(*table.toArrow().to_pydict().values()) if table is not None else ():
+        held[segment * SEGMENT: (segment + 1) * SEGMENT] = np.frombuffer(x, "<f4")
+    weights = spark.sparkContext.broadcast(held)
+
     def run(batches):
         for batch in batches:
             for a, b, w in slices(column(batch, text)):
-                hashes = w.hashes(lower=False)
-                counts = base(w, hashes)
-                bucket, owner = n_grams(w, hashes)
-                texts = b - a
-                total = np.bincount(owner, weights.value[bucket], texts)
-                score = total / np.maximum(1, np.bincount(owner, minlength=texts))
-                n, repeated = counts["n_words"], counts["n_repeat_words"]
-                failed = (n < MIN_WORDS) | (100 * repeated > MOST_REPEATED_PERCENT * n)
-                made = [*(counts[c] for c in names), failed, score, ~failed & (score >= threshold)]
-                yield pa.RecordBatch.from_arrays(
-                    [*batch.slice(a, texts).columns[:len(keep)], *(pa.array(x) for x in made)], schema.names)
+                yield judged(batch.slice(a, b - a), w, lambda bucket: weights.value[bucket.astype(np.int64)])
 
     return source.mapInArrow(run, schema)

@@ -240,6 +240,20 @@ def test_quality_score_by_brute_force(spark):
         assert got[i].kept == (i % 2 == 1) or got[i].base_failed
 
 
+def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
+    rows = [(k, " ".join(f"{'good' if k % 2 else 'BAD!!'}{j % 300} own{k}x{j}" for j in range(600))) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    distinct = 300 * 2 + 60 * 600 * 3
+    monkeypatch.setattr(quality_llr.buckets_for, "__defaults__", (1 << 8,))
+    n = quality_llr.buckets_for(df)
+    assert distinct / n <= quality_llr.LOAD * 1.2 and n & (n - 1) == 0
+    trusted = df.filter("doc_id % 2 = 1").select("doc_id")
+    monkeypatch.setattr(lookup, "CHUNK_KEYS", 5000)
+    shared, joined = ([tuple(r) for r in quality_llr.judge(df, trusted, most_shared=m).collect()] for m in (1 << 24, 1))
+    same([(*r[:-2], round(r[-2], 6), r[-1]) for r in joined], [(*r[:-2], round(r[-2], 6), r[-1]) for r in shared])
+    assert {r[0] for r in shared if r[-1] or r[-3]} >= {k for k, _ in rows if k % 2}
+
+
 @pytest.mark.parametrize("frequent", [3, 1000])
 def test_language_model(docs, none, frequent):
     got = bloom_lm.score(docs, frequent=frequent).collect()
