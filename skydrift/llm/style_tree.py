@@ -32,7 +32,7 @@ LEAST_PAGES = 5
 
 # Elements of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript iframe template textarea title xmp noembed noframes svg math".split())
+RAW = frozenset("script style noscript iframe template textarea title xmp noembed noframes svg annotation annotation-xml".split())
 BLOCK = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
     optgroup option p pre section summary table caption tbody td tfoot th thead tr ul""".split())
@@ -120,15 +120,15 @@ class Page:
 
     def _text(self, raw: str) -> None:
         top = self._stack[-1]
+        home = next((x for x in reversed(self._stack) if x.tag in BLOCK), self._stack[0])
+        if top.noise and not home.noise:  # inline noise within a block
+            return
         if self._block is None:
             if raw.isspace():
                 return
             self._block = []
             paths = tuple(x.path for x in self._stack if x.tag in BLOCK)
-            self.blocks.append((self._block, paths, top.noise, top.article))
-        elif top.noise != self.blocks[-1][2]:  # inline noise within a block
-            if top.noise:
-                return
+            self.blocks.append((self._block, paths, home.noise, top.article))
         self._block.append(unescape(raw) if "&" in raw else raw)
 
     def _open(self, tag: str, attributes: str) -> None:

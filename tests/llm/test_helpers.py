@@ -236,5 +236,18 @@ def test_page_text(html, text):
     assert Page(html).text(set()) == text
 
 
+@pytest.mark.parametrize("html, text", [
+    ("<p><button>Copy</button>The paragraph</p>", "The paragraph"),
+    ("<p>The <button>Copy</button>paragraph</p>", "The paragraph"),
+    ("<p>The paragraph<button>Copy</button></p>", "The paragraph"),
+    ("<p><span class='notice'>Update:</span> text <a class='share' href='x'>x</a></p><p>more", "text\n\nmore"),
+    ("<table><tr><td><label>Name</label>Ada</table>", "Ada"),
+    ("<nav>a<b>b</b></nav><button>c</button>d", "d"),
+    ("<p>As <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> holds</p>", "As x=1 holds"),
+])
+def test_inline_noise_alone_is_left_out(html, text):
+    assert Page(html).text(set()) == text
+
+
 def test_crc_of_ids_is_little_endian():
     assert zlib.crc32(np.array([1, 2], "<u4")) == zlib.crc32(b"\x01\0\0\0\x02\0\0\0")
