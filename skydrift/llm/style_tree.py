@@ -6,10 +6,12 @@ distinct pages that hold it, of what it contains and of how its children are
 laid out: the same on every page is 0, different on every page is 1. Branches
 of low importance are template and are removed from each page.
 
-The elements' own declarations are the prior. What is declared to be a menu,
-header, footer, sidebar, notice, advert, form, script or comment has importance
-0; articles, and what stands in them without a name of its own, 1, so that an
-article which many pages of a host share is not taken for template."""
+The elements' own declarations are the prior. What its tag declares to be a
+menu, footer, form, script and so on has importance 0; articles, and what stands
+in them without a name of its own, 1, so that an article which many pages of a
+host share is not taken for template. A block whose class, id or role names it
+so (sidebar, notice, advert, comments) keeps a part of its importance: it is
+noise unless it differs nearly throughout on enough pages of the host."""
 
 from __future__ import annotations
 
@@ -22,11 +24,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skydrift.llm.tables import written
-from skydrift.llm.words import column
 
 #: Share of content, against layout, in a node's importance.
 CONTENT_SHARE = 0.9
 LEAST_IMPORTANCE = 0.2
+#: Share of its importance that an element keeps which is named as noise.
+NAMED_SHARE = 0.22
 #: A node on fewer distinct pages says nothing about a template.
 LEAST_PAGES = 5
 
@@ -40,6 +43,8 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 SCOPE = frozenset("ul ol dl table select article section div body html".split())
 NOISE_TAGS = frozenset("head nav aside form button select option dialog menu footer input label fieldset audio video object canvas".split())
+#: What these are called never makes them noise.
+CONTENT_TAGS = frozenset("html body main article".split())
 NOISE_WORDS = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs masthead footer sidebar aside
     ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies
     consent gdpr notice notices notification notifications alert popup modal overlay newsletter subscribe
@@ -59,23 +64,29 @@ _DIGITS = re.compile(r"\d+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "noise", "article", "sure", "began", "children")
+    __slots__ = ("tag", "path", "noise", "article", "sure", "began", "named", "children")
 
-    def __init__(self, tag: str, path: int, noise: bool, article: bool, sure: bool, began: int):
+    def __init__(self, tag: str, path: int, noise: bool, article: bool, sure: bool, began: int, named: tuple[int, ...] = ()):
         self.tag, self.path, self.noise, self.article, self.sure, self.began = tag, path, noise, article, sure, began
+        self.named = named  # paths of the elements named as noise that it stands in
         self.children: list[str] = []
 
 
-def _describe(tag: str, attributes: str, above: Node) -> tuple[str, bool, bool]:
+def _describe(tag: str, attributes: str, above: Node) -> tuple[str, bool, bool, bool]:
     """The name that counts for the path; whether it is declared noise; whether
-    it is declared an article."""
+    it is named as noise; whether it is declared an article."""
     named = " ".join(v.strip("\"'") for _, v in _NAMED.findall(attributes)) if attributes else ""
     words = set(_WORD.findall(_CAMEL.sub(" ", named).lower())) if named else set()
-    noise = tag in NOISE_TAGS or not words.isdisjoint(NOISE_WORDS) or bool(attributes) and _HIDDEN.search(attributes) is not None
-    if not above.article and (tag == "header" or "header" in words):
+    noise = tag in NOISE_TAGS or bool(attributes) and _HIDDEN.search(attributes) is not None
+    as_noise = False
+    if named and tag not in CONTENT_TAGS:  # a whole name, not some word in it
+        for name in named.split():
+            own = set(_WORD.findall(_CAMEL.sub(" ", name).lower()))
+            as_noise |= bool(own) and (own <= NOISE_WORDS or own == {"header"} and not above.article)
+    if not above.article and tag == "header":
         noise = True
     article = tag in ("article", "main") or "main" in words and "role" in attributes.lower() or "articleBody" in attributes
-    return _DIGITS.sub("0", f"{tag}.{named}") if named else tag, noise, article
+    return _DIGITS.sub("0", f"{tag}.{named}") if named else tag, noise, as_noise, article
 
 
 class Page:
@@ -83,8 +94,9 @@ class Page:
     block elements that it stands in; and the style nodes."""
 
     def __init__(self, html: str):
-        self.blocks: list[tuple[list[str], tuple[int, ...], bool, bool]] = []  # pieces, paths, noise, in an article
-        self.nodes: list[tuple[int, int, int, int, bool]] = []  # path, first block, end block, layout, sure
+        # pieces, paths, noise, in an article, paths named as noise
+        self.blocks: list[tuple[list[str], tuple[int, ...], bool, bool, tuple[int, ...]]] = []
+        self.nodes: list[tuple[int, int, int, int, bool, bool]] = []  # path, first block, end block, layout, sure, named as noise
         self._stack = [Node("", 0, False, False, True, 0)]
         self._block: list[str] | None = None
         at = 0
@@ -128,7 +140,7 @@ class Page:
                 return
             self._block = []
             paths = tuple(x.path for x in self._stack if x.tag in BLOCK)
-            self.blocks.append((self._block, paths, home.noise, top.article))
+            self.blocks.append((self._block, paths, home.noise, top.article, home.named))
         self._block.append(unescape(raw) if "&" in raw else raw)
 
     def _open(self, tag: str, attributes: str) -> None:
@@ -143,12 +155,13 @@ class Page:
             self._imply(tag)
         above = self._stack[-1]
         above.children.append(tag)
-        name, noise, article = _describe(tag, attributes, above)
+        name, noise, as_noise, article = _describe(tag, attributes, above)
         path = xxhash.xxh64_intdigest(name.encode(), above.path) if tag in BLOCK else above.path
-        noise = noise or above.noise
+        noise = noise or above.noise or as_noise and tag not in BLOCK
+        named = (*above.named, path) if as_noise and tag in BLOCK else above.named
         article = article or above.article
-        sure = noise or tag in ("html", "body") or article and (name == tag or not above.article)
-        self._stack.append(Node(tag, path, noise, article, sure, len(self.blocks)))
+        sure = noise or not as_noise and tag in ("html", "body") or not as_noise and article and (name == tag or not above.article)
+        self._stack.append(Node(tag, path, noise, article, sure, len(self.blocks), named))
 
     def _imply(self, tag: str) -> None:
         ends = CLOSES.get(tag, set()) | {"p"}
@@ -176,26 +189,28 @@ class Page:
         x = self._stack.pop()
         if x.tag in BLOCK:
             layout = xxhash.xxh64_intdigest(" ".join(x.children).encode())
-            self.nodes.append((x.path, x.began, len(self.blocks), layout, x.sure))
+            self.nodes.append((x.path, x.began, len(self.blocks), layout, x.sure, x.named[-1:] == (x.path,)))
 
-    def style_nodes(self) -> dict[int, tuple[int, int, bool]]:
+    def style_nodes(self) -> dict[int, tuple[int, int, bool, bool]]:
         """By path: hashes of its content and its layout on this page; sure if
-        the prior settles its importance."""
+        the prior settles its importance; whether it is named as noise."""
         made: dict[int, list] = {}
-        for path, a, b, layout, sure in self.nodes:
-            one = made.setdefault(path, [xxhash.xxh64(), xxhash.xxh64(), True])
+        for path, a, b, layout, sure, named in self.nodes:
+            one = made.setdefault(path, [xxhash.xxh64(), xxhash.xxh64(), True, False])
             for pieces, *_ in self.blocks[a:b]:
                 one[0].update("".join(pieces))
                 one[0].update(b"\n")
             one[1].update(layout.to_bytes(8, "little"))
             one[2] = one[2] and sure
-        return {p: (c.intdigest(), s.intdigest(), sure) for p, (c, s, sure) in made.items()}
-
-    def text(self, low: set[int]) -> str:
-        """The blocks that are left without noise and the low branches; those
-        of articles only, if the page has any."""
-        kept = [(x, article) for x, paths, noise, article in self.blocks
-                if not noise and (not low or low.isdisjoint(paths))]
+            one[3] = one[3] or named
+        return {p: (c.intdigest(), s.intdigest(), sure, named) for p, (c, s, sure, named) in made.items()}
+
+    def text(self, low: set[int], high: set[int] = frozenset()) -> str:
+        """The blocks that are left without noise, the low branches, and those
+        named as noise that aren't ``high``; those of articles only, if the page
+        has any."""
+        kept = [(x, article) for x, paths, noise, article, named in self.blocks
+                if not noise and (not low or low.isdisjoint(paths)) and high.issuperset(named)]
         if any(article for _, article in kept):
             kept = [(x, article) for x, article in kept if article]
         lines = (" ".join("".join(x).split()) for x, _ in kept)
@@ -207,10 +222,10 @@ def _signed(x: int) -> int:
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
-    """From pages (host, html): host, path, pages, importance, sure, for every
+    """From pages (host, html): host, path, pages, importance, sure, named, for every
     node of each host's merged tree. Pages of equal html count once. Counts are
     combined before each shuffle, so a host of any size is one sum."""
-    schema = "host string, page long, path long, content long, layout long, sure boolean"
+    schema = "host string, page long, path long, content long, layout long, sure boolean, named boolean"
     source = pages.select(F.coalesce("host", F.lit("")).alias("host"), "html").filter("html is not null and html <> ''")
 
     def run(batches):
@@ -219,26 +234,29 @@ def style_tree(pages: DataFrame) -> DataFrame:
                 rows: list[tuple] = []
                 for host, html in zip(*(x.to_pylist() for x in batch.slice(a, 512).columns)):
                     page = _signed(xxhash.xxh64_intdigest(html.encode()))
-                    rows += [(host, page, _signed(p), _signed(c), _signed(s), sure)
-                             for p, (c, s, sure) in Page(html).style_nodes().items()]
-                kinds = [pa.string(), *[pa.int64()] * 4, pa.bool_()]
+                    rows += [(host, page, _signed(p), _signed(c), _signed(s), sure, named)
+                             for p, (c, s, sure, named) in Page(html).style_nodes().items()]
+                kinds = [pa.string(), *[pa.int64()] * 4, pa.bool_(), pa.bool_()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 6, kinds)],
-                    ["host", "page", "path", "content", "layout", "sure"])
+                    [pa.array(c, t) for c, t in zip(list(zip(*rows)) or [()] * 7, kinds)],
+                    ["host", "page", "path", "content", "layout", "sure", "named"])
 
     seen = written(source.mapInArrow(run, schema).distinct(), "nodes")
 
     def entropy(what: str) -> DataFrame:
-        counts = seen.groupBy("host", "path", what).agg(F.count(F.lit(1)).alias("n"), F.every("sure").alias("sure"))
+        counts = seen.groupBy("host", "path", what).agg(F.count(F.lit(1)).alias("n"), F.every("sure").alias("sure"), F.some("named").alias("named"))
         parts = counts.groupBy("host", "path").agg(
-            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.every("sure").alias("sure"))
+            F.sum("n").alias("pages"), F.sum(F.col("n") * F.log("n")).alias("nlogn"), F.every("sure").alias("sure"),
+            F.some("named").alias("named"))
         m = F.col("pages")
         flat = F.when(m > 1, (m * F.log(m) - F.col("nlogn")) / (m * F.log(m))).otherwise(F.lit(1.0))
-        return parts.select("host", "path", "pages", "sure", flat.alias(f"{what}_entropy"))
+        return parts.select("host", "path", "pages", "sure", "named", flat.alias(f"{what}_entropy"))
 
     both = entropy("content").join(entropy("layout").select("host", "path", "layout_entropy"), ["host", "path"])
-    return both.select("host", "path", "pages", "sure", (
-        CONTENT_SHARE * F.col("content_entropy") + (1 - CONTENT_SHARE) * F.col("layout_entropy")).alias("importance"))
+    own = CONTENT_SHARE * F.col("content_entropy") + (1 - CONTENT_SHARE) * F.col("layout_entropy")
+    # layout alone says little where the content differs on every page
+    seen_as = F.when(F.col("named"), NAMED_SHARE * F.greatest(own, "content_entropy")).otherwise(own)
+    return both.select("host", "path", "pages", "sure", "named", seen_as.alias("importance"))
 
 
 def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id", "url"), html: str = "html") -> DataFrame:
@@ -253,18 +271,20 @@ def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id"
     tree = style_tree(source.select(F.col("__host").alias("host"), F.col("__html").alias("html")))
     # written, so that the join below has a shuffle of its own on either side, of
     # which Spark splits the one that a large host makes
-    low = tree.filter(~F.col("sure") & (F.col("pages") >= LEAST_PAGES) & (F.col("importance") < LEAST_IMPORTANCE)) \
-        .groupBy(F.col("host").alias("__host")).agg(F.collect_set("path").alias("__low"))
+    below = F.col("importance") < LEAST_IMPORTANCE
+    low = tree.filter(~F.col("sure") & (F.col("pages") >= LEAST_PAGES) & (below | F.col("named"))) \
+        .groupBy(F.col("host").alias("__host")).agg(F.collect_set(F.when(below, F.col("path"))).alias("__low"),
+                                                    F.collect_set(F.when(~below, F.col("path"))).alias("__high"))
     low = written(low, "low")
-    joined = source.join(low, "__host", "left").select(*keep, "__low", "__html")
+    joined = source.join(low, "__host", "left").select(*keep, "__low", "__high", "__html")
     schema = joined.select(*keep, F.lit("").alias("text")).schema
 
     def run(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                texts = [Page(h).text({x & ((1 << 64) - 1) for x in low or ()}) if h else ""
-                         for low, h in zip(column(part, "__low").to_pylist(), column(part, "__html").to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(texts, pa.string())], schema.names)
+                sets = ([{x & ((1 << 64) - 1) for x in y or ()} for y in part.column(k).to_pylist()] for k in (-3, -2))
+                texts = [Page(h).text(low, high) if h else "" for low, high, h in zip(*sets, part.column(-1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-3], pa.array(texts, pa.string())], schema.names)
 
     return joined.mapInArrow(run, schema)

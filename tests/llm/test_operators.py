@@ -210,6 +210,18 @@ def test_style_tree(spark):
     assert style_tree.extract(df.filter("1 = 0"), F.lit("h")).count() == 0
 
 
+def test_names_are_a_prior(spark):
+    def page(k):
+        return (f'<html><body class="single sidebar"><div class="content-with-sidebar"><p>Told {k}</div><div id="search-committee"><p>Chair {k}</div>'
+                f'<div class="related">Finding {k * 7}</div><div class="ad">Buy now</div></body></html>')
+
+    df = spark.createDataFrame([(k, "http://a.org" if k < 9 else "http://b.org", page(k)) for k in range(10)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in style_tree.extract(df, url_reputation.host_of(F.col("url"))).collect()}
+    for k in range(9):  # what differs on each page of the host overrules its name
+        assert got[k] == f"Told {k}\n\nChair {k}\n\nFinding {k * 7}"
+    assert got[9] == "Told 9\n\nChair 9"  # one page does not
+
+
 def test_quality(spark, docs, none, labels):
     trusted = labels.filter("good = 1").select("doc_id")
     got = quality_llr.judge(docs, trusted).collect()
