@@ -29,9 +29,6 @@ MOST_SHARED = 1 << 24
 SEGMENT = 1 << 13
 #: A task adds up so many n-grams before it hands their counts on.
 FLUSH_GRAMS = 2_000_000
-#: Documents that the trusted multinomial is counted from: those of the least
-#: hash of their ids. The raw one is counted from all documents.
-MOST_TRUSTED = 50_000
 #: So many n-grams of the raw corpus's own mix are added to each bucket of both
 #: multinomials, so that a bucket of few n-grams has a ratio near 1.
 SMOOTHING = 10.0
@@ -131,12 +128,14 @@ def buckets_for(docs: DataFrame, least: int = BUCKETS) -> int:
 def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
     """segment and ratios: the log ratios of ``SEGMENT`` buckets each (float32; 0
     for segments without a row); None if nothing is trusted. ``trusted``
-    (doc_id) names the documents of the target; at most ``MOST_TRUSTED`` of them
-    are sent to the tasks. Each task adds up its n-grams before the shuffle."""
-    spark = docs.sparkSession
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct() \
-        .orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_TRUSTED).toArrow().column(0).to_numpy()
-    shared = spark.sparkContext.broadcast(np.sort(ids))
+    (doc_id) names the documents of the target. Each task adds up its n-grams
+    before the shuffle."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # null ids stay out of the join, where they would be one key
+    marked = own.filter("doc_id is not null").join(ids.withColumn("chosen", F.lit(True)), "doc_id", "left") \
+        .select("text", F.coalesce("chosen", F.lit(False)).alias("chosen")) \
+        .union(own.filter("doc_id is null").select("text", F.lit(False)))
 
     def added(waiting):
         both, target = (np.concatenate(x) for x in zip(*waiting))
@@ -152,8 +151,7 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
     def run(batches):
         waiting, held = [], 0
         for batch in batches:
-            chosen = np.isin(column(batch, "doc_id").fill_null(-1).to_numpy(), shared.value) \
-                & column(batch, "doc_id").is_valid().to_numpy(zero_copy_only=False)
+            chosen = column(batch, "chosen").to_numpy(zero_copy_only=False)
             for a, b, w in slices(column(batch, "text")):
                 gram, owner = n_grams(w, w.hashes(lower=False))
                 waiting.append(((gram & np.uint64(buckets - 1)).astype(np.int64), chosen[a:b][owner]))
@@ -172,9 +170,7 @@ def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
         return pa.table({"segment": table.column("segment")[:1], "counts": pa.array([total.tobytes()], pa.binary()),
                          "raw": pa.array([raw]), "target": pa.array([target])})
 
-    counted = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                      .mapInArrow(run, "segment int, low binary, counts binary").groupBy("segment")
-                      .applyInArrow(finish, "segment int, counts binary, raw long, target long"), "buckets")
+    counted = written(marked.mapInArrow(run, "segment int, low binary, counts binary").groupBy("segment").applyInArrow(finish, "segment int, counts binary, raw long, target long"), "buckets")
     n = counted.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
     if not n.target:
         return None

@@ -252,6 +252,13 @@ def test_quality_score_by_brute_force(spark):
         assert got[i].kept == (i % 2 == 1) or got[i].base_failed
 
 
+def test_quality_counts_all_trusted(spark):
+    df = spark.range(50_400).select(F.col("id").alias("doc_id"), F.concat(F.lit("g"), F.col("id") % 20_000).alias("text"))
+    table = quality_llr.fit(df, df.select("doc_id"), quality_llr.BUCKETS).toArrow()  # more than the former sample
+    ratios = np.concatenate([np.frombuffer(x, "<f4") for x in table.column("ratios").to_pylist()])
+    assert len(ratios) and abs(ratios).max() < 1e-6  # all are trusted: the two multinomials are one
+
+
 def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
     rows = [(k, " ".join(f"{'good' if k % 2 else 'BAD!!'}{j % 300} own{k}x{j}" for j in range(600))) for k in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
