@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 import __spark_entry__ as E
 import corpus_pipeline
 from skydrift.llm import bpe, queries
-from tests.llm.test_operators import WORD, fingerprint, same, words
+from tests.llm.test_llm_operators import WORD, fingerprint, same, words
 
 SF = "/root/testdata/sf0.001"
 
