@@ -8,9 +8,12 @@ n-grams; every document is judged by the same fixed threshold."""
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skydrift.llm.lookup import looked_up
@@ -26,9 +29,17 @@ COUNTED = 256
 #: More buckets than this are not broadcast.
 MOST_SHARED = 1 << 24
 #: A row of the table of buckets.
-SEGMENT = 1 << 13
-#: A task adds up so many n-grams before it hands their counts on.
-FLUSH_GRAMS = 2_000_000
+SEGMENT = 1 << 15
+#: A task holds a count for each bucket up to so many; beyond, it adds up so many
+#: n-grams before it hands their counts on.
+DENSE = 1 << 21
+FLUSH_GRAMS = 4_000_000
+#: The counts of so many tasks are added by one.
+BLOCK_TASKS = 32
+#: So many ids of trusted documents are broadcast at most (8 bytes each).
+MOST_IDS = 4_000_000
+#: Of the table that tells which documents may be trusted (8 MB), where they are more.
+MARK_BITS = 1 << 26
 #: So many n-grams of the raw corpus's own mix are added to each bucket of both
 #: multinomials, so that a bucket of few n-grams has a ratio near 1.
 SMOOTHING = 10.0
@@ -125,66 +136,122 @@ def buckets_for(docs: DataFrame, least: int = BUCKETS) -> int:
     return max(least, 1 << max(0, -(-distinct // LOAD) - 1).bit_length())
 
 
-def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
-    """segment and ratios: the log ratios of ``SEGMENT`` buckets each (float32; 0
-    for segments without a row); None if nothing is trusted. ``trusted``
-    (doc_id) names the documents of the target. Each task adds up its n-grams
-    before the shuffle."""
-    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # null ids stay out of the join, where they would be one key
-    marked = own.filter("doc_id is not null").join(ids.withColumn("chosen", F.lit(True)), "doc_id", "left") \
-        .select("text", F.coalesce("chosen", F.lit(False)).alias("chosen")) \
-        .union(own.filter("doc_id is null").select("text", F.lit(False)))
-
-    def added(waiting):
-        both, target = (np.concatenate(x) for x in zip(*waiting))
-        some, place = np.unique(both, return_inverse=True)
-        counts = np.column_stack([np.bincount(place, minlength=len(some)), np.bincount(place, target, len(some))]).astype("<i8")
-        names, at = np.unique(some // SEGMENT, return_index=True)
-        edges = [*at.tolist(), len(some)]
-        low = (some % SEGMENT).astype("<u2")
-        return pa.RecordBatch.from_arrays(
-            [pa.array(names.astype(np.int32)), *[pa.array([x[a:b].tobytes() for a, b in zip(edges, edges[1:])], pa.binary()) for x in (low, counts)]],
-            ["segment", "low", "counts"])
+def _packed(side: int, block: int, some: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A row for each segment of the rising bucket numbers ``some``: which of its
+    buckets have counts and each count if below 255, compressed, and the counts
+    that are not."""
+    names, at = np.unique(some // SEGMENT, return_index=True)
+    spans = list(zip(at.tolist(), [*at[1:].tolist(), len(some)]))
+    few = np.minimum(counts, 255).astype(np.uint8)
+    packed = []
+    for a, b in spans:
+        held = np.zeros(SEGMENT, bool)
+        held[some[a:b] % SEGMENT] = True
+        press = zlib.compressobj(1, strategy=zlib.Z_RLE)
+        packed.append(press.compress(np.packbits(held).tobytes() + few[a:b].tobytes()) + press.flush())
+    n = len(names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.full(n, side, np.int32)), pa.array(names.astype(np.int32)), pa.array(np.full(n, block)), pa.array(packed, pa.binary()),
+         pa.array([counts[a:b][few[a:b] == 255].astype("<i8").tobytes() for a, b in spans], pa.binary()),
+         pa.array([int(counts[a:b].sum()) for a, b in spans], pa.int64())],
+        [c.split()[0] for c in _COUNTS.split(", ")])
+
+
+_COUNTS = "side int, segment int, block long, few binary, many binary, total long"
+
+
+def _unpacked(rows: pa.Table) -> np.ndarray:
+    """The sum of rows of one segment, for either side."""
+    out = np.zeros((2, SEGMENT), np.int64)
+    for side, few, many in zip(*(rows.column(c).to_pylist() for c in ("side", "few", "many"))):
+        flat = np.frombuffer(zlib.decompress(few), np.uint8)
+        counts = flat[SEGMENT // 8:].astype(np.int64)
+        counts[counts == 255] = np.frombuffer(many, "<i8")
+        out[side, np.flatnonzero(np.unpackbits(flat[: SEGMENT // 8]))] += counts
+    return out
+
+
+def _merged(rows: pa.Table) -> pa.Table:
+    segment, block = rows.column("segment")[0].as_py(), rows.column("block")[0].as_py() // BLOCK_TASKS
+    made = []
+    for side, counts in enumerate(_unpacked(rows)):
+        low = np.flatnonzero(counts)
+        made.append(_packed(side, block, segment * SEGMENT + low, counts[low]))
+    return pa.Table.from_batches(made)
 
+
+def _counted(texts: DataFrame, side: int, buckets: int) -> DataFrame:
+    """What each task counts of the n-grams of ``texts`` (text)."""
     def run(batches):
+        block = TaskContext.get().partitionId()
+        dense = np.zeros(buckets if buckets <= DENSE else 0, np.int64)
+        kind = np.uint32 if buckets <= 1 << 32 else np.uint64
         waiting, held = [], 0
         for batch in batches:
-            chosen = column(batch, "chosen").to_numpy(zero_copy_only=False)
-            for a, b, w in slices(column(batch, "text")):
-                gram, owner = n_grams(w, w.hashes(lower=False))
-                waiting.append(((gram & np.uint64(buckets - 1)).astype(np.int64), chosen[a:b][owner]))
-                held += len(gram)
+            for *_, w in slices(column(batch, "text")):
+                bucket = (n_grams(w, w.hashes(lower=False))[0] & np.uint64(buckets - 1)).astype(kind)
+                if len(dense):
+                    np.add.at(dense, bucket, 1)
+                    continue
+                waiting.append(bucket)
+                held += len(bucket)
                 if held >= FLUSH_GRAMS:
-                    yield added(waiting)
+                    yield _packed(side, block, *np.unique(np.concatenate(waiting), return_counts=True))
                     waiting, held = [], 0
         if held:
-            yield added(waiting)
-
-    def finish(table: pa.Table) -> pa.Table:
-        total = np.zeros((SEGMENT, 2), np.int64)
-        for low, counts in zip(table.column("low").to_pylist(), table.column("counts").to_pylist()):
-            total[np.frombuffer(low, "<u2")] += np.frombuffer(counts, "<i8").reshape(-1, 2)
-        raw, target = total.sum(0)
-        return pa.table({"segment": table.column("segment")[:1], "counts": pa.array([total.tobytes()], pa.binary()),
-                         "raw": pa.array([raw]), "target": pa.array([target])})
-
-    counted = written(marked.mapInArrow(run, "segment int, low binary, counts binary").groupBy("segment").applyInArrow(finish, "segment int, counts binary, raw long, target long"), "buckets")
-    n = counted.agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).first()
+            yield _packed(side, block, *np.unique(np.concatenate(waiting), return_counts=True))
+        if len(dense):
+            some = np.flatnonzero(dense)
+            yield _packed(side, block, some, dense[some])
+
+    return texts.select("text").mapInArrow(run, _COUNTS)
+
+
+def _named(docs: DataFrame, ids: DataFrame, most: int = MOST_IDS) -> DataFrame:
+    """text of the rows of ``docs`` whose doc_id is among ``ids`` (distinct). Up to
+    ``most`` ids are broadcast, and no text is shuffled. Of more, a table of bits
+    (MARK_BITS / 64 rows at most) is broadcast, so that few other texts are
+    shuffled to the exact join (an inner one: a semi-join would be moved below
+    the table of bits)."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    ids = written(ids, "ids")
+    if ids.count() <= most:
+        return own.join(F.broadcast(ids), "doc_id").select("text")
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(MARK_BITS))
+    word = F.shiftright(slot, 6)
+
+    def bit(x: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(x, F.lit(64)).cast("int"))
+
+    marks = ids.select(word.alias("word"), bit(slot).alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits"))
+    return own.withColumn("word", word).join(F.broadcast(marks), "word").filter(F.col("bits").bitwiseAND(bit(slot)) != 0) \
+        .join(ids, "doc_id").select("text")
+
+
+def fit(docs: DataFrame, trusted: DataFrame, buckets: int) -> DataFrame | None:
+    """segment and ratios: the log ratios of ``SEGMENT`` buckets each (float32; 0
+    for segments without a row); None if nothing is trusted. ``trusted``
+    (doc_id) names the documents of the target; all of them are counted. Each
+    task adds up its n-grams before the shuffle, and the tasks' sums are added
+    ``BLOCK_TASKS`` tasks at a time."""
+    ids = trusted.select(F.col("doc_id").cast("long").alias("doc_id")).filter("doc_id is not null").distinct()
+    rows = _counted(docs, 0, buckets).unionAll(_counted(_named(docs, ids), 1, buckets))
+    while True:
+        rows = written(rows.groupBy("segment", F.floor(F.col("block") / BLOCK_TASKS).alias("group")).applyInArrow(_merged, _COUNTS), "counts")
+        n = rows.agg(F.max("block").alias("top"), *[F.sum(F.when(F.col("side") == k, F.col("total"))).alias(c)
+                                                  for k, c in enumerate(("raw", "target"))]).first()
+        if not n.top:
+            break
     if not n.target:
         return None
     share = n.target / n.raw
 
-    def ratios(batches):
-        for batch in batches:
-            made = []
-            for x in column(batch, "counts").to_pylist():
-                raw, target = np.frombuffer(x, "<i8").reshape(-1, 2).T
-                made.append(np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype("<f4").tobytes())
-            yield pa.RecordBatch.from_arrays([column(batch, "segment"), pa.array(made, pa.binary())], ["segment", "ratios"])
+    def ratios(held: pa.Table) -> pa.Table:
+        raw, target = _unpacked(held)
+        made = np.log((target + SMOOTHING * share) / ((raw + SMOOTHING) * share)).astype("<f4").tobytes()
+        return pa.table({"segment": held.column("segment")[:1], "ratios": pa.array([made], pa.binary())})
 
-    return counted.mapInArrow(ratios, "segment int, ratios binary")
+    return rows.groupBy("segment").applyInArrow(ratios, "segment int, ratios binary")
 
 
 def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, keep: tuple[str, ...] = ("doc_id",),
@@ -193,9 +260,9 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, kee
     word_chars, n_symbols, n_dup_lines and n_repeat_words, base_failed, score and
     kept, for each row of ``docs`` (doc_id, text).
 
-    A null text has no words, and so fails the base rules, with score 0; null
-    and repeated doc_ids are judged like others; an empty table gives no rows.
-    Columns not named are not read."""
+    A null text has no words, and so fails the base rules, with score 0; a text
+    of any length is judged whole; null and repeated doc_ids are judged like
+    others; an empty table gives no rows. Columns not named are not read."""
     spark = docs.sparkSession
     buckets = buckets_for(docs)
     table = fit(docs, trusted, buckets)

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 20
+#: Words are hashed so many bytes at a time; bounds the tables of powers.
+HASHED_BYTES = 1 << 17
 
 _MASK64 = (1 << 64) - 1
 
@@ -72,12 +74,19 @@ class Words:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """A 64-bit hash of each word, A-Z lower-cased unless told otherwise."""
-        if not len(self.starts):
-            return np.zeros(0, np.uint64)
-        up, down = _power_tables(len(self.data))
-        v = (_BYTE_CODE if lower else _BYTE_CODE_CASED)[self.data]
-        v *= up[: len(v)]
-        return mix(np.add.reduceat(v, self.starts) * down[self.starts])
+        out = np.empty(len(self.starts), np.uint64)
+        codes = _BYTE_CODE if lower else _BYTE_CODE_CASED
+        word = 0
+        while word < len(out):
+            begin = self.starts[word]
+            after = max(word + 1, int(np.searchsorted(self.ends, begin + HASHED_BYTES, "right")))
+            v = codes[self.data[begin: self.ends[after - 1]]]
+            up, down = _power_tables(len(v))
+            v *= up[: len(v)]
+            at = self.starts[word:after] - begin
+            out[word:after] = mix(np.add.reduceat(v, at) * down[at])
+            word = after
+        return out
 
     def prefix_hashes(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of the words of n bytes at least, and a hash of their

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -259,6 +260,27 @@ def test_quality_counts_all_trusted(spark):
     assert len(ratios) and abs(ratios).max() < 1e-6  # all are trusted: the two multinomials are one
 
 
+def test_quality_trusted_texts_by_either_join(docs, labels):
+    ids = labels.filter("doc_id is not null").select("doc_id").distinct()
+    want = [(t,) for i, t in ROWS if i in (1, 7, 9)]
+    for most in (0, 10):
+        same(quality_llr._named(docs, ids, most).collect(), want)
+
+
+def test_quality_counts_survive_packing():
+    rng = np.random.default_rng(3)
+    some = np.unique(rng.integers(0, 3 * quality_llr.SEGMENT, 5000))
+    counts = np.where(rng.random(len(some)) < 0.1, 255 + rng.integers(0, 1 << 40, len(some)), rng.integers(1, 255, len(some)))
+    table = pa.Table.from_batches([quality_llr._packed(1, 7, some, counts)])
+    total = np.zeros(3 * quality_llr.SEGMENT, np.int64)
+    total[some] = counts
+    for k in range(3):
+        one = table.slice(k, 1)
+        assert (quality_llr._unpacked(one)[1] == total[k * quality_llr.SEGMENT: (k + 1) * quality_llr.SEGMENT]).all()
+        merged = quality_llr._merged(pa.concat_tables([one, one]))
+        assert merged.column("total")[0].as_py() == 2 * one.column("total")[0].as_py()
+
+
 def test_quality_buckets_follow_the_corpus(spark, monkeypatch):
     rows = [(k, " ".join(f"{'good' if k % 2 else 'BAD!!'}{j % 300} own{k}x{j}" for j in range(600))) for k in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
