@@ -16,6 +16,7 @@ from skydrift.llm import (
     quality_llr,
     simhash_dedup,
     style_tree,
+    token_alignment,
     toxicity_chain,
     url_reputation,
 )
@@ -111,6 +112,13 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
+def op13_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    found = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_a") > 0, F.sha2("groups", 256)).otherwise(F.lit(""))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256"))
+
+
 PIVOT_SEARCH_SQL = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
@@ -183,5 +191,6 @@ FROM urls
 
 QUERIES = {f.__name__: f for f in (
     op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
-    op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup)}
+    op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup,
+    op13_lockstep_alignment)}
 ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL}

@@ -33,6 +33,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BYTE_CODE = np.array([0 if _IS_SPACE[b] else _mixed(int(_LOWER[b])) for b in range(256)], np.uint64)
 _BYTE_CODE_CASED = np.array([0 if _IS_SPACE[b] else _mixed(b) for b in range(256)], np.uint64)
+_BYTE_CODE_ALL = np.array([_mixed(b) for b in range(256)], np.uint64)
 _BASE = _mixed(1 << 20) | 1
 _powers = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
@@ -74,8 +75,15 @@ class Words:
 
     def hashes(self, lower: bool = True) -> np.ndarray:
         """A 64-bit hash of each word, A-Z lower-cased unless told otherwise."""
+        return self._hashed(_BYTE_CODE if lower else _BYTE_CODE_CASED)
+
+    def byte_hashes(self) -> np.ndarray:
+        """A 64-bit hash of the bytes from each start to the next, white space
+        included: for units that lie end to end."""
+        return self._hashed(_BYTE_CODE_ALL)
+
+    def _hashed(self, codes: np.ndarray) -> np.ndarray:
         out = np.empty(len(self.starts), np.uint64)
-        codes = _BYTE_CODE if lower else _BYTE_CODE_CASED
         word = 0
         while word < len(out):
             begin = self.starts[word]
