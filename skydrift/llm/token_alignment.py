@@ -36,8 +36,8 @@ LANE_BYTES = 512
 #: Finished lanes are taken out after so many steps.
 COMPACT_STEPS = 16
 #: A worker keeps the tokens of so many different units, before it starts anew.
-MEMO_UNITS = 500_000
-MEMO_TOKENS = 4_000_000
+MEMO_UNITS = 1_500_000
+MEMO_TOKENS = 8_000_000
 #: New units are encoded so many at a time.
 JOINED_UNITS = 4_000
 #: Counts of more pairs than this are not broadcast (16 bytes each).
@@ -63,6 +63,8 @@ _TAIL[0x80:0xC0] = True
 _LEAD2, _LEAD34 = np.zeros(256, bool), np.zeros(256, bool)
 _LEAD2[0xC3:0xE0] = True
 _LEAD34[0xE4:0xF5] = True
+_OPENS = re.compile(rb"[\x21-\x7e\xc3-\xdf\xe4-\xf4]")
+_CLOSES = re.compile(rb"(?:[\x21-\x7e]|[\xc3-\xdf][\x80-\xbf]|[\xe4-\xef][\x80-\xbf]{2}|[\xf0-\xf4][\x80-\xbf]{3})\Z")
 
 
 @dataclass
@@ -172,46 +174,44 @@ class Pair:
         self._held = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
         self._valid = np.zeros(0, bool)
 
-    def _encoded(self, units: list[str]) -> list[tuple[list[int], list[int], bool]]:
-        """A's and B's ids for each unit (each follows a blank), and whether their
-        bytes are the unit's. Many are encoded as one text where they are whole
-        words; if its bytes differ, the halves are."""
-        a, b = self._ids(" ".join(units))
-        raw = [b" " + u.encode() for u in units]
-        joined = b"".join(raw)
-        ok = b"".join([self.a_bytes[i] for i in a]) == joined and b"".join([self.b_bytes[i] for i in b]) == joined
-        if len(units) == 1:
-            return [(a, b, True)] if ok else [([], [], False)]
+    def _encoded(self, units: list[bytes]) -> list[tuple]:
+        """Parts (A ids, B ids, A tokens and B tokens of each unit, whether their
+        bytes are the unit's) for units that each follow a blank. All are encoded
+        as one text; if its bytes differ, the halves are."""
+        raw = b" " + b" ".join(units)
+        a, b = (np.array(x, np.int32) for x in self._ids(raw[1:].decode()))
+        ok = b"".join([self.a_bytes[i] for i in a.tolist()]) == raw and b"".join([self.b_bytes[i] for i in b.tolist()]) == raw
         if ok:
-            ends = np.cumsum([len(r) for r in raw])
+            ends = np.cumsum([len(u) + 1 for u in units])
             a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
             at, bt = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
             if (a_ends[at] == ends).all() and (b_ends[bt] == ends).all():
-                at, bt = [0, *(at + 1).tolist()], [0, *(bt + 1).tolist()]
-                return [(a[x:y], b[z:w], True) for x, y, z, w in zip(at, at[1:], bt, bt[1:])]
+                return [(a, b, np.diff(at, prepend=-1), np.diff(bt, prepend=-1), np.ones(len(units), bool))]
+        if len(units) == 1:
+            nothing = np.zeros(0, np.int32)
+            return [(nothing, nothing, np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1, bool))]
         half = len(units) // 2
         return self._encoded(units[:half]) + self._encoded(units[half:])
 
     def _learn(self, units: list[bytes], hashes: np.ndarray) -> None:
         """``units`` without their first blank."""
-        plain = [k for k, u in enumerate(units) if u and _PLAIN[u[0]] and _PLAIN[u[-1]]]
-        alone = sorted({*range(len(units))} - {*plain})
-        made: list = [None] * len(units)
-        for n in range(0, len(plain), JOINED_UNITS):
-            part = plain[n: n + JOINED_UNITS]
-            for k, x in zip(part, self._encoded([units[k].decode() for k in part])):
-                made[k] = x
-        for k in alone:
-            made[k] = self._encoded([units[k].decode()])[0]
-        for side in (0, 1):
-            ends = self._from[side][-1] + np.cumsum([len(x[side]) for x in made], dtype=np.int64)
-            self._from[side] = np.concatenate([self._from[side], ends])
-            self._held[side] = np.concatenate([self._held[side], np.array([i for x in made for i in x[side]], np.int32)])
+        plain = [bool(_OPENS.match(u)) and bool(_CLOSES.search(u)) for u in units]
+        order = [k for k, x in enumerate(plain) if x]
+        some = [units[k] for k in order]
+        parts = [x for n in range(0, len(some), JOINED_UNITS) for x in self._encoded(some[n: n + JOINED_UNITS])]
+        for k, x in enumerate(plain):
+            if not x:
+                order.append(k)
+                parts += self._encoded([units[k]])
+        a, b, na, nb, valid = (np.concatenate(x) for x in zip(*parts))
+        for side, ids, n in ((0, a, na), (1, b, nb)):
+            self._from[side] = np.concatenate([self._from[side], self._from[side][-1] + np.cumsum(n)])
+            self._held[side] = np.concatenate([self._held[side], ids])
         place = np.concatenate([self._place, len(self._valid) + np.arange(len(units))])
-        self._valid = np.concatenate([self._valid, np.array([x[2] for x in made], bool)])
-        hashes = np.concatenate([self._hashes, hashes])
-        order = np.argsort(hashes, kind="stable")
-        self._hashes, self._place = hashes[order], place[order]
+        self._valid = np.concatenate([self._valid, valid])
+        hashes = np.concatenate([self._hashes, hashes[order]])
+        rising = np.argsort(hashes, kind="stable")
+        self._hashes, self._place = hashes[rising], place[rising]
 
     def _places(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """The number of each unit among those that are known now."""
