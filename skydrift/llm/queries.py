@@ -7,9 +7,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skydrift.functions.frames import join_null_safe
 from skydrift.llm import (
     bloom_lm,
     bpe,
+    conversation_repair,
     kk_packing,
     line_templates,
     pivot_search,
@@ -112,6 +114,27 @@ def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", simhash_dedup.hex_print(found.fp).alias("fingerprint"), "component_id")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The rows with the faults of the conversation contract."""
+    blank = F.lit(" ")
+    name = F.concat(F.coalesce(F.col("conv_id").cast("string"), blank), F.lit(":"), F.coalesce(F.col("turn").cast("string"), blank))
+    rows = conversations.select("conv_id", "turn", F.coalesce("role", blank).alias("role"), F.coalesce("text", blank).alias("text"),
+                                (F.crc32(name) % 20).alias("__fault")).filter("__fault <> 0")
+    text = F.when(F.col("__fault") == 1, "").when(F.col("__fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    role = F.when(F.col("__fault") == 4, "user").otherwise(F.col("role"))
+    copies = F.explode(F.array_repeat(F.lit(0), F.when(F.col("__fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", role.alias("role"), text.alias("text"), copies.alias("__copy")).drop("__copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read_table(spark, sf_dir, "conversations")
+    verdicts, _ = conversation_repair.repair(damaged(conversations))
+    whole = join_null_safe(conversations.select("conv_id").distinct(), verdicts, ["conv_id"], "left")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return whole.select("conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in counts],
+                        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
 def op13_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -192,5 +215,5 @@ FROM urls
 QUERIES = {f.__name__: f for f in (
     op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
     op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup,
-    op13_lockstep_alignment)}
+    op11_conversation_repair, op13_lockstep_alignment)}
 ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL}
