@@ -212,8 +212,80 @@ SELECT page_id, host, path, {_rules_sql("text")} AS rule,
 FROM urls
 """
 
+#: No cheapest repair inserts a row (see the operator), so the letters of all ways
+#: to a row are equally many, and the least prefix for each last role is enough.
+CONVERSATION_REPAIR_SQL = """
+WITH RECURSIVE named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS name
+  FROM conversations),
+coded AS (
+  SELECT *, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(name, ''), lambda c: ord(c)::BIGINT)),
+                lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))),
+                4294967295) % 20 AS fault
+  FROM named),
+damaged AS (
+  SELECT conv_id, turn, CASE fault WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+         unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE fault <> 0),
+numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+         rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare, left(role, 1) AS initial
+  FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 'blank'
+                 WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                 WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+         lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before
+  FROM numbered),
+ways(state, next, letter, price) AS (
+  SELECT state, state, 'D', 2 FROM (VALUES ('n'), ('s'), ('u'), ('a')) t(state)
+  UNION ALL
+  SELECT state, next, letter, price
+  FROM (VALUES ('n', 's'), ('n', 'u'), ('s', 'u'), ('u', 'a'), ('a', 'u')) t(state, next), (VALUES ('K', 0), ('R', 1)) l(letter, price)
+  WHERE letter = 'K' OR next <> 's'),
+steps AS (
+  SELECT conv_id, 0::BIGINT AS i, 'n' AS state, {'cost': 0::BIGINT, 'audit': ''} AS best FROM judged GROUP BY conv_id
+  UNION ALL
+  SELECT s.conv_id, s.i + 1, w.next,
+         min({'cost': s.best.cost + w.price + CASE WHEN j.fault = 'truncated' AND w.letter <> 'D' THEN 5 ELSE 0 END,
+              'audit': s.best.audit || w.letter})
+  FROM steps s JOIN judged j ON j.conv_id IS NOT DISTINCT FROM s.conv_id AND j.i = s.i + 1
+  JOIN ways w ON w.state = s.state AND (w.letter <> 'K' OR w.next = j.initial)
+       AND (w.letter = 'D' OR j.fault NOT IN ('blank', 'duplicate'))
+  GROUP BY s.conv_id, s.i, w.next),
+found AS (
+  SELECT s.conv_id, min(s.best) AS best
+  FROM steps s JOIN (SELECT conv_id, max(i) AS n FROM judged GROUP BY conv_id) t ON t.conv_id IS NOT DISTINCT FROM s.conv_id AND t.n = s.i
+  WHERE s.state IN ('n', 'a') GROUP BY s.conv_id),
+kept AS (
+  SELECT j.conv_id, j.i, j.role, j.text, j.initial, substr(f.best.audit, j.i::INTEGER, 1) AS letter,
+         row_number() OVER w AS place, first_value(j.initial = 's' AND substr(f.best.audit, j.i::INTEGER, 1) = 'K') OVER w AS system
+  FROM judged j JOIN found f ON f.conv_id IS NOT DISTINCT FROM j.conv_id
+  WHERE substr(f.best.audit, j.i::INTEGER, 1) <> 'D'
+  WINDOW w AS (PARTITION BY j.conv_id ORDER BY j.i)),
+lines AS (
+  SELECT conv_id, string_agg(CASE WHEN letter = 'K' THEN role WHEN (place - system::INTEGER) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                             || ':' || text, chr(10) ORDER BY i) AS said
+  FROM kept GROUP BY conv_id),
+counted AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM judged GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(f.best.cost, 0) AS cost,
+       coalesce(f.best.audit, '') AS audit, sha256(coalesce(said, '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counted c ON c.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
+LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
     op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup,
     op11_conversation_repair, op13_lockstep_alignment)}
-ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL}
+ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL,
+           "op11_conversation_repair": CONVERSATION_REPAIR_SQL}
