@@ -16,6 +16,7 @@ from skydrift.llm import (
     line_templates,
     pivot_search,
     quality_llr,
+    secret_scan,
     simhash_dedup,
     style_tree,
     token_alignment,
@@ -135,6 +136,13 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
+def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents"))
+    counts = [secret_scan.counted(found.base, kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    return found.select("doc_id", *counts, F.sha2(secret_scan.shown(found.base), 256).alias("base_sha256"),
+                        secret_scan.shown(found.spans).alias("spans"))
+
+
 def op13_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     found = token_alignment.align(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -283,9 +291,79 @@ LEFT JOIN found f ON f.conv_id IS NOT DISTINCT FROM o.conv_id
 LEFT JOIN lines l ON l.conv_id IS NOT DISTINCT FROM o.conv_id
 """
 
+def _found_sql(kind: int, pattern: str, of: str = "texts") -> str:
+    """Each match of a pattern in a row, with its place."""
+    return f"""
+  SELECT row, {kind} AS kind, hits[i] AS hit,
+         list_sum(list_transform(gaps[1:i], lambda g: len(g))) + coalesce(list_sum(list_transform(hits[1:i - 1], lambda h: len(h))), 0) AS start
+  FROM (SELECT row, regexp_extract_all(text, '{pattern}', 0) AS hits, string_split_regex(text, '{pattern}') AS gaps FROM {of}),
+       unnest(range(1, len(hits) + 1)) AS r(i)"""
+
+
+_EITHER_CASE = {w: "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in w) for w in ("password", "passwd", "secret", "token", "api_?key")}
+_VALUE_SQL = r"([A-Za-z0-9+/_.=-]+)"
+_ASSIGN_SQL = f"(?:{'|'.join(_EITHER_CASE.values())})" + r"""["'']?\x20*[:=]\x20*["'']?""" + _VALUE_SQL
+_CODES = ", ".join(f"({n}, '{letters}', {len(letters)}, {equal}::DOUBLE)" for n, (letters, equal) in enumerate(zip(secret_scan.ALPHABETS, secret_scan.ORDINARY)))
+SECRET_SCAN_SQL = f"""
+WITH texts AS (SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text FROM documents),
+base AS (
+  SELECT row, kind, start, start + len(hit) AS stop FROM ({_found_sql(0, _ASSIGN_SQL)})
+  WHERE len(regexp_extract(hit, '{_ASSIGN_SQL}', 1)) >= {secret_scan.LEAST_VALUE}
+  UNION ALL SELECT row, kind, start, start + len(hit) FROM ({_found_sql(1, secret_scan.ACCESS)}) WHERE len(hit) >= {secret_scan.LEAST_ACCESS}
+  UNION ALL SELECT row, kind, start, start + len(hit) FROM ({_found_sql(2, secret_scan.HEX)}) WHERE len(hit) >= {secret_scan.LEAST_HEX}),
+runs AS (
+  SELECT row, start, start + len(hit) AS stop, rtrim(hit, '=') AS body,
+         CASE WHEN regexp_matches(body, '^[0-9]+$') THEN -1 WHEN regexp_matches(body, '^(?:[0-9a-f]+|[0-9A-F]+)$') THEN 0
+              WHEN regexp_matches(body, '^[A-Z2-7]+$') THEN 1 ELSE 2 END AS code
+  FROM ({_found_sql(3, secret_scan.CANDIDATE)})),
+coded AS (
+  SELECT row, start, stop, code, len(body) AS n, letters, k, equal,
+         CASE code WHEN 0 THEN lower(body) WHEN 2 THEN translate(body, '-_', '+/') ELSE body END AS body
+  FROM runs JOIN (VALUES {_CODES}) c(code, letters, k, equal) USING (code)),
+ranked AS (
+  SELECT *, list_sum(list_transform(string_split(letters, ''), lambda c: (n - len(replace(body, c, ''))) ** 2))::BIGINT AS squares,
+         list_transform(string_split(body, ''), lambda c: instr(letters, c) - 1) AS ranks
+  FROM coded),
+summed AS (
+  SELECT *, list_sum(list_transform(range(1, n), lambda i: ((2 * ranks[i] >= k) = (2 * ranks[i + 1] >= k))::INTEGER))::BIGINT AS sames,
+         list_sum(list_transform(range(1, n), lambda i: (2 * ranks[i] - k + 1) * (2 * ranks[i + 1] - k + 1)))::BIGINT AS products
+  FROM ranked),
+measured AS (
+  SELECT *, k::DOUBLE * squares / n - n AS u, 2::DOUBLE / (9 * (k - 1)) AS spread, (2 * sames - (n - 1)) / sqrt(n - 1) AS same,
+         3::DOUBLE * products / ((k * k - 1) * sqrt(n - 1)) AS serial, (n - 1) * (k * equal - 1) AS excess
+  FROM summed),
+scored AS (
+  SELECT row, start, stop, code * 16 + len(bin(n)) - 1 AS grp,
+         (greatest(u, 0) / (k - 1)) ** (1::DOUBLE / 3) AS root, spread, (same * same - 1.5::DOUBLE * same * serial + serial * serial) / 0.875::DOUBLE AS ordered,
+         greatest(k - 1 + excess - u, 0) / sqrt(2 * (k - 1) + 4 * excess) AS below
+  FROM measured),
+binned AS (
+  SELECT row, start, stop, grp,
+         CASE WHEN abs((root - (1 - spread)) / sqrt(spread)) <= {secret_scan.CHI_LIMIT} AND ordered <= -ln({secret_scan.LEVEL}::DOUBLE) AND below > 0
+              THEN least({secret_scan.TOP_BIN}, floor({secret_scan.BINS} * (log10(2::DOUBLE) + log10(exp(1::DOUBLE)) / 2 * below * below)))::INTEGER ELSE -1 END AS bin
+  FROM scored),
+counts AS (SELECT grp, bin, count(*) AS n FROM binned GROUP BY grp, bin),
+beyond AS (
+  SELECT grp, bin, sum(n) OVER (PARTITION BY grp ORDER BY bin DESC) AS held, sum(n) OVER (PARTITION BY grp) AS whole FROM counts),
+cuts AS (
+  SELECT grp, min(bin) AS cut FROM beyond
+  WHERE bin >= 0 AND 10::DOUBLE ** (-bin / {secret_scan.BINS}::DOUBLE) * whole <= {secret_scan.FALSE_SHARE} * held GROUP BY grp),
+spans AS (
+  SELECT * FROM base UNION ALL SELECT row, 3, start, stop FROM binned JOIN cuts USING (grp) WHERE bin >= cut),
+named AS (SELECT row, kind, start, ['assign', 'access', 'hex', 'random'][kind + 1] || ':' || start || ':' || stop AS said FROM spans),
+listed AS (
+  SELECT row, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+         string_agg(said, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(said, ',' ORDER BY start, kind) AS spans
+  FROM named GROUP BY row)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+       sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN listed USING (row)
+"""
+
 QUERIES = {f.__name__: f for f in (
     op1_pivot_search, op2_byte_bpe, op3_url_reputation, op4_style_tree, op5_quality_llr, op6_bloom_lm,
     op7_line_templates, op8_kk_packing, op9_toxicity_chain, op10_simhash_dedup,
-    op11_conversation_repair, op13_lockstep_alignment)}
+    op11_conversation_repair, op12_secret_scan, op13_lockstep_alignment)}
 ORACLES = {"op1_pivot_search": PIVOT_SEARCH_SQL, "op3_url_reputation": URL_REPUTATION_SQL,
-           "op11_conversation_repair": CONVERSATION_REPAIR_SQL}
+           "op11_conversation_repair": CONVERSATION_REPAIR_SQL,
+           "op12_secret_scan": SECRET_SCAN_SQL}
