@@ -8,9 +8,10 @@ scaling) and skewed numeric (impute + log1p + scaling).
 
 Fitting takes few passes: one aggregate for all numeric statistics, one
 grouped pass over the stacked ``(column, value)`` pairs for all category
-counts and target sums. Only scalars and low-cardinality category lists
-reach the driver; per-category tables of high-cardinality columns stay
-DataFrames and are broadcast only when their counted size is under a bound.
+counts and target sums. Only scalars reach the driver and, for the strategies
+``onehot`` and ``ordinal``, the level lists; the strategy ``sparse`` is for columns of
+any number of levels. Per-category tables stay DataFrames; how they are joined
+is left to their size and the session's threshold.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ from skydrift.operators.positions import (
     _median_expr, global_row_number, median_from_counts, running_totals)
 from skydrift.session import materialize
 
-LOW_CARD_STRATEGIES = ("onehot", "ordinal")
+LOW_CARD_STRATEGIES = ("onehot", "ordinal", "sparse")
 HIGH_CARD_STRATEGIES = ("target", "ordinal", "frequency")
 NUM_IMPUTE = ("median", "mean", "most_frequent")
 NULL_KEY = "\u0000null"  # sentinel for a NULL category in keyed lookups
@@ -240,6 +241,7 @@ class FittedPreprocessor:
     num_fill: dict
     cat_fill: dict
     onehot_levels: dict = field(default_factory=dict)
+    level_tables: dict = field(default_factory=dict)  # sparse one-hot: level -> index
     tables: dict = field(default_factory=dict)
     crossfit_tables: dict = field(default_factory=dict)
     fold_means: DataFrame | None = None
@@ -255,7 +257,12 @@ class FittedPreprocessor:
         out = df.withColumns(_impute_exprs(df, {**self.num_fill, **self.cat_fill}, num_cols))
         names: list[str] = []
         # 1. low-cardinality
-        for c in s.low_card_cols:
+        if s.low_card_strategy == "sparse" and s.low_card_cols:
+            for c in s.low_card_cols:
+                out = self.level_tables[c].lookup(out, f"_level_{c}")
+            out = _sparse_onehot(out, {f"_level_{c}": (f"{c}__onehot", max(1, self.level_tables[c].rows)) for c in s.low_card_cols})
+            names += [f"{c}__onehot" for c in s.low_card_cols]
+        for c in s.low_card_cols if s.low_card_strategy != "sparse" else ():
             levels = self.onehot_levels[c]
             if s.low_card_strategy == "onehot":
                 cols = {k: F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0))
@@ -296,9 +303,26 @@ class FittedPreprocessor:
         if assemble:
             out = VectorAssembler(inputCols=names, outputCol=s.output_col,
                                   handleInvalid="keep").transform(out)
+            if s.low_card_strategy == "sparse":
+                out = out.withMetadata(s.output_col, {})
         return out
 
 
+def _sparse_onehot(df: DataFrame, indices: dict[str, tuple[str, int]]) -> DataFrame:
+    """Index columns -> (name, size): sparse 0/1 vectors of that size, all zeros for
+    an index that is the size. One column each, and no name for each level in the
+    plan, whatever their number."""
+    spark = df.sparkSession
+    # the encoder learns the sizes from a row of the largest indices
+    largest = spark.createDataFrame([tuple(float(size - 1) for _, size in indices.values())], list(indices))
+    encoder = OneHotEncoder(inputCols=list(indices), outputCols=[name for name, _ in indices.values()],
+                            handleInvalid="keep", dropLast=True).fit(largest)
+    out = encoder.transform(df).drop(*indices)
+    for name, size in indices.values():
+        out = out.withMetadata(name, {"ml_attr": {"num_attrs": size}})
+    return out
+
+
 def _safe(v) -> str:
     return "".join(ch if ch.isalnum() else "_" for ch in str(v))
 
@@ -373,10 +397,15 @@ class Preprocessor:
         fitted = FittedPreprocessor(self, num_fill, cat_fill)
         # imputation maps NULL to an existing value, so the distinct levels
         # of the raw counts are the levels after imputation
-        if self.low_card_cols and vc is not None:
+        if self.low_card_strategy == "sparse":
+            for c in self.low_card_cols:
+                n = rows.get(c, 0)
+                table = materialize(ordinal_table(train, c, n).frame)
+                fitted.level_tables[c] = CategoryTable(c, table, n, float(max(1, n)))
+        elif self.low_card_cols and vc is not None:
             levels: dict = {c: [] for c in self.low_card_cols}
             low = vc.filter(F.col("column").isin(list(self.low_card_cols)))
-            for r in low.orderBy("column", "nval", "sval").collect():  # bounded levels
+            for r in low.orderBy("column", "nval", "sval").collect():  # all levels: for few
                 c = r["column"]
                 levels[c].append(r["nval"] if _is_numeric(types[c]) else r["sval"])
             for c in self.low_card_cols:
