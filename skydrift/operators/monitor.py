@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from skydrift.functions.exprs import clean_metric
 from skydrift.functions.frames import with_scalars
 from skydrift.operators import metrics as M
+from skydrift.session import materialize
 
 
 def table_summary(tables: Mapping[str, DataFrame], date_col: str) -> DataFrame:
@@ -49,34 +50,37 @@ def rolling_std_last(df: DataFrame, value: str, ts_col: str, id_col: str,
 def rolling_std_window(df: DataFrame, value: str, partition: Sequence[str],
                        order: Sequence[str], n: int = 100) -> DataFrame:
     """Rolling sample std over the trailing ``n`` rows within a key, in
-    ``order`` (a total order within the key).
-
-    Not a window: a key holding a third of all rows would be one task.
-    Instead, range-partitioned running totals give each row its position
-    and cumulative count / sum / sum of squares (values shifted by the key
-    mean for numerical stability); the frame's start is the row ``n``
-    positions earlier, fetched by an equi-join on (key, position)."""
-    from skydrift.operators.positions import running_totals
+    ``order`` (a total order within the key). NULL keys are a key like others.
+
+    A window over the key alone would make a key that holds a third of all rows
+    one task. So the rows are ranged by key and order, and each range gets the
+    last ``n - 1`` rows of the key before it (its halo); the window is then
+    over the ranges, and the halo's own results are dropped."""
     keys = list(partition)
-    mu = df.groupBy(*keys).agg(F.avg(value).alias("_mu"))
-    x = F.col(value) - F.col("_mu")
-    d = df.join(mu, keys).select(
-        *df.columns, F.lit(1.0).alias("_row"),
-        F.when(F.col(value).isNotNull(), 1.0).otherwise(0.0).alias("_one"),
-        F.coalesce(x, F.lit(0.0)).alias("_x"), F.coalesce(x * x, F.lit(0.0)).alias("_x2"))
-    run = running_totals(d, keys, list(order), ["_row", "_one", "_x", "_x2"])
-    run = run.withColumn("_pos", F.col("cum__row").cast("bigint") - 1)
-    prev = run.select(*[F.col(k).alias(f"_p_{k}") for k in keys],
-                      (F.col("_pos") + n).alias("_p_pos"), F.col("cum__one").alias("_p_one"),
-                      F.col("cum__x").alias("_p_x"), F.col("cum__x2").alias("_p_x2"))
-    cond = [F.col("_pos") == F.col("_p_pos")] + [F.col(k) == F.col(f"_p_{k}") for k in keys]
-    j = run.join(prev, cond, "left")
-    cnt = F.col("cum__one") - F.coalesce(F.col("_p_one"), F.lit(0.0))
-    sx = F.col("cum__x") - F.coalesce(F.col("_p_x"), F.lit(0.0))
-    sxx = F.col("cum__x2") - F.coalesce(F.col("_p_x2"), F.lit(0.0))
-    var = (sxx - sx * sx / cnt) / (cnt - 1)
-    std = F.when(cnt > 1, F.sqrt(F.greatest(var, F.lit(0.0))))
-    return j.select(*df.columns, std.alias("rolling_std"))
+    full = [F.asc_nulls_first(c) for c in (*keys, *order)]
+    ranged = df.repartitionByRange(*full).sortWithinPartitions(*full) \
+        .withColumn("_rid", F.monotonically_increasing_id()).withColumn("_pid", F.spark_partition_id())
+    ranged = materialize(ranged)  # the halo and the ranges must see one layout
+    # a row for each key of each range; a key's rows lie together in it
+    runs = ranged.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.max("_rid").alias("_last"))
+    along = Window.partitionBy(*keys).orderBy("_pid")
+    upto = F.sum("_n").over(along.rowsBetween(Window.unboundedPreceding, 0))
+    # a later range needs a row if fewer than n - 1 rows of the key lie between;
+    # each range has one at least, so n - 1 ranges ahead are enough
+    ahead = along.rowsBetween(1, n - 1)
+    spans = runs.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_n")) \
+        .withColumn("_ahead", F.collect_list(F.struct("_pid", "_before")).over(ahead)) \
+        .filter(F.size("_ahead") > 0).select(F.col("_pid").alias("_from"), "_last", "_upto", "_ahead")
+    # one row at most per range: its last key is the only one that goes on
+    behind = F.col("_last") - F.col("_rid")
+    needed = F.filter("_ahead", lambda x: behind + x["_before"] - F.col("_upto") < n - 1)
+    halo = ranged.join(spans, (F.col("_pid") == F.col("_from")) & (F.col("_rid") <= F.col("_last")) & (behind < n - 1)) \
+        .select(*df.columns, "_rid", F.explode(needed).alias("_to")) \
+        .select(*df.columns, "_rid", F.col("_to._pid").alias("_pid"), F.lit(True).alias("_halo"))
+    rows = ranged.select(*df.columns, "_rid", "_pid", F.lit(False).alias("_halo")).unionByName(halo)
+    w = Window.partitionBy("_pid", *keys).orderBy("_rid").rowsBetween(-(n - 1), 0)
+    return rows.withColumn("rolling_std", F.stddev_samp(value).over(w)).filter(~F.col("_halo")) \
+        .select(*df.columns, "rolling_std")
 
 
 def top_groups(df: DataFrame, group: str, value: str, k: int = 3,

@@ -60,16 +60,40 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
 
 def rows_at(df: DataFrame, order: Sequence[str], positions: Sequence[int]) -> dict[int, tuple]:
     """The order values of the rows at some 0-based positions (those within the
-    table). Only the order columns are ranged and materialised, never whole
-    rows; one small row per position reaches the driver."""
+    table); one small row per position reaches the driver.
+
+    Where the first order column is a date, the rows are counted by date (few
+    groups, combined map-side), and only the days that hold a position are looked
+    into, on the other order columns. Otherwise the order columns are ranged and
+    materialised, never whole rows."""
     wanted = sorted({int(p) for p in positions})
     if not wanted:
         return {}
-    placed = global_row_number(df.select(*order), list(order), "_pos")
+    order = list(order)
+    if len(order) > 1 and isinstance(df.schema[order[0]].dataType, T.DateType):
+        return _rows_at_dates(df.select(*order), order, wanted)
+    placed = global_row_number(df.select(*order), order, "_pos")
     return {r["_pos"]: tuple(r[c] for c in order)
             for r in placed.filter(F.col("_pos").isin(wanted)).collect()}
 
 
+def _rows_at_dates(df: DataFrame, order: list[str], wanted: list[int]) -> dict[int, tuple]:
+    day, rest = order[0], order[1:]
+    counts = df.groupBy(day).agg(F.count(F.lit(1)).alias("_n"))
+    # one row per day
+    upto = F.sum("_n").over(Window.orderBy(F.asc_nulls_first(day)).rowsBetween(Window.unboundedPreceding, 0))
+    held = F.filter(F.array(*[F.lit(p).cast("long") for p in wanted]),
+                    lambda p: (p >= F.col("_upto") - F.col("_n")) & (p < F.col("_upto")))
+    hit = counts.withColumn("_upto", upto).select(day, (F.col("_upto") - F.col("_n")).alias("_before"), held.alias("_held")) \
+        .filter(F.size("_held") > 0).collect()
+    out = {}
+    for r in hit:
+        on_day = df.filter(F.col(day).eqNullSafe(F.lit(r[day]).cast("date")))
+        at = rows_at(on_day.select(*rest), rest, [p - r["_before"] for p in r["_held"]])
+        out.update({p: (r[day], *at[p - r["_before"]]) for p in r["_held"]})
+    return out
+
+
 def before(df: DataFrame, order: Sequence[str], cut: tuple | None) -> Column:
     """True for the rows that come before ``cut`` in ``order`` (ascending, NULLs
     first); all rows if there is no cut. A plain filter on the source rows."""
