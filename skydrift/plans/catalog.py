@@ -10,6 +10,7 @@ from skydrift.plans import (  # noqa: F401
     model_queries,
     sampling_queries,
     staging_queries,
+    stored_queries,
     stream_queries,
 )
 from skydrift.plans.registry import ORACLES, QUERIES
