@@ -404,3 +404,29 @@ def test_digest_is_of_the_bytes(spark):
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     one = bpe.encode(spark.createDataFrame([(1, "abc")], "doc_id long, text string"), path, public_tokenizers.PATTERN, decoded=True)
     assert one.select(F.sha2("decoded", 256)).first()[0] == hashlib.sha256(b"abc").hexdigest()
+
+
+def test_lines_keep_all_other_columns(docs):
+    plain = {tuple(r) for r in line_templates.drop_recurring(docs.select("doc_id", "text")).collect()}
+    got = line_templates.drop_recurring(docs)
+    assert got.columns == [c for c in docs.columns if c != "n_dropped"] + ["n_dropped"]
+    rows = got.collect()
+    assert {(r.doc_id, r.text, r.n_dropped) for r in rows} == plain and len(rows) == len(ROWS)
+    assert all(r[c] == i for r in rows for i, c in enumerate(CLASHING) if c != "n_dropped")
+
+
+def test_near_copies_in_a_crowded_leaf(spark):
+    import random
+    rng = random.Random(12)
+    rows = []
+    for group in range(2000):  # one leaf: the same three words lead all lines
+        line = ["as", "it", "were", *(f"{rng.choice('bcdfg')}{rng.choice('aeiou')}{rng.choice('klmnp')}{rng.choice('aeiou')}{rng.choice('rst')}{rng.choice('xyz')}" for _ in range(47))]
+        for copy in range(5):
+            words_ = list(line)
+            for place in rng.sample(range(3, 50), 4 * (copy > 0)):
+                words_[place] = "edited" + "abcdefghij"[copy] + rng.choice("uvw")
+            rows.append((5 * group + copy, " ".join(words_)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = sum(r.n_dropped for r in line_templates.drop_recurring(df).collect())
+    assert 0.985 * 8000 <= gone <= 8000, gone
+    print("dropped", gone, "of 8000")
