@@ -148,7 +148,8 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
     rows; further columns are not read.
 
     Queries and rows are gathered into blocks of fixed size, and each query
-    block meets each row block once, by an equi-join on the block numbers.
+    block is copied to each row block, by an equi-join on the row blocks, so
+    tasks grow with the rows.
     Pivots are ``pivots`` rows (a documented, bounded sample) of each length."""
     spark = vectors.sparkSession
     rows = vectors.filter(F.col(vec_id).isNotNull() & _usable(embedding, scale)).select(
@@ -176,11 +177,12 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
         return placed.groupBy("dim", "block").agg(F.collect_list(F.struct("vec_id", "x")).alias("members")) \
             .select("dim", F.col("block").alias(name), F.col("members").alias(f"{name}_members"))
 
-    many = F.create_map(*[F.lit(v) for d, r in sizes.items() for v in (d, max(1, -(-r["q"] // QUERY_BLOCK)))])
-    asked = blocks(rows.filter(F.col("vec_id") % every == 0).distinct(), QUERY_BLOCK, "q", "asked")
-    held = blocks(rows, ROW_BLOCK, "n", "rows") \
-        .withColumn("asked", F.explode(F.sequence(F.lit(0).cast("long"), many[F.col("dim")].cast("long") - 1)))
-    pairs = held.join(asked, ["dim", "asked"])
+    # the queries are the fewer: their blocks are copied to the blocks of rows
+    many = F.create_map(*[F.lit(v) for d, r in sizes.items() for v in (d, max(1, -(-r.n // ROW_BLOCK)))])
+    asked = blocks(rows.filter(F.col("vec_id") % every == 0).distinct(), QUERY_BLOCK, "q", "asked") \
+        .withColumn("rows", F.explode(F.sequence(F.lit(0).cast("long"), many[F.col("dim")].cast("long") - 1)))
+    held = blocks(rows, ROW_BLOCK, "n", "rows")
+    pairs = held.join(asked, ["dim", "rows"])
 
     def members(struct: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
         flat = struct.values
@@ -189,14 +191,16 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
 
     def run(batches):
         seeds, norms = shared.value
+        name, table, ids = None, None, None
         for batch in batches:
             for row in range(batch.num_rows):
                 one = batch.slice(row, 1)
-                dim = one.column(0)[0].as_py()
-                ids, x = members(one.column(1)[0], dim)
-                asked_ids, asked_x = members(one.column(2)[0], dim)
+                dim, block = one.column(0)[0].as_py(), one.column(1)[0].as_py()
                 seed_ids, seed_x = seeds[dim]
-                table = PivotTable(x, seed_x, norms[dim])
+                if (dim, block) != name:  # a block of rows meets its queries one after another
+                    ids, x = members(one.column(2)[0], dim)
+                    name, table = (dim, block), PivotTable(x, seed_x, norms[dim])
+                asked_ids, asked_x = members(one.column(3)[0], dim)
                 out: list[tuple] = []
                 seeds_exact = as_kind(seed_x, norms[dim])
                 for q, query in zip(asked_ids.tolist(), asked_x):
@@ -208,7 +212,7 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
                     [pa.array(c, pa.int64()) for c in (zip(*out) if out else ((), (), ()))],
                     ["query_id", "vec_id", "score"])
 
-    partial = pairs.select("dim", "rows_members", "asked_members") \
+    partial = pairs.select("dim", "rows", "rows_members", "asked_members") \
         .mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return partial.withColumn("rank", F.row_number().over(order).cast("int")).filter(F.col("rank") <= k) \
