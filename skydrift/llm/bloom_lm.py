@@ -28,7 +28,7 @@ from skydrift.llm.words import Words, column, mix, slices
 BITS_PER_ENTRY = 8.0
 PROBES = 4
 #: A filter of more bytes is not broadcast.
-MOST_BYTES = 512 << 20
+MOST_BYTES = 128 << 20
 #: Exact counts of so many words at most, the most frequent, are broadcast.
 FREQUENT = 1_000_000
 SEGMENT_TOKENS = 500_000
@@ -224,13 +224,14 @@ def build(training: DataFrame, unigrams: DataFrame, segments: int) -> DataFrame:
 
 
 def collected(made: DataFrame, segments: int) -> tuple[np.ndarray, bytes, np.ndarray]:
-    """The sizes (in bits), bits and highest levels of all segments."""
-    table = made.toArrow().sort_by("segment")
-    bits = table.column("bits").to_pylist()
-    sizes, tops = np.zeros(segments, np.int64), np.zeros(segments, np.int64)
+    """The sizes (in bits), bits and highest levels of all segments. The driver
+    holds the bits as they come and once more side by side."""
+    table = made.toArrow()
     some = table.column("segment").to_numpy()
-    sizes[some], tops[some] = [8 * len(x) for x in bits], table.column("top").to_numpy()
-    return sizes, b"".join(bits), tops
+    held = [x.as_buffer() for chunk in table.column("bits").chunks for x in chunk]
+    sizes, tops = np.zeros(segments, np.int64), np.zeros(segments, np.int64)
+    sizes[some], tops[some] = [8 * x.size for x in held], table.column("top").to_numpy()
+    return sizes, b"".join([held[k] for k in np.argsort(some)]), tops
 
 
 def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent: int = FREQUENT,
@@ -241,7 +242,7 @@ def score(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", frequent:
 
     A token is a word (A-Z lower-cased) or the end of a text; a null text is
     empty and has its end only. Null ids count as the empty text for
-    ``held_out``; repeated rows count each. With no training rows all counts
+    ``held_out``; repeated rows count each; a text of any length is scored whole. With no training rows all counts
     are 0 and every token has the same probability. Words are known by a 64-bit
     hash, n-grams in the filter by 48 bits and their segment."""
     spark = docs.sparkSession
