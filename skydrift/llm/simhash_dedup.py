@@ -157,7 +157,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, segments:
     component_id, the smallest doc_id that links of at most ``bits`` differing
     bits reach.
 
-    Copies meet in one fingerprint, so links are between distinct fingerprints
+    A text of any length gives one fingerprint. Copies meet in it, so links are between distinct fingerprints
     only. Null doc_ids are kept; they are never a component_id unless the whole
     component has no other. Repeated rows each have their row; an empty table
     gives an empty result; further columns play no part."""

@@ -193,7 +193,7 @@ def score(docs: DataFrame, labels: DataFrame, categories: list[str], keep: tuple
     category; null is 0) names some documents; one with several rows has a
     category if any of them has.
 
-    A null text holds no features and gets the models' bias; null and repeated
+    A text of any length is read whole. A null text holds no features and gets the models' bias; null and repeated
     doc_ids are scored like others; without labels every probability is next to 0; an
     empty table gives no rows."""
     spark = docs.sparkSession
