@@ -1,7 +1,14 @@
 """A corpus pipeline of five stages over the documents table.
 
 Each stage reads what its predecessor wrote. The first two and the fourth drop
-documents, the third drops lines, the last packs what is left."""
+documents, the third drops lines, the last packs what is left.
+
+All stages take null and repeated ids, null, empty and very long texts, repeated
+rows and an empty table as their operators define them: a null text has no words
+(quality rules reject it), rows of a null id are judged, kept and packed like
+others, and equal rows share one verdict. Columns besides doc_id and text travel
+in one column, so their names clash with nothing; but for ``n_chars``, which
+follows the text, they are not changed. The last stage returns pieces only."""
 
 from __future__ import annotations
 
@@ -12,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skydrift.llm import kk_packing, line_templates, quality_llr, queries, simhash_dedup, toxicity_chain
-from skydrift.session import scratch_path
+from skydrift.session import remove, scratch_path, temporaries
 from skydrift.sources.tables import read_table
 
 ORACLE_SQL = None  # hashed n-grams, fitted models and tokenizers are beyond SQL
@@ -74,10 +81,14 @@ STAGES: list[tuple[str, Stage]] = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage; each stage's are written and read again."""
-    docs = read_table(spark, sf_dir, "documents")
+    """The rows of the last stage; each stage's are written and read again. What a
+    stage has read and made on the way is removed when its rows are written."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for number, (_, stage) in enumerate(STAGES):
         path = scratch_path(spark, f"stage{number}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with temporaries(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before is not None:
+            remove(spark, before)
+        docs, before = spark.read.parquet(path), path
     return docs
