@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -74,10 +75,44 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def _fs(spark: SparkSession, path: str):
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+#: Folders that :func:`temporaries` will remove, the innermost last.
+_open: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a written table."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", f"{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path under the shared checkpoint folder for a written table. The
+    session's tables lie in one folder, which goes when the driver ends."""
+    base = os.path.join(checkpoint_dir(spark), "tables", spark.sparkContext.applicationId)
+    fs, place = _fs(spark, base)
+    if not fs.exists(place):
+        fs.mkdirs(place)
+        fs.deleteOnExit(place)
+    path = os.path.join(base, f"{name}-{uuid.uuid4().hex[:12]}")
+    if _open:
+        _open[-1].append(path)
+    return path
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, place = _fs(spark, path)
+    fs.delete(place, True)
+
+
+@contextmanager
+def temporaries(spark: SparkSession):
+    """The scratch tables that are made inside are removed at its end, also after a
+    failure. What reads them must have been written elsewhere by then."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove(spark, path)
 
 
 def materialize(df):

@@ -8,7 +8,9 @@ chunks.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,15 +24,38 @@ from skydrift.schemas import RAW_FLIGHT_COLUMNS
 RAW_FILE_GLOB = "Combined_Flights_[0-9][0-9][0-9][0-9].csv"
 
 
+#: Header lines that the driver reads at a time.
+HEADER_THREADS = 16
+#: A header line has no more bytes than this.
+HEADER_BYTES = 1 << 20
+
+
+def _first_line(spark: SparkSession, path: str) -> str:
+    """A file's first line, from its first bytes only; no job."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = place.getFileSystem(spark._jsc.hadoopConfiguration()).open(place)
+    try:
+        held = b""
+        while b"\n" not in held and len(held) < HEADER_BYTES:
+            more = bytes(stream.readNBytes(4096))
+            held += more
+            if len(more) < 4096:
+                break
+    finally:
+        stream.close()
+    return held.split(b"\n", 1)[0].removeprefix(b"\xef\xbb\xbf").decode("utf-8", "replace").rstrip("\r")
+
+
 def _headers(spark: SparkSession, path: str, file_glob: str) -> dict[tuple[str, ...], list[str]]:
-    """The matching files by their header. The listing reads no content, and
-    each header is one small job on the file's first line."""
+    """The matching files by their header. One job lists the files and reads no
+    content; the driver reads each file's first bytes, some files at a time."""
     files = (spark.read.format("binaryFile").option("pathGlobFilter", file_glob)
              .option("recursiveFileLookup", True).load(path).select("path"))
+    paths = [r.path for r in files.sort("path").collect()]  # one row per file
     groups: dict[tuple[str, ...], list[str]] = {}
-    for row in files.sort("path").collect():  # one row per file
-        header = spark.read.option("header", True).csv(row.path).columns
-        groups.setdefault(tuple(header), []).append(row.path)
+    with ThreadPoolExecutor(HEADER_THREADS) as pool:
+        for name, line in zip(paths, pool.map(lambda p: _first_line(spark, p), paths)):
+            groups.setdefault(tuple(next(csv.reader([line]), [])), []).append(name)
     return groups
 
 

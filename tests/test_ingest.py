@@ -69,3 +69,38 @@ def test_micro_csv_ingest_and_staging(spark):
     assert stg["JFK_LAX_2019-01-05_AA_12"]["marketing_airline_network"] == "B6"
     assert stg["JFK_LAX_2019-01-05_AA_1000"]["marketing_airline_network"] == "DL"
     assert stg["JFK_LAX_2019-01-05_AA_1800"]["tail_number"] is None
+
+
+def test_many_headers_without_a_job_each(spark, tmp_path):
+    """1,000 files of three headers: the jobs of the read do not grow with them."""
+    from skydrift.sources.ingest import read_raw_text
+    heads = ("a,b,c", 'c,"a",b', "b,c")
+    for k in range(1000):
+        folder = tmp_path / f"f{k}"
+        folder.mkdir()
+        head = heads[2 if k % 100 == 7 else k % 2]
+        values = {"a": f"a{k}", "b": "" if k % 3 else f"b{k}", "c": str(k)}
+        row = ",".join(values[c.strip('"')] for c in head.split(","))
+        (folder / "Combined_Flights_2018.csv").write_text(f"{head}\r\n{row}\r\n" if k % 2 else f"{head}\n{row}\n")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("headers", "headers")
+    skipped: list[str] = []
+    df = read_raw_text(spark, str(tmp_path), columns=["a", "b", "c"], skipped=skipped)
+    jobs = len(tracker.getJobIdsForGroup("headers"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    got = {r.a: (r.b, r.c) for r in df.collect()}
+    assert jobs <= 6 and len(skipped) == 10
+    assert got == {f"a{k}": (None if k % 3 else f"b{k}", str(k)) for k in range(1000) if k % 100 != 7}
+
+
+def test_scratch_tables_go(spark, tmp_path):
+    import os
+    from skydrift.session import scratch_path, temporaries
+    path = scratch_path(spark, "stays")
+    spark.range(3).write.parquet(path)
+    with temporaries(spark):
+        inner = scratch_path(spark, "goes")
+        spark.range(3).write.parquet(inner)
+        spark.read.parquet(inner).write.parquet(str(tmp_path / "out"))
+    local = [p.removeprefix("file:") for p in (path, inner)]
+    assert os.path.isdir(local[0]) and not os.path.isdir(local[1]) and spark.read.parquet(str(tmp_path / "out")).count() == 3
