@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from skydrift.llm.tables import small_batches
 from skydrift.llm.words import Words, column, slices
 
 CAPACITY = 4096
@@ -21,6 +22,8 @@ CAPACITY = 4096
 WINDOWS = 96
 #: A worker keeps the ids of so many words before it starts anew.
 MEMO_WORDS = 600_000
+#: And those of so many parts of words.
+MEMO_PARTS = 150_000
 
 
 def byte_letters() -> str:
@@ -46,15 +49,16 @@ class WordTokenizer:
         self._forget()
 
     def _forget(self) -> None:
-        self._place: dict[int, int] = {}
+        self._hashes, self._place = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         self._parts: dict[str, list[int]] = {}
-        self._ids = np.zeros(1 << 16, "<u4")
-        self._from = np.zeros(1 << 14, np.int64)
-        self._used = 0
+        self._ids = np.zeros(0, "<u4")
+        self._from = np.zeros(1, np.int64)
 
     def _part(self, part: str) -> list[int]:
         got = self._parts.get(part)
         if got is None:
+            if len(self._parts) > MEMO_PARTS:
+                self._parts.clear()
             shown = "".join([self._letters[b] for b in part.encode()])
             got = self._parts[part] = [t.id for t in self._model.tokenize(shown)]
         return got
@@ -66,35 +70,31 @@ class WordTokenizer:
         a, b = m.groups()
         return (self._part(a.lower()) if a else []) + (self._part(b) if b else [])
 
-    def _learn(self, words: list[str], hashes: list[int]) -> None:
-        for h, word in zip(hashes, words):
-            ids = self.word(word)
-            n = len(self._place)
-            if n + 2 > len(self._from):
-                self._from = np.concatenate([self._from, np.zeros_like(self._from)])
-            while self._used + len(ids) > len(self._ids):
-                self._ids = np.concatenate([self._ids, np.zeros_like(self._ids)])
-            self._ids[self._used: self._used + len(ids)] = ids
-            self._used += len(ids)
-            self._place[h] = n
-            self._from[n + 1] = self._used
+    def _learn(self, words: list[str], hashes: np.ndarray) -> None:
+        ids = [self.word(w) for w in words]
+        ends = self._from[-1] + np.cumsum([len(x) for x in ids], dtype=np.int64)
+        place = np.concatenate([self._place, len(self._from) - 1 + np.arange(len(words))])
+        self._ids = np.concatenate([self._ids, np.array([i for x in ids for i in x], "<u4")])
+        self._from = np.concatenate([self._from, ends])
+        hashes = np.concatenate([self._hashes, hashes])
+        rising = np.argsort(hashes, kind="stable")
+        self._hashes, self._place = hashes[rising], place[rising]
 
     def encode(self, w: Words, end: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of the texts, ``end`` after each, and where each text begins."""
-        if len(self._place) > MEMO_WORDS:
+        if len(self._hashes) > MEMO_WORDS:
             self._forget()
         texts = len(w.first) - 1
-        hashes, word = np.unique(w.hashes(lower=False), return_inverse=True)
-        seen = np.zeros(len(hashes), np.int64)
-        seen[word] = np.arange(len(word))
-        keys = hashes.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self._place]
-        if new:
-            at = seen[new]
-            data = w.data.tobytes()
-            self._learn([data[a:b].decode() for a, b in zip(w.starts[at].tolist(), w.ends[at].tolist())],
-                        [keys[k] for k in new])
-        place = np.array([self._place[h] for h in keys], np.int64)[word] if keys else np.zeros(0, np.int64)
+        hashes, seen, word = np.unique(w.hashes(lower=False), return_index=True, return_inverse=True)
+        at = np.searchsorted(self._hashes, hashes)
+        new = np.ones(len(hashes), bool)
+        inside = at < len(self._hashes)
+        new[inside] = self._hashes[at[inside]] != hashes[inside]
+        if new.any():
+            data, some = w.data.tobytes(), seen[new]
+            self._learn([data[a:b].decode() for a, b in zip(w.starts[some].tolist(), w.ends[some].tolist())], hashes[new])
+            at = np.searchsorted(self._hashes, hashes)
+        place = self._place[at][word]
         length = self._from[place + 1] - self._from[place]
         before = np.concatenate([[0], np.cumsum(length)])
         source = np.arange(before[-1]) + np.repeat(self._from[place] - before[:-1], length)
@@ -250,6 +250,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 2, capacity: int =
     documents like any other; an empty table gives no rows; sequence_id holds
     the partition number above bit 32."""
     spark = docs.sparkSession
+    small_batches(spark)
     with open(tokenizer_path, encoding="utf-8") as f:
         definition = spark.sparkContext.broadcast(f.read())
     source = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skydrift.llm.lookup import looked_up
-from skydrift.llm.tables import written
+from skydrift.llm.tables import small_batches, written
 from skydrift.llm.words import Words, column, mix, read, slices
 
 #: So many buckets at least.
@@ -132,6 +132,7 @@ def buckets_for(docs: DataFrame, least: int = BUCKETS) -> int:
                     seen = seen[:0]
         yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64))], ["gram"])
 
+    small_batches(docs.sparkSession)
     distinct = docs.select("text").mapInArrow(run, "gram long").distinct().count() * COUNTED
     return max(least, 1 << max(0, -(-distinct // LOAD) - 1).bit_length())
 

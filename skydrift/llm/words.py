@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skydrift.llm.tables import small_batches
+
 SLICE_BYTES = 1 << 20
 #: Words are hashed so many bytes at a time; bounds the tables of powers.
 HASHED_BYTES = 1 << 17
@@ -155,5 +157,6 @@ def column(batch: pa.RecordBatch, name: str) -> pa.Array:
 
 def read(docs: DataFrame, keep: tuple[str, ...], text: str = "text") -> tuple[DataFrame, str]:
     """``keep``, with the text after it if it isn't among them; its name."""
+    small_batches(docs.sparkSession)
     kept = [F.col(f"`{c}`") for c in keep]
     return (docs.select(*kept), text) if text in keep else (docs.select(*kept, F.col(f"`{text}`").alias("__text")), "__text")
