@@ -75,6 +75,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the cluster names, for what outlives a session (Spark's own
+    checkpoint folder lies below it, with a new name each time); without one, the
+    session's checkpoint folder."""
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return named or checkpoint_dir(spark)
+
+
 def _fs(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
