@@ -23,9 +23,11 @@ article, a section has to show that it is as important, on pages of its host."""
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from html import unescape
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -46,6 +48,8 @@ LEAST_NAMED_ENTROPY = 0.9
 #: template; on fewer hosts, nothing about others.
 LEAST_PAGES = 5
 LEAST_HOSTS = 5
+#: Up to so many verdicts are broadcast (8 bytes each); beyond, pages are shuffled to theirs.
+MOST_SHARED = 1 << 20
 
 # Elements of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -247,11 +251,10 @@ class Page:
         this page; sure if the prior settles its importance; whether it is named as
         noise, and whether it is compared with those beside it."""
         made: dict[int, list] = {}
+        digests = [xxhash.xxh64_digest("".join(x.pieces)) for x in self.blocks]
         for x in self.nodes:
             one = made.setdefault(x.key, [x.above, xxhash.xxh64(), xxhash.xxh64(), True, False, False])
-            for block in self.blocks[x.began:x.ended]:
-                one[1].update("".join(block.pieces))
-                one[1].update(b"\n")
+            one[1].update(b"".join(digests[x.began:x.ended]) + b"\n")
             one[2].update(x.layout.to_bytes(8, "little"))
             one[3:] = one[3] and x.sure, one[4] or x.named, one[5] or x.compared
         return {k: (above, c.intdigest(), s.intdigest(), *flags) for k, (above, c, s, *flags) in made.items()}
@@ -275,6 +278,9 @@ class Page:
         return "\n\n".join(x for x in lines if x)
 
 
+_MASK = (1 << 64) - 1
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -348,7 +354,30 @@ def style_tree(pages: DataFrame) -> DataFrame:
     return _tree(_occurrences(pages.select(F.coalesce("host", F.lit("")).alias("host"), F.xxhash64("html").alias("page"), "html")))
 
 
-def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id", "url"), html: str = "html") -> DataFrame:
+def _shared(verdicts: DataFrame) -> Callable[[str, Page], tuple[set[int], set[int]]]:
+    """The verdicts on a page's nodes from sorted marks of (host, node), broadcast."""
+    marked = verdicts.select(F.xxhash64("host").bitwiseXOR(F.col("path")).alias("mark"), (F.col("verdict") == "low").alias("low")).toArrow()
+    marks, is_low = (marked.column(k).to_numpy() for k in (0, 1))
+    held = verdicts.sparkSession.sparkContext.broadcast(tuple(np.sort(marks[x].view(np.uint64)) for x in (is_low, ~is_low)))
+
+    def of(host: str, page: Page) -> tuple[set[int], set[int]]:
+        keys = np.array(list({x.key for x in page.nodes}), np.uint64)
+        marks = keys ^ np.uint64(xxhash.xxh64_intdigest(host, 42))
+
+        def known(table: np.ndarray) -> set[int]:
+            if not len(table):
+                return set()
+            at = np.minimum(np.searchsorted(table, marks), len(table) - 1)
+            return set(keys[table[at] == marks].tolist())
+
+        low, high = held.value
+        return known(low), known(high)
+
+    return of
+
+
+def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id", "url"), html: str = "html",
+            most_shared: int = MOST_SHARED) -> DataFrame:
     """``keep`` and ``text``: the main text of each page's whole html.
 
     Blocks (the standard's block elements) have their character references
@@ -361,20 +390,29 @@ def extract(pages: DataFrame, host: F.Column, keep: tuple[str, ...] = ("page_id"
                           F.col(html).alias("__html"))
     seen = _occurrences(source.select(F.col("__host").alias("host"), F.col("__page").alias("page"), F.col("__html").alias("html")))
     verdicts = written(_tree(seen).filter("verdict is not null").select("host", "path", "verdict"), "verdicts")
-    # a page meets the verdicts on its own nodes only; written, so that the join below
-    # has a shuffle of its own on either side, of which Spark splits a crowded one
-    own = written(seen.select("host", "page", "path").join(verdicts, ["host", "path"])
-                  .groupBy(F.col("host").alias("__host"), F.col("page").alias("__page"))
-                  .agg(*[F.collect_set(F.when(F.col("verdict") == x, F.col("path"))).alias(f"__{x}") for x in ("low", "high")]), "verdicts")
-    joined = source.join(own, ["__host", "__page"], "left").select(*keep, "__low", "__high", "__html")
-    schema = joined.select(*keep, F.lit("").alias("text")).schema
+    schema = source.select(*keep, F.lit("").alias("text")).schema
+    shared = _shared(verdicts) if verdicts.count() <= most_shared else None
+    if shared:
+        joined = source.select(*keep, "__host", "__html")
+    else:
+        # a page meets the verdicts on its own nodes only; written, so that the join has a
+        # shuffle of its own on either side, of which Spark splits a crowded one
+        sets = [F.collect_set(F.when(F.col("verdict") == x, F.col("path"))) for x in ("low", "high")]
+        own = written(seen.select("host", "page", "path").join(verdicts, ["host", "path"])
+                      .groupBy(F.col("host").alias("__host"), F.col("page").alias("__page")).agg(F.array(*sets).alias("__sets")), "own")
+        joined = source.join(own, ["__host", "__page"], "left").select(*keep, "__sets", "__html")
+
+    def text(held, html: str | None) -> str:
+        if not html:
+            return ""
+        page = Page(html)
+        return page.text(*(shared(held, page) if shared else ({x & _MASK for x in y} for y in held or ((), ()))))
 
     def run(batches):
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                sets = ([{x & ((1 << 64) - 1) for x in y or ()} for y in part.column(k).to_pylist()] for k in (-3, -2))
-                texts = [Page(h).text(low, high) if h else "" for low, high, h in zip(*sets, part.column(-1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-3], pa.array(texts, pa.string())], schema.names)
+                texts = [text(*x) for x in zip(*(part.column(k).to_pylist() for k in (-2, -1)))]
+                yield pa.RecordBatch.from_arrays([*part.columns[:-2], pa.array(texts, pa.string())], schema.names)
 
     return joined.mapInArrow(run, schema)

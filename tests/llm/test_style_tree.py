@@ -19,7 +19,10 @@ def _article(page):
 
 def _texts(spark, rows):
     df = spark.createDataFrame(rows, "page_id long, url string, html string")
-    return {r.page_id: r.text for r in style_tree.extract(df, url_reputation.host_of(F.col("url"))).collect()}
+    got, shuffled = ({r.page_id: r.text for r in style_tree.extract(df, url_reputation.host_of(F.col("url")), most_shared=n).collect()}
+                     for n in (style_tree.MOST_SHARED, -1))
+    assert got == shuffled  # by broadcast and by a join
+    return got
 
 
 @pytest.mark.parametrize("tags", ["article", "article|nav|footer"])
