@@ -5,6 +5,7 @@ import statistics
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.sql import Row
 from pyspark.sql import functions as F
 
 from skydrift.operators import drift as D
@@ -137,3 +138,65 @@ def test_champion_switch_while_a_stream_runs(spark, tmp_path):
     got = {r.batch_id: (r.model_version_reg, r.model_version_class) for r in log.select("batch_id", "model_version_reg", "model_version_class").distinct().collect()}
     assert got == {0: ("reg_v1", "cls_v1"), 1: ("reg_v1", "cls_v1"), 2: ("reg_v2", "cls_v1"), 3: ("reg_v2", "cls_v2")}
     assert log.count() == 300 and log.select("flight_uid").distinct().count() == 300
+
+
+class _Value:
+    """A value state that counts how often it is read and written."""
+
+    def __init__(self):
+        self.held, self.calls = None, 0
+
+    def get(self):
+        self.calls += 1
+        return self.held
+
+    def update(self, value):
+        self.calls += 1
+        self.held = value
+
+    def clear(self):
+        self.held = None
+
+
+class _Handle:
+    def __init__(self):
+        self.value, self.timers = _Value(), []
+
+    def getValueState(self, name, schema):
+        return self.value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Now:
+    def __init__(self, now):
+        self.now = now
+
+    def getCurrentWatermarkInMs(self):
+        return self.now
+
+
+def test_a_values_state_is_touched_once_however_many_rows_come():
+    handle, key = _Handle(), ("v", True, 1.0, None)
+    state = ST.DayCounts(2)
+    state.init(handle)
+    (out,) = state.handleInputRows(key, iter([Row(day=d % 3, n=2) for d in range(900)]), _Now(0))
+    assert out.n_cur == 1800.0 and handle.value.calls == 2 and handle.timers == [3 * ST.DAY_MS]
+    # day 0 is past what is kept: late rows of it add nothing, and its counts go
+    (late,) = state.handleInputRows(key, iter([Row(day=0, n=5)]), _Now(3 * ST.DAY_MS))
+    assert late.n_cur == 1800.0
+    (left,) = state.handleExpiredTimer(key, _Now(3 * ST.DAY_MS), None)
+    assert left.n_cur == 1200.0 and handle.timers[-1] == 4 * ST.DAY_MS
+    (none,) = state.handleExpiredTimer(key, _Now(9 * ST.DAY_MS), None)
+    assert none.n_cur == 0.0 and handle.value.held is None
+
+
+def test_partial_counts_meet_across_batches():
+    import pyarrow as pa
+    names = ["column", "is_num", "num", "cat", "day", "event_ts"]
+    batch = pa.RecordBatch.from_arrays([pa.array(["v", "v", "c"]), pa.array([True, True, False]), pa.array([1.0, 1.0, None]),
+                                        pa.array([None, None, "x"], pa.string()), pa.array([3, 3, 4], pa.int32()),
+                                        pa.array([1, 2, 3], pa.timestamp("us", "UTC"))], names)
+    rows = [r for b in ST._partial_counts([batch] * 5) for r in b.to_pylist()]
+    assert sorted((r["column"], r["day"], r["n"], r["event_ts"].microsecond) for r in rows) == [("c", 4, 5, 3), ("v", 3, 10, 2)]
