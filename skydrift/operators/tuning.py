@@ -154,11 +154,13 @@ def sample_params(space: dict, fixed: dict, n_trials: int, seed: int = 42) -> li
 
 
 def search(spark: SparkSession, train: DataFrame, val: DataFrame, model_type: str, label: str, space: dict, fixed: dict,
-           n_trials: int, metric: str, direction: str = "minimize", seed: int = 42, prep=None, sampler: str = "tpe") -> DataFrame:
-    """Run the trials; return the trial log with the best one marked."""
+           n_trials: int, metric: str, direction: str = "minimize", seed: int = 42, prep=None, sampler: str = "tpe",
+           stored: bool = False) -> DataFrame:
+    """Run the trials; return the trial log with the best one marked. ``stored``:
+    the training frame is a scan of files."""
     key = "flight_uid" if "flight_uid" in train.columns else None
-    fitted = (prep or default_preprocessor(label, fold_key=key)).fit(train)
-    feats = fitted.transform(train, training=True).persist()
+    fitted = (prep or default_preprocessor(label, fold_key=key)).fit(train, stored)
+    feats = fitted.transform(train, training=True, columns=False).select("features", label, *[c for c in ("flight_uid",) if c in train.columns]).persist()
     run_ids: list[str] = []
 
     def objective(params: dict) -> float:
@@ -186,6 +188,6 @@ def search(spark: SparkSession, train: DataFrame, val: DataFrame, model_type: st
 
 def random_search(spark: SparkSession, train: DataFrame, val: DataFrame, model_type: str,
                   label: str, space: dict, fixed: dict, n_trials: int, metric: str,
-                  direction: str = "minimize", seed: int = 42, prep=None) -> DataFrame:
+                  direction: str = "minimize", seed: int = 42, prep=None, stored: bool = False) -> DataFrame:
     """:func:`search` by seeded random trials."""
-    return search(spark, train, val, model_type, label, space, fixed, n_trials, metric, direction, seed, prep, "random")
+    return search(spark, train, val, model_type, label, space, fixed, n_trials, metric, direction, seed, prep, "random", stored)

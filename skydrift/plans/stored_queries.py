@@ -118,13 +118,13 @@ def q_champion_switch(spark, sf_dir):
     train, _, _ = _split(spark, sf_dir)
     small = Preprocessor(low_card_cols=["dep_time_blk"], high_card_cols=["origin_airport_id"], cyclic_cols=["crs_dep_time"],
                          numeric_cols=["crs_elapsed_time"], skewed_numeric_cols=["distance"], target="arr_delay_minutes")
-    fitted = small.fit(train)
+    fitted = small.fit(train, stored=True)
     made = {}
     for name, kind, label, depth in (("delay_regressor", "RandomForestRegressor", "arr_delay_minutes", 2),
                                      ("delay_regressor", "RandomForestRegressor", "arr_delay_minutes", 4),
                                      ("delay_classifier", "RandomForestClassifier", "arr_del15", 2)):
         params = {"n_estimators": 3, "max_depth": depth, "random_state": 42}
-        model = fit_model(train, kind, params, label, prepared=fitted, feats=fitted.transform(train))
+        model = fit_model(train, kind, params, label, prepared=fitted, feats=fitted.transform(train, columns=False))
         run = run_row(spark, model, params, spark.createDataFrame([(1.0 / depth,)], "depth_score double"), name, {"name": "fx_stg"})
         version = store.register(name, model, run)
         made[version.label] = version
@@ -150,7 +150,7 @@ def q_tune_adaptive(spark, sf_dir):
     space = {"max_depth": ("int", 2, 6), "n_estimators": ("int", 2, 6)}
     prep = Preprocessor(low_card_cols=["dep_time_blk"], cyclic_cols=["crs_dep_time"], numeric_cols=["crs_elapsed_time"],
                         skewed_numeric_cols=["distance"])
-    return search(spark, train, val, "RandomForestRegressor", "arr_delay_minutes", space, {"random_state": 42}, 10, "rmse", "minimize", prep=prep)
+    return search(spark, train, val, "RandomForestRegressor", "arr_delay_minutes", space, {"random_state": 42}, 10, "rmse", "minimize", prep=prep, stored=True)
 
 
 @query("onehot_sparse", with_fx(["fx_stg"], """
