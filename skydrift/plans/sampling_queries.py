@@ -11,6 +11,7 @@ from skydrift.operators.sampling import (
 from skydrift.operators.split import chrono_split_labels
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import query
+from skydrift.session import written
 from skydrift.sources.fixtures import fx_predictions, fx_stg
 
 # The training window and sample rule of the reference sampler,
@@ -158,7 +159,7 @@ where rn <= (select least(sum(case when flight_date < date '1999-01-01' then 1 e
 group by side"""))
 def q_equalised(spark, sf_dir):
     """OP-42: both sides cut to the smaller size in seeded order."""
-    stg = fx_stg(spark, sf_dir).select("flight_uid", "flight_date")
+    stg = written(fx_stg(spark, sf_dir).select("flight_uid", "flight_date"), "staging")
     ref = stg.filter(F.col("flight_date") < F.lit("1999-01-01").cast("date"))
     cur = stg.filter(F.col("flight_date") >= F.lit("1999-01-01").cast("date"))
     r, c = equalise(ref, cur, "flight_uid", (42, 24))
