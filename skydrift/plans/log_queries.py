@@ -14,7 +14,7 @@ from skydrift.operators.scoring import (
 from skydrift.operators.staging import ints_to_double
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import query
-from skydrift.session import scratch_path
+from skydrift.session import scratch_path, written
 from skydrift.sources.fixtures import fx_predictions, fx_raw, fx_stg
 from skydrift.sources.ingest import (
     cast_raw, pruned_columns, publish_csv, read_raw_text, sql_source)
@@ -30,10 +30,10 @@ LOG_FEATURES = ["origin_airport_id", "dest_airport_id", "tail_number", "dep_time
 LOG_FEATURES_TEXT = [f"cast({c} as varchar)" for c in LOG_FEATURES]
 
 
-def _log(spark, sf_dir):
+def _log(spark, sf_dir, stg=None):
     """The staging rows shaped as predictions-log rows (features and truth
     as JSON text; the log timestamp is the flight date)."""
-    stg = fx_stg(spark, sf_dir)
+    stg = fx_stg(spark, sf_dir) if stg is None else stg
     return stg.select(
         F.xxhash64("flight_uid").alias("id"),
         F.col("flight_date").cast("timestamp").alias("timestamp"), "flight_uid",
@@ -282,7 +282,7 @@ def q_retrain_cycle(spark, sf_dir):
     consumed batches are cleared, and only those. Each append is retried once,
     which must change nothing."""
     from skydrift.operators.sampling import hash_sample
-    stg = fx_stg(spark, sf_dir)
+    stg = written(fx_stg(spark, sf_dir), "staging")  # read by four appends and their retries
     table, log = scratch_path(spark, "retrain"), scratch_path(spark, "log")
     base = hash_sample(stg.filter(F.col("flight_date") < F.lit("1999-01-01").cast("date")),
                        "flight_uid", 10) \
@@ -293,7 +293,7 @@ def q_retrain_cycle(spark, sf_dir):
     L.append_batch(base, table, 0)
 
     def arrive(year):
-        rows = _log(spark, sf_dir).filter(F.year("timestamp") == year)
+        rows = _log(spark, sf_dir, stg).filter(F.year("timestamp") == year)
         return L.append_batch(rows, log, year)
 
     arrive(1999), arrive(2000), arrive(2000)

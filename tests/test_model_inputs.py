@@ -31,3 +31,11 @@ def test_parts_are_scans_of_staging_rows_written_once(spark):
     for part in _split(spark, SMALL):
         plan = part._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan and "Aggregate" not in plan
+
+
+def test_log_rows_come_from_given_staging_rows(spark):
+    from skydrift.plans.log_queries import _log
+    from skydrift.sources.fixtures import fx_stg
+    stg = fx_stg(spark, SMALL).limit(20).persist()
+    assert _log(spark, "/no/such/folder", stg).count() == 20
+    stg.unpersist()
