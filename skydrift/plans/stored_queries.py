@@ -26,7 +26,7 @@ from skydrift.plans.model_queries import _split
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import ORACLES, query
 from skydrift.plans.sampling_queries import SAMPLE_END, SAMPLE_LIMIT, SAMPLE_START
-from skydrift.session import scratch_path
+from skydrift.session import scratch_path, written
 from skydrift.sources.fixtures import calendar_and_targets, fx_raw_from, fx_stg
 from skydrift.sources.tables import read_table
 from skydrift.streaming import jobs as S
@@ -210,7 +210,8 @@ def q_log_commit(spark, sf_dir):
     """OP-08/10/11: log batches become one batch of the retrain table and leave the
     log in the same commit; a third batch arrives meanwhile and stays; a retry of
     the commit changes nothing."""
-    log = _log(spark, sf_dir).join(fx_stg(spark, sf_dir).select("flight_uid", (F.col("crs_dep_time") % 3).alias("part")), "flight_uid")
+    stg = written(fx_stg(spark, sf_dir), "staging")
+    log = written(_log(spark, sf_dir, stg).join(stg.select("flight_uid", (F.col("crs_dep_time") % 3).alias("part")), "flight_uid"), "log")
     tables = BatchTables(spark, scratch_path(spark, "batches"))
     tables.create("log", log.drop("part").schema)
     tables.create("retrain", _RETRAIN_SCHEMA)
