@@ -4,13 +4,14 @@ Lines are parsed by a tree of fixed depth: the number of their words, then
 their leading words. Words that hold a digit are variable fields from the start,
 unless they are more than a third of the line: such a line says little but its
 figures, and is compared by its own words only.
-Within a leaf, a line joins the first line that it shares most of its words
-with, place by place; the places where they differ are variable fields too. The
-lines of a crowded leaf meet in blocks, by the words of every k-th place: lines
-that differ in fewer than k places share one of them. Blocks are of a bounded
-size; what is left of them meets again until nothing more is joined. A template
-that recurs across documents stays in the first of them, and its lines are
-dropped from the others."""
+Within a leaf, lines that share most of their words, place by place, are linked,
+and those that links reach are of one template; the places where they differ are
+variable fields too. The lines of a crowded leaf meet in bands, by the words of
+every k-th place, where k is one more than the places in which lines alike may
+differ: they share one of them. A band larger than a block is dealt into blocks;
+then its lines that are not in its largest component yet meet all others of the
+band. A template that recurs across documents stays in the first of them, and its
+lines are dropped from the others."""
 
 from __future__ import annotations
 
@@ -19,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skydrift.llm.components import components
 from skydrift.llm.tables import written
 from skydrift.llm.words import Words, column, mix, slices
 
@@ -29,10 +31,6 @@ MIN_DOCS = 2
 SIMILARITY = 0.8
 #: So many lines are held against each other at a time.
 BLOCK = 1000
-#: A line of a crowded leaf is in so many blocks at most.
-MOST_BANDS = 8
-#: Crowded leaves are gone through again while this share of their lines is joined.
-LEAST_JOINED = 0.01
 #: Size of the table of crowded leaves that is broadcast; when it fills up,
 #: more lines than needed are looked at, none fewer.
 LEAF_BITS = 1 << 26
@@ -136,78 +134,111 @@ def _templates(docs: DataFrame, lines: DataFrame, min_words: int, similarity: fl
     texts = written(texts.join(counts, "leaf"), "lines")
     small, left = texts.filter(F.col("n") <= block), texts.filter(F.col("n") > block)
     found = _joined(small.select(F.col("leaf").alias("block"), "line", "words"), similarity)
-    n, number = left.count(), 0
-    while n:
-        met = left.mapInArrow(_banded(similarity), "band long, line long, words array<long>")
-        met = written(met, "bands")
-        salts = met.groupBy("band").agg(F.ceil(F.count(F.lit(1)) / block).alias("salts")).filter("salts > 1")
-        dealt = met.join(written(salts, "salts"), "band", "left").select(
-            F.xxhash64("band", F.pmod(F.xxhash64("line", F.lit(number)), F.coalesce("salts", F.lit(1)))).alias("block"), "line", "words")
-        pairs = written(_joined(dealt, similarity), "pairs")
-        # to a line that has itself joined none
-        members = pairs.join(pairs.select(F.col("line").alias("template")).distinct(), "template", "left_anti") \
-            .groupBy("line").agg(F.min("template").alias("template"))
-        members = written(members, "members")
-        # the lines that joined one before which now joins another go with it
-        moved = found.join(members.select(F.col("line").alias("template"), F.col("template").alias("further")), "template", "left") \
-            .select("line", F.coalesce("further", "template").alias("template"))
-        found = written(moved.union(members), "found")
-        gone = members.count()
-        if gone <= LEAST_JOINED * n:
-            break
-        left = written(left.join(members.select("line"), "line", "left_anti").select(*left.columns), "left")
-        n, number = n - gone, number + 1
-    found = written(found, "templates")
+    met = written(left.mapInArrow(_banded(similarity), "band long, line long"), "bands")
+    sizes = met.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.bit_xor("line").alias("mark"),
+                                    F.bit_xor(F.xxhash64("line")).alias("other")).filter("n > 1")
+    # bands of the same lines are looked at once
+    sizes = written(sizes.groupBy("n", "mark", "other").agg(F.min("band").alias("band")).select("band", "n"), "sizes")
+    shared = met.join(sizes, "band")
+    # larger ones are dealt in two ways, so that what is alike in two blocks meets in others
+    ways = shared.withColumn("way", F.explode(F.when(F.col("n") > block, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
+    salt = F.pmod(F.xxhash64("line", "band", "way"), F.ceil(F.col("n") / block))
+    dealt = ways.select(F.xxhash64("band", "way", salt).alias("block"), "line")
+    links = written(_joined(_worded(dealt, left), similarity), "pairs")
+    hot = sizes.filter(F.col("n") > block)
+    if not hot.isEmpty():
+        links = links.union(_across(shared.filter(F.col("n") > block), links, left, similarity, block))
+    whole = components(links.select(F.col("line").alias("u"), F.col("template").alias("v")))
+    found = written(found.union(whole.filter("node <> root").select(F.col("node").alias("line"), F.col("root").alias("template"))), "templates")
     return found.union(found.select(F.col("template").alias("line"), "template").distinct())
 
 
+def _worded(blocks: DataFrame, texts: DataFrame) -> DataFrame:
+    """block, line, words for ``blocks`` (block, line)."""
+    return blocks.join(texts.select("line", "words"), "line").select("block", "line", "words")
+
+
+def _across(met: DataFrame, links: DataFrame, texts: DataFrame, similarity: float, block: int) -> DataFrame:
+    """The links between lines of different blocks of one band, for the bands
+    larger than a block (``met``: band, line). Lines that ``links`` has joined
+    need not meet again: the lines beside the band's largest component are held
+    against all lines of the band, some of both at a time."""
+    whole = components(links.select(F.col("line").alias("u"), F.col("template").alias("v")))
+    held = written(met.select("band", "line").join(whole, F.col("line") == F.col("node"), "left")
+                   .select("band", "line", F.coalesce("root", "line").alias("root")), "held")
+    parts = held.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"))
+    half = F.lit(max(1, block // 2))
+    bands = parts.groupBy("band").agg(F.sum("n").alias("all"), F.max(F.struct("n", "root")).alias("most")) \
+        .filter(F.col("all") > F.col("most.n")) \
+        .select("band", F.col("most.root").alias("most"), F.ceil(F.col("all") / half).alias("chunks"),
+                F.ceil((F.col("all") - F.col("most.n")) / half).alias("others"))
+    held = held.join(written(bands, "hot"), "band")
+    own, least = F.xxhash64("line", "band"), F.lit(0).cast("long")
+    one = held.select("band", "line", F.pmod(own, F.col("chunks")).alias("i"),
+                      F.explode(F.sequence(least, F.col("others") - 1)).alias("j"))
+    other = held.filter("root <> most").select("band", "line", F.explode(F.sequence(least, F.col("chunks") - 1)).alias("i"),
+                                               F.pmod(own, F.col("others")).alias("j"))
+    dealt = one.union(other).select(F.xxhash64("band", "i", "j").alias("block"), "line").distinct()
+    return written(_joined(_worded(dealt, texts), similarity), "across")
+
+
+def _most_differ(n: int, similarity: float) -> int:
+    """In so many of their ``n`` places two lines that are alike differ at most."""
+    return int(min(1 - similarity, 1 - LEAST_PLAIN) * n + 1e-6)
+
+
 def _banded(similarity: float):
-    """The lines of crowded leaves, once for each of their bands."""
+    """band and line, for each line of crowded leaves one band more than the places
+    in which lines alike may differ: they have one in common."""
     def run(batches):
         for batch in batches:
-            leaf, lists = column(batch, "leaf").to_numpy().view(np.uint64), column(batch, "words")
+            leaf, line, lists = column(batch, "leaf").to_numpy().view(np.uint64), column(batch, "line").to_numpy(), column(batch, "words")
             ends = np.asarray(lists.offsets)
             flat = lists.values.to_numpy().view(np.uint64)
-            band, row = [], []
+            keys = []
             for k in range(batch.num_rows):
                 word = flat[ends[k]: ends[k + 1]]
                 n = len(word)
-                bands = max(1, min(int((1 - similarity) * n + 1e-9) + 1, n - LEADING, MOST_BANDS))
-                place = np.arange(LEADING, n)
-                placed = mix(word[LEADING:] * np.uint64(3) + place.astype(np.uint64))
-                for j in range(bands):
-                    band.append(placed[j::bands].sum(dtype=np.uint64) + np.uint64(j))
-                    row.append(k)
-            row = np.array(row, np.int64)
-            key = mix(np.array(band, np.uint64) ^ mix(leaf[row]))
-            for a in range(0, len(row), 5000):
-                some = pa.array(row[a: a + 5000])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(key[a: a + 5000].view(np.int64)), column(batch, "line").take(some), lists.take(some)],
-                    ["band", "line", "words"])
+                bands = _most_differ(n, similarity) + 1
+                if bands > n - LEADING:  # no word need be the same
+                    band = np.zeros(1, np.uint64)
+                else:
+                    place = np.arange(LEADING, n)
+                    placed = mix(word[LEADING:] * np.uint64(3) + place.astype(np.uint64))
+                    held = np.zeros(-(-len(placed) // bands) * bands, np.uint64)
+                    held[:len(placed)] = placed
+                    band = held.reshape(-1, bands).sum(0, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)
+                keys.append(mix(band ^ mix(leaf[k: k + 1])))
+            if keys:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.repeat(line, [len(x) for x in keys]))],
+                                                 ["band", "line"])
 
     return run
 
 
-def _first_alike(words: np.ndarray, similarity: float) -> np.ndarray:
-    """For each row (a line's words), the row that it joins; itself if none."""
-    joins = np.arange(len(words))
-    left = joins.copy()
+def _alike(words: np.ndarray, similarity: float) -> np.ndarray:
+    """For each row (a line's words) the first row that links of lines alike reach."""
+    first = np.arange(len(words))
+    left, n = first.copy(), words.shape[1]
+    plain = words != _VARIABLE
     while len(left) > 1:
-        first, rest = words[left[0]], left[1:]
-        same = words[rest] == first
-        plain = first != _VARIABLE
-        agree = same[:, plain].sum(1)
-        open_ = same[:, ~plain].sum(1)
-        n = words.shape[1]
-        alike = (agree >= similarity * (n - open_) - 1e-9) & (agree >= LEAST_PLAIN * n - 1e-9)
-        joins[rest[alike]] = left[0]
-        left = rest[~alike]
-    return joins
+        root, left = left[0], left[1:]
+        reached = [root]
+        while reached and len(left):
+            k = reached.pop()
+            same = words[left] == words[k]
+            open_ = np.count_nonzero(same[:, ~plain[k]], axis=1)
+            agree = np.count_nonzero(same, axis=1) - open_
+            alike = (agree >= similarity * (n - open_) - 1e-9) & (agree >= LEAST_PLAIN * n - 1e-9)
+            first[left[alike]] = root
+            reached += left[alike].tolist()
+            left = left[~alike]
+    return first
 
 
 def _joined(blocks: DataFrame, similarity: float) -> DataFrame:
-    """line and template (the line that it joins) in each block (block, line, words)."""
+    """line and template (the least line that links in its block reach), for the lines
+    of each block (block, line, words) that are not their own."""
     def run(batches):
         last, held = None, []  # the block at hand, which may go on in the next batch
 
@@ -215,7 +246,7 @@ def _joined(blocks: DataFrame, similarity: float) -> DataFrame:
             lines = np.concatenate([x for x, _ in held])
             if len(lines) > 1:
                 words = np.concatenate([x for _, x in held])
-                joins = _first_alike(words.view(np.uint64).reshape(len(lines), -1), similarity)
+                joins = _alike(words.view(np.uint64).reshape(len(lines), -1), similarity)
                 some = np.flatnonzero(joins != np.arange(len(joins)))
                 out.append((lines[some], lines[joins[some]]))
 
@@ -257,9 +288,8 @@ def drop_recurring(docs: DataFrame, min_words: int = MIN_WORDS, min_docs: int =
     further columns pass through, whatever their names, but one named n_dropped
     is replaced.
 
-    Lines of crowded leaves join in rounds, which end when less than
-    ``LEAST_JOINED`` of them still join: what is left then are single near copies
-    that the bands of all rounds missed (a test states how few)."""
+    No link between lines of a leaf is left out. Where the lines of a band larger
+    than ``BLOCK`` are of many components, they meet all with all, block by block."""
     own = _keyed(docs)
     seen = written(_occurrences(own, min_words), "occurrences")
     lines = seen.select("leaf", "line").distinct()

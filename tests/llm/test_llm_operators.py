@@ -430,3 +430,52 @@ def test_near_copies_in_a_crowded_leaf(spark):
     gone = sum(r.n_dropped for r in line_templates.drop_recurring(df).collect())
     assert 0.985 * 8000 <= gone <= 8000, gone
     print("dropped", gone, "of 8000")
+
+
+def _chained(rng):
+    """Rows of one leaf: chains of lines in which each has four places, of 50, unlike
+    the line before it, and pairs that differ in ten, as many as the threshold allows."""
+    word = lambda: "".join(rng.choice("bcdfghklmn") + rng.choice("aeiou") for _ in range(4))
+    lines = []
+    for _ in range(30):
+        line = ["as", "it", "were", *(word() for _ in range(47))]
+        places = rng.sample(range(3, 50), 40)
+        lines.append([line])
+        for k in range(10):
+            line = [word() if j in places[4 * k: 4 * k + 4] else x for j, x in enumerate(line)]
+            lines[-1].append(line)
+    for _ in range(60):
+        line = ["as", "it", "were", *(word() for _ in range(47))]
+        places = rng.sample(range(3, 50), 10)
+        lines.append([line, [word() if j in places else x for j, x in enumerate(line)]])
+    return [[" ".join(x) for x in group] for group in lines]
+
+
+@pytest.mark.parametrize("block", [line_templates.BLOCK, 40])
+def test_no_link_between_lines_is_left_out(spark, monkeypatch, block):
+    import random
+    monkeypatch.setattr(line_templates._templates, "__defaults__", (block,))
+    rng = random.Random(5)
+    groups = _chained(rng)
+    owner = {x: g for g, lines in enumerate(groups) for x in lines}
+    texts = sorted(owner)
+    rng.shuffle(texts)
+    out = {r.doc_id: r.text for r in line_templates.drop_recurring(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    first = {}
+    for i, x in enumerate(texts):
+        first.setdefault(owner[x], i)
+    assert {i for i, x in out.items() if x} == set(first.values())
+
+
+def test_lines_of_a_large_band_all_meet(spark, monkeypatch):
+    monkeypatch.setattr(line_templates._templates, "__defaults__", (20,))
+    # one of two bands is that of all lines, and lines of a kind meet in it only
+    rows, kinds = [], 40
+    for kind in range(kinds):
+        for copy in range(6):
+            name = "abcdefghij"[kind % 10] + "klmn"[kind // 10]
+            line = ["as", "it", "were", "x", "y", "z", f"{name}p", "and", f"{name}q", *["same"] * 5, "edit" + "abcdef"[copy]]
+            rows.append((kinds * copy + kind, " ".join(line)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_templates.drop_recurring(df, similarity=0.9).collect()}
+    assert {i for i, x in out.items() if x} == set(range(kinds))
