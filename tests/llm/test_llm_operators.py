@@ -479,3 +479,11 @@ def test_lines_of_a_large_band_all_meet(spark, monkeypatch):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.text for r in line_templates.drop_recurring(df, similarity=0.9).collect()}
     assert {i for i, x in out.items() if x} == set(range(kinds))
+
+
+def test_pipeline_stage_leaves_no_link_out(spark):
+    import random
+    groups = _chained(random.Random(6))
+    rows = [(i, f"{x}\nshort {i}") for i, x in enumerate(x for group in groups for x in group)]
+    kept = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert len(kept) == len(rows) and sum("as it were" in r.text for r in kept) == len(groups)
