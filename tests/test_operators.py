@@ -228,3 +228,22 @@ def test_cached_reference_counts_equal_direct_report(spark):
     assert direct.keys() == via.keys()
     for k in direct:
         assert direct[k] == pytest.approx(via[k])
+
+
+def test_small_integers_are_kept_first_with_nulls_last(spark):
+    rows = [("a", None, 1, "x"), ("a", 2147483647, None, "y"), ("a", 2147483647, 7, "z"), ("b", None, None, "x"), ("b", None, 3, None),
+            ("c", -2147483648, None, "y"), ("c", 0, 1, "x"), ("d", None, None, None)]
+    df = spark.createDataFrame(rows, "k string, i int, j smallint, s string")
+    first = dedup_keep_first(df, "k", ["i", "j", "s"])
+    assert first.dtypes == df.dtypes
+    assert {tuple(r) for r in first.collect()} == {("a", 2147483647, 7, "z"), ("b", None, 3, None), ("c", -2147483648, None, "y"), ("d", None, None, None)}
+
+
+def test_staging_shuffles_no_null_flag_that_it_can_spare(spark):
+    import re
+    spark.conf.set("spark.sql.debug.maxToStringFields", "500")
+    df = spark.createDataFrame([], raw_typed_schema())
+    plan = stage_flights(df)._jdf.queryExecution().optimizedPlan().toString()
+    spark.conf.unset("spark.sql.debug.maxToStringFields")
+    flags = {int(x) for x in re.findall(r"\b_n(\d+)\b", plan)}
+    assert flags and len(flags) <= 9 and max(int(x) for x in re.findall(r"\b_o(\d+)\b", plan)) == 28
