@@ -177,7 +177,7 @@ where kind <> 'NULL' group by json_key"""))
 def q_json_typed(spark, sf_dir):
     """OP-67/68: keys and types of the logged feature objects from one aggregate over
     the documents as variants, and how many documents hold each."""
-    log = _log(spark, sf_dir)
+    log = written(_log(spark, sf_dir).select("input_features"), "log")  # made once, read twice
     types = discover_types(log, "input_features")
     held = expand_variant(log, "input_features", types=types).agg(*[F.count(c).alias(c) for c in types])
     named = F.create_map(*[F.lit(x) for item in types.items() for x in item])
@@ -188,7 +188,8 @@ def q_json_typed(spark, sf_dir):
 def q_json_expand_typed(spark, sf_dir):
     """OP-65/67: features serialised to JSON, then expanded by the keys and types
     found in them."""
-    return expand_variant(_log(spark, sf_dir), "input_features", ["flight_uid"])
+    log = written(_log(spark, sf_dir).select("flight_uid", "input_features"), "log")
+    return expand_variant(log, "input_features", ["flight_uid"])
 
 
 @query("bucketed_semi_join", ORACLES["hash_sample_semi_join"])

@@ -247,3 +247,16 @@ def test_staging_shuffles_no_null_flag_that_it_can_spare(spark):
     spark.conf.unset("spark.sql.debug.maxToStringFields")
     flags = {int(x) for x in re.findall(r"\b_n(\d+)\b", plan)}
     assert flags and len(flags) <= 9 and max(int(x) for x in re.findall(r"\b_o(\d+)\b", plan)) == 28
+
+
+@pytest.mark.parametrize("name", ["json_typed_discovery", "json_expand_typed"])
+def test_staging_rows_are_computed_once(spark, tmp_path, name):
+    from skydrift.plans import catalog
+    spark.range(400).selectExpr(
+        "id as l_orderkey", "id * 7 % 90 as l_partkey", "id % 20 as l_suppkey", "cast(id % 4 as int) as l_linenumber",
+        "cast(id % 50 as double) as l_quantity", "cast(1000 + id * 37 as double) as l_extendedprice", "id % 11 / 100D as l_discount",
+        "0.02D as l_tax", "substr('ANR', cast(id % 3 as int) + 1, 1) as l_returnflag", "substr('OF', cast(id % 2 as int) + 1, 1) as l_linestatus",
+        "cast(date_add(date'1997-01-01', cast(id * 3 as int)) as timestamp_ntz) as l_shipdate") \
+        .write.parquet(str(tmp_path / "lineitem.parquet"))
+    out = catalog.QUERIES[name](spark, str(tmp_path))
+    assert out.count() > 5 and not [x for x in out.inputFiles() if "lineitem" in x]
