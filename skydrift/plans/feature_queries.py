@@ -10,6 +10,7 @@ from skydrift.operators.features import (
 from skydrift.plans.oracle import with_fx
 from skydrift.plans.registry import query
 from skydrift.schemas import HIGH_CARD_FEATURES, LOW_CARD_FEATURES
+from skydrift.session import written
 from skydrift.sources.fixtures import fx_stg
 from skydrift.sources.tables import read_table
 
@@ -280,11 +281,11 @@ def q_feature_assembly(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
 
     from skydrift.operators.models import default_preprocessor
-    stg = fx_stg(spark, sf_dir)
-    fit = default_preprocessor("arr_delay_minutes").fit(_train(stg))
+    stg = written(fx_stg(spark, sf_dir), "staging")
+    fit = default_preprocessor("arr_delay_minutes").fit(_train(stg), stored=True)
     v = F.col("v")
     levels = sum(len(fit.onehot_levels[c]) for c in LOW_CARD_FEATURES)
-    out = fit.transform(stg).select("flight_uid", vector_to_array("features").alias("v"))
+    out = fit.transform(stg, columns=False).select("flight_uid", vector_to_array("features").alias("v"))
     cyclic = levels + len(HIGH_CARD_FEATURES)
     return out.select(
         "flight_uid", F.size(v).alias("n_features"),

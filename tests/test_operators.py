@@ -249,7 +249,7 @@ def test_staging_shuffles_no_null_flag_that_it_can_spare(spark):
     assert flags and len(flags) <= 9 and max(int(x) for x in re.findall(r"\b_o(\d+)\b", plan)) == 28
 
 
-@pytest.mark.parametrize("name", ["json_typed_discovery", "json_expand_typed"])
+@pytest.mark.parametrize("name", ["json_typed_discovery", "json_expand_typed", "feature_assembly"])
 def test_staging_rows_are_computed_once(spark, tmp_path, name):
     from skydrift.plans import catalog
     spark.range(400).selectExpr(
