@@ -53,8 +53,9 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier document holds too."""
-    left = _whole(line_templates.drop_recurring(_plain(docs)), docs)
+    """All documents, without the lines that an earlier document holds too. Copies
+    of a text lose the same lines, so that the next stage still knows them by it."""
+    left = _whole(line_templates.drop_recurring(_plain(docs), copies_together=True), docs)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return left

@@ -75,28 +75,32 @@ class Lines:
         self.number = np.searchsorted(feeds, w.starts[first], "right") - before[self.text]
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
+def _keyed(docs: DataFrame, copies_together: bool) -> DataFrame:
     """doc_id, text and all other columns in one, so that none of their names meets
-    one used here; ``__key`` tells documents apart, rows of one key are the same."""
+    one used here; ``__key`` tells documents apart, rows of one key are the same.
+    Rows of one ``__unit`` keep and lose the same lines."""
     others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(*others or [F.lit(0)]).alias("rest"), F.xxhash64("doc_id", "text").alias("__key"))
+    key = F.xxhash64("doc_id", "text")
+    return docs.select("doc_id", "text", F.struct(*others or [F.lit(0)]).alias("rest"), key.alias("__key"),
+                       (F.xxhash64("text") if copies_together else key).alias("__unit"))
 
 
 def _occurrences(docs: DataFrame, min_words: int) -> DataFrame:
-    """key, leaf, line for each document's distinct lines of enough words."""
+    """key, unit, leaf, line for each document's distinct lines of enough words."""
     def run(batches):
         for batch in batches:
-            keys = column(batch, "__key").to_numpy()
+            keys, units = column(batch, "__key").to_numpy(), column(batch, "__unit").to_numpy()
             for a, _, w in slices(column(batch, "text")):
                 lines = Lines(w)
                 some = np.flatnonzero(lines.words >= min_words)
                 pair = np.rec.fromarrays([lines.text[some], lines.whole[some]])
                 some = some[np.unique(pair, return_index=True)[1]] if len(some) else some
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[a + lines.text[some]]), pa.array(lines.leaf[some].view(np.int64)),
-                     pa.array(lines.whole[some].view(np.int64))], ["key", "leaf", "line"])
+                    [pa.array(keys[a + lines.text[some]]), pa.array(units[a + lines.text[some]]),
+                     pa.array(lines.leaf[some].view(np.int64)), pa.array(lines.whole[some].view(np.int64))],
+                    ["key", "unit", "leaf", "line"])
 
-    return docs.select("__key", "text").mapInArrow(run, "key long, leaf long, line long")
+    return docs.select("__key", "__unit", "text").mapInArrow(run, "key long, unit long, leaf long, line long")
 
 
 def _templates(docs: DataFrame, lines: DataFrame, min_words: int, similarity: float, block: int = BLOCK) -> DataFrame:
@@ -276,13 +280,16 @@ def _joined(blocks: DataFrame, similarity: float) -> DataFrame:
 
 
 def drop_recurring(docs: DataFrame, min_words: int = MIN_WORDS, min_docs: int = MIN_DOCS,
-                   similarity: float = SIMILARITY) -> DataFrame:
+                   similarity: float = SIMILARITY, copies_together: bool = False) -> DataFrame:
     """The rows of ``docs`` (doc_id, text and any others), with the lines of
     recurring templates taken from ``text``, and ``n_dropped``, their number.
 
     A template recurs if ``min_docs`` documents hold it; it stays in the one of
     the smallest doc_id (null ids last). Rows equal in id and text are one
-    document: they keep and lose the same lines. Lines of fewer than
+    document: they keep and lose the same lines. With ``copies_together`` rows
+    equal in text are one document, that of the smallest of their ids, for a later
+    step that drops copies as a whole: they stay copies, and none is left as the
+    short lines that its copy has too. Lines of fewer than
     ``min_words`` words stay, as do a null text and the order of the lines. A
     text of any length is gone through whole. An empty table gives no rows;
     further columns pass through, whatever their names, but one named n_dropped
@@ -290,21 +297,21 @@ def drop_recurring(docs: DataFrame, min_words: int = MIN_WORDS, min_docs: int =
 
     No link between lines of a leaf is left out. Where the lines of a band larger
     than ``BLOCK`` are of many components, they meet all with all, block by block."""
-    own = _keyed(docs)
+    own = _keyed(docs, copies_together)
     seen = written(_occurrences(own, min_words), "occurrences")
     lines = seen.select("leaf", "line").distinct()
     templates = _templates(own, lines, min_words, similarity)
     placed = written(seen.join(templates, "line", "left").select(
-        "key", "line", F.coalesce("template", "line").alias("template")), "placed")
-    ids = own.select("__key", "doc_id").filter("doc_id is not null").distinct().withColumnRenamed("__key", "key")
-    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
-    known = placed.select("key", "template").distinct().join(ids, "key", "left")
-    recurring = known.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(rank).getField("key").alias("stays")) \
+        "key", "unit", "line", F.coalesce("template", "line").alias("template")), "placed")
+    ids = own.filter("doc_id is not null").groupBy(F.col("__unit").alias("unit")).agg(F.min("doc_id").alias("doc_id"))
+    rank = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "unit")
+    known = placed.select("unit", "template").distinct().join(ids, "unit", "left")
+    recurring = known.groupBy("template").agg(F.count(F.lit(1)).alias("n"), F.min(rank).getField("unit").alias("stays")) \
         .filter(F.col("n") >= min_docs).select("template", "stays")
     # written, so that the join's shuffle of the lines is one that Spark can split
     # where a template is frequent
     recurring = written(recurring, "recurring")
-    dropped = placed.join(recurring, "template").filter("key <> stays") \
+    dropped = placed.join(recurring, "template").filter("unit <> stays") \
         .groupBy(F.col("key").alias("__key")).agg(F.collect_set("line").alias("__lines"))
     joined = own.join(dropped, "__key", "left").select("doc_id", "text", "rest", "__lines")
     schema = joined.drop("__lines").withColumn("n_dropped", F.lit(0)).schema

@@ -487,3 +487,19 @@ def test_pipeline_stage_leaves_no_link_out(spark):
     rows = [(i, f"{x}\nshort {i}") for i, x in enumerate(x for group in groups for x in group)]
     kept = corpus_pipeline.line_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
     assert len(kept) == len(rows) and sum("as it were" in r.text for r in kept) == len(groups)
+
+
+def test_pipeline_finds_copies_after_their_lines(spark):
+    ours, other = "the whole town came to see the new bridge", "nobody knew where the old river had gone"
+    rows = [(1, f"{other}\nthe mill"), (3, f"Too short.\n{ours}\n{other}\nAnd so."), (4, f"Too short.\n{ours}\n{other}\nAnd so."),
+            (None, f"Too short.\n{ours}\n{other}\nAnd so."), (2, "And now.\nhe said that all of us would meet again"),
+            (7, f"{ours}\nquite another end"), (8, "And now.\nhe said that all of us would meet again")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lined = corpus_pipeline.line_dedup(spark, docs, "")
+    out = {r.doc_id: r.text for r in lined.collect()}
+    assert out[1] == rows[0][1] and out[2] == out[8] == rows[4][1] and out[7] == "quite another end"
+    assert out[3] == out[4] == out[None] == f"Too short.\n{ours}\nAnd so."  # the first copy's lines, in each of them
+    kept = {r.doc_id: r.text for r in corpus_pipeline.near_dedup(spark, lined, "").collect()}
+    assert kept == {i: out[i] for i in (1, 2, 3, 7)}
+    alone = {r.doc_id: r.text for r in line_templates.drop_recurring(docs).collect()}
+    assert alone[3] == out[3] and alone[4] == alone[None] == "Too short.\nAnd so." and alone[8] == "And now."
