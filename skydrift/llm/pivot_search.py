@@ -182,7 +182,9 @@ def search(vectors: DataFrame, k: int = 5, every: int = 50, scale: float = 256.0
     asked = blocks(rows.filter(F.col("vec_id") % every == 0).distinct(), QUERY_BLOCK, "q", "asked") \
         .withColumn("rows", F.explode(F.sequence(F.lit(0).cast("long"), many[F.col("dim")].cast("long") - 1)))
     held = blocks(rows, ROW_BLOCK, "n", "rows")
-    pairs = held.join(asked, ["dim", "rows"])
+    # a merge, as the copies are many more bytes than their plan's size says, and would be
+    # broadcast; the one block of rows of a key is held while its queries pass
+    pairs = asked.join(held.hint("merge"), ["dim", "rows"])
 
     def members(struct: pa.Scalar, dim: int) -> tuple[np.ndarray, np.ndarray]:
         flat = struct.values

@@ -167,6 +167,16 @@ def test_pivot_search(spark):
     assert pivot_search.search(df.filter("1 = 0")).count() == 0
 
 
+def test_pivot_search_broadcasts_no_copies_of_queries(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(v) for v in rng.normal(size=4)]) for i in range(300)]
+    found = pivot_search.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"))
+    assert found.count() == 5 * 6
+    plan = found._jdf.queryExecution().executedPlan()
+    found.collect()  # the final plan, by the sizes met
+    assert "SortMergeJoin" in plan.toString() and "BroadcastExchange" not in plan.toString()
+
+
 def test_url_rules_and_reputation(spark):
     rules = [url_reputation.Rule("com", "/", "allow"), url_reputation.Rule("bad.com", "/x/", "block")]
     spam = [(k, f"http://Spam.Farm.org/{k}", 1) for k in range(40)]
