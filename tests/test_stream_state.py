@@ -200,3 +200,33 @@ def test_partial_counts_meet_across_batches():
                                         pa.array([1, 2, 3], pa.timestamp("us", "UTC"))], names)
     rows = [r for b in ST._partial_counts([batch] * 5) for r in b.to_pylist()]
     assert sorted((r["column"], r["day"], r["n"], r["event_ts"].microsecond) for r in rows) == [("c", 4, 5, 3), ("v", 3, 10, 2)]
+
+
+def test_a_buckets_state_is_touched_once_however_many_values_come():
+    import pandas as pd
+
+    handle, key = _Handle(), ("v", True, 5)
+    state = ST.BucketCounts(2)
+    state.init(handle)
+    nan = float("nan")
+    rows = pd.DataFrame({"num": [float(k % 50) for k in range(900)] + [nan, nan], "cat": None, "day": [k % 3 for k in range(900)] + [1, 1], "n": 2})
+
+    def got(frames):
+        (frame,) = frames
+        assert list(frame.columns) == ["column", "is_num", "num", "cat", "n_cur"]
+        return {repr(r.num): r.n_cur for r in frame.itertuples()}
+
+    first = got(state.handleInputRows(key, iter([rows[:500], rows[500:]]), _Now(0)))
+    assert first == {**{repr(float(v)): 36.0 for v in range(50)}, "nan": 4.0}
+    assert handle.value.calls == 2 and handle.timers == [3 * ST.DAY_MS]
+    # day 0 is past what is kept: late rows of it add nothing, and its counts go
+    late = pd.DataFrame({"num": [7.0, 99.0], "cat": None, "day": 0, "n": 5})
+    assert got(state.handleInputRows(key, iter([late]), _Now(3 * ST.DAY_MS))) == {"7.0": 36.0, "99.0": 0.0}
+    left = got(state.handleExpiredTimer(key, _Now(3 * ST.DAY_MS), None))
+    assert left == {repr(float(v)): 24.0 for v in range(50)} and handle.timers[-1] == 4 * ST.DAY_MS
+    none = got(state.handleExpiredTimer(key, _Now(9 * ST.DAY_MS), None))
+    assert set(none.values()) == {0.0} and len(none) == 51 and handle.value.held is None
+    text, key = ST.BucketCounts(2), ("c", False, 5)
+    text.init(_Handle())
+    (frame,) = text.handleInputRows(key, iter([pd.DataFrame({"num": nan, "cat": ["x", "y", "x"], "day": [1, 1, 2], "n": 1})]), _Now(0))
+    assert sorted(zip(frame.cat, frame.n_cur)) == [("x", 2.0), ("y", 1.0)] and frame.num.isna().all()
