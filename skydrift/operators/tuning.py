@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skydrift.operators.models import default_preprocessor, evaluate, fit_model
+from skydrift.operators.models import default_preprocessor, evaluate, feature_table, fit_model
+from skydrift.session import temporaries
 
 KINDS = ("int", "float", "logfloat")
 #: Random trials before the estimator has enough to go by.
@@ -160,21 +161,20 @@ def search(spark: SparkSession, train: DataFrame, val: DataFrame, model_type: st
     the training frame is a scan of files."""
     key = "flight_uid" if "flight_uid" in train.columns else None
     fitted = (prep or default_preprocessor(label, fold_key=key)).fit(train, stored)
-    feats = fitted.transform(train, training=True, columns=False).select("features", label, *[c for c in ("flight_uid",) if c in train.columns]).persist()
     run_ids: list[str] = []
 
     def objective(params: dict) -> float:
-        model = fit_model(train, model_type, params, label, prepared=fitted, feats=feats)
-        found = evaluate(model, val).first().asDict()
+        model = fit_model(train, model_type, params, label, prepared=fitted, feats=feats, feats_stored=True)
+        with temporaries(spark):
+            found = evaluate(model, val).first().asDict()
         if metric not in found:
             raise ValueError(f"unknown metric {metric!r}")
         run_ids.append(model.run_id)
         return float(found[metric])
 
-    try:
+    with temporaries(spark):
+        feats = feature_table(fitted, train, label)
         trials = optimise(objective, space, fixed, n_trials, direction, seed, sampler)
-    finally:
-        feats.unpersist()
     rows = [(i, {k: str(v) for k, v in params.items()}, score, run_ids[i]) for i, (params, score) in enumerate(trials)]
     schema = T.StructType([T.StructField("trial", T.IntegerType()),
                            T.StructField("params", T.MapType(T.StringType(), T.StringType())),
