@@ -76,7 +76,7 @@ def test_trees_grow_from_files(spark, flights, monkeypatch):
 def test_stream_sinks_and_requests_are_compressed(spark, flights, monkeypatch, tmp_path):
     flights.write.parquet(str(tmp_path / "in"))
     sink = S.run_available(spark.readStream.schema(flights.schema).parquet(str(tmp_path / "in")), "small")
-    assert all(".zstd." in f for f in os.listdir(sink) if f.startswith("part-"))
+    assert all(".zstd." in f for f in os.listdir(sink.removeprefix("file:")) if f.startswith("part-"))
 
     class Asked(Exception):
         pass
@@ -101,4 +101,4 @@ def test_stream_sinks_and_requests_are_compressed(spark, flights, monkeypatch, t
     parts = [f for f in os.listdir(folder) if f.startswith("part-")]
     assert parts and all(f.endswith(".txt.gz") for f in parts)
     lines = [r.value for r in spark.read.text(folder).collect()]
-    assert len(lines) == 50 and sum(not x.endswith("}") for x in lines) == 13
+    assert len(lines) == 50 and sum(not x.endswith("}") for x in lines) == 14  # elapsed times of 7 are none
